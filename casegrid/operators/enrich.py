@@ -73,26 +73,35 @@ Classifier = Callable[[DataFrame], DataFrame]
 # Native keyword-rule classifier (no model needed; runs in whole-stage codegen)
 # ---------------------------------------------------------------------------
 
-# Fixed values of the rule classifier: category, keyword pattern (matched on
-# lower-cased whole text), factor phrase, prevention action.  First match wins.
-RULES: tuple[tuple[str, str, str, str], ...] = (
-    ("fall_slip_trip", r"\b(fell|fall|falls|slipped|slip|tripped|trip|ladder)\b",
+# Fixed values of the rule classifier: category, keywords (matched as whole
+# words in the lower-cased whole text), factor phrase, prevention action.
+# The first matching category wins.
+RULES: tuple[tuple[str, tuple[str, ...], str, str], ...] = (
+    ("fall_slip_trip", ("fell", "fall", "falls", "slipped", "slip", "tripped", "trip", "ladder"),
      "loss of footing", "add anti-slip matting and secure ladders before use"),
-    ("struck_by_or_against", r"\b(struck|hit|falling object|bumped)\b",
+    ("struck_by_or_against", ("struck", "hit", "falling object", "bumped"),
      "struck by a moving object", "fit toe boards and barricade overhead work zones"),
-    ("contact_with_equipment", r"\b(caught|machine|press|conveyor|blade|saw)\b",
+    ("contact_with_equipment", ("caught", "machine", "press", "conveyor", "blade", "saw"),
      "unguarded machine part", "install a fixed guard on the machine"),
-    ("overexertion_bodily_reaction", r"\b(lifting|lifted|strain|strained|twisted|carrying)\b",
+    ("overexertion_bodily_reaction", ("lifting", "lifted", "strain", "strained", "twisted", "carrying"),
      "manual handling load", "provide a lift assist for loads over the limit"),
-    ("exposure_harmful_substance", r"\b(chemical|fumes|exposed|exposure|burn|heat)\b",
+    ("exposure_harmful_substance", ("chemical", "fumes", "exposed", "exposure", "burn", "heat"),
      "harmful substance contact", "substitute the chemical and add local exhaust"),
-    ("transportation", r"\b(vehicle|truck|forklift|car|collision)\b",
+    ("transportation", ("vehicle", "truck", "forklift", "car", "collision"),
      "vehicle movement", "separate pedestrian walkways from vehicle routes"),
-    ("fire_explosion", r"\b(fire|explosion|exploded|flame|ignited)\b",
+    ("fire_explosion", ("fire", "explosion", "exploded", "flame", "ignited"),
      "ignition source", "remove ignition sources and store fuel in rated cabinets"),
-    ("violence", r"\b(assault|assaulted|attacked|bitten|punched)\b",
+    ("violence", ("assault", "assaulted", "attacked", "bitten", "punched"),
      "aggressive person", "add a panic alarm and a second staff member on shift"),
 )
+
+
+def keyword_pattern(words) -> str:
+    """Whole-word alternation.  Boundaries are spelled out as [^a-z] (not
+    \\b, whose notion of a word character differs between regex engines)."""
+    return "(^|[^a-z])(" + "|".join(words) + ")([^a-z]|$)"
+
+
 OTHER_FACTOR = "insufficient detail"
 OTHER_ACTION = "review the task with the crew and record the missing detail"
 # Severity from narrative length (characters): upper bounds and tiers.
@@ -107,8 +116,8 @@ MIN_TEXT_CHARS = 8
 def rule_category(text: Column) -> Column:
     low = F.lower(text)
     expr = None
-    for cat, pat, _, _ in RULES:
-        cond = low.rlike(pat)
+    for cat, words, _, _ in RULES:
+        cond = low.rlike(keyword_pattern(words))
         expr = F.when(cond, F.lit(cat)) if expr is None else expr.when(cond, F.lit(cat))
     return expr.otherwise(F.lit("other"))
 

@@ -29,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
