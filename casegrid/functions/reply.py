@@ -9,7 +9,7 @@ the reply.  Everything runs as native variant expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,30 +50,39 @@ def _kind(v: Column, path: str) -> Column:
     return F.schema_of_variant(F.variant_get(v, path, "variant"))
 
 
-def validate_reply(reply) -> Column:
-    """Struct of the five fields plus ``is_valid`` and ``reject_reason``.
-    Field values are null when the reply is rejected."""
-    v = F.try_parse_json(to_col(reply))
-    is_obj = F.schema_of_variant(v).startswith("OBJECT")
+def with_validated(df: DataFrame, reply: str = "reply", out: str = "v") -> DataFrame:
+    """Add ``out``: a struct of the five fields plus ``is_valid`` and
+    ``reject_reason``; field values are null when the reply is rejected.
+
+    Staged as three projections (parse once, extract once, then decide), so
+    the parsed value and each field are computed once per row instead of
+    being inlined into every rule of the decision.  Filter on
+    ``out.is_valid`` only after materialising (e.g. a checkpoint): a filter
+    is pushed down through these projections and would inline them all.
+    """
+    tmp = [f"_rv_{n}" for n in ("json", "obj", "factor", "severity", "category", "prevention", "confidence")]
+    parsed = df.withColumn(tmp[0], F.try_parse_json(F.col(reply)))
+    v = F.col(tmp[0])
 
     def text(name: str) -> Column:
-        return F.when(_kind(v, f"$.{name}") == "STRING",
-                      F.try_variant_get(v, f"$.{name}", "string"))
+        return F.when(_kind(v, f"$.{name}") == "STRING", F.try_variant_get(v, f"$.{name}", "string"))
 
-    factor = text("contributing_factor")
-    severity = text("severity_tier")
-    raw_category = text("event_category")
-    prevention = text("recurrence_prevention")
     conf_kind = _kind(v, "$.confidence")
-    confidence = F.when(
-        conf_kind.startswith("DECIMAL") | conf_kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT",
-                                                         "DOUBLE", "FLOAT", "STRING"),
-        F.try_variant_get(v, "$.confidence", "double"))
-    category = F.when(raw_category.isin(*EVENT_CATEGORIES), raw_category).otherwise(
-        F.lit(CATEGORY_FALLBACK))
-
+    fields = parsed.select(
+        "*",
+        F.schema_of_variant(v).startswith("OBJECT").alias(tmp[1]),
+        text("contributing_factor").alias(tmp[2]),
+        text("severity_tier").alias(tmp[3]),
+        text("event_category").alias(tmp[4]),
+        text("recurrence_prevention").alias(tmp[5]),
+        F.when(conf_kind.startswith("DECIMAL") | conf_kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT",
+                                                                "DOUBLE", "FLOAT", "STRING"),
+               F.try_variant_get(v, "$.confidence", "double")).alias(tmp[6]),
+    )
+    is_obj, factor, severity, raw_category, prevention, confidence = [F.col(c) for c in tmp[1:]]
+    category = F.when(raw_category.isin(*EVENT_CATEGORIES), raw_category).otherwise(F.lit(CATEGORY_FALLBACK))
     reason = (
-        F.when(to_col(reply).isNull(), F.lit("no_reply"))
+        F.when(F.col(reply).isNull(), F.lit("no_reply"))
         .when(v.isNull(), F.lit("invalid_json"))
         .when(~is_obj, F.lit("not_an_object"))
         .when(factor.isNull(), F.lit("contributing_factor_missing"))
@@ -84,16 +93,18 @@ def validate_reply(reply) -> Column:
         .when(confidence.isNull(), F.lit("confidence_missing"))
         .when(~confidence.between(0.0, 1.0), F.lit("confidence_out_of_range"))
     )
-    ok = reason.isNull()
-    return F.struct(
+    decided = fields.withColumn("_rv_reason", reason)
+    r = F.col("_rv_reason")
+    ok = r.isNull()
+    return decided.withColumn(out, F.struct(
         F.when(ok, factor).alias("contributing_factor"),
         F.when(ok, severity).alias("severity_tier"),
         F.when(ok, category).alias("event_category"),
         F.when(ok, prevention).alias("recurrence_prevention"),
         F.when(ok, confidence).alias("confidence"),
         ok.alias("is_valid"),
-        reason.alias("reject_reason"),
-    )
+        r.alias("reject_reason"),
+    )).drop(*tmp, "_rv_reason")
 
 
 def reply_json(contributing_factor, severity_tier, event_category, recurrence_prevention,

@@ -34,7 +34,7 @@ from casegrid.functions._util import to_col
 from casegrid.functions.clean import clean_text
 from casegrid.functions.keys import content_hash
 from casegrid.functions.prompt import NARRATIVE_FIELDS, PROMPT_VERSION, render_prompt
-from casegrid.functions.reply import CLASSIFICATION_FIELDS, reply_json, validate_reply
+from casegrid.functions.reply import CLASSIFICATION_FIELDS, reply_json, with_validated
 from casegrid.operators.merge import insert_if_absent, upsert_by_key
 
 CACHE_SCHEMA = T.StructType([
@@ -135,10 +135,11 @@ def rule_severity(text: Column) -> Column:
     return expr.otherwise(F.lit(SEVERITY_BY_LENGTH[-1]))
 
 
-def rule_reply(text) -> Column:
-    """JSON reply of the keyword rules for a narrative text (null if too short)."""
-    txt = to_col(text)
-    cat = rule_category(txt)
+def with_rule_reply(df: DataFrame, text: str, out: str = "reply") -> DataFrame:
+    """Add the keyword rules' JSON reply for ``text`` (null if too short).
+    The category is computed once in its own projection and then reused."""
+    staged = df.withColumn("_rule_cat", rule_category(F.col(text)))
+    cat, txt = F.col("_rule_cat"), F.col(text)
     reply = reply_json(
         _by_category(cat, 2, OTHER_FACTOR),
         rule_severity(txt),
@@ -146,12 +147,12 @@ def rule_reply(text) -> Column:
         _by_category(cat, 3, OTHER_ACTION),
         F.when(cat == "other", F.lit(ABSTAIN_CONFIDENCE)).otherwise(F.lit(MATCH_CONFIDENCE)),
     )
-    return F.when(F.length(txt) >= MIN_TEXT_CHARS, reply)
+    return staged.withColumn(out, F.when(F.length(txt) >= MIN_TEXT_CHARS, reply)).drop("_rule_cat")
 
 
 def rule_classifier(text_col: str = "narrative_text") -> Classifier:
     def classify(requests: DataFrame) -> DataFrame:
-        return requests.withColumn("reply", rule_reply(F.col(text_col)))
+        return with_rule_reply(requests, text_col)
     return classify
 
 
@@ -268,7 +269,7 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
         F.concat_ws("\n", *[F.col(f"r.{f}") for f in fields]).alias("narrative_text"),
     )
     replied = classify(requests)
-    checked = replied.select("content_hash", "rep_id", validate_reply(F.col("reply")).alias("v"))
+    checked = with_validated(replied.select("content_hash", "rep_id", "reply"), "reply", "v")
     fresh = checked.select(
         "content_hash", "rep_id",
         *[F.col(f"v.{c}").alias(c) for c in CLASSIFICATION_FIELDS],

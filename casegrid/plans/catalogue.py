@@ -16,11 +16,17 @@ from casegrid.plans.warehouse import MART_NAMES, build_models
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
 
 
-def register(name: str):
+def register(name: str, sql: str | None = None):
+    """Register a query and, when it has one, its DuckDB oracle SQL."""
     def deco(fn: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
+        if sql is not None:
+            SQL[name] = sql
         return fn
     return deco
 
