@@ -367,3 +367,28 @@ def q_render_prompt(spark, sf_dir):
               "narrative_injury": F.lit(""), "narrative_source": F.col("n_chars").cast("string")}
     sector = F.when(F.col("lang") == "en", F.lit("Manufacturing"))
     return d.select("doc_id", render_prompt(fields, sector).alias("prompt"))
+
+
+# ------------------------------------------------------- dedupe / joins ----
+@register("dedupe_latest", """
+SELECT user_id, event_id, ts, event_type, value FROM (
+  SELECT user_id, event_id, ts, event_type, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
+  FROM events) e WHERE rn = 1""")
+def q_dedupe_latest(spark, sf_dir):
+    """Latest event per user (ts desc nulls last, ties by event id desc)."""
+    from casegrid.operators.dedupe import latest_per_key
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    return latest_per_key(e, ["user_id"], [F.col("ts")], [F.col("event_id")])
+
+
+@register("join_dim_default", """
+SELECT c.c_custkey, coalesce(n.n_name, 'Unknown') AS nation_name
+FROM customer c LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) n ON c.c_nationkey = n.n_nationkey""")
+def q_join_dim_default(spark, sf_dir):
+    """Left join to a dimension with a default label for unmatched rows."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").where(F.col("n_regionkey") != 0).select(
+        F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return c.join(n, "c_nationkey", "left").select(
+        "c_custkey", F.coalesce(F.col("n_name"), F.lit("Unknown")).alias("nation_name"))
