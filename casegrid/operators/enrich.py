@@ -113,13 +113,25 @@ ABSTAIN_CONFIDENCE = 0.2
 MIN_TEXT_CHARS = 8
 
 
+_KEYWORD_RANK = {w: i for i, (_, words, _, _) in enumerate(RULES) for w in words}
+# Single-pass matching reports one keyword per position; that equals the
+# per-category test as long as no keyword is a whole-word part of a longer
+# keyword phrase.
+assert not any(w != p and f" {w} " in f" {p} " for w in _KEYWORD_RANK for p in _KEYWORD_RANK)
+_ONE_PASS = "(?<![a-z])(" + "|".join(sorted(_KEYWORD_RANK, key=len, reverse=True)) + ")(?![a-z])"
+
+
 def rule_category(text: Column) -> Column:
-    low = F.lower(text)
-    expr = None
-    for cat, words, _, _ in RULES:
-        cond = low.rlike(keyword_pattern(words))
-        expr = F.when(cond, F.lit(cat)) if expr is None else expr.when(cond, F.lit(cat))
-    return expr.otherwise(F.lit("other"))
+    """First category (in rule order) with a keyword in the text, else 'other'.
+
+    One regex pass collects every whole-word keyword, then the smallest rule
+    rank wins, instead of one pass over the (possibly long) text per rule.
+    """
+    ranks = F.create_map(*[F.lit(x) for w, r in _KEYWORD_RANK.items() for x in (w, r)])
+    found = F.regexp_extract_all(F.lower(text), F.lit(_ONE_PASS), 1)
+    best = F.array_min(F.transform(found, lambda w: F.try_element_at(ranks, w)))
+    categories = F.array(*[F.lit(r[0]) for r in RULES])
+    return F.coalesce(F.try_element_at(categories, best + 1), F.lit("other"))
 
 
 def _by_category(cat: Column, idx: int, default: str) -> Column:

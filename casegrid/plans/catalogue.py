@@ -39,15 +39,23 @@ def run_ts() -> datetime:
 # Warehouse on the rendered case export
 # ---------------------------------------------------------------------------
 
-def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+NEEDS_ENRICHMENT = {"int_enriched", "fct_incidents", "mart_llm_eval"}
+
+
+def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True) -> dict[str, DataFrame]:
+    """All models of one build; ``enriched=False`` skips the classification
+    (the staging, intermediate and dimension models do not read it)."""
     raw = raw_cases(spark, sf_dir)
-    enriched = enrich(stage_cases(raw), empty_cache(spark), empty_enrichment(spark),
-                      rule_classifier(), run_ts(), MODEL_NAME)
-    return build_models(raw, enriched.target)
+    if enriched:
+        target = enrich(stage_cases(raw), empty_cache(spark), empty_enrichment(spark),
+                        rule_classifier(), run_ts(), MODEL_NAME).target
+    else:
+        target = empty_enrichment(spark)
+    return build_models(raw, target)
 
 
 def _model(name: str) -> Query:
-    return lambda spark, sf_dir: warehouse(spark, sf_dir)[name]
+    return lambda spark, sf_dir: warehouse(spark, sf_dir, name in NEEDS_ENRICHMENT)[name]
 
 
 for _key, _model_name in (

@@ -109,3 +109,28 @@ def test_bucketize_boundaries(spark):
     col = bucketize("x", (50, 250, 1000), ("S", "M", "L", "XL"), "U")
     assert one(spark, col, [(None,), (49,), (50,), (249,), (250,), (999,), (1000,)], "x int") == [
         "U", "S", "M", "M", "L", "L", "XL"]
+
+
+def test_whitespace_set_and_regex_class_agree():
+    import re
+
+    from casegrid.functions.clean import PY_WHITESPACE, PY_WHITESPACE_CLASS
+    # \x{h} (Java / RE2 syntax) -> \uhhhh (Python syntax)
+    cls = re.compile(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: "\\u%04x" % int(m.group(1), 16),
+                            PY_WHITESPACE_CLASS))
+    assert "".join(chr(c) for c in range(0x110000) if cls.fullmatch(chr(c))) == PY_WHITESPACE
+
+
+def test_rule_category_one_pass_equals_per_rule(spark):
+    from pyspark.sql import functions as F
+
+    from casegrid.operators.enrich import RULES, keyword_pattern, rule_category
+    texts = [("He fell; then a fire.",), ("fire then fell",), ("falling object hit him",), ("éfall",),
+             ("carrying",), ("nothing here",), ("", ), (None,), ("Forklift-collision",), ("falls.",)]
+    df = spark.createDataFrame(texts, "t string")
+    per_rule = None
+    for cat, words, _, _ in RULES:
+        cond = F.lower("t").rlike(keyword_pattern(words))
+        per_rule = F.when(cond, cat) if per_rule is None else per_rule.when(cond, cat)
+    got = df.select(rule_category(F.col("t")).alias("a"), per_rule.otherwise("other").alias("b")).collect()
+    assert all(r.a == r.b for r in got), got
