@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid.operators.enrich import empty_cache, empty_enrichment, enrich, rule_classifier
-from casegrid.operators.staging import stage_cases
+from casegrid.operators.staging import join_establishment, stage_cases, stage_establishments
+from casegrid.session import ensure_checkpoint_dir
 from casegrid.plans.analogues import MODEL_NAME, RUN_TS, raw_cases, table
-from casegrid.plans.warehouse import MART_NAMES, build_models
+from casegrid.plans.warehouse import MART_NAMES, models_from
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,19 +43,33 @@ def run_ts() -> datetime:
 NEEDS_ENRICHMENT = {"int_enriched", "fct_incidents", "mart_llm_eval"}
 
 
-def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True) -> dict[str, DataFrame]:
+def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True,
+              materialise: bool = False) -> dict[str, DataFrame]:
     """All models of one build; ``enriched=False`` skips the classification
-    (the staging, intermediate and dimension models do not read it)."""
+    (the staging, intermediate and dimension models do not read it).
+
+    ``materialise`` writes the typed staging tables once (reliable checkpoint
+    in the shared checkpoint folder) for queries that read them through
+    several models, instead of re-rendering and re-typing the raw export for
+    each consumer.
+    """
     raw = raw_cases(spark, sf_dir)
+    cases, establishments = stage_cases(raw), stage_establishments(raw)
+    if materialise:
+        ensure_checkpoint_dir(spark)
+        cases, establishments = cases.checkpoint(), establishments.checkpoint()
     if enriched:
-        target = enrich(stage_cases(raw), empty_cache(spark), empty_enrichment(spark),
+        target = enrich(cases, empty_cache(spark), empty_enrichment(spark),
                         rule_classifier(), run_ts(), MODEL_NAME).target
     else:
         target = empty_enrichment(spark)
-    return build_models(raw, target)
+    return models_from(cases, establishments, join_establishment(cases, establishments), target)
 
 
 def _model(name: str) -> Query:
+    # staging is not materialised here: measured, writing the text-heavy
+    # staging tables costs more than the recomputation Spark shares anyway
+    # through exchange reuse
     return lambda spark, sf_dir: warehouse(spark, sf_dir, name in NEEDS_ENRICHMENT)[name]
 
 

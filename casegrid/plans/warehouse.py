@@ -49,10 +49,10 @@ def build_models(raw: DataFrame, enrichment: DataFrame, strict: bool = True,
     cases = stage_cases(raw, strict)
     establishments = stage_establishments(raw, establishment_order, strict)
     joined = join_establishment(cases, establishments)
-    return _marts_from(cases, establishments, joined, enrichment)
+    return models_from(cases, establishments, joined, enrichment)
 
 
-def _marts_from(cases, establishments, joined, enrichment) -> dict[str, DataFrame]:
+def models_from(cases, establishments, joined, enrichment) -> dict[str, DataFrame]:
     enriched = join_enrichment(joined, stage_enrichment(enrichment))
     fact = build_fact(enriched)
     industry = D.dim_industry(joined)
@@ -150,7 +150,7 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, out_dir: str, state_dir:
     joined_path = p("int_incidents__joined")
     reload_table(join_establishment(cases, establishments), joined_path)
     joined = spark.read.parquet(joined_path)
-    marts = _marts_from(cases, establishments, joined, spark.read.parquet(p("llm_enrichment")))
+    marts = models_from(cases, establishments, joined, spark.read.parquet(p("llm_enrichment")))
     for name in MART_NAMES:
         reload_table(marts[name], p(name))
     stored = {k: (spark.read.parquet(p(k)) if k in MART_NAMES else v) for k, v in marts.items()}

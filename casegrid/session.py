@@ -61,3 +61,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), f"casegrid-{name}-{uuid.uuid4().hex}")
+
+
+def materialise(df, name: str = "table"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a DataFrame over the written files: cuts the lineage like a
+    checkpoint, survives executor loss, and (unlike a checkpoint) lets later
+    readers prune columns and push filters into the scan."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
