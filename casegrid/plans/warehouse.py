@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,7 +130,7 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, out_dir: str, state_dir:
     """Run every layer, writing to ``out_dir``; incremental state comes from
     ``state_dir`` (a previous run's ``out_dir``), absent state reads as empty."""
     classify = classify or rule_classifier()
-    run_ts = run_ts or datetime.utcnow().replace(microsecond=0)
+    run_ts = run_ts or datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
     p = lambda name: os.path.join(out_dir, name)
 
     raw_rows = reload_table(raw, p("raw_case_detail"))

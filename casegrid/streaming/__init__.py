@@ -1,0 +1,3 @@
+"""Incremental landing.  The warehouse itself is batch; this only feeds it."""
+
+from casegrid.streaming.landing import land_new_exports  # noqa: F401

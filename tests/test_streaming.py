@@ -1,0 +1,24 @@
+import os
+
+from casegrid.streaming import land_new_exports
+
+HEADER = ["ID", "Narrative Text", "Zip Code"]
+
+
+def write_export(folder, name, rows):
+    lines = ["ID,Narrative Text,Zip Code"] + rows
+    with open(os.path.join(folder, name), "wb") as fh:
+        fh.write(("\r\n".join(lines) + "\r\n").encode("latin-1"))
+
+
+def test_landing_is_incremental_and_exactly_once(spark, tmp_dir):
+    landing, raw, ckpt = (os.path.join(tmp_dir, d) for d in ("landing", "raw", "ckpt"))
+    os.makedirs(landing)
+    write_export(landing, "a.csv", ['1,"fell ""hard""\non stairs",02139', "2,N/A,00501"])
+    assert land_new_exports(spark, landing, raw, ckpt, HEADER) == 2
+    write_export(landing, "b.csv", ["3,cut \x80 hand,"])
+    assert land_new_exports(spark, landing, raw, ckpt, HEADER) == 1
+    assert land_new_exports(spark, landing, raw, ckpt, HEADER) == 0   # nothing new: nothing landed
+    rows = sorted(tuple(r) for r in spark.read.parquet(raw).collect())
+    assert rows == [("1", 'fell "hard"\non stairs', "02139"), ("2", None, "00501"), ("3", "cut € hand", None)]
+    assert spark.read.parquet(raw).columns == ["id", "narrative_text", "zip_code"]
