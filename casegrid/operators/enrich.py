@@ -35,6 +35,7 @@ from casegrid.functions.clean import clean_text
 from casegrid.functions.keys import content_hash
 from casegrid.functions.prompt import NARRATIVE_FIELDS, PROMPT_VERSION, render_prompt
 from casegrid.functions.reply import CLASSIFICATION_FIELDS, reply_json, with_validated
+from casegrid.operators.joins import hot_keys, salted_join
 from casegrid.operators.merge import insert_if_absent, upsert_by_key
 
 CACHE_SCHEMA = T.StructType([
@@ -257,7 +258,7 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
            run_ts: datetime, model_name: str, prompt_version: str = PROMPT_VERSION,
            id_col: str = "incident_id", fields: Sequence[str] = NARRATIVE_FIELDS,
            sector_col: str | None = "industry_description",
-           checkpoint_replies: bool = True) -> EnrichResult:
+           checkpoint_replies: bool = True, hot_share: float = 0.01) -> EnrichResult:
     """Enrich ``staged`` rows; see the module docstring for the steps.
 
     The validated replies feed the target, the cache and the counters; with
@@ -272,7 +273,8 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
 
     # one representative row per distinct text: the smallest id
     reps = rows.groupBy("content_hash").agg(
-        F.min_by(F.struct("incident_id", *fields, "sector"), F.col("incident_id")).alias("r"))
+        F.min_by(F.struct("incident_id", *fields, "sector"), F.col("incident_id")).alias("r"),
+        F.count(F.lit(1)).alias("n"))
     misses = reps.join(cached.select("content_hash"), "content_hash", "left_anti")
     requests = misses.select(
         "content_hash",
@@ -298,7 +300,11 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
         F.lit(True).alias("from_cache"),
     ).unionByName(fresh)
 
-    joined = rows.select("incident_id", "content_hash").join(answers, "content_hash", "left")
+    # a text shared by a large share of rows is salted over many tasks; the
+    # per-text counts come from the representative aggregate above
+    hot = hot_keys(reps.select("content_hash", "n"), ["content_hash"], share=hot_share)
+    joined = salted_join(rows.select("incident_id", "content_hash"), answers, ["content_hash"], hot,
+                         F.col("incident_id"), "left")
     status = (F.when(F.col("is_valid").isNull() | ~F.col("is_valid"), F.lit(STATUS_FAILED))
               .when(F.col("from_cache"), F.lit(STATUS_CACHED))
               .when(F.col("incident_id") == F.col("rep_id"), F.lit(STATUS_CLASSIFIED))

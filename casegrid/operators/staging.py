@@ -11,6 +11,7 @@ from casegrid.functions.parse import sas_date, sas_timestamp
 from casegrid.functions.prompt import NARRATIVE_FIELDS
 from casegrid.operators.dedupe import latest_per_key
 from casegrid.operators.filters import any_present
+from casegrid.operators.joins import hot_keys, key_counts, salted_join
 
 # raw narrative header -> staged name (same order as NARRATIVE_FIELDS)
 NARRATIVE_SOURCES = {
@@ -147,12 +148,26 @@ ESTABLISHMENT_COLUMNS = (
 CODE_COLUMNS = tuple(f"{s}_{k}" for s in OFFICIAL_CODES.values() for k in ("code", "label"))
 
 
-def join_establishment(cases: DataFrame, establishments: DataFrame) -> DataFrame:
+def hot_establishments(raw: DataFrame, share: float = 0.01) -> DataFrame:
+    """Establishments holding more than ``share`` of all raw cases (at most
+    1/share keys; counted on the id column alone)."""
+    counts = key_counts(raw.select(surrogate_key("establishment_id").alias("establishment_id")),
+                        ["establishment_id"])
+    return hot_keys(counts, ["establishment_id"], share=share)
+
+
+def join_establishment(cases: DataFrame, establishments: DataFrame,
+                       hot: DataFrame | None = None) -> DataFrame:
     """Many-to-one left join: one row per incident, establishment context
-    taken from the deduplicated establishment model."""
+    taken from the deduplicated establishment model.  With ``hot`` (see
+    ``hot_establishments``) the cases of a very large establishment are
+    salted over many tasks instead of landing in one."""
     e = establishments.select("establishment_id", *ESTABLISHMENT_COLUMNS)
     i = cases.select(*CASE_COLUMNS, *NARRATIVE_FIELDS, *CODE_COLUMNS)
-    joined = i.join(e, "establishment_id", "left")
+    if hot is None:
+        joined = i.join(e, "establishment_id", "left")
+    else:
+        joined = salted_join(i, e, ["establishment_id"], hot, F.col("incident_id"), "left")
     return joined.select(*CASE_COLUMNS, *ESTABLISHMENT_COLUMNS, *NARRATIVE_FIELDS, *CODE_COLUMNS)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid.operators.enrich import empty_cache, empty_enrichment, enrich, rule_classifier
-from casegrid.operators.staging import join_establishment, stage_cases, stage_establishments
+from casegrid.operators.staging import hot_establishments, join_establishment, stage_cases, stage_establishments
 from casegrid.session import ensure_checkpoint_dir
 from casegrid.plans.analogues import MODEL_NAME, RUN_TS, raw_cases, table
 from casegrid.plans.warehouse import MART_NAMES, models_from
@@ -63,7 +63,8 @@ def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True,
                         rule_classifier(), run_ts(), MODEL_NAME).target
     else:
         target = empty_enrichment(spark)
-    return models_from(cases, establishments, join_establishment(cases, establishments), target)
+    joined = join_establishment(cases, establishments, hot_establishments(raw))
+    return models_from(cases, establishments, joined, target)
 
 
 def _model(name: str) -> Query:

@@ -32,6 +32,7 @@ from casegrid.operators.enrich import (
 from casegrid.operators.evaluation import eval_mart, run_summary
 from casegrid.operators.fact import build_fact
 from casegrid.operators.staging import (
+    hot_establishments,
     join_enrichment,
     join_establishment,
     stage_cases,
@@ -48,7 +49,7 @@ def build_models(raw: DataFrame, enrichment: DataFrame, strict: bool = True,
                  establishment_order: str = "text") -> dict[str, DataFrame]:
     cases = stage_cases(raw, strict)
     establishments = stage_establishments(raw, establishment_order, strict)
-    joined = join_establishment(cases, establishments)
+    joined = join_establishment(cases, establishments, hot_establishments(raw))
     return models_from(cases, establishments, joined, enrichment)
 
 
@@ -148,7 +149,7 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, out_dir: str, state_dir:
 
     establishments = stage_establishments(raw_t, "text", strict)
     joined_path = p("int_incidents__joined")
-    reload_table(join_establishment(cases, establishments), joined_path)
+    reload_table(join_establishment(cases, establishments, hot_establishments(raw_t)), joined_path)
     joined = spark.read.parquet(joined_path)
     marts = models_from(cases, establishments, joined, spark.read.parquet(p("llm_enrichment")))
     for name in MART_NAMES:
