@@ -12,7 +12,7 @@ from casegrid.functions._util import to_col
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence,
-                   tie_breakers: Sequence = ()) -> DataFrame:
+                   tie_breakers: Sequence = (), count_as: str | None = None) -> DataFrame:
     """One row per key: the greatest by ``order_by`` then ``tie_breakers``,
     all descending with nulls last.
 
@@ -21,15 +21,19 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence,
     to one row per input task before the shuffle and never lands in one task.
     Null members of a struct order first, which gives "desc nulls last".
     Pass a unique tie-breaker: without it the pick among ties is arbitrary.
+    ``count_as`` adds the number of rows per key from the same aggregate.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     ordering = F.struct(*[to_col(c).alias(f"_o{i}") for i, c in
                           enumerate([*order_by, *tie_breakers])])
-    picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), ordering).alias("_latest"))
+    aggs = [F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), ordering).alias("_latest")]
+    if count_as:
+        aggs.append(F.count(F.lit(1)).alias(count_as))
+    picked = df.groupBy(*keys).agg(*aggs)
     return picked.select(*[F.col(f"`{k}`") for k in keys],
-                         *[F.col("_latest").getField(c).alias(c) for c in rest])
+                         *[F.col("_latest").getField(c).alias(c) for c in rest],
+                         *([F.col(count_as)] if count_as else []))
 
 
 def latest_per_key_window(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:

@@ -11,7 +11,7 @@ from casegrid.functions.parse import sas_date, sas_timestamp
 from casegrid.functions.prompt import NARRATIVE_FIELDS
 from casegrid.operators.dedupe import latest_per_key
 from casegrid.operators.filters import any_present
-from casegrid.operators.joins import hot_keys, key_counts, salted_join
+from casegrid.operators.joins import hot_keys, salted_join
 
 # raw narrative header -> staged name (same order as NARRATIVE_FIELDS)
 NARRATIVE_SOURCES = {
@@ -80,6 +80,10 @@ def stage_cases(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def stage_establishments(raw: DataFrame, order: str = "text", strict: bool = True) -> DataFrame:
+    return stage_establishments_counted(raw, order, strict).drop("n_cases")
+
+
+def stage_establishments_counted(raw: DataFrame, order: str = "text", strict: bool = True) -> DataFrame:
     """One row per source establishment id: its latest case's attributes.
 
     ``order='text'`` ranks by the raw ``created_timestamp`` text (the parity
@@ -94,7 +98,7 @@ def stage_establishments(raw: DataFrame, order: str = "text", strict: bool = Tru
         raise ValueError("order must be 'text' or 'parsed'")
     src = (raw.where(F.col("establishment_id").isNotNull())
            .select(*ESTABLISHMENT_RAW, rank.alias("_rank"), F.col("id").alias("_tie")))
-    latest = latest_per_key(src, ["establishment_id"], [F.col("_rank")], [F.col("_tie")])
+    latest = latest_per_key(src, ["establishment_id"], [F.col("_rank")], [F.col("_tie")], count_as="n_cases")
     return latest.select(
         surrogate_key("establishment_id").alias("establishment_id"),
         # ids need not be numeric; nothing downstream reads this column
@@ -113,6 +117,7 @@ def stage_establishments(raw: DataFrame, order: str = "text", strict: bool = Tru
         cast_round(t("size"), "int", strict).alias("employee_size_code"),
         cast_round(t("annual_average_employees"), "int", strict).alias("annual_average_employees"),
         cast_round(t("total_hours_worked"), "bigint", strict).alias("total_hours_worked"),
+        "n_cases",
     )
 
 
@@ -148,12 +153,11 @@ ESTABLISHMENT_COLUMNS = (
 CODE_COLUMNS = tuple(f"{s}_{k}" for s in OFFICIAL_CODES.values() for k in ("code", "label"))
 
 
-def hot_establishments(raw: DataFrame, share: float = 0.01) -> DataFrame:
+def hot_establishments(counted: DataFrame, share: float = 0.01) -> DataFrame:
     """Establishments holding more than ``share`` of all raw cases (at most
-    1/share keys; counted on the id column alone)."""
-    counts = key_counts(raw.select(surrogate_key("establishment_id").alias("establishment_id")),
-                        ["establishment_id"])
-    return hot_keys(counts, ["establishment_id"], share=share)
+    1/share keys).  ``counted`` is ``stage_establishments_counted``: the
+    counts come from the dedupe aggregate itself, no extra pass."""
+    return hot_keys(counted.select("establishment_id", "n_cases"), ["establishment_id"], "n_cases", share)
 
 
 def join_establishment(cases: DataFrame, establishments: DataFrame,

@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid.operators.enrich import empty_cache, empty_enrichment, enrich, rule_classifier
-from casegrid.operators.staging import hot_establishments, join_establishment, stage_cases, stage_establishments
+from casegrid.operators.staging import (
+    hot_establishments,
+    join_establishment,
+    stage_cases,
+    stage_establishments_counted,
+)
 from casegrid.session import ensure_checkpoint_dir
 from casegrid.plans.analogues import MODEL_NAME, RUN_TS, raw_cases, table
 from casegrid.plans.warehouse import MART_NAMES, models_from
@@ -54,16 +59,17 @@ def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True,
     each consumer.
     """
     raw = raw_cases(spark, sf_dir)
-    cases, establishments = stage_cases(raw), stage_establishments(raw)
+    cases, counted = stage_cases(raw), stage_establishments_counted(raw)
     if materialise:
         ensure_checkpoint_dir(spark)
-        cases, establishments = cases.checkpoint(), establishments.checkpoint()
+        cases, counted = cases.checkpoint(), counted.checkpoint()
+    establishments = counted.drop("n_cases")
     if enriched:
         target = enrich(cases, empty_cache(spark), empty_enrichment(spark),
                         rule_classifier(), run_ts(), MODEL_NAME).target
     else:
         target = empty_enrichment(spark)
-    joined = join_establishment(cases, establishments, hot_establishments(raw))
+    joined = join_establishment(cases, establishments, hot_establishments(counted))
     return models_from(cases, establishments, joined, target)
 
 

@@ -20,7 +20,12 @@ from casegrid.functions.reply import EVENT_CATEGORIES, SEVERITY_TIERS
 from casegrid.operators import quality as Q
 from casegrid.plans.analogues import FRESHNESS_AS_OF, table
 from casegrid.operators.enrich import empty_cache, empty_enrichment, enrich, rule_classifier
-from casegrid.operators.staging import hot_establishments, join_establishment, stage_cases, stage_establishments
+from casegrid.operators.staging import (
+    hot_establishments,
+    join_establishment,
+    stage_cases,
+    stage_establishments_counted,
+)
 from casegrid.plans.analogues import MODEL_NAME, raw_cases
 from casegrid.plans.catalogue import register, run_ts
 from casegrid.plans.warehouse import models_from
@@ -198,8 +203,9 @@ def q_warehouse_dq_report(spark, sf_dir):
     single job."""
     raw = raw_cases(spark, sf_dir)
     cases = stage_cases(raw)
-    establishments = materialise(stage_establishments(raw), "stg-establishments")
-    joined = materialise(join_establishment(cases, establishments, hot_establishments(raw)), "int-joined")
+    counted = materialise(stage_establishments_counted(raw), "stg-establishments")
+    establishments = counted.drop("n_cases")
+    joined = materialise(join_establishment(cases, establishments, hot_establishments(counted)), "int-joined")
     target = materialise(enrich(cases, empty_cache(spark), empty_enrichment(spark), rule_classifier(),
                                 run_ts(), MODEL_NAME).target, "llm-enrichment")
     return Q.report(warehouse_checks(models_from(cases, establishments, joined, target)))

@@ -38,6 +38,7 @@ from casegrid.operators.staging import (
     stage_cases,
     stage_enrichment,
     stage_establishments,
+    stage_establishments_counted,
 )
 from casegrid.sources.tables import read_or_empty, reload_table
 
@@ -48,8 +49,9 @@ MART_NAMES = ("dim_date", "dim_establishment", "dim_geography", "dim_industry",
 def build_models(raw: DataFrame, enrichment: DataFrame, strict: bool = True,
                  establishment_order: str = "text") -> dict[str, DataFrame]:
     cases = stage_cases(raw, strict)
-    establishments = stage_establishments(raw, establishment_order, strict)
-    joined = join_establishment(cases, establishments, hot_establishments(raw))
+    counted = stage_establishments_counted(raw, establishment_order, strict)
+    establishments = counted.drop("n_cases")
+    joined = join_establishment(cases, establishments, hot_establishments(counted))
     return models_from(cases, establishments, joined, enrichment)
 
 
@@ -147,9 +149,10 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, out_dir: str, state_dir:
     reload_table(result.cache, p("llm_cache"))
     counters = result.counters.first().asDict()
 
-    establishments = stage_establishments(raw_t, "text", strict)
+    counted = stage_establishments_counted(raw_t, "text", strict)
+    establishments = counted.drop("n_cases")
     joined_path = p("int_incidents__joined")
-    reload_table(join_establishment(cases, establishments, hot_establishments(raw_t)), joined_path)
+    reload_table(join_establishment(cases, establishments, hot_establishments(counted)), joined_path)
     joined = spark.read.parquet(joined_path)
     marts = models_from(cases, establishments, joined, spark.read.parquet(p("llm_enrichment")))
     for name in MART_NAMES:
