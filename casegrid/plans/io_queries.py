@@ -14,7 +14,7 @@ from casegrid.plans.catalogue import register
 from casegrid.plans.oracle import q
 from casegrid.session import scratch_path
 from casegrid.sources.tables import read_or_empty, reload_table
-from casegrid.sources.text_csv import read_text_csv
+from casegrid.sources.text_csv import read_text_csv, write_text_csv
 
 # Characters written as raw bytes 0x80 and 0x81 (latin-1 code points), which
 # a cp1252 reader must decode to the euro sign and the replacement character.
@@ -45,8 +45,7 @@ def q_scan_text_csv(spark, sf_dir):
         F.lpad(F.col("p_size").cast("string"), 4, "0").alias("Size_Code"),
     )
     path = scratch_path(spark, "csv")
-    (export.write.option("header", True).option("quote", '"').option("escape", '"')
-     .option("encoding", "ISO-8859-1").csv(path))
+    write_text_csv(export, path, encoding="ISO-8859-1")
     return read_text_csv(spark, path, encoding="cp1252", tokens=PANDAS_NULL_TOKENS)
 
 

@@ -132,6 +132,8 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, out_dir: str, state_dir:
                   strict: bool = True, gate: bool = False, min_coverage: float = 0.90) -> RunOutput:
     """Run every layer, writing to ``out_dir``; incremental state comes from
     ``state_dir`` (a previous run's ``out_dir``), absent state reads as empty."""
+    if state_dir and os.path.abspath(state_dir) == os.path.abspath(out_dir):
+        raise ValueError("out_dir must differ from state_dir: a run never overwrites what it reads")
     classify = classify or rule_classifier()
     run_ts = run_ts or datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
     p = lambda name: os.path.join(out_dir, name)

@@ -52,3 +52,12 @@ def test_missing_table_reads_empty(spark, tmp_dir):
     from casegrid.operators.enrich import ENRICHMENT_SCHEMA
     df = read_or_empty(spark, os.path.join(tmp_dir, "nope"), ENRICHMENT_SCHEMA)
     assert df.count() == 0 and df.schema == ENRICHMENT_SCHEMA
+
+
+def test_write_then_read_text_csv_round_trip(spark, tmp_dir):
+    from casegrid.sources.text_csv import write_text_csv
+    df = spark.createDataFrame([("1", 'a "quoted"\nline', "\x80"), ("2", None, "x")], "ID string, Note string, B string")
+    path = os.path.join(tmp_dir, "out")
+    write_text_csv(df, path, encoding="ISO-8859-1")
+    back = sorted(tuple(r) for r in read_text_csv(spark, path).collect())
+    assert back == [("1", 'a "quoted"\nline', "€"), ("2", None, "x")]
