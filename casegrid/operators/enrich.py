@@ -233,14 +233,20 @@ def empty_enrichment(spark) -> DataFrame:
 
 def prepare_rows(staged: DataFrame, id_col: str = "incident_id",
                  fields: Sequence[str] = NARRATIVE_FIELDS,
-                 sector_col: str | None = "industry_description") -> DataFrame:
+                 sector_col: str | None = "industry_description",
+                 key_includes_sector: bool = False) -> DataFrame:
+    """Cleaned fields plus the content key.  By default the key covers the
+    narrative fields only (so one answer serves every row with the same
+    text); ``key_includes_sector`` adds the sector, which the prompt also
+    carries, so texts from different industries are classified separately."""
     sector = clean_text(F.col(sector_col)) if sector_col else F.lit(None).cast("string")
     rows = staged.select(
         F.col(id_col).cast("string").alias("incident_id"),
         *[clean_text(F.col(f)).alias(f) for f in fields],
         sector.alias("sector"),
     )
-    return rows.withColumn("content_hash", content_hash(*fields))
+    key_cols = [*fields, "sector"] if key_includes_sector else list(fields)
+    return rows.withColumn("content_hash", content_hash(*key_cols))
 
 
 def counters(rows: DataFrame) -> DataFrame:
@@ -258,7 +264,8 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
            run_ts: datetime, model_name: str, prompt_version: str = PROMPT_VERSION,
            id_col: str = "incident_id", fields: Sequence[str] = NARRATIVE_FIELDS,
            sector_col: str | None = "industry_description",
-           checkpoint_replies: bool = True, hot_share: float = 0.01) -> EnrichResult:
+           checkpoint_replies: bool = True, hot_share: float = 0.01,
+           key_includes_sector: bool = False) -> EnrichResult:
     """Enrich ``staged`` rows; see the module docstring for the steps.
 
     The validated replies feed the target, the cache and the counters; with
@@ -267,7 +274,7 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
     per distinct text, and a lost executor does not re-run model calls.
     """
     fields = list(fields)
-    rows = prepare_rows(staged, id_col, fields, sector_col)
+    rows = prepare_rows(staged, id_col, fields, sector_col, key_includes_sector)
     cached = (cache.where(F.col("prompt_version") == prompt_version)
               .select("content_hash", *CLASSIFICATION_FIELDS))
 

@@ -96,3 +96,12 @@ def test_pandas_classifier_retries_and_isolates(spark):
     res = enrich(s, empty_cache(spark), empty_enrichment(spark), classify, TS, "m")
     rows = {r.incident_id: r.status for r in res.rows.collect()}
     assert rows == {"a": "classified", "b": "failed", "c": "classified"}
+
+
+def test_cache_key_can_include_the_sector(spark):
+    s = staged(spark, [("a", "slipped on ice", "Warehousing"), ("b", "slipped on ice", "Retail")])
+    same = counters(enrich(s, empty_cache(spark), empty_enrichment(spark), rule_classifier(), TS, "m"))
+    split = counters(enrich(s, empty_cache(spark), empty_enrichment(spark), rule_classifier(), TS, "m",
+                            key_includes_sector=True))
+    assert (same["texts_classified"], same["rows_from_cache"]) == (1, 1)
+    assert (split["texts_classified"], split["rows_from_cache"]) == (2, 0)
