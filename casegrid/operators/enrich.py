@@ -272,6 +272,9 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
     ``checkpoint_replies`` they are cut once (reliable checkpoint in the
     cluster's shared checkpoint folder) so the classifier runs exactly once
     per distinct text, and a lost executor does not re-run model calls.
+    The cut also keeps downstream plans small: without it, filters on the
+    answers (e.g. a mart's ``category is not null``) are pushed down into,
+    and re-evaluate, the classification expressions (measured: 10x slower).
     """
     fields = list(fields)
     rows = prepare_rows(staged, id_col, fields, sector_col, key_includes_sector)
