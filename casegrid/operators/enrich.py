@@ -35,7 +35,7 @@ from casegrid.functions.clean import clean_text
 from casegrid.functions.keys import content_hash
 from casegrid.functions.prompt import NARRATIVE_FIELDS, PROMPT_VERSION, render_prompt
 from casegrid.functions.reply import CLASSIFICATION_FIELDS, reply_json, with_validated
-from casegrid.operators.joins import hot_keys, salted_join
+from casegrid.operators.joins import hot_keys, key_counts, salted_join
 from casegrid.operators.merge import insert_if_absent, upsert_by_key
 
 CACHE_SCHEMA = T.StructType([
@@ -283,8 +283,7 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
 
     # one representative row per distinct text: the smallest id
     reps = rows.groupBy("content_hash").agg(
-        F.min_by(F.struct("incident_id", *fields, "sector"), F.col("incident_id")).alias("r"),
-        F.count(F.lit(1)).alias("n"))
+        F.min_by(F.struct("incident_id", *fields, "sector"), F.col("incident_id")).alias("r"))
     misses = reps.join(cached.select("content_hash"), "content_hash", "left_anti")
     requests = misses.select(
         "content_hash",
@@ -311,9 +310,11 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
     ).unionByName(fresh)
 
     # a text shared by a large share of rows is salted over many tasks; the
-    # per-text counts come from the representative aggregate above
-    hot = hot_keys(reps.select("content_hash", "n"), ["content_hash"], share=hot_share)
-    joined = salted_join(rows.select("incident_id", "content_hash"), answers, ["content_hash"], hot,
+    # hot-text list comes from counting the key column alone (a narrow
+    # partial aggregate), not from the text-carrying aggregate above
+    hot = hot_keys(key_counts(rows.select("content_hash"), ["content_hash"]), "content_hash",
+                   share=hot_share)
+    joined = salted_join(rows.select("incident_id", "content_hash"), answers, "content_hash", hot,
                          F.col("incident_id"), "left")
     status = (F.when(F.col("is_valid").isNull() | ~F.col("is_valid"), F.lit(STATUS_FAILED))
               .when(F.col("from_cache"), F.lit(STATUS_CACHED))

@@ -2,11 +2,13 @@
 the rows (a popular establishment, a boilerplate narrative).
 
 A hot key is one holding more than ``share`` of all rows, so there are at
-most ``1 / share`` of them: that bound is what makes broadcasting the hot-key
-list safe at any input size.  Rows of a hot key are spread over ``buckets``
-salt values by a deterministic hash of a row id (a retried task computes the
-same salt), and the one-side row of each hot key is replicated once per
-salt, adding at most ``buckets / share`` rows.  Cold keys join unchanged.
+most ``1 / share`` of them.  That bound is what makes it safe to bring the
+hot-key list to the driver and inline it as a literal (``isin``), whatever
+the input size.  Rows of a hot key are spread over ``buckets`` salt values by
+a deterministic hash of a row id (a retried task computes the same salt),
+and the one-side row of each hot key is replicated once per salt, adding at
+most ``buckets / share`` rows.  Cold keys join unchanged, and with no hot key
+the join is a plain join.
 """
 
 from __future__ import annotations
@@ -20,34 +22,36 @@ DEFAULT_SHARE = 0.01
 DEFAULT_BUCKETS = 64
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], n_col: str = "n",
-             share: float = DEFAULT_SHARE) -> DataFrame:
-    """Keys whose count exceeds ``share`` of the total (at most 1/share rows).
-    The total is a scalar subquery, evaluated inside the same plan."""
-    total = counts.agg(F.sum(n_col)).scalar()
-    return counts.where(F.col(n_col) > total * F.lit(share)).select(*keys)
-
-
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], hot: DataFrame,
-                salt_of: Column, how: str = "left", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """``big`` join ``small`` (unique on ``keys``) with hot keys salted.
+def hot_keys(counts: DataFrame, key: str, n_col: str = "n", share: float = DEFAULT_SHARE) -> list:
+    """Values of ``key`` whose count exceeds ``share`` of the total.
 
-    ``hot`` lists the hot keys (bounded, broadcast); ``salt_of`` is a column
-    of ``big`` that identifies a row (e.g. its id).
+    One small job: the total is a scalar subquery of the same plan, and at
+    most ``1 / share`` values can qualify, so the collected list is bounded
+    regardless of the data size.
     """
-    keys = list(keys)
-    flags = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
-    salted_big = (big.join(flags, keys, "left")
-                  .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_of), F.lit(buckets)))
-                              .otherwise(F.lit(0).cast("bigint")))
-                  .drop("_hot"))
-    spread_small = (small.join(flags, keys, "left")
-                    .withColumn("_salt", F.explode(
-                        F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint")))
-                        .otherwise(F.array(F.lit(0).cast("bigint")))))
-                    .drop("_hot"))
-    return salted_big.join(spread_small, [*keys, "_salt"], how).drop("_salt")
+    if not 0 < share < 1:
+        raise ValueError("share must be in (0, 1)")
+    total = counts.agg(F.sum(n_col)).scalar()
+    rows = counts.where(F.col(n_col) > total * F.lit(share)).select(key).collect()
+    hot = [r[0] for r in rows]
+    assert len(hot) <= int(1 / share), "more hot keys than the bound allows"
+    return hot
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, hot: list, salt_of: Column,
+                how: str = "left", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """``big`` join ``small`` (unique on ``key``) with the ``hot`` key values
+    salted; ``salt_of`` is a column of ``big`` that identifies a row."""
+    if not hot:
+        return big.join(small, key, how)
+    is_hot = F.col(key).isin(hot)
+    salted_big = big.withColumn(
+        "_salt", F.when(is_hot, F.pmod(F.xxhash64(salt_of), F.lit(buckets))).otherwise(F.lit(0).cast("bigint")))
+    spread_small = small.withColumn("_salt", F.explode(
+        F.when(is_hot, F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint")))
+        .otherwise(F.array(F.lit(0).cast("bigint")))))
+    return salted_big.join(spread_small, [key, "_salt"], how).drop("_salt")

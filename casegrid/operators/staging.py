@@ -153,25 +153,22 @@ ESTABLISHMENT_COLUMNS = (
 CODE_COLUMNS = tuple(f"{s}_{k}" for s in OFFICIAL_CODES.values() for k in ("code", "label"))
 
 
-def hot_establishments(counted: DataFrame, share: float = 0.01) -> DataFrame:
-    """Establishments holding more than ``share`` of all raw cases (at most
-    1/share keys).  ``counted`` is ``stage_establishments_counted``: the
-    counts come from the dedupe aggregate itself, no extra pass."""
-    return hot_keys(counted.select("establishment_id", "n_cases"), ["establishment_id"], "n_cases", share)
+def hot_establishments(counted: DataFrame, share: float = 0.01) -> list:
+    """Establishment keys holding more than ``share`` of all raw cases (at
+    most 1/share keys).  ``counted`` is ``stage_establishments_counted``: the
+    counts come from the dedupe aggregate itself."""
+    return hot_keys(counted.select("establishment_id", "n_cases"), "establishment_id", "n_cases", share)
 
 
 def join_establishment(cases: DataFrame, establishments: DataFrame,
-                       hot: DataFrame | None = None) -> DataFrame:
+                       hot: list | None = None) -> DataFrame:
     """Many-to-one left join: one row per incident, establishment context
     taken from the deduplicated establishment model.  With ``hot`` (see
     ``hot_establishments``) the cases of a very large establishment are
     salted over many tasks instead of landing in one."""
     e = establishments.select("establishment_id", *ESTABLISHMENT_COLUMNS)
     i = cases.select(*CASE_COLUMNS, *NARRATIVE_FIELDS, *CODE_COLUMNS)
-    if hot is None:
-        joined = i.join(e, "establishment_id", "left")
-    else:
-        joined = salted_join(i, e, ["establishment_id"], hot, F.col("incident_id"), "left")
+    joined = salted_join(i, e, "establishment_id", hot or [], F.col("incident_id"), "left")
     return joined.select(*CASE_COLUMNS, *ESTABLISHMENT_COLUMNS, *NARRATIVE_FIELDS, *CODE_COLUMNS)
 
 
