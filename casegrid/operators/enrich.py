@@ -30,7 +30,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casegrid.functions._util import to_col
 from casegrid.functions.clean import clean_text
 from casegrid.functions.keys import content_hash
 from casegrid.functions.prompt import NARRATIVE_FIELDS, PROMPT_VERSION, render_prompt

@@ -17,7 +17,7 @@ from casegrid.operators.staging import (
     stage_establishments_counted,
 )
 from casegrid.session import materialise as materialise_table
-from casegrid.plans.analogues import MODEL_NAME, RUN_TS, raw_cases, table
+from casegrid.plans.analogues import MODEL_NAME, RUN_TS, raw_cases
 from casegrid.plans.warehouse import MART_NAMES, models_from
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -30,7 +30,7 @@ from casegrid.functions.prompt import (
     SECTOR_DEFAULT,
     render_prompt,
 )
-from casegrid.operators.filters import all_present, any_present, limit_ordered, sample_key, sample_n
+from casegrid.operators.filters import all_present, any_present, limit_ordered, sample_n
 from casegrid.operators.staging import stage_cases, stage_enrichment
 from casegrid.plans.analogues import MODEL_NAME, RUN_TS, STATE_CODES, raw_cases, table
 from casegrid.plans.catalogue import register

@@ -15,8 +15,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrid.functions.clean import clean_text
-from casegrid.functions.keys import CONTENT_SEP, content_hash
+from casegrid.functions.keys import CONTENT_SEP
 from casegrid.functions.prompt import NARRATIVE_FIELDS, PROMPT_VERSION
 from casegrid.functions.reply import (
     CLASSIFICATION_FIELDS,
@@ -322,12 +321,11 @@ def q_dq_coverage(spark, sf_dir):
 
 
 @register("run_summary", f"""
-SELECT f.fact_rows, f.enrichment_coverage_pct, m.agreement_rate_pct FROM
- (SELECT count(*) AS fact_rows,
-    round(cast(100 as double) * count(l.quality) / nullif(count(*), 0), 1) AS enrichment_coverage_pct
-  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) f,
- (SELECT round(cast(100 as double) * sum(incidents_in_agreement) / nullif(sum(incidents_evaluated), 0), 1)
-    AS agreement_rate_pct FROM ({_agreement_sql}) a) m""")
+SELECT count(*) AS fact_rows,
+  round(cast(100 as double) * count(l.quality) / nullif(count(*), 0), 1) AS enrichment_coverage_pct,
+  (SELECT round(cast(100 as double) * sum(incidents_in_agreement) / nullif(sum(incidents_evaluated), 0), 1)
+   FROM ({_agreement_sql}) a) AS agreement_rate_pct
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def q_run_summary(spark, sf_dir):
     return run_summary(labelled_documents(spark, sf_dir), document_agreement(spark, sf_dir),
                        covered_col="quality")

@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from casegrid.functions.prompt import PROMPT_VERSION
 from casegrid.functions.reply import EVENT_CATEGORIES, SEVERITY_TIERS
@@ -37,7 +36,6 @@ from casegrid.operators.staging import (
     join_establishment,
     stage_cases,
     stage_enrichment,
-    stage_establishments,
     stage_establishments_counted,
 )
 from casegrid.sources.tables import read_or_empty, reload_table
