@@ -2,17 +2,20 @@
 
 A Structured Streaming file source over the landing folder, run with
 ``trigger(availableNow=True)``: each call processes every file not seen
-before (tracked in the stream's checkpoint), appends it to the raw table with
-the same text rules as the batch reader, and stops.  A re-run after a crash
-resumes from the checkpoint without duplicating rows.  Scheduling the calls is
-left to whatever runs the batch warehouse.
+before (tracked in the stream's checkpoint), adds it to the raw table with
+the same text rules as the batch reader, and stops.
+
+The raw table is written by Spark's Parquet file sink, which commits each
+micro-batch in the table's ``_spark_metadata`` log.  A batch replayed after a
+crash (written, but not yet committed) is not read twice: a plain
+``spark.read.parquet(raw_dir)`` reads only committed files.  The raw folder
+can itself be a streaming source for incremental staging.  Scheduling the
+calls is left to whatever runs the batch warehouse.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from casegrid.functions.clean import PANDAS_NULL_TOKENS
@@ -21,15 +24,12 @@ from casegrid.sources.text_csv import _csv_options, text_frame
 
 def land_new_exports(spark: SparkSession, landing_dir: str, raw_dir: str, checkpoint_dir: str,
                      header: list[str], encoding: str = "cp1252",
-                     on_batch: Callable[[DataFrame, int], None] | None = None,
                      max_files_per_trigger: int | None = None) -> int:
     """Append new CSV exports from ``landing_dir`` to the Parquet table at
     ``raw_dir``; return the number of rows landed by this call.
 
     ``header`` names the export's columns as they appear in the file (a
     streaming source needs its schema up front; every column is text).
-    ``on_batch`` runs after each micro-batch is written (e.g. to stage and
-    enrich just the new rows).
     """
     schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
     reader, cp1252 = _csv_options(spark.readStream.schema(schema), encoding)
@@ -37,12 +37,8 @@ def land_new_exports(spark: SparkSession, landing_dir: str, raw_dir: str, checkp
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     frame = text_frame(reader.csv(landing_dir), cp1252, PANDAS_NULL_TOKENS)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").parquet(raw_dir)
-        if on_batch is not None:
-            on_batch(batch, batch_id)
-
-    query = (frame.writeStream.foreachBatch(write)
+    query = (frame.writeStream.format("parquet").outputMode("append")
+             .option("path", raw_dir)
              .option("checkpointLocation", checkpoint_dir)
              .trigger(availableNow=True).start())
     query.awaitTermination()

@@ -22,3 +22,17 @@ def test_landing_is_incremental_and_exactly_once(spark, tmp_dir):
     rows = sorted(tuple(r) for r in spark.read.parquet(raw).collect())
     assert rows == [("1", 'fell "hard"\non stairs', "02139"), ("2", None, "00501"), ("3", "cut € hand", None)]
     assert spark.read.parquet(raw).columns == ["id", "narrative_text", "zip_code"]
+
+
+
+def test_uncommitted_output_is_not_read(spark, tmp_dir):
+    """A file the sink wrote for a batch whose commit was lost is ignored by
+    readers; the replay's committed files are what the table holds."""
+    landing, raw, ckpt = (os.path.join(tmp_dir, d) for d in ("landing2", "raw2", "ckpt2"))
+    os.makedirs(landing)
+    write_export(landing, "a.csv", ["1,first,02139"])
+    assert land_new_exports(spark, landing, raw, ckpt, HEADER) == 1
+    # an orphan part file, as left by an attempt that crashed before its commit
+    spark.createDataFrame([("9", "orphan", None)], "id string, narrative_text string, zip_code string") \
+        .write.mode("append").parquet(raw)
+    assert sorted(tuple(r) for r in spark.read.parquet(raw).collect()) == [("1", "first", "02139")]
