@@ -105,3 +105,22 @@ def test_cache_key_can_include_the_sector(spark):
                             key_includes_sector=True))
     assert (same["texts_classified"], same["rows_from_cache"]) == (1, 1)
     assert (split["texts_classified"], split["rows_from_cache"]) == (2, 0)
+
+
+def test_model_called_once_per_distinct_text(spark):
+    """The replies are cut by a reliable checkpoint: reading the rows, the
+    target, the cache and the counters of one run never calls the model again."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def call(client, prompt):
+        calls.add(1)
+        return VALID
+
+    s = staged(spark, [("a", "slipped on ice", "W"), ("b", "slipped on ice", "W"),
+                       ("c", "fell off a ladder", "W"), ("d", "cut on a blade", "W")])
+    res = enrich(s, empty_cache(spark), empty_enrichment(spark),
+                 pandas_classifier(lambda: None, call, base_seconds=0.0), TS, "m")
+    res.rows.collect()
+    assert res.target.count() == 4 and res.cache.count() == 3
+    assert counters(res)["texts_classified"] == 3
+    assert calls.value == 3
