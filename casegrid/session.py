@@ -4,6 +4,7 @@ scratch location used for lineage cuts and intermediate tables."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,8 +43,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is read from the session; a
-    private one is created only when the setting is absent (tests, local runs).
+    The folder named by ``spark.checkpoint.dir`` is read from the session.  A
+    private one is created only when the setting is absent and the master is
+    local; on a cluster each executor would write to its own disk, so a missing
+    setting raises there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,7 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # only where the cluster names none (tests, local runs)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               f"executors share (master {sc.master})")
         conf_dir = tempfile.mkdtemp(prefix="casegrid-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", conf_dir)
