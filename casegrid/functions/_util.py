@@ -6,7 +6,3 @@ from pyspark.sql import functions as F
 
 def to_col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
-
-
-def lit_or_col(v) -> Column:
-    return v if isinstance(v, Column) else F.lit(v)

@@ -32,6 +32,17 @@ SECTOR_DEFAULT = "unknown"
 FIELD_DEFAULT = "(not provided)"
 CLOSING_LINE = "Classify this incident by calling the classification tool with every field populated."
 
+# The instruction part of a request, sent with every prompt.
+INSTRUCTIONS = (
+    "You read one report of a workplace incident and answer in a fixed form.\n"
+    "State the main cause in a short phrase, taken from the report and not guessed.\n"
+    "Choose the tier by the harm that the report describes, not by how long it is.\n"
+    "Choose one event category from the list; if none fits, choose 'other'.\n"
+    "Name one concrete step that would keep this from happening again.\n"
+    "Give a confidence between 0 and 1. If the report says too little to decide, answer 'other' "
+    "with a low confidence instead of inventing details."
+)
+
 
 def _or_default(c: Column, default: str) -> Column:
     # Python's ``value or default``: null and '' both take the default

@@ -3,13 +3,17 @@
 Set-based re-expression of a per-row loop (hash -> cache lookup -> classify
 miss -> store -> upsert):
 
-1. clean the narrative fields, hash them (content key);
-2. one representative row per distinct hash (smallest id), map-side combined;
-3. anti-join against the cache for this prompt version -> the misses;
-4. classify the misses (native rules, or an external model through
-   ``mapInPandas``), validate the JSON replies natively;
-5. join the answers back to every row (hot hashes are split by AQE's skew
-   join) and derive a per-row status;
+1. clean the narrative fields, hash them (content key), and store the narrow
+   ``(incident_id, content_hash)`` table once;
+2. one representative row per distinct hash (smallest id), map-side combined,
+   and anti-joined against the cache for this prompt version: the misses;
+3. only then fetch the text, for the misses alone;
+4. classify them (native rules, or an external model through
+   ``mapInPandas``), validate the JSON replies natively, and append the
+   answers to a table batch by batch, so that a run that breaks off has lost
+   one batch of calls at most;
+5. join the answers back to every row (a text that many rows share is dealt
+   out by salt) and derive a per-row status;
 6. upsert the enrichment table by id and insert new answers into the cache.
 
 Counter semantics: within one run a second row with an already answered text
@@ -22,9 +26,10 @@ from __future__ import annotations
 
 import random
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +37,12 @@ from pyspark.sql import types as T
 
 from casegrid.functions.clean import clean_text
 from casegrid.functions.keys import content_hash
-from casegrid.functions.prompt import NARRATIVE_FIELDS, PROMPT_VERSION, render_prompt
+from casegrid.functions.prompt import INSTRUCTIONS, NARRATIVE_FIELDS, PROMPT_VERSION, render_prompt
 from casegrid.functions.reply import CLASSIFICATION_FIELDS, reply_json, with_validated
-from casegrid.operators.joins import hot_keys, key_counts, salted_join
+from casegrid.operators.joins import balanced_join
 from casegrid.operators.merge import insert_if_absent, upsert_by_key
+from casegrid.session import materialise, scratch_path
+from casegrid.sources.tables import read_or_empty
 
 CACHE_SCHEMA = T.StructType([
     T.StructField("content_hash", T.StringType(), False),
@@ -74,26 +81,33 @@ Classifier = Callable[[DataFrame], DataFrame]
 # ---------------------------------------------------------------------------
 
 # Fixed values of the rule classifier: category, keywords (matched as whole
-# words in the lower-cased whole text), factor phrase, prevention action.
+# words in the lower-cased whole text), cause phrase, what to do about it.
 # The first matching category wins.
 RULES: tuple[tuple[str, tuple[str, ...], str, str], ...] = (
     ("fall_slip_trip", ("fell", "fall", "falls", "slipped", "slip", "tripped", "trip", "ladder"),
-     "loss of footing", "add anti-slip matting and secure ladders before use"),
-    ("struck_by_or_against", ("struck", "hit", "falling object", "bumped"),
-     "struck by a moving object", "fit toe boards and barricade overhead work zones"),
+     "unsafe walking surface", "keep floors dry and inspect ladders every week"),
+    ("struck_by_or_against", ("struck", "hit", "bumped", "collided"),
+     "object in motion", "keep people out of the path of loads"),
     ("contact_with_equipment", ("caught", "machine", "press", "conveyor", "blade", "saw"),
-     "unguarded machine part", "install a fixed guard on the machine"),
+     "open point of operation", "lock out the drive before hands go near it"),
     ("overexertion_bodily_reaction", ("lifting", "lifted", "strain", "strained", "twisted", "carrying"),
-     "manual handling load", "provide a lift assist for loads over the limit"),
+     "heavy or awkward load", "use a hoist or a second person for such loads"),
     ("exposure_harmful_substance", ("chemical", "fumes", "exposed", "exposure", "burn", "heat"),
-     "harmful substance contact", "substitute the chemical and add local exhaust"),
+     "contact with an agent", "vent the area and wear rated gloves"),
     ("transportation", ("vehicle", "truck", "forklift", "car", "collision"),
-     "vehicle movement", "separate pedestrian walkways from vehicle routes"),
+     "traffic on site", "mark separate lanes for people on foot"),
     ("fire_explosion", ("fire", "explosion", "exploded", "flame", "ignited"),
-     "ignition source", "remove ignition sources and store fuel in rated cabinets"),
+     "flammable material", "move fuel away from hot work"),
     ("violence", ("assault", "assaulted", "attacked", "bitten", "punched"),
-     "aggressive person", "add a panic alarm and a second staff member on shift"),
+     "hostile act", "never leave one person alone at the counter"),
 )
+# The words that tell a tier, gravest first; none found: minor.
+SEVERITY_WORDS: tuple[tuple[str, tuple[str, ...]], ...] = (
+    ("severe", ("died", "fatal", "killed", "amputated", "amputation", "unconscious")),
+    ("serious", ("fracture", "fractured", "broken", "hospital", "surgery", "concussion")),
+    ("moderate", ("sprain", "sprained", "stitches", "bruised", "swelling", "burned")),
+)
+SEVERITY_DEFAULT = "minor"
 
 
 def keyword_pattern(words) -> str:
@@ -102,36 +116,40 @@ def keyword_pattern(words) -> str:
     return "(^|[^a-z])(" + "|".join(words) + ")([^a-z]|$)"
 
 
-OTHER_FACTOR = "insufficient detail"
-OTHER_ACTION = "review the task with the crew and record the missing detail"
-# Severity from narrative length (characters): upper bounds and tiers.
-SEVERITY_BOUNDS = (200, 1000, 5000)
-SEVERITY_BY_LENGTH = ("minor", "moderate", "serious", "severe")
+OTHER_FACTOR = "not stated"
+OTHER_ACTION = "ask the crew what happened and complete the record"
 MATCH_CONFIDENCE = 0.9
 ABSTAIN_CONFIDENCE = 0.2
-# Texts shorter than this get no reply (the stand-in for a failed call).
-MIN_TEXT_CHARS = 8
-
 
 _KEYWORD_RANK = {w: i for i, (_, words, _, _) in enumerate(RULES) for w in words}
-# Single-pass matching reports one keyword per position; that equals the
-# per-category test as long as no keyword is a whole-word part of a longer
-# keyword phrase.
-assert not any(w != p and f" {w} " in f" {p} " for w in _KEYWORD_RANK for p in _KEYWORD_RANK)
-_ONE_PASS = "(?<![a-z])(" + "|".join(sorted(_KEYWORD_RANK, key=len, reverse=True)) + ")(?![a-z])"
+_SEVERITY_RANK = {w: i for i, (_, words) in enumerate(SEVERITY_WORDS) for w in words}
+# Single-pass matching reports one word per position; that equals the test of
+# every word as long as no word is a part of a longer phrase or in both lists.
+assert not any(" " in w for w in (*_KEYWORD_RANK, *_SEVERITY_RANK))
+assert not _KEYWORD_RANK.keys() & _SEVERITY_RANK.keys()
+_ONE_PASS = "(?<![a-z])(" + "|".join(
+    sorted((*_KEYWORD_RANK, *_SEVERITY_RANK), key=lambda w: (-len(w), w))) + ")(?![a-z])"
+
+
+def rule_words(text: Column) -> Column:
+    """All rule words in the whole text: one regex pass, however long it is."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_ONE_PASS), 1))
+
+
+def _first_of(words: Column, rank: dict[str, int], names: Sequence[str], default: str) -> Column:
+    ranks = F.create_map(*[F.lit(x) for w, r in rank.items() for x in (w, r)])
+    best = F.array_min(F.transform(words, lambda w: F.try_element_at(ranks, w)))
+    return F.coalesce(F.try_element_at(F.array(*[F.lit(n) for n in names]), best + 1), F.lit(default))
 
 
 def rule_category(text: Column) -> Column:
-    """First category (in rule order) with a keyword in the text, else 'other'.
+    """First category (in rule order) with a keyword in the text, else 'other'."""
+    return _first_of(rule_words(text), _KEYWORD_RANK, [r[0] for r in RULES], "other")
 
-    One regex pass collects every whole-word keyword, then the smallest rule
-    rank wins, instead of one pass over the (possibly long) text per rule.
-    """
-    ranks = F.create_map(*[F.lit(x) for w, r in _KEYWORD_RANK.items() for x in (w, r)])
-    found = F.regexp_extract_all(F.lower(text), F.lit(_ONE_PASS), 1)
-    best = F.array_min(F.transform(found, lambda w: F.try_element_at(ranks, w)))
-    categories = F.array(*[F.lit(r[0]) for r in RULES])
-    return F.coalesce(F.try_element_at(categories, best + 1), F.lit("other"))
+
+def rule_severity(text: Column) -> Column:
+    """Gravest tier with a word in the text, else 'minor'."""
+    return _first_of(rule_words(text), _SEVERITY_RANK, [t for t, _ in SEVERITY_WORDS], SEVERITY_DEFAULT)
 
 
 def _by_category(cat: Column, idx: int, default: str) -> Column:
@@ -139,27 +157,22 @@ def _by_category(cat: Column, idx: int, default: str) -> Column:
     return F.coalesce(F.try_element_at(m, cat), F.lit(default))
 
 
-def rule_severity(text: Column) -> Column:
-    n = F.length(text)
-    expr = None
-    for b, tier in zip(SEVERITY_BOUNDS, SEVERITY_BY_LENGTH):
-        expr = F.when(n < b, F.lit(tier)) if expr is None else expr.when(n < b, F.lit(tier))
-    return expr.otherwise(F.lit(SEVERITY_BY_LENGTH[-1]))
-
-
 def with_rule_reply(df: DataFrame, text: str, out: str = "reply") -> DataFrame:
-    """Add the keyword rules' JSON reply for ``text`` (null if too short).
-    The category is computed once in its own projection and then reused."""
-    staged = df.withColumn("_rule_cat", rule_category(F.col(text)))
-    cat, txt = F.col("_rule_cat"), F.col(text)
+    """Add the keyword rules' JSON reply for ``text``.  Every text is answered;
+    one without a keyword is 'other' with low confidence.  The words are found
+    once, in a projection of their own."""
+    staged = df.withColumn("_rule_words", rule_words(F.col(text)))
+    staged = staged.withColumn("_rule_cat", _first_of(
+        F.col("_rule_words"), _KEYWORD_RANK, [r[0] for r in RULES], "other"))
+    cat = F.col("_rule_cat")
     reply = reply_json(
         _by_category(cat, 2, OTHER_FACTOR),
-        rule_severity(txt),
+        _first_of(F.col("_rule_words"), _SEVERITY_RANK, [t for t, _ in SEVERITY_WORDS], SEVERITY_DEFAULT),
         cat,
         _by_category(cat, 3, OTHER_ACTION),
         F.when(cat == "other", F.lit(ABSTAIN_CONFIDENCE)).otherwise(F.lit(MATCH_CONFIDENCE)),
     )
-    return staged.withColumn(out, F.when(F.length(txt) >= MIN_TEXT_CHARS, reply)).drop("_rule_cat")
+    return staged.withColumn(out, reply).drop("_rule_words", "_rule_cat")
 
 
 def rule_classifier(text_col: str = "narrative_text") -> Classifier:
@@ -169,12 +182,33 @@ def rule_classifier(text_col: str = "narrative_text") -> Classifier:
 
 
 # ---------------------------------------------------------------------------
-# External model hook: Arrow batches, client built once per partition,
-# per-row failure isolation, retries with capped exponential full-jitter backoff.
+# External model hook: Arrow batches, client built once per partition, a bad
+# row never fails its task.
 # ---------------------------------------------------------------------------
 
-def backoff_seconds(attempt: int, base: float, cap: float) -> float:
-    return random.uniform(0.0, min(cap, base * (2 ** attempt)))
+def waits(retries: int, base: float, cap: float) -> Iterator[float]:
+    """Seconds to wait before each retry: random, up to a bound that doubles
+    from ``base`` and stops at ``cap``."""
+    bound = base
+    for _ in range(retries):
+        yield random.random() * min(bound, cap)
+        bound *= 2
+
+
+def ask(call: Callable[[object, str], str | None], client: object, prompt: str,
+        pauses: Iterator[float], transient: tuple[type[BaseException], ...]) -> tuple[str | None, str | None]:
+    """The reply and, where there is none, the cause.  Transient errors are
+    tried again while ``pauses`` lasts."""
+    for pause in chain(pauses, (None,)):
+        try:
+            reply = call(client, prompt)
+            return reply, None if reply is not None else "the model gave no reply"
+        except Exception as error:  # noqa: BLE001 - the row fails, not the task
+            cause = f"{type(error).__name__}: {error}"
+            if pause is None or not isinstance(error, transient):
+                break
+        time.sleep(pause)
+    return None, cause
 
 
 def pandas_classifier(make_client: Callable[[], object],
@@ -182,33 +216,19 @@ def pandas_classifier(make_client: Callable[[], object],
                       retryable: tuple[type[BaseException], ...] = (ConnectionError, TimeoutError),
                       max_retries: int = 3, base_seconds: float = 1.0,
                       cap_seconds: float = 30.0, prompt_col: str = "prompt") -> Classifier:
-    """Wrap ``call(client, prompt) -> reply`` as a ``mapInPandas`` classifier.
-
-    A transient error is retried; any other error, or running out of
-    retries, yields a null reply for that row only, so a task never fails on
-    data.  The reply is validated downstream with native expressions.
-    """
+    """Wrap ``call(client, prompt) -> reply`` as a ``mapInPandas`` classifier
+    that adds ``reply`` and ``cause`` (null unless the call failed).  The
+    reply is validated downstream with native expressions."""
     def run(batches):
         client = make_client()
         for pdf in batches:
-            replies = []
-            for prompt in pdf[prompt_col]:
-                reply = None
-                for attempt in range(max_retries + 1):
-                    try:
-                        reply = call(client, prompt)
-                        break
-                    except retryable:
-                        if attempt >= max_retries:
-                            break
-                        time.sleep(backoff_seconds(attempt, base_seconds, cap_seconds))
-                    except Exception:  # noqa: BLE001 - isolate the row
-                        break
-                replies.append(reply)
-            yield pdf.assign(reply=replies)
+            got = [ask(call, client, p, waits(max_retries, base_seconds, cap_seconds), retryable)
+                   for p in pdf[prompt_col]]
+            yield pdf.assign(reply=[r for r, _ in got], cause=[c for _, c in got])
 
     def classify(requests: DataFrame) -> DataFrame:
-        schema = T.StructType(requests.schema.fields + [T.StructField("reply", T.StringType())])
+        schema = T.StructType(requests.schema.fields + [
+            T.StructField("reply", T.StringType()), T.StructField("cause", T.StringType())])
         return requests.mapInPandas(run, schema=schema)
     return classify
 
@@ -259,62 +279,95 @@ def counters(rows: DataFrame) -> DataFrame:
     )
 
 
+ANSWER_SCHEMA = T.StructType([
+    T.StructField("content_hash", T.StringType(), False),
+    T.StructField("rep_id", T.StringType()),
+    *[f for f in CACHE_SCHEMA.fields if f.name in CLASSIFICATION_FIELDS],
+    T.StructField("is_valid", T.BooleanType()),
+    T.StructField("reject_reason", T.StringType()),
+    T.StructField("cause", T.StringType()),
+])
+
+
+def lookup_cached(keys: DataFrame, cache: DataFrame, prompt_version: str, columns: Sequence[str]) -> DataFrame:
+    """``keys(incident_id, content_hash)`` left joined to the cached answers
+    of a prompt version."""
+    cached = cache.where(F.col("prompt_version") == prompt_version).select("content_hash", *columns)
+    return balanced_join(keys, cached, "content_hash", F.col("incident_id"), "left")
+
+
+def uncached(keys: DataFrame, cache: DataFrame, prompt_version: str) -> DataFrame:
+    """The ``keys`` whose text has no cached answer of a prompt version."""
+    cached = cache.where(F.col("prompt_version") == prompt_version).select("content_hash")
+    return balanced_join(keys, cached, "content_hash", F.col("incident_id"), "left_anti")
+
+
+def answer(requests: DataFrame, classify: Classifier) -> DataFrame:
+    """Classified and validated answers, one per request (``ANSWER_SCHEMA``)."""
+    replied = classify(requests)
+    if "cause" not in replied.columns:
+        replied = replied.withColumn("cause", F.lit(None).cast("string"))
+    checked = with_validated(replied.select("content_hash", "rep_id", "reply", "cause"), "reply", "v")
+    return checked.select(
+        "content_hash", "rep_id", *[F.col(f"v.{c}").alias(c) for c in CLASSIFICATION_FIELDS],
+        F.col("v.is_valid").alias("is_valid"), F.col("v.reject_reason").alias("reject_reason"), "cause")
+
+
 def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Classifier,
            run_ts: datetime, model_name: str, prompt_version: str = PROMPT_VERSION,
            id_col: str = "incident_id", fields: Sequence[str] = NARRATIVE_FIELDS,
-           sector_col: str | None = "industry_description",
-           checkpoint_replies: bool = True, hot_share: float = 0.01,
-           key_includes_sector: bool = False) -> EnrichResult:
+           sector_col: str | None = "industry_description", key_includes_sector: bool = False,
+           limit: int | None = None, calls: int | None = None, batches: int = 1,
+           answers_path: str | None = None) -> EnrichResult:
     """Enrich ``staged`` rows; see the module docstring for the steps.
 
-    The validated replies feed the target, the cache and the counters; with
-    ``checkpoint_replies`` they are cut once (reliable checkpoint in the
-    cluster's shared checkpoint folder) so the classifier runs exactly once
-    per distinct text, and a lost executor does not re-run model calls.
-    The cut also keeps downstream plans small: without it, filters on the
-    answers (e.g. a mart's ``category is not null``) are pushed down into,
-    and re-evaluate, the classification expressions (measured: 10x slower).
+    ``limit``: at most so many rows, by id.  ``calls``: partitions that call
+    the model at a time (a call takes seconds, so bytes say nothing about the
+    right number).  ``batches``: the misses are classified and stored in so
+    many parts.  ``answers_path``: where answers are stored, a folder that all
+    executors share; valid answers that a broken-off run left there are not
+    asked for again.  Without it a fresh one below the checkpoint folder.
     """
-    fields = list(fields)
+    spark, fields = staged.sparkSession, list(fields)
     rows = prepare_rows(staged, id_col, fields, sector_col, key_includes_sector)
+    keys = rows.select("incident_id", "content_hash")
+    if limit is not None:
+        keys = keys.orderBy("incident_id", "content_hash").limit(limit)
+    keys = materialise(keys, "content-keys")
     cached = (cache.where(F.col("prompt_version") == prompt_version)
               .select("content_hash", *CLASSIFICATION_FIELDS))
 
-    # one representative row per distinct text: the smallest id
-    reps = rows.groupBy("content_hash").agg(
-        F.min_by(F.struct("incident_id", *fields, "sector"), F.col("incident_id")).alias("r"))
-    misses = reps.join(cached.select("content_hash"), "content_hash", "left_anti")
-    requests = misses.select(
-        "content_hash",
-        F.col("r.incident_id").alias("rep_id"),
-        render_prompt({f: F.col(f"r.{f}") for f in fields}, F.col("r.sector")).alias("prompt"),
-        F.concat_ws("\n", *[F.col(f"r.{f}") for f in fields]).alias("narrative_text"),
-    )
-    replied = classify(requests)
-    checked = with_validated(replied.select("content_hash", "rep_id", "reply"), "reply", "v")
-    fresh = checked.select(
-        "content_hash", "rep_id",
-        *[F.col(f"v.{c}").alias(c) for c in CLASSIFICATION_FIELDS],
-        F.col("v.is_valid").alias("is_valid"),
-        F.coalesce(F.col("v.reject_reason"), F.lit(None)).alias("reject_reason"),
-        F.lit(False).alias("from_cache"))
-    if checkpoint_replies:
-        from casegrid.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(fresh.sparkSession)
-        fresh = fresh.checkpoint(eager=True)
+    # narrow: one id per distinct text without a cached answer
+    misses = (keys.groupBy("content_hash").agg(F.min("incident_id").alias("rep_id"))
+              .join(cached.select("content_hash"), "content_hash", "left_anti"))
+    path = answers_path or scratch_path(spark, "answers")
+    if answers_path:
+        stored = read_or_empty(spark, path, ANSWER_SCHEMA).where("is_valid").select("content_hash").distinct()
+        misses = misses.join(stored, "content_hash", "left_anti")
+    misses = materialise(misses, "content-misses")
+    for part in range(batches):
+        todo = misses if batches == 1 else misses.where(
+            F.pmod(F.xxhash64("content_hash"), F.lit(batches)) == part)
+        found = rows.join(todo.withColumnRenamed("rep_id", "incident_id"), ["content_hash", "incident_id"])
+        found = found.repartition(calls, "content_hash") if calls else found
+        found = found.dropDuplicates(["content_hash"])  # rows may repeat
+        requests = found.select(
+            "content_hash", F.col("incident_id").alias("rep_id"), F.lit(INSTRUCTIONS).alias("instructions"),
+            render_prompt({f: f for f in fields}, F.col("sector")).alias("prompt"),
+            F.concat_ws("\n", *fields).alias("narrative_text"))
+        answer(requests, classify).write.mode("append").parquet(path)
+    fresh = read_or_empty(spark, path, ANSWER_SCHEMA)
+    if answers_path:  # a text that failed before and was asked again: the valid answer counts
+        fresh = fresh.groupBy("content_hash").agg(F.max_by(F.struct(*fresh.columns), "is_valid").alias("a")).select("a.*")
+        fresh = fresh.join(cached.select("content_hash"), "content_hash", "left_anti")
+    fresh = fresh.withColumn("from_cache", F.lit(False))
     answers = cached.select(
         "content_hash", F.lit(None).cast("string").alias("rep_id"), *CLASSIFICATION_FIELDS,
         F.lit(True).alias("is_valid"), F.lit(None).cast("string").alias("reject_reason"),
-        F.lit(True).alias("from_cache"),
+        F.lit(None).cast("string").alias("cause"), F.lit(True).alias("from_cache"),
     ).unionByName(fresh)
 
-    # a text shared by a large share of rows is salted over many tasks; the
-    # hot-text list comes from counting the key column alone (a narrow
-    # partial aggregate), not from the text-carrying aggregate above
-    hot = hot_keys(key_counts(rows.select("content_hash"), ["content_hash"]), "content_hash",
-                   share=hot_share)
-    joined = salted_join(rows.select("incident_id", "content_hash"), answers, "content_hash", hot,
-                         F.col("incident_id"), "left")
+    joined = balanced_join(keys, answers, "content_hash", F.col("incident_id"), "left")
     status = (F.when(F.col("is_valid").isNull() | ~F.col("is_valid"), F.lit(STATUS_FAILED))
               .when(F.col("from_cache"), F.lit(STATUS_CACHED))
               .when(F.col("incident_id") == F.col("rep_id"), F.lit(STATUS_CLASSIFIED))
@@ -325,6 +378,7 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
         F.when(F.col("is_valid").isNull(), F.lit("no_reply"))
         .when(~F.col("is_valid"), F.coalesce(F.col("reject_reason"), F.lit("no_reply")))
         .alias("reject_reason"),
+        "cause",
     )
 
     ts = F.lit(run_ts).cast("timestamp_ntz")

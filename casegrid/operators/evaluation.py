@@ -29,20 +29,29 @@ def agreement_flag(predicted: Column, truth: Column) -> Column:
     return F.when(predicted == truth, F.lit(1)).otherwise(F.lit(0))
 
 
+def join_with_default(rows: DataFrame, dim: DataFrame, key: str, label: str, default: str) -> DataFrame:
+    """Left join to a dimension's label; rows without a match take ``default``."""
+    named = rows.join(dim.select(key, label), key, "left")
+    return named.withColumn(label, F.coalesce(label, F.lit(default)))
+
+
 def eval_mart(fact: DataFrame, industry: DataFrame) -> DataFrame:
     """Classifier category vs official event code on the coarse taxonomy,
     per sector x severity tier, for incidents that have both."""
-    scored = (
-        fact.where(F.col("llm_event_category").isNotNull() & F.col("oiics_event_code").isNotNull())
-        .join(industry.select("industry_id", "sector"), "industry_id", "left")
-        .select(
-            F.coalesce(F.col("sector"), F.lit("Unknown")).alias("sector"),
-            F.coalesce(F.col("llm_severity_tier"), F.lit("unknown")).alias("severity_tier"),
-            agreement_flag(coarse_event_from_category(F.col("llm_event_category")),
-                           coarse_event_from_code(F.col("oiics_event_code"))).alias("is_agreement"),
-        )
-    )
-    return agreement(scored, ["sector", "severity_tier"])
+    # reduced to one row per industry, tier and outcome before the join: the
+    # sums are additive, so only the small result meets the dimension
+    rows = fact.where(F.col("llm_event_category").isNotNull() & F.col("oiics_event_code").isNotNull())
+    flag = agreement_flag(coarse_event_from_category(F.col("llm_event_category")),
+                          coarse_event_from_code(F.col("oiics_event_code")))
+    part = rows.groupBy("industry_id", F.coalesce("llm_severity_tier", F.lit("unknown")).alias("severity_tier")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(flag.cast("bigint")).alias("agreeing"))
+    named = join_with_default(part, industry, "industry_id", "sector", "Unknown")
+    by = ["sector", "severity_tier"]
+    return named.groupBy(*by).agg(
+        F.sum("n").alias("incidents_evaluated"),
+        F.sum("agreeing").alias("incidents_in_agreement"),
+    ).select(surrogate_key(*by).alias("eval_id"), *by, "incidents_evaluated", "incidents_in_agreement",
+             F.round(F.col("incidents_in_agreement") / F.col("incidents_evaluated"), 4).alias("agreement_rate"))
 
 
 def coverage(df: DataFrame, col, total_name: str = "narrated_incidents",

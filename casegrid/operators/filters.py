@@ -17,6 +17,13 @@ def any_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.where(F.coalesce(*[to_col(c) for c in cols]).isNotNull())
 
 
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """``df``, after a check that it has a row; an empty one is an error."""
+    if df.isEmpty():
+        raise ValueError(f"no {what}")
+    return df
+
+
 def all_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Conjunctive not-null filter (pushed into the Parquet scan)."""
     cond = None

@@ -1,9 +1,11 @@
 """Data-quality checks.
 
-Each check is a violation query (empty = pass).  ``run_checks`` folds any
-number of checks into ONE report DataFrame (one aggregate per check, unioned),
-so a whole suite runs as a single job; ``gate`` reads that bounded report
-(one row per check) and raises on a failed error-severity check.
+A check is a violation query (empty = pass).  Checks on the rows of one table
+(not null, accepted values, ranges, row count, coverage) are ``ScanCheck``s:
+``report`` folds all of a table into one aggregate, so a table is scanned once
+however many such checks it has.  Only uniqueness and relationships, which need
+a shuffle, have plans of their own.  ``gate`` reads the bounded report (one row
+per check) and raises on a failed error-severity check.
 """
 
 from __future__ import annotations
@@ -11,12 +13,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casegrid.functions._util import to_col
 from casegrid.operators.evaluation import coverage_below
+from casegrid.operators.joins import balanced_join
 
 ERROR = "error"
 WARN = "warn"
@@ -24,6 +28,7 @@ WARN = "warn"
 
 @dataclass(frozen=True)
 class Check:
+    """A violation query of its own."""
     name: str
     build: Callable[[], DataFrame] = field(repr=False)
     severity: str = ERROR
@@ -32,6 +37,17 @@ class Check:
         return self.build()
 
 
+@dataclass(frozen=True)
+class ScanCheck:
+    """An aggregate of one table that gives the number of violations."""
+    name: str
+    frame: DataFrame = field(repr=False)
+    violations: Column = field(repr=False)
+    severity: str = ERROR
+
+
+# ------------------------------------------------------ violation rows ----
+
 def not_null(df: DataFrame, col: str) -> DataFrame:
     return df.where(to_col(col).isNull())
 
@@ -43,19 +59,24 @@ def unique(df: DataFrame, col: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1))
 
 
+def _outside(col: str, values: Sequence) -> Column:
+    return ~to_col(col).isin(list(values))
+
+
 def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     """Rows whose value is outside ``values``; null passes."""
-    return df.where(~to_col(col).isin(list(values)))
+    return df.where(_outside(col, values))
 
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child rows whose non-null key has no parent row (anti join)."""
+    """Child rows whose non-null key has no parent row (anti join; a key that
+    holds a large share of the child rows is split over many tasks)."""
     p = parent.select(F.col(parent_col).alias(col)).distinct()
-    return child.where(to_col(col).isNotNull()).join(p, col, "left_anti")
+    rows = child.where(to_col(col).isNotNull())
+    return balanced_join(rows, p, col, F.struct(*rows.columns), "left_anti")
 
 
-def between(df: DataFrame, col: str, min_value=None, max_value=None,
-            row_condition: str | None = None) -> DataFrame:
+def _out_of_range(col: str, min_value, max_value, row_condition: str | None) -> Column:
     c = to_col(col)
     ok = F.lit(True)
     if min_value is not None:
@@ -66,7 +87,12 @@ def between(df: DataFrame, col: str, min_value=None, max_value=None,
     if row_condition:
         bad = F.expr(row_condition) & bad
     # a null comparison is not a violation
-    return df.where(F.coalesce(bad, F.lit(False)))
+    return F.coalesce(bad, F.lit(False))
+
+
+def between(df: DataFrame, col: str, min_value=None, max_value=None,
+            row_condition: str | None = None) -> DataFrame:
+    return df.where(_out_of_range(col, min_value, max_value, row_condition))
 
 
 def row_count(df: DataFrame, min_value: int | None = None, max_value: int | None = None) -> DataFrame:
@@ -93,21 +119,56 @@ def freshness(df: DataFrame, loaded_at, as_of: datetime, warn_after_days: int =
         F.col("age_days") > warn_after_days)
 
 
-def report(checks: Iterable[Check]) -> DataFrame:
+# ------------------------------------------- the same, folded into a scan ----
+
+def scan_not_null(name: str, df: DataFrame, col: str, severity: str = ERROR) -> ScanCheck:
+    return ScanCheck(name, df, F.count_if(to_col(col).isNull()), severity)
+
+
+def scan_accepted(name: str, df: DataFrame, col: str, values: Sequence, severity: str = ERROR) -> ScanCheck:
+    return ScanCheck(name, df, F.count_if(_outside(col, values)), severity)
+
+
+def scan_between(name: str, df: DataFrame, col: str, min_value=None, max_value=None,
+                 row_condition: str | None = None, severity: str = ERROR) -> ScanCheck:
+    return ScanCheck(name, df, F.count_if(_out_of_range(col, min_value, max_value, row_condition)), severity)
+
+
+def scan_row_count(name: str, df: DataFrame, min_value: int = 1, severity: str = ERROR) -> ScanCheck:
+    return ScanCheck(name, df, (F.count(F.lit(1)) < min_value).cast("bigint"), severity)
+
+
+def scan_coverage(name: str, df: DataFrame, col: str, threshold: float = 0.90, severity: str = ERROR) -> ScanCheck:
+    share = F.try_divide(F.count(to_col(col)).cast("double"), F.count(F.lit(1)))  # null for no rows
+    return ScanCheck(name, df, F.coalesce(share < threshold, F.lit(False)).cast("bigint"), severity)
+
+
+def scan_freshness(name: str, df: DataFrame, loaded_at: Column, as_of: datetime, warn_after_days: int = 90,
+                   severity: str = WARN) -> ScanCheck:
+    age = F.datediff(F.lit(as_of).cast("date"), F.to_date(F.max(loaded_at)))
+    return ScanCheck(name, df, F.coalesce(age > warn_after_days, F.lit(False)).cast("bigint"), severity)
+
+
+def report(checks: Iterable[Check | ScanCheck]) -> DataFrame:
     """(check_name, severity, violations bigint, passed boolean), one row per check."""
-    parts = [
-        c.violations().agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"),
-            F.col("violations").cast("bigint").alias("violations"),
-            (F.col("violations") == 0).alias("passed"))
-        for c in checks
-    ]
-    if not parts:
+    checks = list(checks)
+    if not checks:
         raise ValueError("no checks")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parts, by_frame = [], {}
+    for c in checks:
+        if isinstance(c, ScanCheck):
+            by_frame.setdefault(id(c.frame), []).append(c)
+        else:
+            parts.append(c.violations().agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "n"))
+    for group in by_frame.values():
+        one = group[0].frame.agg(*[c.violations.cast("bigint").alias(f"n{k}") for k, c in enumerate(group)])
+        parts.append(one.select(F.inline(F.array(*[
+            F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"),
+                     F.col(f"n{k}").alias("n")) for k, c in enumerate(group)]))))
+    out = reduce(DataFrame.unionByName, parts)
+    return out.select("check_name", "severity", F.col("n").cast("bigint").alias("violations"),
+                      (F.col("n") == 0).alias("passed"))
 
 
 class QualityGateError(RuntimeError):

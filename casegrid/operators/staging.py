@@ -11,7 +11,7 @@ from casegrid.functions.parse import sas_date, sas_timestamp
 from casegrid.functions.prompt import NARRATIVE_FIELDS
 from casegrid.operators.dedupe import latest_per_key
 from casegrid.operators.filters import any_present
-from casegrid.operators.joins import hot_keys, salted_join
+from casegrid.operators.joins import hot_keys, key_counts, salted_join
 
 # raw narrative header -> staged name (same order as NARRATIVE_FIELDS)
 NARRATIVE_SOURCES = {
@@ -42,6 +42,11 @@ def t(c: str):
     return trim_to_null(F.col(c))
 
 
+def outcome_flag(outcome, code) -> "F.Column":
+    """True where the outcome is ``code``; a missing outcome gives null."""
+    return outcome == F.lit(code)
+
+
 def stage_cases(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Typed case detail: keys, SAS dates, rounded measures, flags, renamed
     narratives and official codes; rows without any narrative are dropped."""
@@ -59,8 +64,8 @@ def stage_cases(raw: DataFrame, strict: bool = True) -> DataFrame:
         cast_int(t("type_of_incident"), "int", strict).alias("incident_type_code"),
         cast_round(t("dafw_num_away"), "int", strict).alias("days_away_from_work"),
         cast_round(t("djtr_num_tr"), "int", strict).alias("days_restricted"),
-        (outcome == 1).alias("is_death"),
-        (outcome == 2).alias("is_dafw"),
+        outcome_flag(outcome, 1).alias("is_death"),
+        outcome_flag(outcome, 2).alias("is_dafw"),
         t("soc_code").alias("soc_code"),
         t("soc_description").alias("soc_description"),
         t("job_description").alias("job_description"),
@@ -80,10 +85,6 @@ def stage_cases(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def stage_establishments(raw: DataFrame, order: str = "text", strict: bool = True) -> DataFrame:
-    return stage_establishments_counted(raw, order, strict).drop("n_cases")
-
-
-def stage_establishments_counted(raw: DataFrame, order: str = "text", strict: bool = True) -> DataFrame:
     """One row per source establishment id: its latest case's attributes.
 
     ``order='text'`` ranks by the raw ``created_timestamp`` text (the parity
@@ -98,7 +99,7 @@ def stage_establishments_counted(raw: DataFrame, order: str = "text", strict: bo
         raise ValueError("order must be 'text' or 'parsed'")
     src = (raw.where(F.col("establishment_id").isNotNull())
            .select(*ESTABLISHMENT_RAW, rank.alias("_rank"), F.col("id").alias("_tie")))
-    latest = latest_per_key(src, ["establishment_id"], [F.col("_rank")], [F.col("_tie")], count_as="n_cases")
+    latest = latest_per_key(src, ["establishment_id"], [F.col("_rank")], [F.col("_tie")])
     return latest.select(
         surrogate_key("establishment_id").alias("establishment_id"),
         # ids need not be numeric; nothing downstream reads this column
@@ -117,10 +118,26 @@ def stage_establishments_counted(raw: DataFrame, order: str = "text", strict: bo
         cast_round(t("size"), "int", strict).alias("employee_size_code"),
         cast_round(t("annual_average_employees"), "int", strict).alias("annual_average_employees"),
         cast_round(t("total_hours_worked"), "bigint", strict).alias("total_hours_worked"),
-        "n_cases",
     )
 
 
+def rejects(raw: DataFrame) -> DataFrame:
+    """One row: for every typed column how many raw values are present but do
+    not parse.  Lenient typing turns those into nulls; this counts them."""
+    typed = {
+        "id": cast_int(F.col("id"), "bigint", strict=False),
+        "date_of_incident": sas_date(t("date_of_incident"), False),
+        "date_of_death": sas_date(t("date_of_death"), False),
+        "created_timestamp": sas_timestamp(t("created_timestamp"), False),
+        **{c: cast_int(t(c), "int", strict=False)
+           for c in ("year_of_filing", "incident_outcome", "type_of_incident", "naics_year")},
+        **{c: cast_round(t(c), "bigint", strict=False)
+           for c in ("dafw_num_away", "djtr_num_tr", "establishment_type", "size", "annual_average_employees",
+                     "total_hours_worked", *(f"{o}_code_pred" for o in OFFICIAL_CODES))},
+    }
+    return raw.agg(*[F.count_if(t(c).isNotNull() & v.isNull()).alias(c) for c, v in typed.items()])
+
+
 ENRICHMENT_RENAMES = {
     "contributing_factor": "llm_contributing_factor",
     "severity_tier": "llm_severity_tier",
@@ -153,22 +170,22 @@ ESTABLISHMENT_COLUMNS = (
 CODE_COLUMNS = tuple(f"{s}_{k}" for s in OFFICIAL_CODES.values() for k in ("code", "label"))
 
 
-def hot_establishments(counted: DataFrame, share: float = 0.01) -> list:
-    """Establishment keys holding more than ``share`` of all raw cases (at
-    most 1/share keys).  ``counted`` is ``stage_establishments_counted``: the
-    counts come from the dedupe aggregate itself."""
-    return hot_keys(counted.select("establishment_id", "n_cases"), "establishment_id", "n_cases", share)
+def hot_establishments(cases: DataFrame, partitions: int | None = None) -> dict:
+    """Establishment keys of the staged cases that need salting, with their
+    number of salts.  A missing id is one shared key and counts as such."""
+    return hot_keys(key_counts(cases.select("establishment_id"), ["establishment_id"]), "establishment_id",
+                    partitions=partitions)
 
 
 def join_establishment(cases: DataFrame, establishments: DataFrame,
-                       hot: list | None = None) -> DataFrame:
+                       hot: dict | None = None) -> DataFrame:
     """Many-to-one left join: one row per incident, establishment context
     taken from the deduplicated establishment model.  With ``hot`` (see
-    ``hot_establishments``) the cases of a very large establishment are
-    salted over many tasks instead of landing in one."""
+    ``hot_establishments``) the cases of a very large establishment, or of
+    none, are salted over many tasks instead of landing in one."""
     e = establishments.select("establishment_id", *ESTABLISHMENT_COLUMNS)
     i = cases.select(*CASE_COLUMNS, *NARRATIVE_FIELDS, *CODE_COLUMNS)
-    joined = salted_join(i, e, "establishment_id", hot or [], F.col("incident_id"), "left")
+    joined = salted_join(i, e, "establishment_id", hot or {}, F.col("incident_id"), "left")
     return joined.select(*CASE_COLUMNS, *ESTABLISHMENT_COLUMNS, *NARRATIVE_FIELDS, *CODE_COLUMNS)
 
 

@@ -31,15 +31,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # sentences that open each "what happened" narrative, and the run constants.
 STATE_CODES: tuple[str, ...] = tuple(CENSUS_REGIONS)
 EVENT_SENTENCES: tuple[str, ...] = (
-    "Employee slipped on a wet floor and fell",
-    "Worker was struck by a falling object from a shelf",
-    "Hand caught in the conveyor while clearing a jam",
-    "Back strained while lifting boxes",
-    "Exposed to chemical fumes during cleaning",
-    "Forklift collision in the aisle",
-    "Small fire ignited near the welding bench",
-    "Employee was assaulted by a customer",
-    "Felt pain at the end of the shift",
+    "A picker slipped near the dock and was bruised",
+    "A pallet hit the foot of a loader, who had a fracture",
+    "The glove of an operator was caught by the saw, a finger was amputated",
+    "A clerk twisted an ankle while carrying files",
+    "Cleaning fumes made two people dizzy",
+    "A truck rolled back against the gate",
+    "Rags ignited beside the kiln and an arm was burned",
+    "A visitor attacked the guard, who needed surgery",
+    "The shift ended without further notes",
 )
 RUN_TS = "2025-01-15 08:00:00"
 MODEL_NAME = "keyword-rules"
@@ -88,7 +88,7 @@ def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case_number": F.concat(F.lit("C-"), _s(key)),
         "job_description": prio,
         "soc_code": F.substring(prio, 1, 1),
-        "soc_description": F.substring(prio, 3, 100),
+        "soc_description": F.expr("substring(o_orderpriority, 3)"),
         "date_of_incident": F.when(status == "P", F.regexp_replace(sas_day, "^0", "")).otherwise(sas_day),
         "date_of_death": F.when((status == "F") & (prio == "1-URGENT"), sas_day),
         "created_timestamp": F.when(prio != "5-LOW", render_sas_timestamp(created)),
@@ -106,7 +106,7 @@ def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
         "new_incident_description": F.when(prio.isin("1-URGENT", "2-HIGH"), F.concat(F.lit("Order "), prio)),
         "new_nar_before_incident": F.when(status == "F", F.lower(F.col("c_mktsegment"))),
         "new_nar_what_happened": F.when(
-            (status != "P") | prio.isin("1-URGENT", "2-HIGH"),
+            (status != "P") | prio.isin("1-URGENT", "2-HIGH") | F.col("text").isNotNull(),
             F.concat(sentence, F.coalesce(F.concat(F.lit(" "), F.col("text")), F.lit("")))),
         "new_nar_injury_illness": F.when(status == "O", F.lit("   ")).when(status == "F", F.lit("Bruised left hand")),
         "new_nar_object_substance": F.lit(None).cast("string"),

@@ -10,13 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid.operators.enrich import empty_cache, empty_enrichment, enrich, rule_classifier
-from casegrid.operators.staging import (
-    hot_establishments,
-    join_establishment,
-    stage_cases,
-    stage_establishments_counted,
-)
-from casegrid.session import materialise as materialise_table
+from casegrid.operators.joins import balanced_join
+from casegrid.operators.staging import hot_establishments, join_establishment, stage_cases, stage_establishments
+from casegrid.session import materialise as materialise_table, scratch_path
+from casegrid.sources.tables import reload_table
 from casegrid.plans.analogues import MODEL_NAME, RUN_TS, raw_cases
 from casegrid.plans.warehouse import MART_NAMES, models_from
 
@@ -46,40 +43,38 @@ def run_ts() -> datetime:
 # ---------------------------------------------------------------------------
 
 NEEDS_ENRICHMENT = {"int_enriched", "fct_incidents", "mart_llm_eval"}
+NEEDS_NO_JOIN = {"stg_cases", "stg_establishments", "dim_establishment"}
 
 
-def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True,
-              materialise: bool = False) -> dict[str, DataFrame]:
-    """All models of one build; ``enriched=False`` skips the classification
-    (the staging, intermediate and dimension models do not read it).
+def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True, joins: bool = True,
+              store: bool = False) -> dict[str, DataFrame]:
+    """All models of one build.  ``enriched=False`` skips the classification
+    and ``joins=False`` the count of hot establishments, for models that read
+    neither.
 
-    ``materialise`` writes the joined layer (read by four dimensions and the
-    enriched layer) and the enrichment table once as Parquet in the shared
-    checkpoint folder, for queries that read several models: each consumer
-    then scans only its columns instead of re-rendering, re-typing and
-    re-joining the raw export.
+    ``store`` writes the raw export, the joined layer and (where it is read)
+    the enrichment table once as Parquet in the shared checkpoint folder, for
+    queries that read several models: each consumer then scans the columns it
+    needs instead of rendering, typing and joining the export again.
     """
     raw = raw_cases(spark, sf_dir)
-    cases, counted = stage_cases(raw), stage_establishments_counted(raw)
-    establishments = counted.drop("n_cases")
+    if store:
+        raw = materialise_table(raw, "raw-cases")
+    cases, establishments = stage_cases(raw), stage_establishments(raw)
     if enriched:
         target = enrich(cases, empty_cache(spark), empty_enrichment(spark),
                         rule_classifier(), run_ts(), MODEL_NAME).target
+        target = materialise_table(target, "llm-enrichment") if store else target
     else:
         target = empty_enrichment(spark)
-    joined = join_establishment(cases, establishments, hot_establishments(counted))
-    if materialise:
+    joined = join_establishment(cases, establishments, hot_establishments(cases) if joins else None)
+    if store:
         joined = materialise_table(joined, "int-joined")
-        target = materialise_table(target, "llm-enrichment") if enriched else target
-    return models_from(cases, establishments, joined, target)
+    return models_from(cases, establishments, joined, target) | {"raw_cases": raw, "llm_enrichment": target}
 
 
 def _model(name: str) -> Query:
-    # One lazy plan per query.  Measured at sf0.1, writing the text-heavy
-    # joined layer first (``materialise=True``) doubles the time, because
-    # exchange reuse already shares the shuffles; the production path
-    # (``run_warehouse``) writes every layer once instead.
-    return lambda spark, sf_dir: warehouse(spark, sf_dir, name in NEEDS_ENRICHMENT)[name]
+    return lambda spark, sf_dir: warehouse(spark, sf_dir, name in NEEDS_ENRICHMENT, name not in NEEDS_NO_JOIN)[name]
 
 
 for _key, _model_name in (
@@ -107,12 +102,14 @@ def star_rollup_of(m: dict[str, DataFrame]) -> DataFrame:
     the remaining foreign keys, so the other four joins see one row per key
     combination instead of one per incident; AQE turns those joins into
     broadcasts when the runtime sizes are small and keeps sort-merge otherwise.
+    No classifier column is read, so the build needs no enrichment.
     """
     fact = m["fct_incidents"].select(
-        "establishment_id", "date_id", "geography_id", "industry_id", "injury_type_id",
+        "incident_id", "establishment_id", "date_id", "geography_id", "industry_id", "injury_type_id",
         "days_away_from_work", "is_death")
     est = m["dim_establishment"].select("establishment_id", "employee_size_bucket")
-    pre = (fact.join(est, "establishment_id", "left")
+    sized = balanced_join(fact, est, "establishment_id", F.col("incident_id"), "left")
+    pre = (sized
            .groupBy("date_id", "geography_id", "industry_id", "injury_type_id", "employee_size_bucket")
            .agg(F.count(F.lit(1)).alias("n"),
                 F.sum("days_away_from_work").alias("days"),
@@ -130,7 +127,7 @@ def star_rollup_of(m: dict[str, DataFrame]) -> DataFrame:
 
 @register("star_rollup")
 def q_star_rollup(spark, sf_dir):
-    return star_rollup_of(warehouse(spark, sf_dir))
+    return star_rollup_of(warehouse(spark, sf_dir, enriched=False, store=True))
 
 
 KEY_OF = {"dim_date": "date_id", "dim_establishment": "establishment_id",
@@ -141,11 +138,18 @@ KEY_OF = {"dim_date": "date_id", "dim_establishment": "establishment_id",
 
 @register("marts_row_counts")
 def q_marts_row_counts(spark, sf_dir):
-    """Rows and distinct keys per mart of one full build (grain check)."""
-    m = warehouse(spark, sf_dir)
-    parts = [m[n].agg(F.count(F.lit(1)).alias("row_count"),
-                      F.count_distinct(KEY_OF[n]).alias("distinct_keys"))
-             .select(F.lit(n).alias("mart"), "row_count", "distinct_keys") for n in MART_NAMES]
+    """Every mart of one full build stored as a table, then rows and distinct
+    keys of what was stored (grain check)."""
+    m = warehouse(spark, sf_dir, store=True)
+    base = scratch_path(spark, "marts")
+    parts = []
+    for n in MART_NAMES:
+        rows = reload_table(m[n], f"{base}/{n}")
+        parts.append(spark.read.parquet(f"{base}/{n}").agg(
+            F.count(F.lit(1)).alias("row_count"), F.count_distinct(KEY_OF[n]).alias("distinct_keys"))
+            .select(F.lit(n).alias("mart"), "row_count", "distinct_keys"))
+        if rows != spark.read.parquet(f"{base}/{n}").count():
+            raise AssertionError(f"{n}: {rows} rows written")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -9,29 +9,13 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from casegrid.functions.keys import content_hash
-from casegrid.functions.lookup import (
-    EMPLOYEE_LABELS,
-    EMPLOYEE_NULL_LABEL,
-    LABEL_DEFAULT,
-    OUTCOME_LABELS,
-    OWNERSHIP_LABELS,
-)
-from casegrid.functions.reply import EVENT_CATEGORIES, SEVERITY_TIERS
 from casegrid.operators import quality as Q
+from casegrid.operators.evaluation import eval_mart
 from casegrid.plans.analogues import FRESHNESS_AS_OF, table
-from casegrid.operators.enrich import empty_cache, empty_enrichment, enrich, rule_classifier
-from casegrid.operators.staging import (
-    hot_establishments,
-    join_establishment,
-    stage_cases,
-    stage_establishments_counted,
-)
-from casegrid.plans.analogues import MODEL_NAME, raw_cases
-from casegrid.plans.catalogue import register, run_ts
-from casegrid.plans.warehouse import models_from
-from casegrid.session import materialise
+from casegrid.plans.catalogue import register, warehouse
 from casegrid.plans.oracle import on_warehouse, q
-from casegrid.plans.warehouse import warehouse_checks
+from casegrid.plans.warehouse import ACCEPTED, ALL_NOT_NULL, ALL_UNIQUE, FOREIGN_KEYS, MART_NAMES, warehouse_checks
+from casegrid.session import materialise
 
 ACCEPTED_EVENTS = ("view", "click", "purchase", "signup")
 PARENT_EXCLUDED_SEGMENT = "MACHINERY"
@@ -117,16 +101,18 @@ def q_dq_freshness(spark, sf_dir):
     return Q.freshness(table(spark, sf_dir, "events"), "ts", _as_of(), FRESH_DAYS)
 
 
-def driver_checks(spark, sf_dir) -> list[Q.Check]:
+def driver_checks(spark, sf_dir) -> list[Q.Check | Q.ScanCheck]:
+    labelled, events = _docs_labels(spark, sf_dir), _events_typed(spark, sf_dir)
     return [
-        Q.Check("labels.quality.not_null", lambda: q_dq_not_null(spark, sf_dir)),
+        Q.scan_not_null("labels.quality.not_null", labelled, "quality"),
         Q.Check("documents.text.unique", lambda: q_dq_unique(spark, sf_dir)),
-        Q.Check("events.event_type.accepted_values", lambda: q_dq_accepted_values(spark, sf_dir)),
+        Q.scan_accepted("events.event_type.accepted_values", events, "event_type_n", ACCEPTED_EVENTS),
         Q.Check("orders.o_custkey.relationships", lambda: q_dq_relationships(spark, sf_dir)),
-        Q.Check("lineitem.l_quantity.between", lambda: q_dq_between(spark, sf_dir)),
+        Q.scan_between("lineitem.l_quantity.between", table(spark, sf_dir, "lineitem"), "l_quantity", QTY_MIN,
+                       QTY_MAX, "l_returnflag = 'R'"),
         Q.Check("orders.row_count", lambda: q_dq_row_count(spark, sf_dir)),
-        Q.Check("events.ts.freshness", lambda: q_dq_freshness(spark, sf_dir), Q.WARN),
-        Q.Check("labels.coverage", lambda: Q.coverage(_docs_labels(spark, sf_dir), "quality", 0.90)),
+        Q.scan_freshness("events.ts.freshness", events, F.col("ts"), _as_of(), FRESH_DAYS),
+        Q.scan_coverage("labels.coverage", labelled, "quality", 0.90),
     ]
 
 
@@ -150,31 +136,18 @@ def q_dq_report(spark, sf_dir):
     return Q.report(driver_checks(spark, sf_dir))
 
 
-# ----------------------------------------------- the mart-layer suite ------
+# ------------------------------------------------- the layer suites ----
 def _warehouse_report_sql() -> str:
-    parts = []
-    for name, key in (("dim_establishment", "establishment_id"), ("dim_industry", "industry_id"),
-                      ("dim_geography", "geography_id"), ("dim_injury_type", "injury_type_id"),
-                      ("dim_date", "date_id"), ("fct_incidents", "incident_id"),
-                      ("mart_llm_eval", "eval_id")):
-        parts.append((f"{name}.{key}.not_null", "error", f"SELECT 1 FROM {name} WHERE {key} IS NULL"))
-        parts.append((f"{name}.{key}.unique", "error",
-                      f"SELECT {key} FROM {name} WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1"))
-    for fk, dim in (("establishment_id", "dim_establishment"), ("industry_id", "dim_industry"),
-                    ("geography_id", "dim_geography"), ("injury_type_id", "dim_injury_type"),
-                    ("date_id", "dim_date")):
+    parts = [(f"{name}.{col}.not_null", "error", f"SELECT 1 FROM {name} WHERE {col} IS NULL")
+             for name, col in ALL_NOT_NULL]
+    parts += [(f"{name}.{col}.unique", "error",
+               f"SELECT {col} FROM {name} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1")
+              for name, col in ALL_UNIQUE]
+    for fk, dim in FOREIGN_KEYS:
         parts.append((f"fct_incidents.{fk}.relationships", "error",
                       f"SELECT 1 FROM fct_incidents f WHERE f.{fk} IS NOT NULL AND NOT EXISTS "
                       f"(SELECT 1 FROM {dim} d WHERE d.{fk} = f.{fk})"))
-    accepted = (
-        ("dim_establishment", "employee_size_bucket", [*EMPLOYEE_LABELS, EMPLOYEE_NULL_LABEL]),
-        ("dim_establishment", "ownership_type", [*OWNERSHIP_LABELS.values(), LABEL_DEFAULT]),
-        ("dim_injury_type", "outcome", [*OUTCOME_LABELS.values(), LABEL_DEFAULT]),
-        ("fct_incidents", "outcome_code", list(OUTCOME_LABELS)),
-        ("fct_incidents", "llm_severity_tier", list(SEVERITY_TIERS)),
-        ("fct_incidents", "llm_event_category", list(EVENT_CATEGORIES)),
-    )
-    for name, col, vals in accepted:
+    for name, col, vals in ACCEPTED:
         lits = ", ".join(q(v) if isinstance(v, str) else str(v) for v in vals)
         parts.append((f"{name}.{col}.accepted_values", "error", f"SELECT 1 FROM {name} WHERE {col} NOT IN ({lits})"))
     parts += [
@@ -183,29 +156,25 @@ def _warehouse_report_sql() -> str:
          "(days_away_from_work >= 0 AND days_away_from_work <= 365), false)"),
         ("mart_llm_eval.agreement_rate.between", "error",
          "SELECT 1 FROM mart_llm_eval WHERE coalesce(NOT (agreement_rate >= 0 AND agreement_rate <= 1), false)"),
-        ("mart_llm_eval.sector.not_null", "error", "SELECT 1 FROM mart_llm_eval WHERE sector IS NULL"),
-        ("mart_llm_eval.severity_tier.not_null", "error", "SELECT 1 FROM mart_llm_eval WHERE severity_tier IS NULL"),
-        ("mart_llm_eval.agreement_rate.not_null", "error", "SELECT 1 FROM mart_llm_eval WHERE agreement_rate IS NULL"),
         ("fct_incidents.row_count", "error",
          "SELECT n FROM (SELECT count(*) AS n FROM fct_incidents) c WHERE n < 1"),
         ("int_enriched.coverage", "error",
          "SELECT 1 FROM (SELECT count(*) AS n, count(llm_event_category) AS k FROM int_enriched) c "
          "WHERE n > 0 AND cast(k as double) / n < 0.9"),
+        ("raw_cases.created_timestamp.freshness", "warn",
+         "SELECT 1 FROM (SELECT max(strptime(nullif(trim(created_timestamp), ''), '%d%b%Y:%H:%M:%S')) AS t FROM raw_cases) c "
+         f"WHERE datediff('day', cast(t as date), DATE '{FRESHNESS_AS_OF}') > {FRESH_DAYS}"),
     ]
     return on_warehouse(_report_sql(parts))
 
 
 @register("warehouse_dq_report", _warehouse_report_sql())
 def q_warehouse_dq_report(spark, sf_dir):
-    """The suite runs on built tables: the layers every mart reads (typed
-    establishments, the joined incidents, the enrichment table) are written
-    once as Parquet; the 32 checks then read them with pruned scans in a
-    single job."""
-    raw = raw_cases(spark, sf_dir)
-    cases = stage_cases(raw)
-    counted = materialise(stage_establishments_counted(raw), "stg-establishments")
-    establishments = counted.drop("n_cases")
-    joined = materialise(join_establishment(cases, establishments, hot_establishments(counted)), "int-joined")
-    target = materialise(enrich(cases, empty_cache(spark), empty_enrichment(spark), rule_classifier(),
-                                run_ts(), MODEL_NAME).target, "llm-enrichment")
-    return Q.report(warehouse_checks(models_from(cases, establishments, joined, target)))
+    """The suites of all layers on stored tables: the raw export, the joined
+    layer, the enrichment table and every mart are written once; the checks on
+    rows of a table then share one pruned scan of it."""
+    m = warehouse(spark, sf_dir, store=True)
+    m |= {"int_enriched": materialise(m["int_enriched"], "int-enriched")}
+    m |= {name: materialise(m[name], name) for name in MART_NAMES if name != "mart_llm_eval"}
+    m["mart_llm_eval"] = materialise(eval_mart(m["fct_incidents"], m["dim_industry"]), "mart")
+    return Q.report(warehouse_checks(m, as_of=_as_of()))

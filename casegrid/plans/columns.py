@@ -31,7 +31,8 @@ from casegrid.functions.prompt import (
     render_prompt,
 )
 from casegrid.operators.filters import all_present, any_present, limit_ordered, sample_n
-from casegrid.operators.staging import stage_cases, stage_enrichment
+from casegrid.operators.evaluation import join_with_default
+from casegrid.operators.staging import outcome_flag, stage_cases, stage_enrichment
 from casegrid.plans.analogues import MODEL_NAME, RUN_TS, STATE_CODES, raw_cases, table
 from casegrid.plans.catalogue import register
 from casegrid.plans.oracle import case_map, clean, lst, on_warehouse, pm, q, sk
@@ -155,7 +156,8 @@ FROM orders""")
 def q_flag_columns(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     st = F.nullif(F.col("o_orderstatus"), F.lit("P"))
-    return o.select("o_orderkey", (st == "F").alias("is_final"), (st == "O").alias("is_open"))
+    return o.select("o_orderkey", outcome_flag(st, "F").alias("is_final"),
+                    outcome_flag(st, "O").alias("is_open"))
 
 
 # ------------------------------------------------------------ rename -------
@@ -244,8 +246,9 @@ _MESSY = {"o_orderkey": "O OrderKey", "o_custkey": "Cust-Key", "o_orderstatus":
           "o_totalprice": "TOTAL  PRICE($)", "o_orderdate": "Order.Date", "o_orderpriority": "__Priority__"}
 
 
-@register("snake_case_columns", "SELECT " + ", ".join(
-    f"{src} AS {snake_case_columns([m])[0]}" for src, m in _MESSY.items()) + " FROM orders")
+@register("snake_case_columns", """
+SELECT o_orderkey AS o_orderkey, o_custkey AS cust_key, o_orderstatus AS order_status,
+  o_totalprice AS total_price, o_orderdate AS order_date, o_orderpriority AS priority FROM orders""")
 def q_snake_case_columns(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(*_MESSY)
     messy = o.toDF(*[_MESSY[c] for c in o.columns])
@@ -390,5 +393,5 @@ def q_join_dim_default(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").where(F.col("n_regionkey") != 0).select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return c.join(n, "c_nationkey", "left").select(
-        "c_custkey", F.coalesce(F.col("n_name"), F.lit("Unknown")).alias("nation_name"))
+    return join_with_default(c, n, "c_nationkey", "n_name", "Unknown").select(
+        "c_custkey", F.col("n_name").alias("nation_name"))

@@ -5,7 +5,8 @@ Documents stand in for incident narratives: the text is the "what happened"
 field and the language is the industry context.  The pre-existing cache holds
 the answers for English texts (from an older model), and an older enrichment
 table holds rows for one source, so a run exercises hits, misses, in-run
-duplicates, failures (texts too short to classify) and the keyed upsert.
+duplicates, failures (broken and missing replies, by the number of the text's
+first document) and the keyed upsert.
 """
 
 from __future__ import annotations
@@ -28,13 +29,14 @@ from casegrid.functions.reply import (
 from casegrid.operators.enrich import (
     CACHE_SCHEMA,
     ENRICHMENT_SCHEMA,
-    MIN_TEXT_CHARS,
     enrich,
+    lookup_cached,
     prepare_rows,
     rule_category,
     rule_classifier,
-    with_rule_reply,
     rule_severity,
+    uncached,
+    with_rule_reply,
 )
 from casegrid.operators.evaluation import agreement, agreement_flag, coverage, coverage_below, run_summary
 from casegrid.plans.analogues import MODEL_NAME, RUN_TS, table
@@ -65,10 +67,6 @@ def prior_cache(spark: SparkSession, staged: DataFrame) -> DataFrame:
     texts = rows.groupBy("content_hash").agg(
         F.min_by(F.concat_ws("\n", *[F.col(f) for f in NARRATIVE_FIELDS]), F.col("incident_id"))
         .alias("narrative_text"))
-    # the rules' only failure is a too-short text: filter it before
-    # classifying (a filter on the validation result would be pushed down
-    # through, and inline, the whole classification expression)
-    texts = texts.where(F.length("narrative_text") >= MIN_TEXT_CHARS)
     replied = with_rule_reply(texts, "narrative_text")
     answered = with_validated(replied, "reply", "v")
     return answered.select(
@@ -91,9 +89,26 @@ def prior_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*ENRICHMENT_SCHEMA.fieldNames())
 
 
+# Every so many documents one reply is missing and one is cut off.
+FAIL_EVERY, MISSING_AT, BROKEN_AT = 23, 5, 9
+BROKEN_REPLY = '{"contributing_factor": "cut off'
+
+
+def unreliable_classifier():
+    """The rules, but some replies are missing or broken, by document number."""
+    rules = rule_classifier()
+
+    def classify(requests: DataFrame) -> DataFrame:
+        at = F.col("rep_id").cast("bigint") % FAIL_EVERY
+        return rules(requests).withColumn(
+            "reply", F.when(at == MISSING_AT, F.lit(None)).when(at == BROKEN_AT, F.lit(BROKEN_REPLY))
+            .otherwise(F.col("reply")))
+    return classify
+
+
 def document_run(spark: SparkSession, sf_dir: str):
     staged = staged_documents(spark, sf_dir)
-    return enrich(staged, prior_cache(spark, staged), prior_target(spark, sf_dir), rule_classifier(),
+    return enrich(staged, prior_cache(spark, staged), prior_target(spark, sf_dir), unreliable_classifier(),
                   datetime.fromisoformat(RUN_TS), MODEL_NAME)
 
 
@@ -105,14 +120,16 @@ doc_rows AS (
          min(incident_id) OVER (PARTITION BY {_hash_sql}) AS rep_id
   FROM (SELECT cast(doc_id as varchar) AS incident_id, lang, source, {clean('text')} AS ev FROM documents) d
 ),
-doc_cache AS (SELECT DISTINCT h FROM doc_rows WHERE lang = '{CACHED_LANG}' AND length(txt) >= {MIN_TEXT_CHARS})"""
+doc_cache AS (SELECT DISTINCT h FROM doc_rows WHERE lang = '{CACHED_LANG}'),
+doc_failed AS (SELECT incident_id, h, cast(rep_id as bigint) % {FAIL_EVERY} AS nth FROM doc_rows
+  WHERE h NOT IN (SELECT h FROM doc_cache) AND cast(rep_id as bigint) % {FAIL_EVERY} IN ({MISSING_AT}, {BROKEN_AT}))"""
 _r = rule_text_sql("r.txt")
 _answered_sql = f"""
 doc_answered AS (
   SELECT r.incident_id, r.h,
     {rule_answer_cols(_r['category'], _r['severity']).replace(' AS confidence', ' AS rule_confidence')},
     r.h IN (SELECT h FROM doc_cache) AS hit, r.rep_id
-  FROM doc_rows r WHERE length(r.txt) >= {MIN_TEXT_CHARS}
+  FROM doc_rows r WHERE r.incident_id NOT IN (SELECT incident_id FROM doc_failed)
 )"""
 
 
@@ -132,8 +149,8 @@ def q_enrich_incremental(spark, sf_dir):
 
 @register("enrich_failures", f"""
 WITH {_rows_sql}
-SELECT incident_id, h AS content_hash, 'no_reply' AS reject_reason FROM doc_rows
-WHERE length(txt) < {MIN_TEXT_CHARS}""")
+SELECT incident_id, h AS content_hash,
+  CASE WHEN nth = {MISSING_AT} THEN 'no_reply' ELSE 'invalid_json' END AS reject_reason FROM doc_failed""")
 def q_enrich_failures(spark, sf_dir):
     rows = document_run(spark, sf_dir).rows
     return rows.where(F.col("status") == "failed").select("incident_id", "content_hash", "reject_reason")
@@ -143,7 +160,7 @@ def q_enrich_failures(spark, sf_dir):
 WITH {_rows_sql}, {_answered_sql}
 SELECT (SELECT count(*) FROM doc_rows) AS rows_processed,
   count(*) AS rows_succeeded,
-  (SELECT count(*) FROM doc_rows WHERE length(txt) < {MIN_TEXT_CHARS}) AS rows_failed,
+  (SELECT count(*) FROM doc_failed) AS rows_failed,
   count(*) FILTER (WHERE hit OR incident_id <> rep_id) AS rows_from_cache,
   count(*) FILTER (WHERE NOT hit AND incident_id = rep_id) AS texts_classified
 FROM doc_answered""")
@@ -160,9 +177,8 @@ FROM doc_rows r LEFT JOIN (SELECT DISTINCT h, event_category, incident_id FROM d
 def q_cache_lookup(spark, sf_dir):
     staged = staged_documents(spark, sf_dir)
     rows = prepare_rows(staged)
-    cache = prior_cache(spark, staged).where(F.col("prompt_version") == PROMPT_VERSION)
-    return rows.select("incident_id", "content_hash").join(
-        cache.select("content_hash", "event_category", "confidence"), "content_hash", "left")
+    return lookup_cached(rows.select("incident_id", "content_hash"), prior_cache(spark, staged), PROMPT_VERSION,
+                         ["event_category", "confidence"])
 
 
 @register("cache_misses", f"""
@@ -171,8 +187,7 @@ SELECT incident_id, h AS content_hash FROM doc_rows WHERE h NOT IN (SELECT h FRO
 def q_cache_misses(spark, sf_dir):
     staged = staged_documents(spark, sf_dir)
     rows = prepare_rows(staged)
-    cache = prior_cache(spark, staged).where(F.col("prompt_version") == PROMPT_VERSION)
-    return rows.select("incident_id", "content_hash").join(cache.select("content_hash"), "content_hash", "left_anti")
+    return uncached(rows.select("incident_id", "content_hash"), prior_cache(spark, staged), PROMPT_VERSION)
 
 
 # ------------------------------------------------------ rule classifier ----
@@ -180,9 +195,7 @@ _rt = rule_text_sql("text")
 
 
 @register("classify_rules", f"""
-SELECT doc_id, {', '.join(f'CASE WHEN ok THEN {c} END AS {c}' for c in CLASSIFICATION_FIELDS)}, ok AS is_valid
-FROM (SELECT doc_id, {rule_answer_cols(_rt['category'], _rt['severity'])},
-        coalesce(length(text) >= {MIN_TEXT_CHARS}, false) AS ok FROM documents) d""")
+SELECT doc_id, {rule_answer_cols(_rt['category'], _rt['severity'])}, true AS is_valid FROM documents d""")
 def q_classify_rules(spark, sf_dir):
     d = with_rule_reply(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
     return with_validated(d, "reply", "v").select(
@@ -282,20 +295,20 @@ def document_agreement(spark, sf_dir) -> DataFrame:
     place in a category should be a good-quality text (label 1)."""
     ld = labelled_documents(spark, sf_dir).where(F.col("quality").isNotNull())
     pred = F.when(rule_category(F.col("text")) != "other", F.lit(1)).otherwise(F.lit(0))
-    scored = ld.select("lang", rule_severity(F.col("text")).alias("length_tier"),
+    scored = ld.select("lang", rule_severity(F.col("text")).alias("severity_tier"),
                        agreement_flag(pred, F.col("quality")).alias("is_agreement"))
-    return agreement(scored, ["lang", "length_tier"])
+    return agreement(scored, ["lang", "severity_tier"])
 
 
 _ra = rule_text_sql("d.text")
 _agreement_sql = f"""
-SELECT {sk('lang', 'length_tier')} AS eval_id, lang, length_tier, count(*) AS incidents_evaluated,
+SELECT {sk('lang', 'severity_tier')} AS eval_id, lang, severity_tier, count(*) AS incidents_evaluated,
   cast(sum(is_agreement) as bigint) AS incidents_in_agreement,
   round(avg(cast(is_agreement as double)), 4) AS agreement_rate
-FROM (SELECT d.lang, {_ra['severity']} AS length_tier,
+FROM (SELECT d.lang, {_ra['severity']} AS severity_tier,
         CASE WHEN (CASE WHEN {_ra['category']} <> 'other' THEN 1 ELSE 0 END) = l.quality THEN 1 ELSE 0 END AS is_agreement
       FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NOT NULL) s
-GROUP BY lang, length_tier"""
+GROUP BY lang, severity_tier"""
 
 
 @register("agreement_mart", _agreement_sql)

@@ -14,7 +14,7 @@ from casegrid.plans.catalogue import register
 from casegrid.plans.oracle import q
 from casegrid.session import scratch_path
 from casegrid.sources.tables import read_or_empty, reload_table
-from casegrid.sources.text_csv import read_text_csv, write_text_csv
+from casegrid.sources.text_csv import read_text_csv, sample_as_csv, write_text_csv
 
 # Characters written as raw bytes 0x80 and 0x81 (latin-1 code points), which
 # a cp1252 reader must decode to the euro sign and the replacement character.
@@ -49,6 +49,47 @@ def q_scan_text_csv(spark, sf_dir):
     return read_text_csv(spark, path, encoding="cp1252", tokens=PANDAS_NULL_TOKENS)
 
 
+_RAGGED_EVERY = 50
+
+
+@register("land_ragged_csv", f"""
+SELECT CASE WHEN p_partkey % {_RAGGED_EVERY} <> 0 THEN cast(p_partkey as varchar) END AS part_key,
+  CASE WHEN p_partkey % {_RAGGED_EVERY} <> 0 THEN p_name END AS description,
+  CASE WHEN p_partkey % {_RAGGED_EVERY} <> 0 THEN lpad(cast(p_size as varchar), 4, '0') END AS size_code,
+  CASE WHEN p_partkey % {_RAGGED_EVERY} = 0 THEN p_name || ',' || cast(p_partkey as varchar) || ',' ||
+    lpad(cast(p_size as varchar), 4, '0') || ',one too many' END AS malformed_row
+FROM part""")
+def q_land_ragged_csv(spark, sf_dir):
+    """An export in files whose columns stand in different orders, one of them
+    with a field too many in each row: no field is misplaced or lost."""
+    p = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("Part Key"), F.col("p_name").alias("Description"),
+        F.lpad(F.col("p_size").cast("string"), 4, "0").alias("Size_Code"), (F.col("p_partkey") % 4).alias("k"),
+        (F.col("p_partkey") % _RAGGED_EVERY == 0).alias("bad"))
+    base = scratch_path(spark, "ragged")
+    good = p.where(~F.col("bad"))
+    write_text_csv(good.where("k < 2").select("Part Key", "Description", "Size_Code"), f"{base}/a", "ISO-8859-1")
+    write_text_csv(good.where("k >= 2").select("Size_Code", "Part Key", "Description"), f"{base}/b", "ISO-8859-1")
+    line = F.concat_ws(",", "Description", "`Part Key`", "Size_Code", F.lit("one too many"))
+    head = spark.range(1).select(F.lit("Description,Part Key,Size_Code").alias("value"), F.lit(0).alias("o"))
+    (head.unionByName(p.where("bad").select(line.alias("value"), F.lit(1).alias("o")))
+     .repartition(1, F.lit(0)).sortWithinPartitions("o").select("value").write.text(f"{base}/c"))
+    return read_text_csv(spark, [f"{base}/a", f"{base}/b", f"{base}/c"], tokens=PANDAS_NULL_TOKENS,
+                         malformed="keep")
+
+
+_SAMPLE_SEED, _SAMPLE_SIZE = 7, 150
+
+
+@register("sample_as_csv", f"""
+SELECT cast(page_id as varchar) AS page_id, url FROM pages WHERE url IS NOT NULL
+ORDER BY md5('{_SAMPLE_SEED}-' || cast(page_id as varchar)), page_id LIMIT {_SAMPLE_SIZE}""")
+def q_sample_as_csv(spark, sf_dir):
+    """A repeatable sample written as a text export and read back."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return sample_as_csv(pages, ["url"], _SAMPLE_SIZE, _SAMPLE_SEED, "page_id", scratch_path(spark, "sample"))
+
+
 @register("reload_idempotent", "SELECT * FROM customer")
 def q_reload_idempotent(spark, sf_dir):
     """Load the same input twice: the table holds it once."""

@@ -23,13 +23,12 @@ from casegrid.functions.prompt import NARRATIVE_FIELDS, PROMPT_VERSION
 from casegrid.operators.enrich import (
     ABSTAIN_CONFIDENCE,
     MATCH_CONFIDENCE,
-    MIN_TEXT_CHARS,
     OTHER_ACTION,
     OTHER_FACTOR,
     RULES,
     keyword_pattern,
-    SEVERITY_BOUNDS,
-    SEVERITY_BY_LENGTH,
+    SEVERITY_DEFAULT,
+    SEVERITY_WORDS,
 )
 from casegrid.plans.analogues import EVENT_SENTENCES, MODEL_NAME, RUN_TS, STATE_CODES
 
@@ -71,9 +70,8 @@ def rule_text_sql(txt: str) -> dict[str, str]:
     low = f"lower({txt})"
     cat = "CASE " + " ".join(f"WHEN regexp_matches({low}, {q(keyword_pattern(w))}) THEN {q(c)}" for c, w, _, _ in RULES) \
         + " ELSE 'other' END"
-    sev = "CASE " + " ".join(f"WHEN length({txt}) < {b} THEN {q(s)}"
-                             for b, s in zip(SEVERITY_BOUNDS, SEVERITY_BY_LENGTH)) \
-        + f" ELSE {q(SEVERITY_BY_LENGTH[-1])} END"
+    sev = "CASE " + " ".join(f"WHEN regexp_matches({low}, {q(keyword_pattern(w))}) THEN {q(tier)}"
+                             for tier, w in SEVERITY_WORDS) + f" ELSE {q(SEVERITY_DEFAULT)} END"
     return {"category": cat, "severity": sev}
 
 
@@ -117,7 +115,7 @@ raw_cases AS (
     'C-' || cast(o.o_orderkey as varchar) AS case_number,
     o.o_orderpriority AS job_description,
     substr(o.o_orderpriority, 1, 1) AS soc_code,
-    substr(o.o_orderpriority, 3, 100) AS soc_description,
+    substr(o.o_orderpriority, 3) AS soc_description,
     CASE WHEN o.o_orderstatus = 'P' THEN regexp_replace({sas}, '^0', '') ELSE {sas} END AS date_of_incident,
     CASE WHEN o.o_orderstatus = 'F' AND o.o_orderpriority = '1-URGENT' THEN {sas} END AS date_of_death,
     CASE WHEN o.o_orderpriority <> '5-LOW' THEN upper(strftime({created}, '%d%b%Y:%H:%M:%S')) END AS created_timestamp,
@@ -130,7 +128,7 @@ raw_cases AS (
     CASE WHEN o.o_orderstatus <> 'P' THEN '  ' || n.n_name || ' yard ' END AS new_incident_location,
     CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Order ' || o.o_orderpriority END AS new_incident_description,
     CASE WHEN o.o_orderstatus = 'F' THEN lower(c.c_mktsegment) END AS new_nar_before_incident,
-    CASE WHEN o.o_orderstatus <> 'P' OR o.o_orderpriority IN ('1-URGENT', '2-HIGH')
+    CASE WHEN o.o_orderstatus <> 'P' OR o.o_orderpriority IN ('1-URGENT', '2-HIGH') OR d.text IS NOT NULL
          THEN {sent} || coalesce(' ' || d.text, '') END AS new_nar_what_happened,
     CASE WHEN o.o_orderstatus = 'O' THEN '   ' WHEN o.o_orderstatus = 'F' THEN 'Bruised left hand' END AS new_nar_injury_illness,
     cast(NULL as varchar) AS new_nar_object_substance,
@@ -270,7 +268,6 @@ llm_enrichment AS (
     {q(PROMPT_VERSION)} AS prompt_version, {q(MODEL_NAME)} AS model_name,
     TIMESTAMP {q(RUN_TS)} AS enriched_at
   FROM (SELECT incident_id, {txt} AS txt FROM stg_cases) x
-  WHERE length(txt) >= {MIN_TEXT_CHARS}
 ),
 stg_enrichment AS (
   SELECT incident_id,

@@ -15,7 +15,10 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from casegrid.functions.clean import trim_to_null
+from casegrid.functions.parse import sas_timestamp
 from casegrid.functions.prompt import PROMPT_VERSION
 from casegrid.functions.reply import EVENT_CATEGORIES, SEVERITY_TIERS
 from casegrid.functions.lookup import EMPLOYEE_LABELS, EMPLOYEE_NULL_LABEL, LABEL_DEFAULT, OUTCOME_LABELS, OWNERSHIP_LABELS
@@ -34,9 +37,10 @@ from casegrid.operators.staging import (
     hot_establishments,
     join_enrichment,
     join_establishment,
+    rejects,
     stage_cases,
     stage_enrichment,
-    stage_establishments_counted,
+    stage_establishments,
 )
 from casegrid.sources.tables import read_or_empty, reload_table
 
@@ -47,19 +51,20 @@ MART_NAMES = ("dim_date", "dim_establishment", "dim_geography", "dim_industry",
 def build_models(raw: DataFrame, enrichment: DataFrame, strict: bool = True,
                  establishment_order: str = "text") -> dict[str, DataFrame]:
     cases = stage_cases(raw, strict)
-    counted = stage_establishments_counted(raw, establishment_order, strict)
-    establishments = counted.drop("n_cases")
-    joined = join_establishment(cases, establishments, hot_establishments(counted))
+    establishments = stage_establishments(raw, establishment_order, strict)
+    joined = join_establishment(cases, establishments, hot_establishments(cases))
     return models_from(cases, establishments, joined, enrichment)
 
 
 def models_from(cases, establishments, joined, enrichment) -> dict[str, DataFrame]:
-    enriched = join_enrichment(joined, stage_enrichment(enrichment))
+    staged = stage_enrichment(enrichment)
+    enriched = join_enrichment(joined, staged)
     fact = build_fact(enriched)
     industry = D.dim_industry(joined)
     return {
         "stg_cases": cases,
         "stg_establishments": establishments,
+        "stg_enrichment": staged,
         "int_joined": joined,
         "int_enriched": enriched,
         "dim_date": D.dim_date(joined),
@@ -72,46 +77,69 @@ def models_from(cases, establishments, joined, enrichment) -> dict[str, DataFram
     }
 
 
-def warehouse_checks(m: dict[str, DataFrame], min_coverage: float = 0.90) -> list[Q.Check]:
-    """The mart-layer suite: keys, foreign keys, accepted values, ranges,
-    row count and enrichment coverage."""
+#: Layer suites as data: (model, column) that must not be null, be unique,
+#: point to a parent, or hold listed values.
+SOURCE_NOT_NULL = (("raw_cases", "id"), ("raw_cases", "establishment_id"), ("llm_enrichment", "incident_id"))
+SOURCE_UNIQUE = (("raw_cases", "id"), ("llm_enrichment", "incident_id"))
+STAGING_NOT_NULL = (("stg_cases", "incident_id"), ("stg_cases", "establishment_id"),
+                    ("stg_establishments", "establishment_id"), ("stg_enrichment", "incident_id"))
+STAGING_UNIQUE = (("stg_cases", "incident_id"), ("stg_establishments", "establishment_id"),
+                  ("stg_enrichment", "incident_id"))
+INTERMEDIATE_NOT_NULL = (("int_joined", "incident_id"), ("int_joined", "establishment_id"),
+                         ("int_enriched", "incident_id"))
+INTERMEDIATE_UNIQUE = (("int_joined", "incident_id"), ("int_enriched", "incident_id"))
+MART_KEYS = (("dim_establishment", "establishment_id"), ("dim_industry", "industry_id"),
+             ("dim_geography", "geography_id"), ("dim_injury_type", "injury_type_id"),
+             ("dim_date", "date_id"), ("fct_incidents", "incident_id"), ("mart_llm_eval", "eval_id"))
+MART_NOT_NULL = (*MART_KEYS, ("mart_llm_eval", "sector"), ("mart_llm_eval", "severity_tier"),
+                 ("mart_llm_eval", "agreement_rate"))
+FOREIGN_KEYS = (("establishment_id", "dim_establishment"), ("industry_id", "dim_industry"),
+                ("geography_id", "dim_geography"), ("injury_type_id", "dim_injury_type"),
+                ("date_id", "dim_date"))
+ACCEPTED = (
+    ("stg_cases", "outcome_code", list(OUTCOME_LABELS)),
+    ("dim_establishment", "employee_size_bucket", [*EMPLOYEE_LABELS, EMPLOYEE_NULL_LABEL]),
+    ("dim_establishment", "ownership_type", [*OWNERSHIP_LABELS.values(), LABEL_DEFAULT]),
+    ("dim_injury_type", "outcome", [*OUTCOME_LABELS.values(), LABEL_DEFAULT]),
+    ("fct_incidents", "outcome_code", list(OUTCOME_LABELS)),
+    ("fct_incidents", "llm_severity_tier", list(SEVERITY_TIERS)),
+    ("fct_incidents", "llm_event_category", list(EVENT_CATEGORIES)),
+)
+ALL_NOT_NULL = (*SOURCE_NOT_NULL, *STAGING_NOT_NULL, *INTERMEDIATE_NOT_NULL, *MART_NOT_NULL)
+ALL_UNIQUE = (*SOURCE_UNIQUE, *STAGING_UNIQUE, *INTERMEDIATE_UNIQUE, *MART_KEYS)
+FRESH_DAYS = 90
+
+
+def warehouse_checks(m: dict[str, DataFrame], min_coverage: float = 0.90,
+                     as_of: datetime | None = None) -> list[Q.Check | Q.ScanCheck]:
+    """The suites of the layers that ``m`` holds: source, staging,
+    intermediate and marts.  Source freshness is checked where ``as_of`` is
+    given."""
     fact = m["fct_incidents"]
-    checks: list[Q.Check] = []
-    for name, key in (("dim_establishment", "establishment_id"), ("dim_industry", "industry_id"),
-                      ("dim_geography", "geography_id"), ("dim_injury_type", "injury_type_id"),
-                      ("dim_date", "date_id"), ("fct_incidents", "incident_id"),
-                      ("mart_llm_eval", "eval_id")):
-        df = m[name]
-        checks.append(Q.Check(f"{name}.{key}.not_null", lambda df=df, key=key: Q.not_null(df, key)))
-        checks.append(Q.Check(f"{name}.{key}.unique", lambda df=df, key=key: Q.unique(df, key)))
-    for fk, dim in (("establishment_id", "dim_establishment"), ("industry_id", "dim_industry"),
-                    ("geography_id", "dim_geography"), ("injury_type_id", "dim_injury_type"),
-                    ("date_id", "dim_date")):
-        checks.append(Q.Check(f"fct_incidents.{fk}.relationships",
-                              lambda fk=fk, dim=dim: Q.relationships(fact, fk, m[dim], fk)))
-    accepted = (
-        ("dim_establishment", "employee_size_bucket", [*EMPLOYEE_LABELS, EMPLOYEE_NULL_LABEL]),
-        ("dim_establishment", "ownership_type", [*OWNERSHIP_LABELS.values(), LABEL_DEFAULT]),
-        ("dim_injury_type", "outcome", [*OUTCOME_LABELS.values(), LABEL_DEFAULT]),
-        ("fct_incidents", "outcome_code", list(OUTCOME_LABELS)),
-        ("fct_incidents", "llm_severity_tier", list(SEVERITY_TIERS)),
-        ("fct_incidents", "llm_event_category", list(EVENT_CATEGORIES)),
-    )
-    for name, col, vals in accepted:
-        checks.append(Q.Check(f"{name}.{col}.accepted_values",
-                              lambda name=name, col=col, vals=vals: Q.accepted_values(m[name], col, vals)))
+    checks: list[Q.Check | Q.ScanCheck] = []
+    for name, col in ALL_NOT_NULL:
+        if name in m:
+            checks.append(Q.scan_not_null(f"{name}.{col}.not_null", m[name], col))
+    for name, col in ALL_UNIQUE:
+        if name in m:
+            checks.append(Q.Check(f"{name}.{col}.unique", lambda name=name, col=col: Q.unique(m[name], col)))
+    for fk, dim in FOREIGN_KEYS:
+        checks.append(Q.Check(f"fct_incidents.{fk}.relationships", lambda fk=fk, dim=dim: Q.relationships(
+            fact.select("incident_id", fk), fk, m[dim], fk)))
+    for name, col, vals in ACCEPTED:
+        if name in m:
+            checks.append(Q.scan_accepted(f"{name}.{col}.accepted_values", m[name], col, vals))
     checks += [
-        Q.Check("fct_incidents.days_away_from_work.between",
-                lambda: Q.between(fact, "days_away_from_work", 0, 365, "days_away_from_work is not null")),
-        Q.Check("mart_llm_eval.agreement_rate.between",
-                lambda: Q.between(m["mart_llm_eval"], "agreement_rate", 0, 1)),
-        Q.Check("mart_llm_eval.sector.not_null", lambda: Q.not_null(m["mart_llm_eval"], "sector")),
-        Q.Check("mart_llm_eval.severity_tier.not_null", lambda: Q.not_null(m["mart_llm_eval"], "severity_tier")),
-        Q.Check("mart_llm_eval.agreement_rate.not_null", lambda: Q.not_null(m["mart_llm_eval"], "agreement_rate")),
-        Q.Check("fct_incidents.row_count", lambda: Q.row_count(fact, min_value=1)),
-        Q.Check("int_enriched.coverage",
-                lambda: Q.coverage(m["int_enriched"], "llm_event_category", min_coverage)),
+        Q.scan_between("fct_incidents.days_away_from_work.between", fact, "days_away_from_work", 0, 365,
+                       "days_away_from_work is not null"),
+        Q.scan_between("mart_llm_eval.agreement_rate.between", m["mart_llm_eval"], "agreement_rate", 0, 1),
+        Q.scan_row_count("fct_incidents.row_count", fact),
+        Q.scan_coverage("int_enriched.coverage", m["int_enriched"], "llm_event_category", min_coverage),
     ]
+    if as_of is not None and "raw_cases" in m:
+        loaded = sas_timestamp(trim_to_null(F.col("created_timestamp")), strict=False)
+        checks.append(Q.scan_freshness("raw_cases.created_timestamp.freshness", m["raw_cases"], loaded, as_of,
+                                       FRESH_DAYS))
     return checks
 
 
@@ -122,14 +150,22 @@ class RunOutput:
     counters: dict
     report: list
     summary: dict
+    rejects: dict
 
 
 def run_warehouse(spark: SparkSession, raw: DataFrame, out_dir: str, state_dir: str | None = None,
                   classify: Classifier | None = None, run_ts: datetime | None = None,
                   model_name: str = "keyword-rules", prompt_version: str = PROMPT_VERSION,
-                  strict: bool = True, gate: bool = False, min_coverage: float = 0.90) -> RunOutput:
+                  strict: bool = True, gate: bool = True, min_coverage: float = 0.90,
+                  as_of: datetime | None = None, limit: int | None = None, calls: int | None = None,
+                  batches: int = 1, answers_path: str | None = None) -> RunOutput:
     """Run every layer, writing to ``out_dir``; incremental state comes from
-    ``state_dir`` (a previous run's ``out_dir``), absent state reads as empty."""
+    ``state_dir`` (a previous run's ``out_dir``), absent state reads as empty.
+
+    A failed check of error severity ends the run (``gate=False`` only
+    reports).  Lenient typing (``strict=False``) counts what it could not
+    parse in ``RunOutput.rejects``.  ``limit``, ``calls``, ``batches`` and
+    ``answers_path`` are those of ``enrich``."""
     if state_dir and os.path.abspath(state_dir) == os.path.abspath(out_dir):
         raise ValueError("out_dir must differ from state_dir: a run never overwrites what it reads")
     classify = classify or rule_classifier()
@@ -144,22 +180,31 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, out_dir: str, state_dir:
         else spark.createDataFrame([], CACHE_SCHEMA)
     target = read_or_empty(spark, os.path.join(state_dir, "llm_enrichment"), ENRICHMENT_SCHEMA) if state_dir \
         else spark.createDataFrame([], ENRICHMENT_SCHEMA)
-    result = enrich(cases, cache, target, classify, run_ts, model_name, prompt_version)
+    rejected = {k: v for k, v in rejects(raw_t).first().asDict().items() if v} if not strict else {}
+    result = enrich(cases, cache, target, classify, run_ts, model_name, prompt_version, limit=limit, calls=calls,
+                    batches=batches, answers_path=answers_path)
     reload_table(result.target, p("llm_enrichment"))
     reload_table(result.cache, p("llm_cache"))
     counters = result.counters.first().asDict()
 
-    counted = stage_establishments_counted(raw_t, "text", strict)
-    establishments = counted.drop("n_cases")
+    establishments = stage_establishments(raw_t, "text", strict)
     joined_path = p("int_incidents__joined")
-    reload_table(join_establishment(cases, establishments, hot_establishments(counted)), joined_path)
+    reload_table(join_establishment(cases, establishments, hot_establishments(cases)), joined_path)
     joined = spark.read.parquet(joined_path)
     marts = models_from(cases, establishments, joined, spark.read.parquet(p("llm_enrichment")))
+    stored = dict(marts)
     for name in MART_NAMES:
-        reload_table(marts[name], p(name))
-    stored = {k: (spark.read.parquet(p(k)) if k in MART_NAMES else v) for k, v in marts.items()}
-
-    report_df = Q.report(warehouse_checks(stored, min_coverage))
+        if name == "fct_incidents":  # date queries read the years they need
+            fact = marts[name].withColumn("incident_year", F.year("incident_date"))
+            reload_table(fact, p(name), ["incident_year"])
+        elif name == "mart_llm_eval":
+            reload_table(eval_mart(stored["fct_incidents"], stored["dim_industry"]), p(name))
+        else:
+            reload_table(marts[name], p(name))
+        stored[name] = spark.read.parquet(p(name))
+    stored |= {"raw_cases": raw_t, "llm_enrichment": spark.read.parquet(p("llm_enrichment"))}
+
+    report_df = Q.report(warehouse_checks(stored, min_coverage, as_of))
     report = Q.gate(report_df) if gate else report_df.collect()
     summary = run_summary(stored["fct_incidents"], stored["mart_llm_eval"]).first().asDict()
-    return RunOutput(out_dir, raw_rows, counters, [r.asDict() for r in report], summary)
+    return RunOutput(out_dir, raw_rows, counters, [r.asDict() for r in report], summary, rejected)

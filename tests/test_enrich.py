@@ -69,10 +69,10 @@ def test_second_run_is_all_cache_hits(spark):
 
 
 def test_failed_row_keeps_older_enrichment(spark):
-    s = staged(spark, [("a", "hi", "W")])  # too short for the rules
+    s = staged(spark, [("a", "hi", "W")])
     old = spark.createDataFrame([("a", "f", "minor", "other", "p", 0.3, "v1", "old", TS)],
                                 empty_enrichment(spark).schema)
-    res = enrich(s, empty_cache(spark), old, rule_classifier(), TS, "m")
+    res = enrich(s, empty_cache(spark), old, fixed_reply('{"broken'), TS, "m")
     assert counters(res)["rows_failed"] == 1
     assert [r.model_name for r in res.target.collect()] == ["old"]
 
@@ -94,8 +94,8 @@ def test_pandas_classifier_retries_and_isolates(spark):
     s = staged(spark, [("a", "flaky text", "W"), ("b", "boom text", "W"), ("c", "fine text", "W")])
     classify = pandas_classifier(make_client, call, base_seconds=0.0)
     res = enrich(s, empty_cache(spark), empty_enrichment(spark), classify, TS, "m")
-    rows = {r.incident_id: r.status for r in res.rows.collect()}
-    assert rows == {"a": "classified", "b": "failed", "c": "classified"}
+    rows = {r.incident_id: (r.status, r.cause) for r in res.rows.collect()}
+    assert rows == {"a": ("classified", None), "b": ("failed", "ValueError: bad request"), "c": ("classified", None)}
 
 
 def test_cache_key_can_include_the_sector(spark):
@@ -108,8 +108,8 @@ def test_cache_key_can_include_the_sector(spark):
 
 
 def test_model_called_once_per_distinct_text(spark):
-    """The replies are cut by a reliable checkpoint: reading the rows, the
-    target, the cache and the counters of one run never calls the model again."""
+    """The answers are stored: reading the rows, the target, the cache and the
+    counters of one run never calls the model again."""
     calls = spark.sparkContext.accumulator(0)
 
     def call(client, prompt):
@@ -124,3 +124,80 @@ def test_model_called_once_per_distinct_text(spark):
     assert res.target.count() == 4 and res.cache.count() == 3
     assert counters(res)["texts_classified"] == 3
     assert calls.value == 3
+
+
+def test_every_text_is_answered_from_its_content(spark):
+    from casegrid.operators.enrich import with_rule_reply
+    texts = {"": ("minor", "other"), "x": ("minor", "other"), "he died": ("severe", "other"),
+             "a" * 9000: ("minor", "other"), "Fell. Broken arm, then swelling": ("serious", "fall_slip_trip"),
+             "padding " * 3000 + "sprained at the press": ("moderate", "contact_with_equipment")}
+    import json
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in with_rule_reply(df, "t").collect():
+        got = json.loads(r.reply)
+        assert (got["severity_tier"], got["event_category"]) == texts[r.t]
+
+
+def test_waits_double_up_to_the_cap():
+    from casegrid.operators.enrich import waits
+    for bound, w in zip((1, 2, 4, 5, 5), waits(5, 1.0, 5.0)):
+        assert 0 <= w <= bound
+    assert list(waits(0, 1.0, 5.0)) == []
+
+
+def test_transient_errors_run_out(spark):
+    from casegrid.operators.enrich import ask
+    seen = []
+
+    def call(client, prompt):
+        seen.append(prompt)
+        raise TimeoutError("slow")
+
+    assert ask(call, None, "p", iter([0.0, 0.0]), (TimeoutError,)) == (None, "TimeoutError: slow")
+    assert len(seen) == 3
+
+
+def test_a_restart_asks_only_for_unanswered_texts(spark, tmp_dir):
+    import pytest
+    s = staged(spark, [(f"i{k}", f"text number {k}", "W") for k in range(12)])
+    calls = spark.sparkContext.accumulator(0)
+    path = f"{tmp_dir}/answers"
+
+    def dies(requests):
+        """Breaks the run off at its third batch."""
+        dies.n = getattr(dies, "n", 0) + 1
+        reply = F.lit(VALID) if dies.n < 3 else F.raise_error(F.lit("gone")).cast("string")
+        return requests.withColumn("reply", reply)
+
+    with pytest.raises(Exception):  # noqa: B017 - Spark's own error
+        enrich(s, empty_cache(spark), empty_enrichment(spark), dies, TS, "m", batches=4, answers_path=path)
+    stored = spark.read.parquet(path).count()
+    assert 0 < stored < 12
+
+    def call(client, prompt):
+        calls.add(1)
+        return VALID
+
+    res = enrich(s, empty_cache(spark), empty_enrichment(spark),
+                 pandas_classifier(lambda: None, call, base_seconds=0.0), TS, "m", batches=4, answers_path=path)
+    assert counters(res)["rows_succeeded"] == 12 and calls.value == 12 - stored
+    assert res.cache.count() == 12
+
+
+def test_limit_takes_the_first_ids(spark):
+    s = staged(spark, [(f"i{k}", f"text {k}", "W") for k in range(9)])
+    res = enrich(s, empty_cache(spark), empty_enrichment(spark), fixed_reply(VALID), TS, "m", limit=4)
+    assert sorted(r.incident_id for r in res.rows.collect()) == ["i0", "i1", "i2", "i3"]
+
+
+def test_requests_carry_instructions_and_use_the_asked_parallelism(spark):
+    s = staged(spark, [(f"i{k}", f"text {k}", "W") for k in range(20)])
+    seen = {}
+
+    def classify(requests):
+        seen["columns"] = requests.columns
+        seen["partitions"] = requests.rdd.getNumPartitions()
+        return requests.withColumn("reply", F.lit(VALID))
+
+    enrich(s, empty_cache(spark), empty_enrichment(spark), classify, TS, "m", calls=5)
+    assert seen["partitions"] == 5 and {"instructions", "prompt", "rep_id"} <= set(seen["columns"])

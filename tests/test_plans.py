@@ -54,3 +54,48 @@ def test_star_rollup_aggregates_before_dimension_joins(spark):
 
 def test_sample_is_a_bounded_top_n(spark):
     assert "TakeOrderedAndProject" in plan(E.queries()["sample_n"](spark, SF))
+
+
+def test_check_suite_scans_a_table_once_for_its_row_checks(spark):
+    from casegrid.operators import quality as Q
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    checks = [Q.scan_not_null("a", li, "l_orderkey"), Q.scan_between("b", li, "l_quantity", 1, 40),
+              Q.scan_accepted("c", li, "l_returnflag", ["R"]), Q.scan_row_count("d", li, 1),
+              Q.scan_coverage("e", li, "l_quantity", 0.9)]
+    report = Q.report(checks)
+    tree = plan(report).split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1
+    rows = {r.check_name: r.violations for r in report.collect()}
+    assert rows["a"] == 0 and rows["d"] == 0 and rows["e"] == 0
+    assert rows["b"] == Q.between(li, "l_quantity", 1, 40).count()
+    assert rows["c"] == Q.accepted_values(li, "l_returnflag", ["R"]).count()
+    empty = {r.check_name: r.passed for r in Q.report(
+        [Q.scan_row_count("d", li.limit(0), 1), Q.scan_coverage("e", li.limit(0), "l_quantity")]).collect()}
+    assert empty == {"d": False, "e": True}
+
+
+def test_eval_mart_aggregates_before_the_industry_join(spark):
+    tree = plan(E.queries()["eval_mart"](spark, SF)).split("\n\n")[0].split("\n")
+    join = next(i for i, ln in enumerate(tree) if "Join" in ln)
+    below = [ln for ln in tree[join:] if "HashAggregate" in ln]
+    assert any("HashAggregate" in ln for ln in tree[:join]) and below
+
+
+def test_no_text_below_the_cache_anti_join(spark):
+    """Misses are found on ids and hashes; the text is fetched afterwards."""
+    from pyspark.sql import functions as F
+
+    from casegrid.operators.enrich import empty_enrichment, enrich
+    from casegrid.plans.documents import prior_cache, staged_documents
+    from datetime import datetime
+    staged = staged_documents(spark, SF)
+    plans = []
+
+    def classify(requests):
+        plans.append(plan(requests))
+        return requests.withColumn("reply", F.lit(None).cast("string"))
+
+    enrich(staged, prior_cache(spark, staged), empty_enrichment(spark), classify, datetime(2025, 1, 1), "m")
+    tree = plans[0].split("\n\n")[0]
+    assert "LeftAnti" not in tree  # the misses come from a stored narrow table
+    assert any("content_hash:string,rep_id:string" in ln for ln in plans[0].split("\n") if "ReadSchema" in ln)

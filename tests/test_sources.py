@@ -61,3 +61,71 @@ def test_write_then_read_text_csv_round_trip(spark, tmp_dir):
     write_text_csv(df, path, encoding="ISO-8859-1")
     back = sorted(tuple(r) for r in read_text_csv(spark, path).collect())
     assert back == [("1", 'a "quoted"\nline', "€"), ("2", None, "x")]
+
+
+def export(tmp_dir, **files):
+    os.makedirs(tmp_dir, exist_ok=True)
+    for name, body in files.items():
+        with open(os.path.join(tmp_dir, f"{name}.csv"), "w") as fh:
+            fh.write(body)
+    return tmp_dir
+
+
+def test_files_with_other_column_orders_keep_their_fields(spark, tmp_dir):
+    path = export(tmp_dir, a="id,name,zip\n1,x,07\n2,\"y\nz\",08\n", b="zip,id,name\n09,7,q\n", c="")
+    got = sorted(tuple(r) for r in read_text_csv(spark, path, "UTF-8").select("id", "name", "zip").collect())
+    assert got == [("1", "x", "07"), ("2", "y\nz", "08"), ("7", "q", "09")]
+
+
+def test_ragged_rows_fail_or_are_kept_apart(spark, tmp_dir):
+    path = export(tmp_dir, a="id,name\n1,x\n2,y,extra\n3\n4,z\n")
+    with pytest.raises(Exception):  # noqa: B017 - Spark's own error
+        read_text_csv(spark, path, "UTF-8").collect()
+    with pytest.raises(Exception):  # noqa: B017 - also when no column is read
+        read_text_csv(spark, path, "UTF-8").select("id").collect()
+    rows = sorted((tuple(r) for r in read_text_csv(spark, path, "UTF-8", malformed="keep").collect()), key=str)
+    assert rows == [("1", "x", None), ("4", "z", None), (None, None, "2,y,extra"), (None, None, "3")]
+
+
+def test_files_that_disagree_are_an_error(spark, tmp_dir):
+    with pytest.raises(ValueError):
+        read_text_csv(spark, export(os.path.join(tmp_dir, "x"), a="id,name\n1,x\n", b="id,town\n1,x\n"))
+    with pytest.raises(ValueError):
+        read_text_csv(spark, export(os.path.join(tmp_dir, "y"), a=""))
+
+
+def test_sample_as_csv(spark, tmp_dir):
+    from casegrid.sources.text_csv import sample_as_csv
+    df = spark.createDataFrame([(str(k), f"text, {k}" if k % 2 else None) for k in range(20)], "id string, nar string")
+    got = sample_as_csv(df, ["nar"], 4, 1, "id", os.path.join(tmp_dir, "s")).collect()
+    assert len(got) == 4 and all(r.nar == f"text, {r.id}" for r in got)
+    with pytest.raises(ValueError):
+        sample_as_csv(df.where("nar is null"), ["nar"], 4, 1, "id", os.path.join(tmp_dir, "t"))
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from casegrid.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.dir = master, None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, path):
+            self.dir = path
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext, self.conf = Context(master), Conf()
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://https://host"):
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(Session(master))
+    for master in ("local", "local[4]", "local[*]"):
+        assert ensure_checkpoint_dir(Session(master))

@@ -136,3 +136,29 @@ def test_row_without_narrative_is_dropped(spark):
         F.col("new_incident_location")))
     from casegrid.operators.staging import stage_cases
     assert stage_cases(raw).count() == 4
+
+
+def test_a_failing_check_ends_the_run_by_default(spark, tmp_dir):
+    import pytest
+
+    from casegrid.operators.quality import QualityGateError
+    raw = raw_fixture(spark).withColumn("dafw_num_away", F.lit("999"))
+    with pytest.raises(QualityGateError):
+        run_warehouse(spark, raw, os.path.join(tmp_dir, "bad"), classify=fixture_classifier(spark))
+    out = run_warehouse(spark, raw, os.path.join(tmp_dir, "seen"), classify=fixture_classifier(spark), gate=False)
+    assert [r["check_name"] for r in out.report if not r["passed"]] == ["fct_incidents.days_away_from_work.between"]
+    names = {r["check_name"] for r in out.report}
+    assert {"raw_cases.id.unique", "stg_enrichment.incident_id.unique", "int_joined.establishment_id.not_null"} <= names
+
+
+def test_lenient_typing_counts_what_it_rejects(spark, tmp_dir):
+    raw = raw_fixture(spark).withColumn(
+        "date_of_incident", F.when(F.col("id") == "101", F.lit("soon")).otherwise(F.col("date_of_incident")))
+    out = run_warehouse(spark, raw, os.path.join(tmp_dir, "run"), classify=fixture_classifier(spark), gate=False,
+                        strict=False)
+    assert out.rejects == {"date_of_incident": 1}
+
+
+def test_fact_is_stored_by_year(spark, tmp_dir):
+    out = run_warehouse(spark, raw_fixture(spark), os.path.join(tmp_dir, "run"), classify=fixture_classifier(spark))
+    assert any(d.startswith("incident_year=2024") for d in os.listdir(os.path.join(out.out_dir, "fct_incidents")))
