@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text whose distinct words are looked up together.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 12 << 20
 
 
 @lru_cache(maxsize=2)

@@ -1,0 +1,111 @@
+import random
+from collections import Counter
+
+from llm_fixtures import prose
+
+from casegrid.llm import substring_dedup as U
+
+
+def slow_hash(text):
+    h, out = 0, []
+    for b in text:
+        h = ((h << 1) + int(U.GEAR[b])) & 0xFFFF
+        out.append(h)
+    return out
+
+
+def words_from(text, s, e):
+    gap = b" \t\n\x0b\x0c\r"
+    return sum(text[k] not in gap and (k == 0 or text[k - 1] in gap) for k in range(s, e))
+
+
+def slow(rows):
+    """rows: (doc_id, text) -> (doc_id, text left), by comparing chunk bytes."""
+    docs = sorted({(-(1 << 63) if i is None else i, t or "") for i, t in rows})
+    places = {}
+    for i, t in docs:
+        raw, at = t.encode(), 0
+        for e in U.chunk_ends(raw):
+            places.setdefault(raw[at:e], []).append((i, t, at, e))
+            at = e
+    low = {c: min(p)[0] for c, p in places.items()}
+    gone = {}
+    for c, p in places.items():
+        home = set()
+        for i, t, s, e in sorted(p):
+            if len(p) > 1 and (i != low[c] or (i, t) in home):
+                gone.setdefault((i, t), []).append((s, e))
+            home.add((i, t))
+    out = []
+    for i, t in rows:
+        raw, runs = (t or "").encode(), []
+        for s, e in sorted(gone.get((-(1 << 63) if i is None else i, t or ""), [])):
+            if runs and runs[-1][1] == s:
+                runs[-1][1] = e
+            else:
+                runs.append([s, e])
+        at, kept = 0, []
+        for s, e in runs:
+            if words_from(raw, s, e) < U.MIN_RUN_WORDS:
+                continue
+            while s < e and raw[s] & 0xC0 == 0x80:
+                s += 1
+            while e > s and e < len(raw) and raw[e] & 0xC0 == 0x80:
+                e -= 1
+            kept.append(raw[at:s])
+            at = e
+        out.append((i, b"".join([*kept, raw[at:]]).decode()))
+    return out
+
+
+def test_gear_hash_equals_its_recurrence():
+    text = bytes(random.Random(1).choices(range(256), k=500))
+    assert U.gear_hashes(text).tolist() == slow_hash(text)
+    assert U.chunk_ends(b"") == []
+
+
+def test_chunks_cover_and_keep_their_bounds():
+    rng = random.Random(2)
+    for text in (prose(rng, 400).encode(), b"a" * 1000, b"ab", bytes(rng.choices(range(256), k=3000))):
+        ends = U.chunk_ends(text)
+        sizes = [e - s for s, e in zip([0, *ends], ends)]
+        assert ends[-1] == len(text) and max(sizes) <= U.MAX_CHUNK and min(sizes[:-1], default=99) >= U.MIN_CHUNK
+
+
+def test_insertion_moves_few_chunks():
+    rng = random.Random(3)
+    text = prose(rng, 800).encode()
+    cut = lambda t: Counter(t[s:e] for s, e in zip([0, *U.chunk_ends(t)], U.chunk_ends(t)))
+    one, two = cut(text), cut(b"some bytes put in " + text[:3000] + b"!" + text[3000:])
+    assert (one & two).total() >= 0.9 * one.total()
+
+
+def test_edge_rows(edge_docs, no_docs):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
+    got = U.dedup_substrings(edge_docs).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(slow(rows))
+    assert U.dedup_substrings(no_docs).count() == 0
+
+
+def test_planted_passages_go_and_clean_texts_stay(spark):
+    rng = random.Random(4)
+    passages = [prose(rng, 55) for _ in range(6)]
+    rows, planted = [], {}
+    for i in range(120):
+        words = prose(rng, rng.randrange(60, 200)).split()
+        if i % 2:
+            k = rng.randrange(6)
+            words.insert(rng.randrange(len(words)), passages[k])
+            planted.setdefault(k, []).append(i)
+        rows.append((i, " ".join(words)))
+    got = {r["doc_id"]: r for r in U.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    later = {i for p in planted.values() for i in p[1:]}
+    assert all((got[i]["removed_words"] > 0) == (i in later) for i, _ in rows)
+    assert all(got[i]["text"] == t for i, t in rows if i not in later)
+
+
+def test_query(spark):
+    from casegrid.llm.queries import op2_substring_dedup
+    sf = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert Counter((r["doc_id"], r["text"]) for r in op2_substring_dedup(spark, sf).collect()) == Counter(slow(rows))
