@@ -90,6 +90,8 @@ def _marked(docs: DataFrame) -> DataFrame:
     many = (chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"),
                                         F.max(place).alias("last"))
             .where(F.col("first") != F.col("last")).select("chunk", "first"))
+    # stored, so that the join below deals both sides out itself and splits a chunk that is everywhere
+    many = materialise(many, "line-repeats")
     spans = (chunks.join(many, "chunk").groupBy("id", "digest")
              .agg(F.sort_array(F.collect_set(F.struct(
                  "start", "stop", "chunk", place.eqNullSafe(F.col("first")).alias("stays")))).alias("spans")))
