@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casegrid.llm.common import texts_of
+from casegrid.session import materialise
 
 MIN_CHUNK, MAX_CHUNK, MASK_BITS = 16, 256, 5
 MIN_RUN_WORDS = 16
@@ -115,6 +116,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     low = F.coalesce(F.col("id"), F.lit(-(1 << 63)))  # a null doc_id orders first
     many = (chunks.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"), F.min(low).alias("low"))
             .where("n > 1").select("one", "two", "low"))
+    # stored, so that the join below deals both sides out itself and splits a chunk that is everywhere
+    many = materialise(many, "substring-repeats")
     hits = chunks.join(many, ["one", "two"]).select(
         "id", "key", "start", "stop", "words", "one", "two", (low == F.col("low")).alias("home"))
     per = hits.groupBy("id", "key").agg(F.collect_set(
