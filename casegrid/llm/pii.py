@@ -22,7 +22,7 @@ IP = r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"
 CARD_RUN = r"[0-9][\x20\x2d0-9]*[0-9]"
 CARD_BREAK = r"[\x20\x2d]{2,}"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}"
 KINDS = ("email", "ip", "card", "phone", "iban")
 #: Words before a span that speak for its kind, or against any.
 CONTEXT = {
@@ -34,6 +34,8 @@ CONTEXT = {
 }
 AGAINST = "example|sample|dummy|test|version|isbn|order"
 CONTEXT_CHARS = 40
+#: What may stand before a context word; the against words also end there.
+EDGE = "(?:^|[^a-z0-9])"
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9}
 STEP_UP, STEP_DOWN = 0.1, 0.2
 
@@ -72,7 +74,9 @@ def mod97(match: Column) -> Column:
         .otherwise((r * 100 + F.ascii(c) - 55) % 97))
 
 
-def confirmed(kind: str, match: Column) -> Column:
+def confirmed(kind: str, match: Column, before: Column, after: Column) -> Column:
+    """Whether a match is valid; ``before`` and ``after`` are the signs beside
+    it (empty at either end of the text)."""
     if kind == "ip":
         def small(x: Column) -> Column:
             value = F.regexp_replace(x, "^0+", "")
@@ -84,7 +88,8 @@ def confirmed(kind: str, match: Column) -> Column:
     if kind == "phone":
         return F.length(digits(match)).between(9, 15)
     if kind == "iban":
-        return F.length(F.regexp_replace(match, " ", "")).between(15, 34) & (mod97(match) == 1)
+        free = ~before.rlike("[A-Za-z0-9]") & ~after.rlike("[A-Za-z0-9]")
+        return free & F.length(F.regexp_replace(match, " ", "")).between(15, 34) & (mod97(match) == 1)
     return F.lit(True)
 
 
@@ -99,7 +104,7 @@ def proposals(text: Column, kind: str) -> Column:
     if kind == "phone":
         return F.when(text.rlike(r"\+[0-9]"), spans_of(text, PHONE)).otherwise(none)
     if kind == "iban":
-        return F.when(text.rlike("[A-Z]{2}[0-9]{2}"), spans_of(text, IBAN)).otherwise(none)
+        return F.when(text.rlike(IBAN), spans_of(text, IBAN)).otherwise(none)
     # card: runs of digits and separators, cut where two separators meet;
     # plain character classes, so a run of any length needs no recursion
     runs = F.filter(spans_of(text, CARD_RUN), lambda x: x["stop"] - x["start"] >= 12)
@@ -127,7 +132,7 @@ def _between(text: Column, pattern: str) -> Column:
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """``(id, digest, text, spans)`` per row; ``spans`` is an array of
-    ``(start, stop, kind_no, kind, match, score)`` by start and kind.
+    ``(start, kind_no, stop, kind, match, score)`` by start and kind.
 
     Defined cases: a null text counts as empty and has no spans; spans of
     different kinds may overlap; a match that its validator rejects is
@@ -137,9 +142,13 @@ def find_pii(docs: DataFrame) -> DataFrame:
     rows = keyed(docs).select("id", "digest", F.coalesce(F.col("row.text").cast("string"), F.lit("")).alias("text"))
     proposed = rows.select("id", "digest", "text", *[proposals(F.col("text"), k).alias(k) for k in KINDS])
 
+    def beside(x: Column) -> tuple[Column, Column]:
+        before = F.when(x["start"] > 0, F.substring(F.col("text"), x["start"], F.lit(1))).otherwise("")
+        return before, F.substring(F.col("text"), x["stop"] + 1, F.lit(1))
+
     def sure(n: int, kind: str) -> Column:
-        return F.transform(F.filter(kind, lambda x: confirmed(kind, x["match"])), lambda x: F.struct(
-            x["start"].alias("start"), x["stop"].alias("stop"), F.lit(n).alias("kind_no"),
+        return F.transform(F.filter(kind, lambda x: confirmed(kind, x["match"], *beside(x))), lambda x: F.struct(
+            x["start"].alias("start"), F.lit(n).alias("kind_no"), x["stop"].alias("stop"),
             F.lit(kind).alias("kind"), x["match"].alias("match")))
 
     found = proposed.select("id", "digest", "text", F.flatten(F.array(*[sure(n, k) for n, k in enumerate(KINDS)])).alias("found"))
@@ -148,9 +157,9 @@ def find_pii(docs: DataFrame) -> DataFrame:
         low = F.greatest(x["start"] - CONTEXT_CHARS, F.lit(0))
         near = F.lower(F.substring(F.col("text"), low + 1, x["start"] - low))
         score = sum((F.when(x["kind"] == k, F.lit(PRIOR[k]) + F.when(
-            near.rlike(rf"\b(?:{CONTEXT[k]})"), STEP_UP).otherwise(0.0)).otherwise(0.0) for k in KINDS), F.lit(0.0))
-        score = score - F.when(near.rlike(rf"\b(?:{AGAINST})\b"), STEP_DOWN).otherwise(0.0)
-        return F.struct(x["start"], x["stop"], x["kind_no"], x["kind"], x["match"], F.round(score, 2).alias("score"))
+            near.rlike(f"{EDGE}(?:{CONTEXT[k]})"), STEP_UP).otherwise(0.0)).otherwise(0.0) for k in KINDS), F.lit(0.0))
+        score = score - F.when(near.rlike(f"{EDGE}(?:{AGAINST})(?:$|[^a-z0-9])"), STEP_DOWN).otherwise(0.0)
+        return F.struct(x["start"], x["kind_no"], x["stop"], x["kind"], x["match"], F.round(score, 2).alias("score"))
 
     return found.select("id", "digest", "text",
                         F.array_sort(F.transform("found", scored)).alias("spans"))

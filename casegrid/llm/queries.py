@@ -117,6 +117,59 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("spans", lambda x: x["score"].cast("string")), ",").alias("scores"))
 
 
+def _op8_sql() -> str:
+    """The same in DuckDB: matches and the pieces between them give places."""
+    def places(kind_no: int, pattern: str) -> str:
+        return f"""
+  SELECT doc_id, t, {kind_no} AS kind_no, m[i] AS w, cast(coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0)
+      + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS bigint) AS s
+  FROM (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS p
+        FROM docs) x, unnest(range(1, len(m) + 1)) u(i)"""
+
+    card = r"[0-9](?:[\x20-]?[0-9])+"
+    found = " UNION ALL ".join(places(n, x) for n, x in enumerate((pii.EMAIL, pii.IP, card, pii.PHONE, pii.IBAN)))
+    near = "lower(substr(t, greatest(s - 40, 0) + 1, s - greatest(s - 40, 0)))"
+    prior = " ".join(f"WHEN {n} THEN {pii.PRIOR[k]}" for n, k in enumerate(pii.KINDS))
+    words = " ".join(f"WHEN {n} THEN regexp_matches({near}, '{pii.EDGE}(?:{pii.CONTEXT[k]})')"
+                     for n, k in enumerate(pii.KINDS))
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({found}),
+typed AS (
+  SELECT *, s + length(w) AS e, regexp_replace(w, '[^0-9]', '', 'g') AS d, replace(w, ' ', '') AS a FROM found
+),
+sure AS (
+  SELECT *, {list(pii.KINDS)}[kind_no + 1] AS kind,
+    round((CASE kind_no {prior} END) + CASE WHEN (CASE kind_no {words} END) THEN {pii.STEP_UP} ELSE 0 END
+      - CASE WHEN regexp_matches({near}, '{pii.EDGE}(?:{pii.AGAINST})(?:$|[^a-z0-9])') THEN {pii.STEP_DOWN} ELSE 0 END, 2)
+      AS score
+  FROM typed WHERE CASE kind_no
+    WHEN 1 THEN list_bool_and(list_transform(string_split(w, '.'), lambda x: cast(x AS hugeint) <= 255))
+    WHEN 2 THEN length(d) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(d) + 1), lambda k:
+        CASE WHEN (length(d) - k) % 2 = 0 THEN cast(substr(d, k, 1) AS int)
+             WHEN cast(substr(d, k, 1) AS int) > 4 THEN 2 * cast(substr(d, k, 1) AS int) - 9
+             ELSE 2 * cast(substr(d, k, 1) AS int) END)) % 10 = 0
+    WHEN 3 THEN length(d) BETWEEN 9 AND 15
+    WHEN 4 THEN length(a) BETWEEN 15 AND 34
+      AND NOT regexp_matches(substr(t, s, CASE WHEN s > 0 THEN 1 ELSE 0 END), '[A-Za-z0-9]')
+      AND NOT regexp_matches(substr(t, e + 1, 1), '[A-Za-z0-9]')
+      AND list_reduce(list_prepend(0, list_transform(string_split(substr(a, 5) || substr(a, 1, 4), ''),
+        lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)),
+        lambda r, v: CASE WHEN v < 10 THEN (r * 10 + v) % 97 ELSE (r * 100 + v) % 97 END) = 1
+    ELSE true END
+),
+per AS (
+  SELECT doc_id, kind_no, s, kind || ':' || s || ':' || e AS span, score FROM sure
+)
+SELECT d.doc_id, count(*) FILTER (WHERE kind_no = 0) AS n_email, count(*) FILTER (WHERE kind_no = 1) AS n_ip,
+  count(*) FILTER (WHERE kind_no = 2) AS n_card, count(*) FILTER (WHERE kind_no = 3) AS n_phone,
+  sha256(coalesce(string_agg(span, ',' ORDER BY s, kind_no) FILTER (WHERE kind_no < 4), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY s, kind_no), '') AS spans,
+  count(*) FILTER (WHERE kind_no = 4) AS n_iban,
+  coalesce(string_agg(cast(score AS varchar), ',' ORDER BY s, kind_no), '') AS scores
+FROM documents d LEFT JOIN per p ON d.doc_id = p.doc_id GROUP BY d.doc_id"""
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated chunks of lines; ``spans`` are the
     byte ranges that went."""
@@ -135,4 +188,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_substring_dedup, op3_warc, op4_decontamination, op5_packing, op6_fingerprints,
     op7_token_matrices, op8_pii, op9_line_dedup, op10_simhash)}
-SQL = {"op3_warc": OP3_SQL}
+SQL = {"op3_warc": OP3_SQL, "op8_pii": _op8_sql()}

@@ -14,7 +14,7 @@ ODD = ["", None, "a@b.c..d@e.f x@y", "1.2.3.4.5.6.7.8 999.1.1.1 0000001.2.3.255
        "4111 1111 1111 1111  4111-1111-1111-1111 4111  1111", "\U0001F600é 4111111111111111 +1 (555) 123-4567 +12 3",
        "1 " * 3000 + "4111111111111111", "7" * 20000, "++1 2345678 9", "1.2.3.4\n+1 2 3 4 5 6 7 8 9 a.b@c.d.e-f",
        "é" * 10 + "a@b.co,x@y.zz", "12345678901234567890123", "0.0.0.0", "1-2-3-4-5-6-7-8-9-0-1-2-3-4-5-6",
-       "+1-23456789-", "99999999999999999999.1.1.1", "4111 1111 1111 1111" * 2, "+123456789 +1234567890123456"]
+       "+1-23456789-", "99999999999999999999.1.1.1", "4111 1111 1111 1111" * 2, "+123456789 +1234567890123456", "1.2.3.4@x.yz", "a+1 555 123 4567@b.c 1.1.1.1"]
 
 
 def luhn(text):
