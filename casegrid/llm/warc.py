@@ -35,6 +35,8 @@ from casegrid.session import materialise, scratch_path
 MIN_REVISIT_BYTES = 100
 #: Ranges of an archive this near are read at once, up to this much.
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
+#: Archive bytes that one task reads back.
+TASK_BYTES = 32 << 20
 _DATE = "1970-01-01T00:00:00Z"
 INDEX = ("record_id long, archive string, offset long, length long, url string, payload_digest string, "
          "payload_bytes long, record_type string, refers_to long")
@@ -208,7 +210,10 @@ def read_records(index: DataFrame) -> DataFrame:
         if source is not None:
             source.close()
 
-    dealt = (index.select("archive", "offset", "length").repartitionByRange("archive", "offset")
+    rows = index.select("archive", "offset", "length")
+    # index rows are small, what they point to is not: tasks by the bytes to read
+    total = rows.agg(F.sum("length")).first()[0] or 0
+    dealt = (rows.repartitionByRange(total // TASK_BYTES + 1, "archive", "offset")
              .sortWithinPartitions("archive", "offset"))
     return dealt.mapInArrow(run, READ)
 
