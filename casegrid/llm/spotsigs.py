@@ -119,49 +119,54 @@ def in_order_with_next(docs: DataFrame, parts: int | None = None) -> tuple[DataF
     return rows, len(heads)
 
 
-SCHEMA = "doc_id long, text string, edited string, sig binary, edited_sig binary, next_sig binary"
+SCHEMA = ("doc_id long, text string, edited string, fingerprint string, edited_fingerprint string, "
+          "near_edited double, near_next double")
+#: Rows taken from a batch at a time, and text held before rows are handed on.
+ROWS_AT_ONCE, HELD_BYTES = 128, 1 << 20
 
 
-def with_edited(docs: DataFrame) -> DataFrame:
-    """Per document its text, its *edited* text and their fingerprints.
+def fingerprinted(docs: DataFrame, least: float = 0.0) -> DataFrame:
+    """Per document its text, its *edited* text, the fingerprints of both as
+    text, and how like the document's is to that of the edited text
+    (``near_edited``) and to that of the next document (``near_next``); likeness
+    below ``least`` is given as 0.
 
     The edited text has the last half (rounded down) of the code points
     replaced by as many first ones of the next document by doc_id (all of a
-    shorter one); after the last comes the first.
+    shorter one); after the last comes the first.  Each document is
+    fingerprinted once: a task walks its documents in order and holds one.
 
     Defined cases: a null text is empty; a row without doc_id has no place in
     the order and gives no row; of rows that share a doc_id the order is that
     of their texts; a single document is its own next one.
     """
     rows, n = in_order_with_next(docs)
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    types = [pa.int64(), *[pa.string()] * 4, *[pa.float64()] * 2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, out, size = None, [], 0
-        names = ["doc_id", "text", "edited", "sig", "edited_sig", "next_sig"]
-        types = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
-
-        def made():
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
-
-        part = None
+        held, out, size, part = None, [], 0, None
         for b in batches:
-            for p, i, text, last in zip(*(b.column(k).to_pylist() for k in range(4))):
-                sig = signatures(text.encode("utf-8", "surrogatepass"))
-                if p != part:
-                    held, part = None, p
-                if held is not None:
-                    doc, old, own = held
-                    half = len(old) // 2
-                    edited = old[:len(old) - half] + text[:half]
-                    other = signatures(edited.encode("utf-8", "surrogatepass"))
-                    out.append((doc, old, edited, own.tobytes(), other.tobytes(), sig.tobytes()))
-                    size += len(old)
-                    if size > 4 << 20:
-                        yield made()
-                        out, size = [], 0
-                held = None if last else (i, text, sig)
+            for k in range(0, b.num_rows, ROWS_AT_ONCE):
+                some = b.slice(k, ROWS_AT_ONCE)
+                for p, i, text, last in zip(*(some.column(c).to_pylist() for c in range(4))):
+                    sig = signatures(text.encode("utf-8", "surrogatepass"))
+                    if p != part:
+                        held, part = None, p
+                    if held is not None:
+                        doc, old, own = held
+                        half = len(old) // 2
+                        edited = old[:len(old) - half] + text[:half]
+                        other = signatures(edited.encode("utf-8", "surrogatepass"))
+                        out.append((doc, old, edited, fingerprint_text(own), fingerprint_text(other),
+                                    jaccard(own, other, least), jaccard(own, sig, least)))
+                        size += len(old)
+                    held = None if last else (i, text, sig)
+                if size > HELD_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                    out, size = [], 0
         if out:
-            yield made()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
     if not n:
         return docs.sparkSession.createDataFrame([], SCHEMA)
@@ -169,24 +174,6 @@ def with_edited(docs: DataFrame) -> DataFrame:
             .select("part", "id", "text", "last").mapInArrow(run, SCHEMA))
 
 
-def compared(rows: DataFrame) -> DataFrame:
-    """Fingerprints as text and the likeness of each document's to that of its
-    edited text and to that of the next document."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sig = [[np.frombuffer(x, np.uint32) for x in b.column(k).to_pylist()] for k in (3, 4, 5)]
-            yield pa.RecordBatch.from_arrays([
-                b.column(0), b.column(1), b.column(2),
-                pa.array([fingerprint_text(x) for x in sig[0]], pa.string()),
-                pa.array([fingerprint_text(x) for x in sig[1]], pa.string()),
-                pa.array([jaccard(x, y) for x, y in zip(sig[0], sig[1])], pa.float64()),
-                pa.array([jaccard(x, y) for x, y in zip(sig[0], sig[2])], pa.float64())],
-                ["doc_id", "text", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-
-    return rows.mapInArrow(run, "doc_id long, text string, edited string, fingerprint string, "
-                                "edited_fingerprint string, near_edited double, near_next double")
-
-
 # ---------------------------------------------------------------------------
 # All similar pairs
 # ---------------------------------------------------------------------------

@@ -64,15 +64,15 @@ def got_rows(frame):
 
 def test_edge_rows(spark, edge_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
-    assert got_rows(G.compared(G.with_edited(edge_docs))) == slow_rows(rows)
-    assert G.compared(G.with_edited(no_docs)).count() == 0
+    assert got_rows(G.fingerprinted(edge_docs)) == slow_rows(rows)
+    assert G.fingerprinted(no_docs).count() == 0
     one = spark.createDataFrame([(4, "the one text of it")], "doc_id long, text string")
-    assert got_rows(G.compared(G.with_edited(one))) == slow_rows([(4, "the one text of it")])
+    assert got_rows(G.fingerprinted(one)) == slow_rows([(4, "the one text of it")])
 
 
 def test_equal_texts_have_equal_fingerprints(edge_docs):
     by = {}
-    for r in G.compared(G.with_edited(edge_docs)).collect():
+    for r in G.fingerprinted(edge_docs).collect():
         by.setdefault(r["text"], set()).add(r["fingerprint"])
     assert all(len(x) == 1 for x in by.values())
 
