@@ -3,9 +3,11 @@
 A gear rolling hash over the last 16 bytes picks chunk boundaries, so a passage
 is cut alike wherever it stands; bytes put in before it move the boundaries
 near them only.  Chunks are grouped by a 128-bit digest.  Of a chunk that
-occurs more than once, the first occurrence in the document with the smallest
-doc_id stays.  Other occurrences are repeats; a run of repeats that lie next to
-each other and hold ``MIN_RUN_WORDS`` words or more goes.
+occurs more than once, those in the document with the smallest doc_id stay (its
+*home*).  Occurrences in other documents are repeats; a run of repeats that lie
+next to each other and hold ``MIN_RUN_WORDS`` words or more goes.  A text's own
+repetitions stay, unless ``within`` asks for them too: then only the first
+occurrence in the home stays.
 
 Only numbers are grouped and dealt out (two digest halves, doc_id, byte
 range); a frequent chunk is one row per task before the shuffle.
@@ -109,7 +111,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
     return _rows(docs).mapInArrow(run, "id long, key long, start int, stop int, words int, one long, two long")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, within: bool = False) -> DataFrame:
     """``(id, key, spans)`` per document with repeats that go: byte ranges
     ``(start, stop, words)`` of runs, ascending."""
     chunks = chunk_table(docs)
@@ -120,6 +122,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     many = materialise(many, "substring-repeats")
     hits = chunks.join(many, ["one", "two"]).select(
         "id", "key", "start", "stop", "words", "one", "two", (low == F.col("low")).alias("home"))
+    hits = hits if within else hits.where(~F.col("home"))
     per = hits.groupBy("id", "key").agg(F.collect_set(
         F.struct("start", "stop", "words", "one", "two", "home")).alias("hits"))
 
@@ -146,7 +149,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return spans.where(F.size("spans") > 0)
 
 
-def dedup_substrings(docs: DataFrame) -> DataFrame:
+def dedup_substrings(docs: DataFrame, within: bool = False) -> DataFrame:
     """``(doc_id, text, spans, removed_words)`` per row: the text without its
     repeated runs, and the byte ranges of the old text that went.
 
@@ -155,10 +158,10 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
 
     Defined cases: a null text counts as empty; an empty text has no chunk;
     rows that repeat (same doc_id and text) are one document and share its
-    decision; a null doc_id orders before all others; an empty table gives no
-    rows.
+    decision; texts that share a doc_id are one home; a null doc_id orders
+    before all others; an empty table gives no rows.
     """
-    rows, spans = _rows(docs), repeated_spans(docs)
+    rows, spans = _rows(docs), repeated_spans(docs, within)
     none = F.array().cast("array<struct<start:int,stop:int,words:int>>")
     rows = rows.join(spans, rows["id"].eqNullSafe(spans["id"]) & (rows["key"] == spans["key"]), "left").select(
         rows["id"].alias("doc_id"), "text", F.coalesce("spans", none).alias("spans"))

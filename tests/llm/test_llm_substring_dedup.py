@@ -19,7 +19,7 @@ def words_from(text, s, e):
     return sum(text[k] not in gap and (k == 0 or text[k - 1] in gap) for k in range(s, e))
 
 
-def slow(rows):
+def slow(rows, within=False):
     """rows: (doc_id, text) -> (doc_id, text left), by comparing chunk bytes."""
     docs = sorted({(-(1 << 63) if i is None else i, t or "") for i, t in rows})
     places = {}
@@ -33,7 +33,7 @@ def slow(rows):
     for c, p in places.items():
         home = set()
         for i, t, s, e in sorted(p):
-            if len(p) > 1 and (i != low[c] or (i, t) in home):
+            if i != low[c] or within and (i, t) in home:
                 gone.setdefault((i, t), []).append((s, e))
             home.add((i, t))
     out = []
@@ -84,6 +84,8 @@ def test_edge_rows(edge_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
     got = U.dedup_substrings(edge_docs).collect()
     assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(slow(rows))
+    got = U.dedup_substrings(edge_docs, within=True).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(slow(rows, True))
     assert U.dedup_substrings(no_docs).count() == 0
 
 
