@@ -71,82 +71,80 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
 
 
+def word_counts(text: bytes, starts: list[int]) -> np.ndarray:
+    """Words that begin in each chunk."""
+    raw = np.frombuffer(text, np.uint8)
+    gap = (raw == 32) | (raw >= 9) & (raw <= 13)
+    begin = ~gap
+    begin[1:] &= gap[:-1]
+    return np.add.reduceat(begin, starts, dtype=np.int64)
+
+
 def chunk_table(docs: DataFrame) -> DataFrame:
-    """``(id, key, start, stop, words, one, two)`` per chunk: byte range, words
-    that begin in it, and the halves of its digest."""
-    names = ["id", "key", "start", "stop", "words", "one", "two"]
+    """``(id, key, no, one, two)`` per chunk: its number in the text and the
+    halves of its digest."""
+    names = ["id", "key", "no", "one", "two"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for b in batches:
-            count, start, stop, words, found = [], [], [], [], []
+            count, found = [], []
 
             def made(at):
                 halves = np.frombuffer(b"".join(found), ">i8").reshape(-1, 2)
                 row = pa.array(np.repeat(np.arange(at - len(count), at), count), pa.int64())
+                no = np.concatenate([np.arange(n, dtype=np.int32) for n in count])
                 return pa.RecordBatch.from_arrays(
-                    [b.column(0).take(row), b.column(1).take(row), pa.array(start, pa.int32()),
-                     pa.array(stop, pa.int32()), pa.array(np.concatenate(words).astype(np.int32)),
+                    [b.column(0).take(row), b.column(1).take(row), pa.array(no, pa.int32()),
                      pa.array(halves[:, 0].astype(np.int64)), pa.array(halves[:, 1].astype(np.int64))], names)
 
             for r, text in enumerate(texts_of(b.column(2))):
                 ends = chunk_ends(text)
                 count.append(len(ends))
-                if ends:
-                    starts = [0, *ends[:-1]]
-                    raw = np.frombuffer(text, np.uint8)
-                    gap = (raw == 32) | (raw >= 9) & (raw <= 13)
-                    begin = ~gap
-                    begin[1:] &= gap[:-1]
-                    words.append(np.add.reduceat(begin, starts, dtype=np.int64))
-                    start += starts
-                    stop += ends
-                    found += [digest(text[s:e]) for s, e in zip(starts, ends)]
-                if len(start) > 1 << 17:
+                found += [digest(text[s:e]) for s, e in zip([0, *ends], ends)]
+                if len(found) > 1 << 17:
                     yield made(r + 1)
-                    count, start, stop, words, found = [], [], [], [], []
-            if start:
+                    count, found = [], []
+            if found:
                 yield made(b.num_rows)
 
-    return _rows(docs).mapInArrow(run, "id long, key long, start int, stop int, words int, one long, two long")
+    return _rows(docs).mapInArrow(run, "id long, key long, no int, one long, two long")
 
 
-def repeated_spans(docs: DataFrame, within: bool = False) -> DataFrame:
-    """``(id, key, spans)`` per document with repeats that go: byte ranges
-    ``(start, stop, words)`` of runs, ascending."""
+def repeated_chunks(docs: DataFrame, within: bool = False) -> DataFrame:
+    """``(id, key, hits)`` per document with repeats: the numbers of the
+    chunks that occur in a home elsewhere (``within``: all that occur again,
+    with their digest and whether this is their home)."""
     chunks = chunk_table(docs)
     low = F.coalesce(F.col("id"), F.lit(-(1 << 63)))  # a null doc_id orders first
     many = (chunks.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"), F.min(low).alias("low"))
             .where("n > 1").select("one", "two", "low"))
     # stored, so that the join below deals both sides out itself and splits a chunk that is everywhere
     many = materialise(many, "substring-repeats")
-    hits = chunks.join(many, ["one", "two"]).select(
-        "id", "key", "start", "stop", "words", "one", "two", (low == F.col("low")).alias("home"))
-    hits = hits if within else hits.where(~F.col("home"))
-    per = hits.groupBy("id", "key").agg(F.collect_set(
-        F.struct("start", "stop", "words", "one", "two", "home")).alias("hits"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for hits in b.column(2).to_pylist():
-                seen, runs = set(), []
-                for h in sorted(hits, key=lambda h: h["start"]):
-                    name = h["one"], h["two"]
-                    if h["home"] and name not in seen:
-                        seen.add(name)  # the occurrence that stays
-                        continue
-                    if runs and runs[-1]["stop"] == h["start"]:
-                        runs[-1]["stop"] = h["stop"]
-                        runs[-1]["words"] += h["words"]
-                    else:
-                        runs.append({k: h[k] for k in ("start", "stop", "words")})
-                out.append([x for x in runs if x["words"] >= MIN_RUN_WORDS])
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, kind)], ["id", "key", "spans"])
-
-    spans = per.mapInArrow(run, "id long, key long, spans array<struct<start:int,stop:int,words:int>>")
-    return spans.where(F.size("spans") > 0)
+    home = low == F.col("low")
+    hits = chunks.join(many, ["one", "two"])
+    hits = hits.withColumn("home", home) if within else hits.where(~home)
+    hit = F.struct("no", "one", "two", "home") if within else F.struct("no")
+    return hits.groupBy("id", "key").agg(F.collect_set(hit).alias("hits"))
+
+
+def _runs(text: bytes, hits: list[dict]) -> list[dict]:
+    """Byte ranges of the runs of repeats that are long enough."""
+    ends = chunk_ends(text)
+    starts = [0, *ends[:-1]]
+    words = word_counts(text, starts)
+    seen, runs = set(), []
+    for h in sorted(hits, key=lambda h: h["no"]):
+        if h.get("home") and (name := (h["one"], h["two"])) not in seen:
+            seen.add(name)  # the occurrence that stays
+            continue
+        k = h["no"]
+        if runs and runs[-1]["stop"] == starts[k]:
+            runs[-1]["stop"] = ends[k]
+            runs[-1]["words"] += int(words[k])
+        else:
+            runs.append({"start": starts[k], "stop": ends[k], "words": int(words[k])})
+    return [x for x in runs if x["words"] >= MIN_RUN_WORDS]
 
 
 def dedup_substrings(docs: DataFrame, within: bool = False) -> DataFrame:
@@ -161,17 +159,18 @@ def dedup_substrings(docs: DataFrame, within: bool = False) -> DataFrame:
     decision; texts that share a doc_id are one home; a null doc_id orders
     before all others; an empty table gives no rows.
     """
-    rows, spans = _rows(docs), repeated_spans(docs, within)
-    none = F.array().cast("array<struct<start:int,stop:int,words:int>>")
-    rows = rows.join(spans, rows["id"].eqNullSafe(spans["id"]) & (rows["key"] == spans["key"]), "left").select(
-        rows["id"].alias("doc_id"), "text", F.coalesce("spans", none).alias("spans"))
+    rows, found = _rows(docs), materialise(repeated_chunks(docs, within), "substring-hits")
+    rows = rows.join(found, rows["id"].eqNullSafe(found["id"]) & (rows["key"] == found["key"]), "left").select(
+        rows["id"].alias("doc_id"), "text", "hits")
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int32())]))
+    schema = "doc_id long, text string, spans array<struct<start:int,stop:int,words:int>>, removed_words int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, spans, gone = [], [], []
-            for text, old in zip(texts_of(b.column(1)), b.column(2).to_pylist()):
+            for text, hits in zip(texts_of(b.column(1)), b.column(2).to_pylist()):
                 at, kept, new = 0, [], []
-                for s in old:
+                for s in _runs(text, hits):
                     start, stop = s["start"], s["stop"]
                     while start < stop and text[start] & 0xC0 == 0x80:
                         start += 1
@@ -184,9 +183,9 @@ def dedup_substrings(docs: DataFrame, within: bool = False) -> DataFrame:
                 spans.append(new)
                 gone.append(sum(s["words"] for s in new))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(texts, pa.string()), pa.array(spans, b.schema.field(2).type),
-                 pa.array(gone, pa.int32())], ["doc_id", "text", "spans", "removed_words"])
+                [b.column(0), pa.array(texts, pa.string()), pa.array(spans, kind), pa.array(gone, pa.int32())],
+                ["doc_id", "text", "spans", "removed_words"])
 
-    touched = rows.where(F.size("spans") > 0).mapInArrow(
-        run, "doc_id long, text string, spans array<struct<start:int,stop:int,words:int>>, removed_words int")
-    return touched.unionByName(rows.where(F.size("spans") == 0).withColumn("removed_words", F.lit(0)))
+    none = F.array().cast("array<struct<start:int,stop:int,words:int>>")
+    return rows.where("hits is not null").mapInArrow(run, schema).unionByName(
+        rows.where("hits is null").select("doc_id", "text", none.alias("spans"), F.lit(0).alias("removed_words")))
