@@ -240,6 +240,8 @@ class EnrichResult:
     target: DataFrame      # enrichment table after the upsert
     cache: DataFrame       # cache after insert-if-absent
     counters: DataFrame    # one row of run counters
+    updates: DataFrame     # this run's rows of the enrichment table
+    new_answers: DataFrame  # this run's rows of the cache
 
 
 def empty_cache(spark) -> DataFrame:
@@ -393,4 +395,8 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
         target=upsert_by_key(target, updates, ["incident_id"]),
         cache=insert_if_absent(cache, new_cache_rows, ["content_hash", "prompt_version"]),
         counters=counters(per_row),
+        updates=updates,
+        new_answers=new_cache_rows.join(
+            cache.select("content_hash", "prompt_version"), ["content_hash", "prompt_version"], "left_anti"
+        ).select(*cache.columns),
     )

@@ -3,9 +3,8 @@
 ``build_models`` declares every model as a lazy DataFrame (one plan each, for
 inspection and tests).  ``run_warehouse`` materialises it the way it should
 run at scale: the joined layer (read by four dimensions and the enriched
-layer) is written once as Parquet, marts are written as tables, incremental
-state (enrichment and cache tables) is read from the previous run's folder
-and written to this run's folder, so no job overwrites a path it reads.
+layer) is written once as Parquet, marts are written as tables, and the
+incremental state (enrichment and cache) is appended to, never rewritten.
 """
 
 from __future__ import annotations
@@ -33,6 +32,7 @@ from casegrid.operators.enrich import (
 )
 from casegrid.operators.evaluation import eval_mart, run_summary
 from casegrid.operators.fact import build_fact
+from casegrid.operators.merge import append_rows, read_latest
 from casegrid.operators.staging import (
     hot_establishments,
     join_enrichment,
@@ -42,7 +42,7 @@ from casegrid.operators.staging import (
     stage_enrichment,
     stage_establishments,
 )
-from casegrid.sources.tables import read_or_empty, reload_table
+from casegrid.sources.tables import reload_table
 
 MART_NAMES = ("dim_date", "dim_establishment", "dim_geography", "dim_industry",
               "dim_injury_type", "fct_incidents", "mart_llm_eval")
@@ -159,15 +159,17 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, out_dir: str, state_dir:
                   strict: bool = True, gate: bool = True, min_coverage: float = 0.90,
                   as_of: datetime | None = None, limit: int | None = None, calls: int | None = None,
                   batches: int = 1, answers_path: str | None = None) -> RunOutput:
-    """Run every layer, writing to ``out_dir``; incremental state comes from
-    ``state_dir`` (a previous run's ``out_dir``), absent state reads as empty.
+    """Run every layer, writing to ``out_dir``.
+
+    Incremental state (the enrichment table and the answer cache) lies in
+    ``state_dir``, a folder that runs share (by default ``out_dir``): a run
+    appends its own rows and reads the newest per key; absent state is empty.
 
     A failed check of error severity ends the run (``gate=False`` only
     reports).  Lenient typing (``strict=False``) counts what it could not
     parse in ``RunOutput.rejects``.  ``limit``, ``calls``, ``batches`` and
     ``answers_path`` are those of ``enrich``."""
-    if state_dir and os.path.abspath(state_dir) == os.path.abspath(out_dir):
-        raise ValueError("out_dir must differ from state_dir: a run never overwrites what it reads")
+    state_dir = state_dir or out_dir
     classify = classify or rule_classifier()
     run_ts = run_ts or datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
     p = lambda name: os.path.join(out_dir, name)
@@ -176,22 +178,22 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, out_dir: str, state_dir:
     raw_t = spark.read.parquet(p("raw_case_detail"))
 
     cases = stage_cases(raw_t, strict)
-    cache = read_or_empty(spark, os.path.join(state_dir, "llm_cache"), CACHE_SCHEMA) if state_dir \
-        else spark.createDataFrame([], CACHE_SCHEMA)
-    target = read_or_empty(spark, os.path.join(state_dir, "llm_enrichment"), ENRICHMENT_SCHEMA) if state_dir \
-        else spark.createDataFrame([], ENRICHMENT_SCHEMA)
+    cache_path, target_path = os.path.join(state_dir, "llm_cache"), os.path.join(state_dir, "llm_enrichment")
+    cache = read_latest(spark, cache_path, CACHE_SCHEMA, ["content_hash", "prompt_version"], "cached_at")
+    target = read_latest(spark, target_path, ENRICHMENT_SCHEMA, ["incident_id"], "enriched_at")
     rejected = {k: v for k, v in rejects(raw_t).first().asDict().items() if v} if not strict else {}
     result = enrich(cases, cache, target, classify, run_ts, model_name, prompt_version, limit=limit, calls=calls,
                     batches=batches, answers_path=answers_path)
-    reload_table(result.target, p("llm_enrichment"))
-    reload_table(result.cache, p("llm_cache"))
     counters = result.counters.first().asDict()
+    append_rows(result.updates, target_path)
+    append_rows(result.new_answers, cache_path)
+    enrichment = read_latest(spark, target_path, ENRICHMENT_SCHEMA, ["incident_id"], "enriched_at")
 
     establishments = stage_establishments(raw_t, "text", strict)
     joined_path = p("int_incidents__joined")
     reload_table(join_establishment(cases, establishments, hot_establishments(cases)), joined_path)
     joined = spark.read.parquet(joined_path)
-    marts = models_from(cases, establishments, joined, spark.read.parquet(p("llm_enrichment")))
+    marts = models_from(cases, establishments, joined, enrichment)
     stored = dict(marts)
     for name in MART_NAMES:
         if name == "fct_incidents":  # date queries read the years they need
@@ -202,7 +204,7 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, out_dir: str, state_dir:
         else:
             reload_table(marts[name], p(name))
         stored[name] = spark.read.parquet(p(name))
-    stored |= {"raw_cases": raw_t, "llm_enrichment": spark.read.parquet(p("llm_enrichment"))}
+    stored |= {"raw_cases": raw_t, "llm_enrichment": enrichment}
 
     report_df = Q.report(warehouse_checks(stored, min_coverage, as_of))
     report = Q.gate(report_df) if gate else report_df.collect()

@@ -106,6 +106,9 @@ def test_end_to_end_run(spark, tmp_dir):
     out2 = run_warehouse(spark, raw_fixture(spark), os.path.join(tmp_dir, "run2"), state_dir=out.out_dir,
                          classify=lambda r: r.withColumn("reply", F.raise_error(F.lit("no call")).cast("string")))
     assert out2.counters["rows_from_cache"] == 5 and out2.counters["texts_classified"] == 0
+    # state is appended to: five rows of each run, read as the newest per incident
+    assert read("llm_enrichment").count() == 10 and read("llm_cache").count() == 5
+    assert spark.read.parquet(os.path.join(out2.out_dir, "fct_incidents")).count() == 5
 
 
 def test_parsed_order_picks_latest_time(spark):
