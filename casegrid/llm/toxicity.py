@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casegrid.llm.common import keyed, text_or_empty, texts_of, unkeyed
+from casegrid.session import materialise
 
 SAMPLE_DOCS = 1500
 SAMPLE_BYTES = 12_000_000
@@ -226,8 +227,9 @@ def learn(docs: DataFrame, labels: DataFrame, only=None) -> ToxicityModel:
     known = known.dropna().groupBy("id").agg(F.max("y").alias("y"))
     known = known.where(only(F.col("id"))) if only else known
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("text"))
-    narrow = rows.groupBy("id").agg(F.max(F.octet_length("text")).alias("size")).join(known, "id")
-    counts = dict(known.join(narrow.select("id"), "id", "left_semi").groupBy("y").count().collect())
+    narrow = materialise(rows.groupBy("id").agg(F.max(F.octet_length("text")).alias("size")).join(known, "id"),
+                         "toxicity-labelled")
+    counts = dict(narrow.groupBy("y").count().collect())
     got: dict[int, list[bytes]] = {0: [], 1: []}
     for y in got:
         first = (narrow.where((F.col("y") == y) & (F.col("size") > 0)).orderBy(F.xxhash64("id"), "id")
