@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,3 +43,15 @@ def unkeyed(rows: DataFrame) -> DataFrame:
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null becomes empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
+
+
+def slices(texts: list[bytes], most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts that hold about ``most`` bytes, one text at least."""
+    at, size = 0, 0
+    for k, t in enumerate(texts):
+        if k > at and size + len(t) > most:
+            yield at, k
+            at, size = k, 0
+        size += len(t)
+    if at < len(texts):
+        yield at, len(texts)

@@ -22,9 +22,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import keyed, texts_of
+from casegrid.llm.common import keyed, slices, texts_of
 
 CAPACITY, GROUP_TOKENS, PAD_ID = 2048, 1 << 20, 0
+#: Text that is turned into ids at a time.
+TEXT_BYTES = 1 << 20
 
 
 class Rooms:
@@ -127,8 +129,8 @@ def fit_packed(docs: DataFrame, ids_of: Callable[[list[bytes]], list[np.ndarray]
 
         for b in batches:
             docs_, texts = b.column(0).to_pylist(), texts_of(b.column(1))
-            for k in range(0, len(texts), 256):
-                for doc, ids in zip(docs_[k:k + 256], ids_of(texts[k:k + 256])):
+            for k, e in slices(texts, TEXT_BYTES):
+                for doc, ids in zip(docs_[k:e], ids_of(texts[k:e])):
                     ids = ids if end_id is None else np.append(ids, np.int32(end_id))
                     if len(ids):
                         held.append((doc, ids))

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from casegrid.llm.common import slices
+
 #: Bytes of text whose distinct words are looked up together.
 CHUNK_BYTES = 12 << 20
 
@@ -41,15 +43,8 @@ class WordIds:
         self.path = path
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
-        out, at = [], 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (size == 0 or size + len(texts[end]) <= CHUNK_BYTES):
-                size += len(texts[end])
-                end += 1
-            out += self._chunk(pa.array(texts[at:end], pa.binary()).cast(pa.large_string()))
-            at = end
-        return out
+        return [x for k, e in slices(texts, CHUNK_BYTES)
+                for x in self._chunk(pa.array(texts[k:e], pa.binary()).cast(pa.large_string()))]
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids per word, and all ids in the order of the words.
