@@ -11,7 +11,8 @@ space made single; the budget is ``RATE`` of an item's bytes, lowered for short
 items as far as the lemma needs at least one shared q-gram.
 
 The items are a stated query set: they go to the tasks in blocks of at most
-``BLOCK_BYTES`` (a block is what is broadcast), each block against all texts.
+``BLOCK_BYTES``, each block against all texts.  What is broadcast is a block's
+q-gram index, some 32 bytes per byte of its items.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from casegrid.llm.common import keyed, texts_of, unkeyed
 from casegrid.session import materialise
 
 Q, RATE = 10, 0.08
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 TABLE_BITS = 22
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
