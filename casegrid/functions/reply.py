@@ -1,6 +1,7 @@
 """Classifier reply (JSON text) -> typed, validated classification.
 
-Lax validation: a numeric string is accepted for the confidence, extra fields
+Lax validation: a numeric string is accepted for the confidence, and so is a
+boolean (1 or 0); extra fields
 are ignored, an unknown or missing event category is coerced to 'other', and
 any other failure (broken JSON, not an object, missing or non-string text
 field, over-long text, unknown severity, confidence outside [0, 1]) rejects
@@ -77,7 +78,9 @@ def with_validated(df: DataFrame, reply: str = "reply", out: str = "v") -> DataF
         text("recurrence_prevention").alias(tmp[5]),
         F.when(conf_kind.startswith("DECIMAL") | conf_kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT",
                                                                 "DOUBLE", "FLOAT", "STRING"),
-               F.try_variant_get(v, "$.confidence", "double")).alias(tmp[6]),
+               F.try_variant_get(v, "$.confidence", "double"))
+        .when(conf_kind == "BOOLEAN", F.when(F.try_variant_get(v, "$.confidence", "boolean"), 1.0).otherwise(0.0))
+        .alias(tmp[6]),
     )
     is_obj, factor, severity, raw_category, prevention, confidence = [F.col(c) for c in tmp[1:]]
     category = F.when(raw_category.isin(*EVENT_CATEGORIES), raw_category).otherwise(F.lit(CATEGORY_FALLBACK))

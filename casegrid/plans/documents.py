@@ -221,6 +221,7 @@ def _replies(e: DataFrame) -> DataFrame:
         F.lit('", "event_category": "'), cat, F.lit('", "recurrence_prevention": "'), prev,
         F.lit('", "confidence": '), conf_json, F.lit(extra + "}"))
     reply = (F.when(v < 1, F.lit("[1, 2]"))
+             .when(v < 2, full(F.when(et == "click", "true").otherwise("false"), "", F.lit("stop")))
              .when(et == "error", F.lit('{"contributing_factor": "broken'))
              .when(et == "signup", F.concat(F.lit('{"severity_tier": "'), sev, F.lit('", "confidence": '), conf, F.lit("}")))
              .when(et == "purchase", full(F.concat(F.lit('"'), conf, F.lit('"')), ', "extra": [1]', F.lit("check")))
@@ -242,6 +243,7 @@ def _replies_sql() -> str:
                 f"""'", "event_category": "' || {cat} || '", "recurrence_prevention": "' || {prev} || """
                 f"""'", "confidence": ' || {conf_json} || '{extra}}}'""")
     return f"""SELECT event_id, CASE WHEN value < 1 THEN '[1, 2]'
+  WHEN value < 2 THEN {full("CASE WHEN event_type = 'click' THEN 'true' ELSE 'false' END", '', "'stop'")}
   WHEN event_type = 'error' THEN '{{"contributing_factor": "broken'
   WHEN event_type = 'signup' THEN '{{"severity_tier": "' || {sev} || '", "confidence": ' || {conf} || '}}'
   WHEN event_type = 'purchase' THEN {full("'\"' || " + conf + " || '\"'", ', "extra": [1]', "'check'")}
@@ -272,7 +274,9 @@ FROM (
       CASE WHEN {txt('event_category')} IN ({cats}) THEN {txt('event_category')} ELSE 'other' END AS event_category,
       {txt('recurrence_prevention')} AS recurrence_prevention,
       CASE WHEN json_type(j, '$.confidence') IN ('DOUBLE', 'BIGINT', 'UBIGINT', 'VARCHAR')
-           THEN try_cast(json_extract_string(j, '$.confidence') as double) END AS confidence
+           THEN try_cast(json_extract_string(j, '$.confidence') as double)
+           WHEN json_type(j, '$.confidence') = 'BOOLEAN'
+           THEN CASE json_extract_string(j, '$.confidence') WHEN 'true' THEN 1.0 ELSE 0.0 END END AS confidence
     FROM (SELECT event_id, reply, CASE WHEN json_valid(reply) THEN reply END AS j FROM ({src}) r) x) y) z"""
 
 

@@ -49,3 +49,6 @@ def test_broken_missing_and_lax_number(spark):
     assert check(spark, VALID.replace('"wet floor"', "5")).reject_reason == "contributing_factor_missing"
     extra = VALID.replace("}", ', "extra": [1]}')
     assert check(spark, extra).is_valid
+    assert check(spark, VALID.replace("0.7", "true")).confidence == 1.0
+    assert check(spark, VALID.replace("0.7", "false")).confidence == 0.0
+    assert check(spark, VALID.replace("0.7", "null")).reject_reason == "confidence_missing"
