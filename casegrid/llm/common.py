@@ -11,6 +11,16 @@ from pyspark.sql import functions as F
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+#: Rows of an Arrow batch: whole texts are long, and a task holds a batch on
+#: either side of its Python worker.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches of ``BATCH_ROWS`` from now on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -55,3 +65,19 @@ def slices(texts: list[bytes], most: int) -> Iterator[tuple[int, int]]:
         size += len(t)
     if at < len(texts):
         yield at, len(texts)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and texts of ``(id, text)`` batches, about ``most`` bytes of text
+    at a time, whatever the size of the batches."""
+    ids, texts, size = [], [], 0
+    for b in batches:
+        for i, t in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
+            if texts and size + len(t) > most:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+            ids.append(i)
+            texts.append(t)
+            size += len(t)
+    if texts:
+        yield ids, texts

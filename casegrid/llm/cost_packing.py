@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import keyed, slices, texts_of
+from casegrid.llm.common import gathered, keyed
 
 CAPACITY, GROUP_TOKENS, EQUAL = 2048, 1 << 20, 4096
 END_ID = 1
@@ -124,16 +124,14 @@ def cost_packed(docs: DataFrame, ids_of: Callable[[list[bytes]], list[np.ndarray
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.binary() if x == "ids" else pa.int64()) for x, c in zip(names, cols)], names)
 
-        for b in batches:
-            docs_, texts = b.column(0).to_pylist(), texts_of(b.column(1))
-            for k, e in slices(texts, TEXT_BYTES):
-                for doc, ids in zip(docs_[k:e], ids_of(texts[k:e])):
-                    ids = ids if end_id is None else np.append(ids, np.int32(end_id))
-                    if len(ids):
-                        held.append((doc, ids))
-                        tokens += len(ids)
-                    if tokens >= group_tokens:
-                        yield from flush()
+        for some, texts in gathered(batches, TEXT_BYTES):
+            for doc, ids in zip(some, ids_of(texts)):
+                ids = ids if end_id is None else np.append(ids, np.int32(end_id))
+                if len(ids):
+                    held.append((doc, ids))
+                    tokens += len(ids)
+                if tokens >= group_tokens:
+                    yield from flush()
         yield from flush()
 
     rows = keyed(docs).select("id", F.col("row.text").cast("string").alias("text"))

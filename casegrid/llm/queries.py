@@ -5,6 +5,9 @@ Each applies its operator with production parameters to its whole table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +25,7 @@ from casegrid.llm import (
     toxicity,
     warc,
 )
-from casegrid.llm.common import table
+from casegrid.llm.common import small_batches, table
 
 WORD_FILE, RANK_FILE = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 #: The id after each document in fit packing: the first one the ranks leave free.
@@ -185,7 +188,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (
+def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return f(spark, sf_dir)
+    return run
+
+
+QUERIES = {f.__name__: _query(f) for f in (
     op1_toxicity, op2_substring_dedup, op3_warc, op4_decontamination, op5_packing, op6_fingerprints,
     op7_token_matrices, op8_pii, op9_line_dedup, op10_simhash)}
 SQL = {"op3_warc": OP3_SQL, "op8_pii": _op8_sql()}

@@ -59,20 +59,25 @@ class WordIds:
         alone = [i for i, w in enumerate(words) if not w.isalpha()]
         index, sizes, parts = [], [], []
         runs = [letters[k:k + 256] for k in range(0, len(letters), 256)]
-        joined = encode([" ".join([words[i] for i in run]) for run in runs], add_special_tokens=False)
-        for run, e in zip(runs, joined):
-            ids = np.array(e.ids, np.int32)
-            last = np.flatnonzero(ends[ids])
-            if len(last) != len(run):
-                alone += run
-                continue
-            index.append(np.array(run))
-            sizes.append(np.diff(last, prepend=-1))
-            parts.append(ids)
-        found = [e.ids for e in encode([words[i] for i in alone], add_special_tokens=False)]
-        index.append(np.array(alone, np.int64))
-        sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-        parts.append(np.array([i for x in found for i in x], np.int32))
+        for k in range(0, len(runs), 32):  # few at a time: an encoding is much larger than its ids
+            some = runs[k:k + 32]
+            for run, e in zip(some, encode([" ".join([words[i] for i in run]) for run in some],
+                                           add_special_tokens=False)):
+                ids = np.array(e.ids, np.int32)
+                last = np.flatnonzero(ends[ids])
+                if len(last) != len(run):
+                    alone += run
+                    continue
+                index.append(np.array(run, np.int32))
+                sizes.append(np.diff(last, prepend=-1))
+                parts.append(ids)
+        for k in range(0, len(alone), 8192):
+            found = [e.ids for e in encode([words[i] for i in alone[k:k + 8192]], add_special_tokens=False)]
+            index.append(np.array(alone[k:k + 8192], np.int32))
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            parts.append(np.array([i for x in found for i in x], np.int32))
+        if not index:
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
         index, sizes, flat = (np.concatenate(x) for x in (index, sizes, parts))
         size = np.zeros(len(words), np.int64)
         size[index] = sizes
