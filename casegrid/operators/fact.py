@@ -29,5 +29,7 @@ def foreign_keys() -> dict:
 
 
 def build_fact(enriched: DataFrame) -> DataFrame:
+    """The fact; without the texts where ``enriched`` has none."""
     fks = foreign_keys()
-    return enriched.select(*[fks[c].alias(c) if c in fks else F.col(c) for c in FACT_COLUMNS])
+    wanted = [c for c in FACT_COLUMNS if c in fks or c in enriched.columns or c not in NARRATIVE_FIELDS]
+    return enriched.select(*[fks[c].alias(c) if c in fks else F.col(c) for c in wanted])

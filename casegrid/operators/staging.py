@@ -178,15 +178,17 @@ def hot_establishments(cases: DataFrame, partitions: int | None = None) -> dict:
 
 
 def join_establishment(cases: DataFrame, establishments: DataFrame,
-                       hot: dict | None = None) -> DataFrame:
+                       hot: dict | None = None, narratives: bool = True) -> DataFrame:
     """Many-to-one left join: one row per incident, establishment context
     taken from the deduplicated establishment model.  With ``hot`` (see
     ``hot_establishments``) the cases of a very large establishment, or of
-    none, are salted over many tasks instead of landing in one."""
+    none, are salted over many tasks instead of landing in one.
+    ``narratives=False`` leaves the texts out, for consumers that read none."""
+    texts = NARRATIVE_FIELDS if narratives else ()
     e = establishments.select("establishment_id", *ESTABLISHMENT_COLUMNS)
-    i = cases.select(*CASE_COLUMNS, *NARRATIVE_FIELDS, *CODE_COLUMNS)
+    i = cases.select(*CASE_COLUMNS, *texts, *CODE_COLUMNS)
     joined = salted_join(i, e, "establishment_id", hot or {}, F.col("incident_id"), "left")
-    return joined.select(*CASE_COLUMNS, *ESTABLISHMENT_COLUMNS, *NARRATIVE_FIELDS, *CODE_COLUMNS)
+    return joined.select(*CASE_COLUMNS, *ESTABLISHMENT_COLUMNS, *texts, *CODE_COLUMNS)
 
 
 ENRICHED_EXTRA = (

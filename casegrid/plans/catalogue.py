@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casegrid.functions.prompt import NARRATIVE_FIELDS
 from casegrid.operators.enrich import empty_cache, empty_enrichment, enrich, rule_classifier
 from casegrid.operators.joins import balanced_join
 from casegrid.operators.staging import hot_establishments, join_establishment, stage_cases, stage_establishments
@@ -47,7 +48,7 @@ NEEDS_NO_JOIN = {"stg_cases", "stg_establishments", "dim_establishment"}
 
 
 def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True, joins: bool = True,
-              store: bool = False) -> dict[str, DataFrame]:
+              store: bool = False, narratives: bool = True) -> dict[str, DataFrame]:
     """All models of one build.  ``enriched=False`` skips the classification
     and ``joins=False`` the count of hot establishments, for models that read
     neither.
@@ -56,18 +57,23 @@ def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True, joins: bo
     the enrichment table once as Parquet in the shared checkpoint folder, for
     queries that read several models: each consumer then scans the columns it
     needs instead of rendering, typing and joining the export again.
+    ``narratives=False`` keeps the texts out of the joined layer and the fact;
+    without an enrichment that reads them, the typed cases are then stored in
+    place of the raw export.
     """
     raw = raw_cases(spark, sf_dir)
-    if store:
+    if store and (narratives or enriched):
         raw = materialise_table(raw, "raw-cases")
     cases, establishments = stage_cases(raw), stage_establishments(raw)
+    if store and not (narratives or enriched):
+        cases = materialise_table(cases.drop(*NARRATIVE_FIELDS), "stg-cases")
     if enriched:
         target = enrich(cases, empty_cache(spark), empty_enrichment(spark),
                         rule_classifier(), run_ts(), MODEL_NAME).target
         target = materialise_table(target, "llm-enrichment") if store else target
     else:
         target = empty_enrichment(spark)
-    joined = join_establishment(cases, establishments, hot_establishments(cases) if joins else None)
+    joined = join_establishment(cases, establishments, hot_establishments(cases) if joins else None, narratives)
     if store:
         joined = materialise_table(joined, "int-joined")
     return models_from(cases, establishments, joined, target) | {"raw_cases": raw, "llm_enrichment": target}
@@ -127,7 +133,7 @@ def star_rollup_of(m: dict[str, DataFrame]) -> DataFrame:
 
 @register("star_rollup")
 def q_star_rollup(spark, sf_dir):
-    return star_rollup_of(warehouse(spark, sf_dir, enriched=False, store=True))
+    return star_rollup_of(warehouse(spark, sf_dir, enriched=False, store=True, narratives=False))
 
 
 KEY_OF = {"dim_date": "date_id", "dim_establishment": "establishment_id",
