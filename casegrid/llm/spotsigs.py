@@ -99,8 +99,9 @@ def in_order_with_next(docs: DataFrame, parts: int | None = None) -> tuple[DataF
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = np.unique(rows.approxQuantile("id", [k / parts for k in range(1, parts)], 0.25 / parts)).astype(np.int64)
+    # several parts to a task: their hash deals them out more evenly than one each
+    parts = parts or PARTS_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = np.unique(rows.approxQuantile("id", [k / parts for k in range(1, parts)], 0.5 / parts)).astype(np.int64)
 
     @F.pandas_udf("int")
     def part_of(ids: pd.Series) -> pd.Series:
@@ -121,6 +122,7 @@ def in_order_with_next(docs: DataFrame, parts: int | None = None) -> tuple[DataF
 
 SCHEMA = ("doc_id long, text string, edited string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
+PARTS_PER_TASK = 8
 #: Rows taken from a batch at a time, and text held before rows are handed on.
 ROWS_AT_ONCE, HELD_BYTES = 128, 1 << 20
 
@@ -170,7 +172,8 @@ def fingerprinted(docs: DataFrame, least: float = 0.0) -> DataFrame:
 
     if not n:
         return docs.sparkSession.createDataFrame([], SCHEMA)
-    return (rows.repartition(n, "part").sortWithinPartitions("part", "last", "id", "text")
+    tasks = min(n, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return (rows.repartition(tasks, "part").sortWithinPartitions("part", "last", "id", "text")
             .select("part", "id", "text", "last").mapInArrow(run, SCHEMA))
 
 
