@@ -42,6 +42,7 @@ from casegrid.operators.staging import (
     stage_enrichment,
     stage_establishments,
 )
+from casegrid.session import scratch_scope
 from casegrid.sources.tables import reload_table
 
 MART_NAMES = ("dim_date", "dim_establishment", "dim_geography", "dim_industry",
@@ -169,9 +170,14 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, out_dir: str, state_dir:
     reports).  Lenient typing (``strict=False``) counts what it could not
     parse in ``RunOutput.rejects``.  ``limit``, ``calls``, ``batches`` and
     ``answers_path`` are those of ``enrich``."""
-    state_dir = state_dir or out_dir
-    classify = classify or rule_classifier()
-    run_ts = run_ts or datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
+    with scratch_scope():  # everything that is read later is stored in out_dir and state_dir
+        return _run(spark, raw, out_dir, state_dir or out_dir, classify or rule_classifier(),
+                    run_ts or datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None), model_name,
+                    prompt_version, strict, gate, min_coverage, as_of, limit, calls, batches, answers_path)
+
+
+def _run(spark, raw, out_dir, state_dir, classify, run_ts, model_name, prompt_version, strict, gate, min_coverage,
+         as_of, limit, calls, batches, answers_path) -> RunOutput:
     p = lambda name: os.path.join(out_dir, name)
 
     raw_rows = reload_table(raw, p("raw_case_detail"))

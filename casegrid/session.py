@@ -7,7 +7,9 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale; the local builder uses them and cluster
@@ -66,10 +68,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+_open_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), f"casegrid-{name}-{uuid.uuid4().hex}")
+    path = os.path.join(base.rstrip("/"), f"casegrid-{name}-{uuid.uuid4().hex}")
+    for scope in _open_scopes:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope():
+    """Remove the scratch tables made inside the block when it ends.  Only for
+    work whose results are stored by then: a lazy result still reads them."""
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        for path in made:
+            store, name = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
+            if store.get_file_info(name).type == fs.FileType.Directory:
+                store.delete_dir(name)
 
 
 def materialise(df, name: str = "table"):

@@ -77,9 +77,13 @@ def fixture_classifier(spark):
 
 
 def test_end_to_end_run(spark, tmp_dir):
+    from casegrid.session import ensure_checkpoint_dir
+    scratch = ensure_checkpoint_dir(spark).replace("file:", "")
+    before = set(os.listdir(scratch))
     out = run_warehouse(spark, raw_fixture(spark), os.path.join(tmp_dir, "run1"),
                         classify=fixture_classifier(spark), gate=True)
     assert out.raw_rows == 5
+    assert set(os.listdir(scratch)) == before  # the run's own scratch tables are gone
     assert out.counters["rows_succeeded"] == 5 and out.counters["rows_failed"] == 0
     assert out.summary == {"fact_rows": 5, "enrichment_coverage_pct": 100.0, "agreement_rate_pct": 80.0}
     assert all(r["passed"] for r in out.report), [r for r in out.report if not r["passed"]]
