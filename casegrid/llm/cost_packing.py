@@ -30,7 +30,7 @@ from casegrid.llm.common import gathered, keyed
 CAPACITY, GROUP_TOKENS, EQUAL = 2048, 1 << 20, 4096
 END_ID = 1
 #: Text that is turned into ids at a time.
-TEXT_BYTES = 12 << 20
+TEXT_BYTES = 20 << 20
 
 
 def cost(n: int) -> float:

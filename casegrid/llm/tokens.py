@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from casegrid.llm.common import slices
 
 #: Bytes of text whose distinct words are looked up together.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 20 << 20
 
 
 @lru_cache(maxsize=2)
