@@ -96,10 +96,9 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and of its edited text, and how near it
     is to the edited text's and to the next document's."""
-    rows = spotsigs.fingerprinted(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"),
-                       F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint",
-                       "edited_fingerprint", "near_edited", "near_next")
+    rows = spotsigs.fingerprinted(table(spark, sf_dir, "documents"), texts=False)
+    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
+                       "near_next")
 
 
 def op7_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:

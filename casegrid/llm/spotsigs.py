@@ -13,6 +13,7 @@ within those by their rarest signatures; pairs are compared with early exit.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -120,16 +121,17 @@ def in_order_with_next(docs: DataFrame, parts: int | None = None) -> tuple[DataF
     return rows, len(heads)
 
 
-SCHEMA = ("doc_id long, text string, edited string, fingerprint string, edited_fingerprint string, "
-          "near_edited double, near_next double")
+SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, text string, edited string, fingerprint string, "
+          "edited_fingerprint string, near_edited double, near_next double")
 PARTS_PER_TASK = 8
 #: Rows taken from a batch at a time, and text held before rows are handed on.
 ROWS_AT_ONCE, HELD_BYTES = 128, 1 << 20
 
 
-def fingerprinted(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """Per document its text, its *edited* text, the fingerprints of both as
-    text, and how like the document's is to that of the edited text
+def fingerprinted(docs: DataFrame, least: float = 0.0, texts: bool = True) -> DataFrame:
+    """Per document its text, its *edited* text (both null where ``texts`` is
+    not asked for: they need not leave the task), the number of code points and
+    the digest of the edited text, the fingerprints of both as text, and how like the document's is to that of the edited text
     (``near_edited``) and to that of the next document (``near_next``); likeness
     below ``least`` is given as 0.
 
@@ -144,7 +146,7 @@ def fingerprinted(docs: DataFrame, least: float = 0.0) -> DataFrame:
     """
     rows, n = in_order_with_next(docs)
     names = [f.split()[0] for f in SCHEMA.split(", ")]
-    types = [pa.int64(), *[pa.string()] * 4, *[pa.float64()] * 2]
+    types = [pa.int64(), pa.int64(), *[pa.string()] * 5, *[pa.float64()] * 2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, out, size, part = None, [], 0, None
@@ -159,9 +161,11 @@ def fingerprinted(docs: DataFrame, least: float = 0.0) -> DataFrame:
                         doc, old, own = held
                         half = len(old) // 2
                         edited = old[:len(old) - half] + text[:half]
-                        other = signatures(edited.encode("utf-8", "surrogatepass"))
-                        out.append((doc, old, edited, fingerprint_text(own), fingerprint_text(other),
-                                    jaccard(own, other, least), jaccard(own, sig, least)))
+                        raw = edited.encode("utf-8", "surrogatepass")
+                        other = signatures(raw)
+                        out.append((doc, len(old), hashlib.sha256(raw).hexdigest(),
+                                    *((old, edited) if texts else (None, None)), fingerprint_text(own),
+                                    fingerprint_text(other), jaccard(own, other, least), jaccard(own, sig, least)))
                         size += len(old)
                     held = None if last else (i, text, sig)
                 if size > HELD_BYTES:

@@ -58,6 +58,8 @@ def slow_rows(rows):
 
 
 def got_rows(frame):
+    assert all((r["n_chars"], r["edited_sha256"]) == (len(r["text"]), hashlib.sha256(r["edited"].encode()).hexdigest())
+               for r in frame.collect())
     return sorted((r["doc_id"], r["text"], hashlib.sha256(r["edited"].encode()).hexdigest(), r["near_edited"],
                    r["near_next"]) for r in frame.collect())
 
