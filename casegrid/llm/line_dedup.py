@@ -1,12 +1,19 @@
-"""Removal of repeated multi-line passages by content-defined line chunks.
+"""Removal of repeated multi-line passages.
 
-A text is cut into chunks of whole lines.  A rolling hash over the hashes of
-the last ``WINDOW`` lines picks the boundaries, so that a passage is cut alike
-wherever it stands: lines put in before it move no boundary inside it.
+With ``every_line`` a chunk starts at every line that is not blank and ends
+with the next such line.  A line lies in a repeated passage of two lines or
+more exactly if it lies in a repeated chunk, so passages of any length are
+found whole, whatever stands before and after them.
+
+Without it a text is cut into content-defined chunks of whole lines.  A rolling
+hash over the hashes of the last ``WINDOW`` lines picks the boundaries, so that
+a passage is cut alike wherever it stands.  That makes fewer rows, but loses
+the chunks at either end of a passage, and most passages of a few lines.
 
 Of chunks with the same lines, wherever they occur, that with the smallest
-``(doc_id, text digest, position)`` stays and the others go.  A chunk needs two
-lines that are not blank; single lines are left alone.
+``(doc_id, text digest, position)`` stays and the others go; one that overlaps
+it stays too.  A chunk needs two lines that are not blank; single lines are
+left alone.  A line's first occurrence never goes.
 
 Digests group the chunks; a group's removal is decided by the bytes
 themselves: the smallest and the largest byte string of the group must be
@@ -17,7 +24,7 @@ chunk is reduced to one row per task before it is dealt out.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,19 +66,45 @@ def _chunk_bytes(text: bytes, start: int, end: int) -> bytes:
     return part[:-1] if part.endswith(b"\n") else part
 
 
+def line_pairs(text: bytes) -> list[tuple[int, int]]:
+    """``(start, end)`` byte ranges of every line that is not blank with the
+    next one, with the blank lines between them and the line break after."""
+    out, at, prior = [], 0, None
+    for line in text.split(b"\n"):
+        end = at + len(line) + 1
+        if line and not line.isspace():
+            if prior is not None:
+                out.append((prior, min(end, len(text))))
+            prior = at
+        at = end
+    return out
+
+
+def _full_chunks(text: bytes) -> list[tuple[int, int]]:
+    return [(s, e) for s, e, full in line_chunks(text) if full >= MIN_LINES]
+
+
 def chunk_table(docs: DataFrame) -> DataFrame:
     """``(id, digest, start, stop, chunk)`` per chunk of two or more lines;
     ``chunk`` is the digest of its bytes without the last line break."""
+    return _digests(docs, _full_chunks)
+
+
+def pair_table(docs: DataFrame) -> DataFrame:
+    """The same per range of ``line_pairs``."""
+    return _digests(docs, line_pairs)
+
+
+def _digests(docs: DataFrame, cut: Callable[[bytes], list[tuple[int, int]]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             row, start, stop, chunk = [], [], [], []
             for r, text in enumerate(texts_of(b.column(2))):
-                for s, e, full in line_chunks(text):
-                    if full >= MIN_LINES:
-                        row.append(r)
-                        start.append(s)
-                        stop.append(e)
-                        chunk.append(hashlib.blake2b(_chunk_bytes(text, s, e), digest_size=16).digest())
+                for s, e in cut(text):
+                    row.append(r)
+                    start.append(s)
+                    stop.append(e)
+                    chunk.append(hashlib.blake2b(_chunk_bytes(text, s, e), digest_size=16).digest())
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(at), b.column(1).take(at), pa.array(start, pa.int64()),
@@ -82,29 +115,31 @@ def chunk_table(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id long, digest binary, start long, stop long, chunk binary")
 
 
-def _marked(docs: DataFrame) -> DataFrame:
+def _marked(docs: DataFrame, every_line: bool) -> DataFrame:
     """The keyed rows with ``spans``: their chunks that occur elsewhere too,
     ``stays`` for the occurrence that is kept."""
-    chunks = chunk_table(docs)
+    chunks = pair_table(docs) if every_line else chunk_table(docs)
     place = F.struct("id", "digest", "start")
-    many = (chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"),
-                                        F.max(place).alias("last"))
-            .where(F.col("first") != F.col("last")).select("chunk", "first"))
+    many = (chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+            .where("n > 1").select("chunk", "first"))
     # stored, so that the join below deals both sides out itself and splits a chunk that is everywhere
     many = materialise(many, "line-repeats")
+    stays = (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("digest") == F.col("first.digest"))
+             & (F.col("start") - F.col("first.start") < F.col("stop") - F.col("start")))
     spans = (chunks.join(many, "chunk").groupBy("id", "digest")
              .agg(F.sort_array(F.collect_set(F.struct(
-                 "start", "stop", "chunk", place.eqNullSafe(F.col("first")).alias("stays")))).alias("spans")))
+                 "start", "stop", "chunk", stays.alias("stays")))).alias("spans")))
     rows = keyed(docs)
     none = F.array().cast(spans.schema["spans"].dataType)
     return rows.join(spans, rows["id"].eqNullSafe(spans["id"]) & (rows["digest"] == spans["digest"]), "left").select(
         rows["id"], rows["digest"], "row", F.coalesce("spans", none).alias("spans"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, every_line: bool = False) -> DataFrame:
     """``(id, digest, row, spans)``: the rows with ``text`` shortened (and
     ``n_chars``, where there is one, set to its new length), and the byte
-    ranges ``(start, stop)`` of the old text that went.
+    ranges ``(start, stop)`` of the old text that went; ranges that overlap are
+    one.
 
     Defined cases: a null text stays null; an empty text and texts of one line
     are unchanged; rows that repeat (same doc_id and text) are one document
@@ -112,7 +147,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     document may lose all its lines and then has an empty text; digests that
     agree for unequal bytes remove nothing; an empty table gives no rows.
     """
-    marked = materialise(_marked(docs), "line-chunks")
+    marked = materialise(_marked(docs, every_line), "line-chunks")
     cut = F.substring(F.col("row.text").cast("binary"), F.col("span.start").cast("int") + 1,
                       (F.col("span.stop") - F.col("span.start")).cast("int"))
     bytes_ = (marked.where(F.size("spans") > 0).select("row.text", "row", F.explode("spans").alias("span"))
@@ -136,15 +171,21 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
+            out, gone = [], []
             for text, spans in zip(texts_of(b.column(0)), b.column(1).to_pylist()):
-                at, kept = 0, []
+                at, kept, runs = 0, [], []
                 for s in spans:
-                    kept.append(text[at:s["start"]])
+                    if runs and s["start"] < at:
+                        runs[-1]["stop"] = s["stop"]
+                    else:
+                        kept.append(text[at:s["start"]])
+                        runs.append(s)
                     at = s["stop"]
                 out.append(b"".join([*kept, text[at:]]))
+                gone.append(runs)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.binary()).cast(pa.string()), *[b.column(k) for k in range(1, b.num_columns)]],
+                [pa.array(out, pa.binary()).cast(pa.string()), pa.array(gone, b.column(1).type),
+                 *[b.column(k) for k in range(2, b.num_columns)]],
                 ["new", "spans", "id", "digest", "row"])
 
     touched = going.where(F.size("spans") > 0).select(
@@ -157,6 +198,6 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     return changed.unionByName(going.where(F.size("spans") == 0).select("id", "digest", "row", "spans"))
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, every_line: bool = False) -> DataFrame:
     """``dedup_lines`` with the columns of its input."""
-    return unkeyed(dedup_lines(docs))
+    return unkeyed(dedup_lines(docs, every_line))

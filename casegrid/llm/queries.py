@@ -173,9 +173,9 @@ FROM documents d LEFT JOIN per p ON d.doc_id = p.doc_id GROUP BY d.doc_id"""
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without its repeated chunks of lines; ``spans`` are the
-    byte ranges that went."""
-    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    """Every document without its repeated passages of two lines or more;
+    ``spans`` are the byte ranges that went."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), every_line=True)
     return out.select(F.col("id").alias("doc_id"), F.size("spans").alias("n_spans"),
                       _span_list("spans").alias("spans"), F.col("row.text").alias("text"))
 
