@@ -47,9 +47,9 @@ def _span_list(spans: str) -> F.Column:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without its repeated passages; ``spans`` are the byte
-    ranges that went."""
-    out = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    """Every document without its repeated passages, its own repeats among
+    them; ``spans`` are the byte ranges that went."""
+    out = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"), within=True)
     return out.select("doc_id", F.size("spans").alias("n_spans"), "removed_words",
                       _span_list("spans").alias("spans"), "text")
 
