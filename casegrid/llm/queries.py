@@ -18,9 +18,11 @@ from casegrid.llm import (
     fit_packing,
     line_dedup,
     pii,
+    prefix_trie,
     simhash,
     spotsigs,
     substring_dedup,
+    sum_squares,
     tokens,
     toxicity,
     warc,
@@ -187,6 +189,58 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("component").alias("component_id"))
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces in as few sequences of 4096 tokens as can be."""
+    ids = tokens.WordIds(public_tokenizers.path(WORD_FILE))
+    return sum_squares.sum_of_squares_packed(table(spark, sf_dir, "documents"), ids)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie over the conversations, rebuilt with shared heads."""
+    return prefix_trie.trie_nodes(table(spark, sf_dir, "conversations"), 5, prefix_trie.shared_heads)
+
+
+#: CRC-32 of a decimal number, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''),
+  lambda x: ascii(x)::BIGINT)), lambda r, b: list_reduce(list_prepend(xor(r, b), range(8)), lambda x, i:
+  CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+OP13_SQL = f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, turn,
+    md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT c, k, strlen(x) AS s, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) AS p FROM t
+), i AS (
+  SELECT c, {_CRC.format("c")} % 9 AS h FROM (SELECT DISTINCT c FROM t) q
+), b AS (
+  SELECT i.c, p, k, s FROM i JOIN o ON o.c = i.c - i.c % 5 WHERE p <= h
+  UNION ALL SELECT i.c, p, k, s FROM i JOIN o ON o.c = i.c WHERE p > h
+), m AS (
+  SELECT c, row_number() OVER w AS d, s, string_agg(k, '') OVER w AS node FROM b
+  WINDOW w AS (PARTITION BY c ORDER BY p ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT c, 0, 0, '' FROM i
+), e AS (
+  SELECT c, max(d) AS last FROM m GROUP BY c
+), n AS (
+  SELECT node, d, min(m.c) AS conv_id, count(*) AS n_convs, any_value(s) AS s,
+    count(*) FILTER (WHERE last = d) = count(*) AS leaf,
+    sha256(coalesce(string_agg(m.c::VARCHAR, ',' ORDER BY m.c) FILTER (WHERE last = d), '')) AS ends_sha256
+  FROM m JOIN e ON e.c = m.c GROUP BY node, d
+), up AS (
+  SELECT n.node, p.node AS parent FROM n JOIN m p ON p.c = n.conv_id AND p.d = n.d - 1
+), kids AS (
+  SELECT parent, count(*) AS k FROM up GROUP BY parent
+), sums AS (
+  SELECT a.node, count(*) FILTER (WHERE n.leaf) AS n_leaves, sum((n.n_convs - 1) * n.s) AS saved
+  FROM n JOIN m a ON a.c = n.conv_id AND a.d <= n.d GROUP BY a.node
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.k, 0) AS n_children,
+  sums.n_leaves, sums.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN sums ON sums.node = n.node LEFT JOIN kids ON kids.parent = n.node
+LEFT JOIN up ON up.node = n.node LEFT JOIN n p ON p.node = up.parent"""
+
+
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,5 +251,6 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 QUERIES = {f.__name__: _query(f) for f in (
     op1_toxicity, op2_substring_dedup, op3_warc, op4_decontamination, op5_packing, op6_fingerprints,
-    op7_token_matrices, op8_pii, op9_line_dedup, op10_simhash)}
-SQL = {"op3_warc": OP3_SQL, "op8_pii": _op8_sql()}
+    op7_token_matrices, op8_pii, op9_line_dedup, op10_simhash, op12_best_fit,
+    op13_prefix_trie)}
+SQL = {"op3_warc": OP3_SQL, "op8_pii": _op8_sql(), "op13_prefix_trie": OP13_SQL}
