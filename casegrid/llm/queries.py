@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid.llm import (
+    collocations,
     cost_packing,
     decontam,
     fit_packing,
@@ -189,6 +190,45 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("component").alias("component_id"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases by how firmly their words hold together."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH p AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents) q
+), g AS (
+  SELECT lang, k, array_to_string(w[s:s + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) ks) x
+), f AS (
+  SELECT lang, k, phrase, count(*) AS n FROM g GROUP BY lang, k, phrase
+), total AS (
+  SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND n >= 30
+), cuts AS (
+  SELECT lang, k, phrase, a, cut, array_to_string(w[1:cut], ' ') AS first, array_to_string(w[cut + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) x
+), s AS (
+  SELECT c.lang, c.phrase, c.a, x.n AS l, y.n AS r, (2000000::HUGEINT * a) // (x.n::HUGEINT + y.n) AS score, cut
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = first JOIN f y ON y.lang = c.lang AND y.phrase = rest
+), best AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[s:s + j - 1], ' ') AS phrase, max(a) AS around
+  FROM (SELECT *, unnest(range(1, k - j + 2)) AS s FROM (SELECT *, unnest(range(2, k)) AS j FROM c WHERE k > 2) x) y
+  GROUP BY ALL
+)
+SELECT b.lang, rank, b.phrase, a, l, r, total.n, score::BIGINT AS score FROM (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank
+  FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE around IS NULL OR 100::HUGEINT * around < 80::HUGEINT * a
+) b JOIN total ON total.lang = b.lang WHERE rank <= 2000"""
+
+
 def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces in as few sequences of 4096 tokens as can be."""
     ids = tokens.WordIds(public_tokenizers.path(WORD_FILE))
@@ -251,6 +291,7 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 QUERIES = {f.__name__: _query(f) for f in (
     op1_toxicity, op2_substring_dedup, op3_warc, op4_decontamination, op5_packing, op6_fingerprints,
-    op7_token_matrices, op8_pii, op9_line_dedup, op10_simhash, op12_best_fit,
-    op13_prefix_trie)}
-SQL = {"op3_warc": OP3_SQL, "op8_pii": _op8_sql(), "op13_prefix_trie": OP13_SQL}
+    op7_token_matrices, op8_pii, op9_line_dedup, op10_simhash, op11_collocations,
+    op12_best_fit, op13_prefix_trie)}
+SQL = {"op3_warc": OP3_SQL, "op8_pii": _op8_sql(), "op11_collocations": OP11_SQL,
+       "op13_prefix_trie": OP13_SQL}
