@@ -8,7 +8,7 @@ import corpus_pipeline as P
 from casegrid.llm import decontam as D
 from casegrid.llm import line_dedup as L
 from casegrid.llm import toxicity as X
-from test_llm_line_dedup import slow as slow_lines
+from test_llm_line_runs import slow_runs
 from test_llm_simhash import slow_fingerprint, slow_groups
 
 SF = "/root/testdata/sf0.001"
@@ -26,7 +26,7 @@ def test_pipeline_equals_brute_force(spark):
     model = X.learn(docs, labels, only=lambda i: ~X.held_out(i))
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     rows = [(i, t) for i, t in rows if model.scores([t.encode()])[0] < X.THRESHOLD]
-    rows = slow_lines(rows)
+    rows = slow_runs(rows)
     prints = [(i, slow_fingerprint(t)) for i, t in rows]
     group = slow_groups(prints)
     rows = [r for r, p in zip(rows, prints) if group[p] == r[0]]

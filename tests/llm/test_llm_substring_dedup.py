@@ -106,8 +106,9 @@ def test_planted_passages_go_and_clean_texts_stay(spark):
     assert all(got[i]["text"] == t for i, t in rows if i not in later)
 
 
-def test_query(spark):
-    from casegrid.llm.queries import op2_substring_dedup
-    sf = "/root/testdata/sf0.001"
-    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
-    assert Counter((r["doc_id"], r["text"]) for r in op2_substring_dedup(spark, sf).collect()) == Counter(slow(rows))
+def test_default_form_on_documents(spark):
+    """Repeats across texts alone; the query's form is tested in test_llm_own_repeats."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = U.dedup_substrings(docs).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(slow(rows))
