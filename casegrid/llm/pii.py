@@ -2,7 +2,14 @@
 
 Regular expressions propose spans; validators confirm them: Luhn for card
 numbers, mod-97 for bank accounts (IBAN), digit counts for phone numbers, parts
-of at most 255 for IP addresses.  Words near a span raise or lower its score.
+of at most 255 for IP addresses, length and entropy for credentials (a value
+that is assigned to a key, token, secret or password).  Words near a span raise
+or lower its score.
+
+Texts of any length are searched without recursion, and in time in proportion
+to their length: the patterns that Spark runs are possessive and start only
+where a run of their signs starts.  The words near a span are looked up in the
+text, which takes time in proportion to spans times length.
 
 Spark has no function for the positions of matches.  ``spans_of`` gets them
 from the matches and from the pieces between: the n-th match starts after the
@@ -23,7 +30,17 @@ CARD_RUN = r"[0-9][\x20\x2d0-9]*[0-9]"
 CARD_BREAK = r"[\x20\x2d]{2,}"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}"
-KINDS = ("email", "ip", "card", "phone", "iban")
+CREDENTIAL_VALUE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
+CREDENTIAL = (r"(?i:key|secret|token|password|passwd|credential)[\x22\x27]?\x20{0,3}[:=]\x20{0,3}[\x22\x27]?"
+              + CREDENTIAL_VALUE)
+KINDS = ("email", "ip", "card", "phone", "iban", "credential")
+#: The same matches as ``EMAIL`` and ``IP``.  A match starts where a run of its
+#: first signs starts, or where the match before ended inside that run.
+EMAIL_SAFE = (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+IP_SAFE = r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"
+IP_SIGNS = r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]"
+#: Bits per sign that a credential's value has at least.
+ENTROPY = 3.0
 #: Words before a span that speak for its kind, or against any.
 CONTEXT = {
     "email": "mail|contact|write|reach",
@@ -31,32 +48,53 @@ CONTEXT = {
     "card": "card|visa|credit|payment|pay",
     "phone": "phone|call|tel|mobile|fax",
     "iban": "iban|bank|account|transfer",
+    "credential": "key|secret|token|password|passwd|credential",
 }
 AGAINST = "example|sample|dummy|test|version|isbn|order"
 CONTEXT_CHARS = 40
 #: What may stand before a context word; the against words also end there.
 EDGE = "(?:^|[^a-z0-9])"
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "credential": 0.8}
 STEP_UP, STEP_DOWN = 0.1, 0.2
 
 
+_SPANS = "array<struct<start:int,stop:int,match:string>>"
+#: Spans are added up in blocks: a list that grows one by one is copied each time.
+BLOCK = 512
+
+
+def _placed(parts: Column) -> Column:
+    """Spans of the parts ``(before, m, after)`` of a text in turn: ``m`` lies
+    after ``before`` code points and is followed by ``after``; a null ``m`` is
+    no span."""
+    none = F.array().cast(_SPANS)
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["before"]
+        stop = start + F.coalesce(F.length(x["m"]), F.lit(0))
+        span = F.struct(start.alias("start"), stop.alias("stop"), x["m"].alias("match"))
+        return F.struct((stop + x["after"]).alias("at"),
+                        F.when(x["m"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span))).alias("out"))
+
+    def joined(acc: Column, block: Column) -> Column:
+        moved = F.transform(block["out"], lambda x: F.struct(
+            (x["start"] + acc["at"]).alias("start"), (x["stop"] + acc["at"]).alias("stop"), x["match"].alias("match")))
+        return F.struct((acc["at"] + block["at"]).alias("at"), F.concat(acc["out"], moved).alias("out"))
+
+    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    blocks = F.transform(F.array(parts), lambda p: F.transform(  # the array binds p, so that it is evaluated once
+        F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int")),
+        lambda b: F.aggregate(F.slice(p, b * BLOCK + 1, F.lit(BLOCK)), zero, step)))[0]
+    return F.aggregate(blocks, zero, joined)["out"]
+
+
 def spans_of(text: Column, pattern: str) -> Column:
     """``array<struct<start, stop, match>>`` of the leftmost matches that do
     not overlap, in code points; ``stop`` is exclusive."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
-    sizes = F.transform(F.arrays_zip(pieces.alias("p"), matches.alias("m")),
-                        lambda x: F.struct(F.length(x["p"]).alias("gap"), x["m"].alias("m")))
-    empty = F.array().cast("array<struct<start:int,stop:int,match:string>>")
-    done = F.aggregate(
-        sizes, F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"),
-            F.when(x["m"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + x["gap"]).alias("start"),
-                (acc["at"] + x["gap"] + F.length(x["m"])).alias("stop"),
-                x["m"].alias("match"))))).alias("out")))
-    return done["out"]
+    return _placed(F.transform(F.arrays_zip(pieces.alias("p"), matches.alias("m")), lambda x: F.struct(
+        F.length(x["p"]).alias("before"), x["m"].alias("m"), F.lit(0).alias("after"))))
 
 
 def digits(match: Column) -> Column:
@@ -74,6 +112,14 @@ def mod97(match: Column) -> Column:
         .otherwise((r * 100 + F.ascii(c) - 55) % 97))
 
 
+def entropy(value: Column) -> Column:
+    """Bits per sign, from how often each sign occurs."""
+    signs = F.filter(F.split(value, ""), lambda c: c != "")
+    n = F.length(value).cast("double")
+    return F.aggregate(F.array_distinct(signs), F.lit(0.0), lambda acc, c: acc + F.transform(
+        F.array((n - F.length(F.replace(value, c, F.lit("")))) / n), lambda p: -p * F.log2(p))[0])
+
+
 def confirmed(kind: str, match: Column, before: Column, after: Column) -> Column:
     """Whether a match is valid; ``before`` and ``after`` are the signs beside
     it (empty at either end of the text)."""
@@ -90,17 +136,23 @@ def confirmed(kind: str, match: Column, before: Column, after: Column) -> Column
     if kind == "iban":
         free = ~before.rlike("[A-Za-z0-9]") & ~after.rlike("[A-Za-z0-9]")
         return free & F.length(F.regexp_replace(match, " ", "")).between(15, 34) & (mod97(match) == 1)
+    if kind == "credential":
+        value = F.regexp_extract(match, CREDENTIAL_VALUE + "$", 0)
+        mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+        return ~before.rlike("[A-Za-z0-9]") & mixed & (entropy(value) >= ENTROPY)
     return F.lit(True)
 
 
 def proposals(text: Column, kind: str) -> Column:
     """Spans that the kind's pattern proposes; texts without the signs that a
     match needs are not searched."""
-    none = F.array().cast("array<struct<start:int,stop:int,match:string>>")
+    none = F.array().cast(_SPANS)
     if kind == "email":
-        return F.when(F.contains(text, F.lit("@")), spans_of(text, EMAIL)).otherwise(none)
+        return F.when(F.contains(text, F.lit("@")), spans_of(text, EMAIL_SAFE)).otherwise(none)
     if kind == "ip":
-        return F.when(text.rlike(r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]"), spans_of(text, IP)).otherwise(none)
+        return F.when(text.rlike(IP_SIGNS), spans_of(text, IP_SAFE)).otherwise(none)
+    if kind == "credential":
+        return F.when(text.rlike(CREDENTIAL), spans_of(text, CREDENTIAL)).otherwise(none)
     if kind == "phone":
         return F.when(text.rlike(r"\+[0-9]"), spans_of(text, PHONE)).otherwise(none)
     if kind == "iban":
@@ -118,24 +170,17 @@ def proposals(text: Column, kind: str) -> Column:
 def _between(text: Column, pattern: str) -> Column:
     """The pieces of a text between matches, with their places."""
     gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zipped = F.transform(F.arrays_zip(F.split(text, pattern, -1).alias("p"), gaps.alias("g")),
-                         lambda x: F.struct(x["p"].alias("p"), F.coalesce(F.length(x["g"]), F.lit(0)).alias("g")))
-    empty = F.array().cast("array<struct<start:int,stop:int,match:string>>")
-    return F.aggregate(
-        zipped, F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["p"]) + x["g"]).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                acc["at"].alias("start"), (acc["at"] + F.length(x["p"])).alias("stop"),
-                x["p"].alias("match")))).alias("out")))["out"]
+    return _placed(F.transform(F.arrays_zip(F.split(text, pattern, -1).alias("p"), gaps.alias("g")), lambda x: F.struct(
+        F.lit(0).alias("before"), x["p"].alias("m"), F.coalesce(F.length(x["g"]), F.lit(0)).alias("after"))))
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """``(id, digest, text, spans)`` per row; ``spans`` is an array of
     ``(start, kind_no, stop, kind, match, score)`` by start and kind.
 
-    Defined cases: a null text counts as empty and has no spans; spans of
-    different kinds may overlap; a match that its validator rejects is
+    Defined cases: a null text counts as empty and has no spans; very long
+    texts are searched whole; spans of different kinds may overlap; a
+    credential's span is its value alone; a match that its validator rejects is
     dropped and its characters are not searched again; rows that repeat give
     equal rows; an empty table gives no rows.
     """
@@ -147,9 +192,12 @@ def find_pii(docs: DataFrame) -> DataFrame:
         return before, F.substring(F.col("text"), x["stop"] + 1, F.lit(1))
 
     def sure(n: int, kind: str) -> Column:
-        return F.transform(F.filter(kind, lambda x: confirmed(kind, x["match"], *beside(x))), lambda x: F.struct(
-            x["start"].alias("start"), F.lit(n).alias("kind_no"), x["stop"].alias("stop"),
-            F.lit(kind).alias("kind"), x["match"].alias("match")))
+        def named(x: Column) -> Column:
+            match = F.regexp_extract(x["match"], CREDENTIAL_VALUE + "$", 0) if kind == "credential" else x["match"]
+            return F.struct((x["stop"] - F.length(match)).alias("start"), F.lit(n).alias("kind_no"),
+                            x["stop"].alias("stop"), F.lit(kind).alias("kind"), match.alias("match"))
+
+        return F.transform(F.filter(kind, lambda x: confirmed(kind, x["match"], *beside(x))), named)
 
     found = proposed.select("id", "digest", "text", F.flatten(F.array(*[sure(n, k) for n, k in enumerate(KINDS)])).alias("found"))
 

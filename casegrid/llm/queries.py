@@ -118,7 +118,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), count(0).alias("n_email"), count(1).alias("n_ip"), count(2).alias("n_card"),
         count(3).alias("n_phone"), F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"),
-        pii.span_text("spans").alias("spans"), count(4).alias("n_iban"),
+        pii.span_text("spans").alias("spans"), count(4).alias("n_iban"), count(5).alias("n_credential"),
         F.array_join(F.transform("spans", lambda x: x["score"].cast("string")), ",").alias("scores"))
 
 
@@ -132,7 +132,8 @@ def _op8_sql() -> str:
         FROM docs) x, unnest(range(1, len(m) + 1)) u(i)"""
 
     card = r"[0-9](?:[\x20-]?[0-9])+"
-    found = " UNION ALL ".join(places(n, x) for n, x in enumerate((pii.EMAIL, pii.IP, card, pii.PHONE, pii.IBAN)))
+    found = " UNION ALL ".join(places(n, x) for n, x in enumerate(
+        (pii.EMAIL, pii.IP, card, pii.PHONE, pii.IBAN, pii.CREDENTIAL)))
     near = "lower(substr(t, greatest(s - 40, 0) + 1, s - greatest(s - 40, 0)))"
     prior = " ".join(f"WHEN {n} THEN {pii.PRIOR[k]}" for n, k in enumerate(pii.KINDS))
     words = " ".join(f"WHEN {n} THEN regexp_matches({near}, '{pii.EDGE}(?:{pii.CONTEXT[k]})')"
@@ -141,7 +142,10 @@ def _op8_sql() -> str:
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 found AS ({found}),
 typed AS (
-  SELECT *, s + length(w) AS e, regexp_replace(w, '[^0-9]', '', 'g') AS d, replace(w, ' ', '') AS a FROM found
+  SELECT doc_id, t, kind_no, w, s AS s0, s + length(w) AS e, v,
+    CASE WHEN kind_no = 5 THEN s + length(w) - length(v) ELSE s END AS s,
+    regexp_replace(w, '[^0-9]', '', 'g') AS d, replace(w, ' ', '') AS a
+  FROM (SELECT *, regexp_extract(w, '{pii.CREDENTIAL_VALUE}$') AS v FROM found) x
 ),
 sure AS (
   SELECT *, {list(pii.KINDS)}[kind_no + 1] AS kind,
@@ -161,6 +165,11 @@ sure AS (
       AND list_reduce(list_prepend(0, list_transform(string_split(substr(a, 5) || substr(a, 1, 4), ''),
         lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)),
         lambda r, v: CASE WHEN v < 10 THEN (r * 10 + v) % 97 ELSE (r * 100 + v) % 97 END) = 1
+    WHEN 5 THEN NOT regexp_matches(substr(t, s0, CASE WHEN s0 > 0 THEN 1 ELSE 0 END), '[A-Za-z0-9]')
+      AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
+      AND list_sum(list_transform(list_distinct(string_split(v, '')), lambda c:
+        -(length(v) - length(replace(v, c, ''))) / length(v)::double
+        * log2((length(v) - length(replace(v, c, ''))) / length(v)::double))) >= {pii.ENTROPY}
     ELSE true END
 ),
 per AS (
@@ -170,7 +179,7 @@ SELECT d.doc_id, count(*) FILTER (WHERE kind_no = 0) AS n_email, count(*) FILTER
   count(*) FILTER (WHERE kind_no = 2) AS n_card, count(*) FILTER (WHERE kind_no = 3) AS n_phone,
   sha256(coalesce(string_agg(span, ',' ORDER BY s, kind_no) FILTER (WHERE kind_no < 4), '')) AS base_sha256,
   coalesce(string_agg(span, ',' ORDER BY s, kind_no), '') AS spans,
-  count(*) FILTER (WHERE kind_no = 4) AS n_iban,
+  count(*) FILTER (WHERE kind_no = 4) AS n_iban, count(*) FILTER (WHERE kind_no = 5) AS n_credential,
   coalesce(string_agg(cast(score AS varchar), ',' ORDER BY s, kind_no), '') AS scores
 FROM documents d LEFT JOIN per p ON d.doc_id = p.doc_id GROUP BY d.doc_id"""
 
