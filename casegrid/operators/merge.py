@@ -1,20 +1,15 @@
 """Set-based keyed writes: upsert (replace by key) and insert-if-absent.
 
-As expressions they give the whole table.  As stored state a table is a folder
-that each run appends its rows to (``append_rows``), read as the newest row per
-key (``read_latest``): a run writes what it changed and rewrites nothing.
+As expressions they give the whole table.  Stored state is merged into by
+``sources.versions.merge_into``, which rewrites only the parts that hold the keys
+of a run.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from casegrid.operators.dedupe import latest_per_key
-from casegrid.sources.tables import read_or_empty
+from pyspark.sql import DataFrame
 
 
 def upsert_by_key(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -31,17 +26,3 @@ def insert_if_absent(target: DataFrame, new_rows: DataFrame, keys: Sequence[str]
     keys = list(keys)
     fresh = new_rows.select(*target.columns).join(target.select(*keys), keys, "left_anti")
     return target.unionByName(fresh)
-
-
-def append_rows(rows: DataFrame, path: str) -> None:
-    """Add one run's rows to a state table."""
-    rows.write.mode("append").parquet(path)
-
-
-def read_latest(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], newest: str) -> DataFrame:
-    """A state table as one row per key, the one with the greatest ``newest``
-    (a run that was repeated may have appended a row twice); a table that was
-    never written is empty."""
-    rows = read_or_empty(spark, path, schema)
-    rest = [F.col(f.name) for f in schema.fields if f.name not in (*keys, newest)]
-    return latest_per_key(rows, keys, [F.col(newest)], rest).select(*schema.fieldNames())

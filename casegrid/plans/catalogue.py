@@ -15,6 +15,7 @@ from casegrid.operators.joins import balanced_join
 from casegrid.operators.staging import hot_establishments, join_establishment, stage_cases, stage_establishments
 from casegrid.session import materialise as materialise_table, scratch_path
 from casegrid.sources.tables import reload_table
+from casegrid.sources.versions import read_table
 from casegrid.plans.analogues import MODEL_NAME, RUN_TS, raw_cases
 from casegrid.plans.warehouse import MART_NAMES, models_from
 
@@ -151,10 +152,10 @@ def q_marts_row_counts(spark, sf_dir):
     parts = []
     for n in MART_NAMES:
         rows = reload_table(m[n], f"{base}/{n}")
-        parts.append(spark.read.parquet(f"{base}/{n}").agg(
+        parts.append(read_table(spark, f"{base}/{n}").agg(
             F.count(F.lit(1)).alias("row_count"), F.count_distinct(KEY_OF[n]).alias("distinct_keys"))
             .select(F.lit(n).alias("mart"), "row_count", "distinct_keys"))
-        if rows != spark.read.parquet(f"{base}/{n}").count():
+        if rows != read_table(spark, f"{base}/{n}").count():
             raise AssertionError(f"{n}: {rows} rows written")
     out = parts[0]
     for p in parts[1:]:

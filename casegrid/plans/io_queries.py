@@ -14,6 +14,7 @@ from casegrid.plans.catalogue import register
 from casegrid.plans.oracle import q
 from casegrid.session import scratch_path
 from casegrid.sources.tables import read_or_empty, reload_table
+from casegrid.sources.versions import read_table
 from casegrid.sources.text_csv import read_text_csv, sample_as_csv, write_text_csv
 
 # Characters written as raw bytes 0x80 and 0x81 (latin-1 code points), which
@@ -99,7 +100,7 @@ def q_reload_idempotent(spark, sf_dir):
     second = reload_table(c, path)
     if first != second:
         raise AssertionError(f"reload counts differ: {first} vs {second}")
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 _TARGET_SEGMENT_EXCLUDED = "BUILDING"

@@ -32,7 +32,7 @@ from casegrid.operators.enrich import (
 )
 from casegrid.operators.evaluation import eval_mart, run_summary
 from casegrid.operators.fact import build_fact
-from casegrid.operators.merge import append_rows, read_latest
+from casegrid.operators.dedupe import latest_per_key
 from casegrid.operators.staging import (
     hot_establishments,
     join_enrichment,
@@ -44,6 +44,7 @@ from casegrid.operators.staging import (
 )
 from casegrid.session import scratch_scope
 from casegrid.sources.tables import reload_table
+from casegrid.sources.versions import merge_into, read_table
 
 MART_NAMES = ("dim_date", "dim_establishment", "dim_geography", "dim_industry",
               "dim_injury_type", "fct_incidents", "mart_llm_eval")
@@ -164,7 +165,9 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, out_dir: str, state_dir:
 
     Incremental state (the enrichment table and the answer cache) lies in
     ``state_dir``, a folder that runs share (by default ``out_dir``): a run
-    appends its own rows and reads the newest per key; absent state is empty.
+    replaces the parts that hold keys of its own; absent state is empty.  All
+    tables are read with ``versions.read_table``; a run that fails leaves those
+    of the run before.
 
     A failed check of error severity ends the run (``gate=False`` only
     reports).  Lenient typing (``strict=False``) counts what it could not
@@ -181,24 +184,25 @@ def _run(spark, raw, out_dir, state_dir, classify, run_ts, model_name, prompt_ve
     p = lambda name: os.path.join(out_dir, name)
 
     raw_rows = reload_table(raw, p("raw_case_detail"))
-    raw_t = spark.read.parquet(p("raw_case_detail"))
+    raw_t = read_table(spark, p("raw_case_detail"))
 
     cases = stage_cases(raw_t, strict)
     cache_path, target_path = os.path.join(state_dir, "llm_cache"), os.path.join(state_dir, "llm_enrichment")
-    cache = read_latest(spark, cache_path, CACHE_SCHEMA, ["content_hash", "prompt_version"], "cached_at")
-    target = read_latest(spark, target_path, ENRICHMENT_SCHEMA, ["incident_id"], "enriched_at")
+    cache = read_table(spark, cache_path, CACHE_SCHEMA)
+    target = read_table(spark, target_path, ENRICHMENT_SCHEMA)
     rejected = {k: v for k, v in rejects(raw_t).first().asDict().items() if v} if not strict else {}
     result = enrich(cases, cache, target, classify, run_ts, model_name, prompt_version, limit=limit, calls=calls,
                     batches=batches, answers_path=answers_path)
     counters = result.counters.first().asDict()
-    append_rows(result.updates, target_path)
-    append_rows(result.new_answers, cache_path)
-    enrichment = read_latest(spark, target_path, ENRICHMENT_SCHEMA, ["incident_id"], "enriched_at")
+    rest = [c for c in result.updates.columns if c != "incident_id"]
+    merge_into(latest_per_key(result.updates, ["incident_id"], ["enriched_at"], rest), target_path, ["incident_id"])
+    merge_into(result.new_answers, cache_path, ["content_hash", "prompt_version"], replace=False)
+    enrichment = read_table(spark, target_path, ENRICHMENT_SCHEMA)
 
     establishments = stage_establishments(raw_t, "text", strict)
     joined_path = p("int_incidents__joined")
     reload_table(join_establishment(cases, establishments, hot_establishments(cases)), joined_path)
-    joined = spark.read.parquet(joined_path)
+    joined = read_table(spark, joined_path)
     marts = models_from(cases, establishments, joined, enrichment)
     stored = dict(marts)
     for name in MART_NAMES:
@@ -209,7 +213,7 @@ def _run(spark, raw, out_dir, state_dir, classify, run_ts, model_name, prompt_ve
             reload_table(eval_mart(stored["fct_incidents"], stored["dim_industry"]), p(name))
         else:
             reload_table(marts[name], p(name))
-        stored[name] = spark.read.parquet(p(name))
+        stored[name] = read_table(spark, p(name))
     stored |= {"raw_cases": raw_t, "llm_enrichment": enrichment}
 
     report_df = Q.report(warehouse_checks(stored, min_coverage, as_of))

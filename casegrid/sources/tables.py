@@ -3,22 +3,18 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from casegrid.sources.versions import replace_table
+
 
 def reload_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    """Replace the table at ``path`` with ``df`` and return the row count,
-    counted by an Observation during the same write job (no second pass).
-    Re-running with the same input leaves the same table (idempotent).
-    ``path`` must not be an input of ``df``'s own plan."""
-    obs = Observation("reload")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return int(obs.get["rows"])
+    """Replace the table at ``path`` with ``df`` and return the row count.
+    Re-running with the same input leaves the same table (idempotent).  The old
+    rows stay readable until the new ones are complete (see ``versions``);
+    ``versions.read_table`` reads it."""
+    return replace_table(df, path, partition_by or ())
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -1,0 +1,125 @@
+"""Tables that are replaced without a moment of absence, and keyed state by parts."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from casegrid.sources import versions as V
+
+
+def ids(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def files(path):
+    return {os.path.join(d, n) for d, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "k long, v string")
+
+
+def test_replace_is_idempotent(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    for _ in range(3):
+        assert V.replace_table(frame(spark, [(1, "a"), (2, "b")]), path) == 2
+        assert ids(V.read_table(spark, path)) == [(1, "a"), (2, "b")]
+    assert V.current(spark, path).number == 3
+
+
+def test_a_write_that_fails_half_way_leaves_the_old_rows(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    V.replace_table(frame(spark, [(k, "old") for k in range(10)]), path)
+    broken = spark.range(0, 1000, 1, 4).select(
+        F.col("id").alias("k"), F.when(F.col("id") == 990, F.raise_error(F.lit("lost"))).otherwise(F.lit("new")).cast("string").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        V.replace_table(broken, path)
+    assert ids(V.read_table(spark, path)) == [(k, "old") for k in range(10)]
+    V.replace_table(frame(spark, [(1, "new")]), path)
+    assert ids(V.read_table(spark, path)) == [(1, "new")]
+
+
+def test_a_reader_from_before_the_swap_finishes(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    V.replace_table(frame(spark, [(1, "one")]), path)
+    early = V.read_table(spark, path)
+    V.replace_table(early.select("k", F.lit("two").alias("v")), path)  # also reads what it replaces
+    assert ids(early) == [(1, "one")] and ids(V.read_table(spark, path)) == [(1, "two")]
+
+
+def test_versions_that_nobody_reads_are_removed(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    for k in range(5):
+        V.replace_table(frame(spark, [(k, "x")]), path)
+    assert len([n for n in os.listdir(path) if n.startswith("data-")]) == 2
+    assert len([n for n in os.listdir(os.path.join(path, V.MANIFESTS)) if n.isdigit()]) == 2
+
+
+def test_two_writers_of_one_version_conflict(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    V.replace_table(frame(spark, [(1, "x")]), path)
+    with pytest.raises(V.Conflict):
+        V.publish(spark, path, V.Version(1, ["data-other"]))
+    assert ids(V.read_table(spark, path)) == [(1, "x")]
+
+
+def test_partitioned_table_keeps_its_columns(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    V.replace_table(frame(spark, [(1, "a"), (2, "b")]), path, ["v"])
+    plan = V.read_table(spark, path).where("v = 'a'")
+    assert ids(plan.select("k", "v")) == [(1, "a")]
+    assert len(plan.inputFiles()) >= 1 and all("v=" in f for f in plan.inputFiles())
+
+
+def test_a_table_never_written_is_empty_or_an_error(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "none")
+    schema = frame(spark, []).schema
+    assert V.read_table(spark, path, schema).count() == 0
+    with pytest.raises(Exception, match="no table"):
+        V.read_table(spark, path)
+
+
+@pytest.mark.parametrize("replace", [True, False])
+def test_merges_equal_a_dictionary(spark, tmp_dir, replace):
+    path, rng, want = os.path.join(tmp_dir, "s"), random.Random(3), {}
+    for run in range(4):
+        rows = {rng.randrange(40): f"{run}-{k}" for k in range(rng.randrange(0, 30))}
+        V.merge_into(frame(spark, list(rows.items())), path, ["k"], replace, buckets=8)
+        want = {**want, **rows} if replace else {**rows, **want}
+        assert ids(V.read_table(spark, path, frame(spark, []).schema)) == sorted(want.items())
+
+
+def test_untouched_parts_keep_their_files(spark, tmp_dir):
+    """A run that touches few keys of one part neither reads nor writes the others."""
+    path = os.path.join(tmp_dir, "s")
+    V.merge_into(frame(spark, [(k, "old") for k in range(3000)]), path, ["k"], buckets=16)
+    first = V.current(spark, path)
+    assert len(first.parts) == 16 and first.buckets == 16
+    part = frame(spark, [(k, "new") for k in range(3000)]).where(V.bucket_of(["k"], 16) == 5).limit(2)
+    before = files(path)
+    assert V.merge_into(part, path, ["k"], buckets=4) == [5]
+    now = V.current(spark, path)
+    assert {b for b in range(16) if now.parts[b] != first.parts[b]} == {5}
+    made = files(path) - before
+    assert before <= files(path) and made and all("key_bucket=5" in f for f in made)
+    got = dict(ids(V.read_table(spark, path)))
+    assert len(got) == 3000 and sum(v == "new" for v in got.values()) == 2
+
+
+def test_a_merge_that_fails_changes_nothing(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "s")
+    V.merge_into(frame(spark, [(k, "old") for k in range(50)]), path, ["k"], buckets=4)
+    bad = frame(spark, [(1, "x")]).select("k", F.raise_error(F.lit("lost")).cast("string").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        V.merge_into(bad, path, ["k"])
+    assert ids(V.read_table(spark, path)) == [(k, "old") for k in range(50)]
+    assert V.merge_into(frame(spark, []), path, ["k"]) == []
+
+
+def test_null_keys_are_keys(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "s")
+    V.merge_into(frame(spark, [(None, "a"), (1, "a")]), path, ["k"], buckets=2)
+    V.merge_into(frame(spark, [(None, "b"), (2, "b"), (1, "b")]), path, ["k"])
+    assert set(map(tuple, V.read_table(spark, path).collect())) == {(None, "b"), (1, "b"), (2, "b")}

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from casegrid.plans.warehouse import build_models, run_warehouse
+from casegrid.sources.versions import current, read_table
 
 RAW_COLUMNS = (
     "id establishment_id establishment_name ein company_name street_address city state zip_code "
@@ -88,7 +89,7 @@ def test_end_to_end_run(spark, tmp_dir):
     assert out.summary == {"fact_rows": 5, "enrichment_coverage_pct": 100.0, "agreement_rate_pct": 80.0}
     assert all(r["passed"] for r in out.report), [r for r in out.report if not r["passed"]]
 
-    read = lambda n: spark.read.parquet(os.path.join(out.out_dir, n))
+    read = lambda n: read_table(spark, os.path.join(out.out_dir, n))
     est = {r.establishment_name: r.employee_size_bucket for r in read("dim_establishment").collect()}
     assert est == {"Acme Foods": "Large (250 to 999)", "Brick Co": "Medium (50 to 249)",
                    "City Hospital": "Large (250 to 999)"}
@@ -110,9 +111,9 @@ def test_end_to_end_run(spark, tmp_dir):
     out2 = run_warehouse(spark, raw_fixture(spark), os.path.join(tmp_dir, "run2"), state_dir=out.out_dir,
                          classify=lambda r: r.withColumn("reply", F.raise_error(F.lit("no call")).cast("string")))
     assert out2.counters["rows_from_cache"] == 5 and out2.counters["texts_classified"] == 0
-    # state is appended to: five rows of each run, read as the newest per incident
-    assert read("llm_enrichment").count() == 10 and read("llm_cache").count() == 5
-    assert spark.read.parquet(os.path.join(out2.out_dir, "fct_incidents")).count() == 5
+    # state holds one row per key, those of the second run in place of the first run's
+    assert read("llm_enrichment").count() == 5 and read("llm_cache").count() == 5
+    assert read_table(spark, os.path.join(out2.out_dir, "fct_incidents")).count() == 5
 
 
 def test_parsed_order_picks_latest_time(spark):
@@ -168,4 +169,20 @@ def test_lenient_typing_counts_what_it_rejects(spark, tmp_dir):
 
 def test_fact_is_stored_by_year(spark, tmp_dir):
     out = run_warehouse(spark, raw_fixture(spark), os.path.join(tmp_dir, "run"), classify=fixture_classifier(spark))
-    assert any(d.startswith("incident_year=2024") for d in os.listdir(os.path.join(out.out_dir, "fct_incidents")))
+    path = os.path.join(out.out_dir, "fct_incidents")
+    folder, = current(spark, path).folders
+    assert any(d.startswith("incident_year=2024") for d in os.listdir(os.path.join(path, folder)))
+
+
+def test_a_run_that_fails_leaves_the_tables_of_the_run_before(spark, tmp_dir):
+    import pytest
+    path = os.path.join(tmp_dir, "run")
+    run_warehouse(spark, raw_fixture(spark), path, classify=fixture_classifier(spark))
+    names = ("raw_case_detail", "fct_incidents", "mart_llm_eval", "dim_date", "llm_enrichment", "llm_cache")
+    before = {n: sorted(map(str, read_table(spark, os.path.join(path, n)).collect())) for n in names}
+    broken = raw_fixture(spark).withColumn("date_of_incident", F.lit("no date"))  # a strict cast fails in staging
+    with pytest.raises(Exception):  # noqa: B017 - Spark's own error
+        run_warehouse(spark, broken, path, classify=fixture_classifier(spark))
+    after = {n: sorted(map(str, read_table(spark, os.path.join(path, n)).collect())) for n in names[1:]}
+    assert after == {n: before[n] for n in names[1:]}
+    assert read_table(spark, os.path.join(path, names[0])).count() == 5
