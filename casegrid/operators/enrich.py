@@ -7,13 +7,13 @@ miss -> store -> upsert):
    ``(incident_id, content_hash)`` table once;
 2. one representative row per distinct hash (smallest id), map-side combined,
    and anti-joined against the cache for this prompt version: the misses;
-3. only then fetch the text, for the misses alone;
+3. only then fetch the text, for the misses alone, once for all batches;
 4. classify them (native rules, or an external model through
    ``mapInPandas``), validate the JSON replies natively, and append the
    answers to a table batch by batch, so that a run that breaks off has lost
    one batch of calls at most;
 5. join the answers back to every row (a text that many rows share is dealt
-   out by salt) and derive a per-row status;
+   out by salt), derive a per-row status, and store that once;
 6. upsert the enrichment table by id and insert new answers into the cache.
 
 Counter semantics: within one run a second row with an already answered text
@@ -24,9 +24,12 @@ distinct text).
 
 from __future__ import annotations
 
+import queue
 import random
+import threading
 import time
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from itertools import chain
@@ -142,14 +145,22 @@ def _first_of(words: Column, rank: dict[str, int], names: Sequence[str], default
     return F.coalesce(F.try_element_at(F.array(*[F.lit(n) for n in names]), best + 1), F.lit(default))
 
 
+def category_of(words: Column) -> Column:
+    """First category (in rule order) with a keyword among ``rule_words``, else 'other'."""
+    return _first_of(words, _KEYWORD_RANK, [r[0] for r in RULES], "other")
+
+
+def severity_of(words: Column) -> Column:
+    """Gravest tier with a word among ``rule_words``, else 'minor'."""
+    return _first_of(words, _SEVERITY_RANK, [t for t, _ in SEVERITY_WORDS], SEVERITY_DEFAULT)
+
+
 def rule_category(text: Column) -> Column:
-    """First category (in rule order) with a keyword in the text, else 'other'."""
-    return _first_of(rule_words(text), _KEYWORD_RANK, [r[0] for r in RULES], "other")
+    return category_of(rule_words(text))
 
 
 def rule_severity(text: Column) -> Column:
-    """Gravest tier with a word in the text, else 'minor'."""
-    return _first_of(rule_words(text), _SEVERITY_RANK, [t for t, _ in SEVERITY_WORDS], SEVERITY_DEFAULT)
+    return severity_of(rule_words(text))
 
 
 def _by_category(cat: Column, idx: int, default: str) -> Column:
@@ -211,20 +222,83 @@ def ask(call: Callable[[object, str], str | None], client: object, prompt: str,
     return None, cause
 
 
+class Deadline(TimeoutError):
+    """A call took longer than it may."""
+
+
+def within(seconds: float | None, call: Callable[[object, str], str | None]) -> Callable[[object, str], str | None]:
+    """``call`` with a deadline.  It runs in a thread of its own, which is left
+    behind when the time is over: a thread cannot be stopped, but it holds up
+    neither its task nor the end of its process."""
+    if seconds is None:
+        return call
+
+    def timed(client: object, prompt: str) -> str | None:
+        got: list = []
+
+        def run() -> None:
+            try:
+                got.append((call(client, prompt), None))
+            except BaseException as error:  # noqa: BLE001 - raised again by the caller
+                got.append((None, error))
+
+        thread = threading.Thread(target=run, daemon=True)
+        thread.start()
+        thread.join(seconds)
+        if not got:
+            raise Deadline(f"no reply within {seconds} s")
+        reply, error = got[0]
+        if error is not None:
+            raise error
+        return reply
+
+    return timed
+
+
 def pandas_classifier(make_client: Callable[[], object],
                       call: Callable[[object, str], str | None],
                       retryable: tuple[type[BaseException], ...] = (ConnectionError, TimeoutError),
                       max_retries: int = 3, base_seconds: float = 1.0,
-                      cap_seconds: float = 30.0, prompt_col: str = "prompt") -> Classifier:
+                      cap_seconds: float = 30.0, prompt_col: str = "prompt",
+                      concurrency: int = 1, deadline_seconds: float | None = 120.0) -> Classifier:
     """Wrap ``call(client, prompt) -> reply`` as a ``mapInPandas`` classifier
     that adds ``reply`` and ``cause`` (null unless the call failed).  The
-    reply is validated downstream with native expressions."""
+    reply is validated downstream with native expressions.
+
+    A partition has up to ``concurrency`` calls under way, each with a client of
+    its own that is used again.  A call that takes longer than
+    ``deadline_seconds`` counts as a ``Deadline`` error, which is transient: it
+    is tried again with a new client, since the old one may still be in use.
+    At most ``concurrency * (max_retries + 1)`` threads per row of hanging calls
+    are left behind; the row's cause then names the deadline.
+    """
+    timed = within(deadline_seconds, call)
+
     def run(batches):
-        client = make_client()
-        for pdf in batches:
-            got = [ask(call, client, p, waits(max_retries, base_seconds, cap_seconds), retryable)
-                   for p in pdf[prompt_col]]
-            yield pdf.assign(reply=[r for r, _ in got], cause=[c for _, c in got])
+        idle: queue.SimpleQueue = queue.SimpleQueue()  # clients that no call is using
+
+        def fresh(prompt: str) -> tuple[str | None, str | None]:
+            def use(_, text):
+                try:
+                    client = idle.get_nowait()
+                except queue.Empty:
+                    client = make_client()
+                try:
+                    reply = timed(client, text)
+                except Deadline:
+                    raise
+                except BaseException:
+                    idle.put(client)
+                    raise
+                idle.put(client)
+                return reply
+
+            return ask(use, None, prompt, waits(max_retries, base_seconds, cap_seconds), retryable)
+
+        with ThreadPoolExecutor(concurrency) as pool:
+            for pdf in batches:
+                got = list(pool.map(fresh, pdf[prompt_col]))
+                yield pdf.assign(reply=[r for r, _ in got], cause=[c for _, c in got])
 
     def classify(requests: DataFrame) -> DataFrame:
         schema = T.StructType(requests.schema.fields + [
@@ -347,10 +421,15 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
         stored = read_or_empty(spark, path, ANSWER_SCHEMA).where("is_valid").select("content_hash").distinct()
         misses = misses.join(stored, "content_hash", "left_anti")
     misses = materialise(misses, "content-misses")
+    texts = rows.join(misses.withColumnRenamed("rep_id", "incident_id"), ["content_hash", "incident_id"])
+    if batches > 1:  # the staged texts are read once, and each batch reads its own part
+        texts_path = scratch_path(spark, "content-texts")
+        (texts.withColumn("batch", F.pmod(F.xxhash64("content_hash"), F.lit(batches)))
+         .write.partitionBy("batch").parquet(texts_path))
+        texts = spark.read.schema(T.StructType(
+            [*texts.schema.fields, T.StructField("batch", T.IntegerType())])).parquet(texts_path)
     for part in range(batches):
-        todo = misses if batches == 1 else misses.where(
-            F.pmod(F.xxhash64("content_hash"), F.lit(batches)) == part)
-        found = rows.join(todo.withColumnRenamed("rep_id", "incident_id"), ["content_hash", "incident_id"])
+        found = texts if batches == 1 else texts.where(F.col("batch") == part)
         found = found.repartition(calls, "content_hash") if calls else found
         found = found.dropDuplicates(["content_hash"])  # rows may repeat
         requests = found.select(
@@ -382,6 +461,7 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
         .alias("reject_reason"),
         "cause",
     )
+    per_row = materialise(per_row, "content-status")  # counters, updates and rows read it
 
     ts = F.lit(run_ts).cast("timestamp_ntz")
     updates = per_row.where(F.col("status") != STATUS_FAILED).select(

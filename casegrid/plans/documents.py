@@ -32,9 +32,10 @@ from casegrid.operators.enrich import (
     enrich,
     lookup_cached,
     prepare_rows,
-    rule_category,
+    category_of,
     rule_classifier,
-    rule_severity,
+    rule_words,
+    severity_of,
     uncached,
     with_rule_reply,
 )
@@ -298,9 +299,10 @@ def document_agreement(spark, sf_dir) -> DataFrame:
     """Classifier abstention vs the quality label: a text the rules can
     place in a category should be a good-quality text (label 1)."""
     ld = labelled_documents(spark, sf_dir).where(F.col("quality").isNotNull())
-    pred = F.when(rule_category(F.col("text")) != "other", F.lit(1)).otherwise(F.lit(0))
-    scored = ld.select("lang", rule_severity(F.col("text")).alias("severity_tier"),
-                       agreement_flag(pred, F.col("quality")).alias("is_agreement"))
+    words = ld.select("lang", "quality", rule_words(F.col("text")).alias("words"))  # one pass over a text
+    pred = F.when(category_of(F.col("words")) != "other", F.lit(1)).otherwise(F.lit(0))
+    scored = words.select("lang", severity_of(F.col("words")).alias("severity_tier"),
+                          agreement_flag(pred, F.col("quality")).alias("is_agreement"))
     return agreement(scored, ["lang", "severity_tier"])
 
 

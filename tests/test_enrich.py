@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from casegrid.functions.prompt import NARRATIVE_FIELDS
@@ -201,3 +202,77 @@ def test_requests_carry_instructions_and_use_the_asked_parallelism(spark):
 
     enrich(s, empty_cache(spark), empty_enrichment(spark), classify, TS, "m", calls=5)
     assert seen["partitions"] == 5 and {"instructions", "prompt", "rep_id"} <= set(seen["columns"])
+
+
+def prompts(spark, texts):
+    return spark.createDataFrame([(f"h{k}", f"r{k}", t) for k, t in enumerate(texts)],
+                                 "content_hash string, rep_id string, prompt string").repartition(1)
+
+
+def test_a_call_that_never_returns_ends_at_its_deadline(spark):
+    import time
+
+    def call(client, prompt):
+        if "hang" in prompt:
+            time.sleep(3600)
+        return f"{prompt}!"
+
+    classify = pandas_classifier(dict, call, max_retries=1, base_seconds=0.0, deadline_seconds=0.3, concurrency=2)
+    started = time.time()
+    rows = {r["prompt"]: r for r in classify(prompts(spark, ["a", "hang 1", "b", "hang 2", "c"])).collect()}
+    assert time.time() - started < 60
+    assert [rows[p]["reply"] for p in "abc"] == ["a!", "b!", "c!"] and rows["a"]["cause"] is None
+    for p in ("hang 1", "hang 2"):
+        assert rows[p]["reply"] is None and rows[p]["cause"].startswith("Deadline")
+
+
+def test_calls_of_a_partition_run_at_the_same_time(spark):
+    import time
+
+    def make_client():
+        return {"busy": False}
+
+    def call(client, prompt):
+        assert not client["busy"]  # no two calls share a client
+        client["busy"] = True
+        time.sleep(0.4)
+        client["busy"] = False
+        return prompt
+
+    texts = [f"p{k}" for k in range(24)]
+    classify = pandas_classifier(make_client, call, concurrency=12)
+    classify(prompts(spark, ["warm"])).collect()
+    started = time.time()
+    rows = classify(prompts(spark, texts)).collect()
+    assert time.time() - started < 0.4 * 24 * 0.8
+    assert sorted(r["reply"] for r in rows) == sorted(texts) and all(r["prompt"] == r["reply"] for r in rows)
+
+
+def test_errors_pass_a_deadline_unchanged():
+    from casegrid.operators.enrich import within
+
+    def call(client, prompt):
+        raise ValueError(prompt)
+
+    with pytest.raises(ValueError, match="x"):
+        within(5.0, call)(None, "x")
+    assert within(None, call) is call
+
+
+@pytest.mark.parametrize("batches", [1, 5])
+def test_batches_read_the_staged_texts_once(spark, batches):
+    """The texts are staged for the keys and for the misses, however many batches there are."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    rows = staged(spark, [(str(k), f"fell off ladder {k}", "x") for k in range(40)])
+    field = NARRATIVE_FIELDS[3]
+    result = enrich(rows.withColumn(field, counted(field)), empty_cache(spark), empty_enrichment(spark),
+                    rule_classifier(), TS, "m", batches=batches)
+    assert result.counters.first()["texts_classified"] == 40
+    assert result.updates.count() == result.new_answers.count() == 40
+    assert 40 <= seen.value <= 3 * 40  # the hash and the field itself are taken from it
