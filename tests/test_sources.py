@@ -3,6 +3,7 @@ import os
 import pytest
 
 from casegrid.sources.tables import read_or_empty, reload_table
+from casegrid.sources.versions import read_table
 from casegrid.sources.text_csv import read_text_csv, resolve_columns, snake_case_columns
 
 
@@ -45,7 +46,7 @@ def test_reload_is_idempotent(spark, tmp_dir):
     path = os.path.join(tmp_dir, "raw")
     assert reload_table(df, path) == 3
     assert reload_table(df, path) == 3
-    assert spark.read.parquet(path).count() == 3
+    assert read_table(spark, path).count() == 3
 
 
 def test_missing_table_reads_empty(spark, tmp_dir):
@@ -129,3 +130,70 @@ def test_a_cluster_needs_a_shared_checkpoint_folder():
             ensure_checkpoint_dir(Session(master))
     for master in ("local", "local[4]", "local[*]"):
         assert ensure_checkpoint_dir(Session(master))
+
+
+def messy(rng, n, end):
+    """A file whose fields hold quotes, commas and line breaks, and the rows in it."""
+    words = ["a", "é", 'say ""x""', "b,c", "two\nlines", "\r\n", '""', "", " z ", "\n\n\n", "long " * 9]
+    lines, rows = ["id,Note,Other"], []
+    for k in range(n):
+        note, other = ("".join(rng.choice(words) for _ in range(rng.randrange(0, 4))) for _ in range(2))
+        rows.append((str(k), note.replace('""', '"'), other.replace('""', '"')))
+        lines.append(f'{k},"{note}","{other}"')
+    return end.join(lines) + end * rng.randrange(0, 3), rows
+
+
+@pytest.mark.parametrize("size", [7, 40, 333])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_a_large_file_is_read_in_ranges(spark, tmp_dir, size, end):
+    """Ranges of any size, with bounds inside quotes and line breaks, give the rows of the whole file."""
+    import random
+    rng = random.Random(size)
+    path, want = os.path.join(tmp_dir, "in"), []
+    os.makedirs(path)
+    for name in ("a", "b"):
+        text, rows = messy(rng, 60, end)
+        want += rows
+        with open(os.path.join(path, f"{name}.csv"), "w", newline="") as f:
+            f.write(text)
+    conf = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        frame = read_text_csv(spark, path, "UTF-8", tokens=None, split=True)
+        assert frame.columns == ["id", "note", "other"]
+        got = sorted(tuple(x or "" for x in r) for r in frame.collect())
+        assert spark.read.text(path).rdd.getNumPartitions() > 10
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == sorted(want)
+    # in files whose records end in CRLF, the whole-file reader turns a CRLF inside quotes into a line feed
+    plain = lambda rows: sorted(tuple((x or "").replace("\r\n", "\n") for x in r) for r in rows)
+    assert plain(read_text_csv(spark, path, "UTF-8", tokens=None).collect()) == plain(want)
+
+
+def test_ranges_keep_column_orders_and_malformed_rows(spark, tmp_dir):
+    path = export(tmp_dir, a="id,name\n1,x\n2,y,extra\n3\n4,z\n", b='name,id\n"q\nr",7\n', c="")
+    with pytest.raises(Exception):  # noqa: B017 - Spark's own error
+        read_text_csv(spark, path, "UTF-8", split=True).collect()
+    rows = [sorted((tuple(r) for r in read_text_csv(spark, path, "UTF-8", malformed="keep", split=s).select(
+        "id", "name", "malformed_row").collect()), key=str) for s in (False, True)]
+    assert rows[0] == rows[1] and ("7", "q\nr", None) in rows[1] and (None, None, "3") in rows[1]
+
+
+def test_headers_are_read_without_the_rest(spark, tmp_dir):
+    """Also of compressed files, and of files that start with blank lines."""
+    import gzip
+
+    from casegrid.sources.text_csv import header_groups
+    path = export(tmp_dir, a="\n  \nid,name\n1,x\n")
+    with gzip.open(os.path.join(path, "b.csv.gz"), "wt") as f:
+        f.write("name,id\n" + "y,2\n" * 1000)
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    groups = header_groups(spark, path, "cp1252")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before  # no job read them
+    assert {h: [os.path.basename(f) for f in fs] for h, fs in groups.items()} == {
+        ("id", "name"): ["a.csv"], ("name", "id"): ["b.csv.gz"]}
+    assert read_text_csv(spark, path).count() == 1001
