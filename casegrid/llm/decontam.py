@@ -11,15 +11,16 @@ space made single; the budget is ``RATE`` of an item's bytes, lowered for short
 items as far as the lemma needs at least one shared q-gram.
 
 The items are a stated query set: they go to the tasks in blocks of at most
-``BLOCK_BYTES``, each block against all texts.  What is broadcast is a block's
-q-gram index, some 32 bytes per byte of its items.
+``BLOCK_BYTES``, as they are, and a task builds a block's q-gram index (some 32
+bytes per byte of its items).  Items shorter than a q-gram are matched exactly,
+on word bounds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,10 @@ from casegrid.session import materialise
 Q, RATE = 10, 0.08
 BLOCK_BYTES = 1 << 20
 TABLE_BITS = 22
+#: Bits of the table that holds the q-grams of all blocks.
+WHOLE_BITS = 27
+#: Pairs of a shared q-gram's places in text and items that are looked at together.
+PART = 1 << 18
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -95,6 +100,12 @@ def distance(item: bytes, region: bytes, most: int, low: int, high: int) -> tupl
     return int(cost[k]), int(start[k]), int(k + low + len(item))
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by value of several parts as one."""
+    value, where = np.unique(np.concatenate([v for v, _ in parts]), return_inverse=True)
+    return value, np.bincount(where, np.concatenate([n for _, n in parts]), len(value)).astype(np.int64)
+
+
 @dataclass
 class ItemBlock:
     """Items with the postings of their q-grams."""
@@ -107,13 +118,19 @@ class ItemBlock:
     item: np.ndarray = None
     place: np.ndarray = None
     table: np.ndarray = None
+    short: dict[bytes, list] = None
 
     @classmethod
     def of(cls, rows: list[tuple], rate: float) -> ItemBlock:
-        rows = [(i, t) for i, t in ((i, normal(t)) for i, t in rows) if len(t) >= Q]
+        rows, short = [(i, normal(t)) for i, t in rows], {}
+        for i, t in rows:
+            if 0 < len(t) < Q:
+                short.setdefault(t, []).append(i)
+        rows = [(i, t) for i, t in rows if len(t) >= Q]
         size = np.array([len(t) for _, t in rows], np.int64)
         edits = np.array([budget(m, rate) for m in size.tolist()], np.int64)
-        out = cls([i for i, _ in rows], [t for _, t in rows], edits, size - Q + 1 - edits * Q)
+        out = cls([i for i, _ in rows], [t for _, t in rows], edits, size - Q + 1 - edits * Q,
+                  short=short)
         if rows:
             grams = [gram_keys(t) for _, t in rows]
             keys = np.concatenate(grams)
@@ -130,26 +147,24 @@ class ItemBlock:
     def found(self, text: bytes) -> list[tuple]:
         """``(item id, distance, start, end)`` of the best region per item, in
         bytes of the normal text."""
+        exact = self._short_found(text)
         keys = gram_keys(text)
+        if self.table is None:
+            return exact
         at = np.flatnonzero(self.table[(keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
         if not len(at):
-            return []
+            return exact
         k = np.searchsorted(self.keys, keys[at])
         real = (k < len(self.keys)) & (self.keys[np.minimum(k, len(self.keys) - 1)] == keys[at])
         at, k = at[real], k[real]
-        n = self.first[k + 1] - self.first[k]
-        ends = np.cumsum(n)
-        if not len(ends):
-            return []
-        post = np.arange(ends[-1]) - np.repeat(ends - n, n) + np.repeat(self.first[k], n)
-        pos, item, place = np.repeat(at, n), self.item[post], self.place[post]
-        diag, width = pos - place, self.edits[item] + 1
-        band = diag // width
+        if not len(at):
+            return exact
         # band b holds the diagonals of cells b and b + 1: any run of ``width``
         # diagonals lies whole in one band
-        cells = int(band.max() - (base := int(band.min()) - 1)) + 2
-        code = item * cells + (band - base)
-        value, count = np.unique(code, return_counts=True)
+        thin = int(self.edits.min()) + 1
+        base = -(int(self.place.max()) // thin) - 2
+        cells = len(text) // thin - base + 3
+        value, count = _added([np.unique(code, return_counts=True) for code, _ in self._shared(at, k, base, cells)])
         # no band holds more than its two cells: most texts end here
         full = np.zeros(len(value) + 1, np.int64)
         nxt = np.searchsorted(value, value + 1)
@@ -159,14 +174,17 @@ class ItemBlock:
         back = count + np.where(value[prev] == value - 1, full[prev], 0)
         high = np.maximum(pair, back) >= self.bound[value // cells]
         if not high.any():
-            return []
-        near = np.isin(code, value[high])
-        code, pos = code[near], pos[near]
-        # a text position counts once per item and band
-        names, code = np.unique(np.concatenate([code, code - 1]), return_inverse=True)
-        rows = np.unique(code * (len(text) + 1) + np.concatenate([pos, pos]))
-        bands, count = np.unique(rows // (len(text) + 1), return_counts=True)
-        bands = names[bands]
+            return exact
+        found = []
+        for code, pos in self._shared(at, k, base, cells):
+            near = np.isin(code, value[high])
+            code, pos = code[near], pos[near]
+            # a text position, which lies in one part alone, counts once per item and band
+            names, code = np.unique(np.concatenate([code, code - 1]), return_inverse=True)
+            rows = np.unique(code * (len(text) + 1) + np.concatenate([pos, pos]))
+            some, n = np.unique(rows // (len(text) + 1), return_counts=True)
+            found.append((names[some], n))
+        bands, count = _added(found)
         bands = np.column_stack([bands // cells, bands % cells + base])
         best: dict[int, tuple] = {}
         for (x, b), c in zip(bands.tolist(), count.tolist()):
@@ -178,11 +196,37 @@ class ItemBlock:
             got = distance(own, region, int(self.edits[x]), b * w - low, (b + 2) * w - 1 - low)
             if got and got[0] <= self.edits[x] and (x not in best or got[0] < best[x][0]):
                 best[x] = (got[0], low + got[1], low + got[2])
-        return [(self.ids[x], *v) for x, v in sorted(best.items())]
+        return exact + [(self.ids[x], *v) for x, v in sorted(best.items())]
 
+    def _short_found(self, text: bytes) -> list[tuple]:
+        """Items that are shorter than a q-gram: equal runs of whole words."""
+        out = []
+        words = text.split(b" ") if self.short else []
+        for k in sorted({x.count(b" ") + 1 for x in self.short}):
+            at = 0
+            for i in range(len(words) - k + 1):
+                run = b" ".join(words[i:i + k])
+                for item in self.short.get(run, ()):
+                    if (item, run) not in {x[:2] for x in out}:
+                        out.append((item, run, at))
+                at += len(words[i]) + 1
+        return [(item, 0, at, at + len(run)) for item, run, at in out]
 
-def item_blocks(items: DataFrame, rate: float = RATE) -> Iterator[ItemBlock]:
-    """The items in blocks of bounded size, read one partition at a time."""
+    def _shared(self, at: np.ndarray, k: np.ndarray, base: int, cells: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Cells and text positions of the q-grams that text and items share.
+        A gram that repeats in an item is paired with all its places there, so
+        text positions are taken in parts of about ``PART`` pairs."""
+        n = self.first[k + 1] - self.first[k]
+        cuts = np.flatnonzero(np.diff(np.cumsum(n) // PART)) + 1
+        for some, which, size in zip(np.split(at, cuts), np.split(k, cuts), np.split(n, cuts)):
+            ends = np.cumsum(size)
+            post = np.arange(ends[-1]) - np.repeat(ends - size, size) + np.repeat(self.first[which], size)
+            pos, item = np.repeat(some, size), self.item[post]
+            yield item * cells + ((pos - self.place[post]) // (self.edits[item] + 1) - base), pos
+
+
+def item_blocks(items: DataFrame) -> Iterator[list[tuple]]:
+    """The items in lists of bounded size, read one partition at a time."""
     rows, size = [], 0
     for r in (items.select(F.col("item_id").cast("long").alias("i"), F.col("text").cast("string").alias("t"))
               .dropna().distinct().toLocalIterator()):
@@ -190,10 +234,47 @@ def item_blocks(items: DataFrame, rate: float = RATE) -> Iterator[ItemBlock]:
         rows.append((r["i"], text))
         size += len(text)
         if size >= BLOCK_BYTES:
-            yield ItemBlock.of(rows, rate)
+            yield rows
             rows, size = [], 0
     if rows:
-        yield ItemBlock.of(rows, rate)
+        yield rows
+
+
+@lru_cache(maxsize=1)
+def _index(key: int, rows, rate: float) -> ItemBlock:
+    """The index of a block, built once per Python worker and block."""
+    return ItemBlock.of(rows.value, rate)
+
+
+def _may_hold(rows: DataFrame, blocks: list, rate: float) -> DataFrame:
+    """The rows whose texts share enough q-grams with any item, or hold a short
+    one: one scan, by a bit table of all blocks' q-grams.  It leaves out no text
+    that holds an item; a bit that q-grams share costs time alone."""
+    bits, short, least = np.zeros(1 << WHOLE_BITS, bool), {}, None
+    for rows_of in blocks:
+        for i, t in rows_of.value:
+            t = normal(t)
+            if 0 < len(t) < Q:
+                short.setdefault(t, []).append(i)
+            elif t:
+                bits[(gram_keys(t) >> np.uint64(64 - WHOLE_BITS)).astype(np.int64)] = True
+                bound = len(t) - Q + 1 - budget(len(t), rate) * Q
+                least = bound if least is None else min(least, bound)
+    sent = rows.sparkSession.sparkContext.broadcast((np.packbits(bits, bitorder="little"), short, least))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, short, least = sent.value
+        words = ItemBlock([], [], None, None, short=short)
+        for b in batches:
+            keep = []
+            for raw in texts_of(b.column(2)):
+                text = normal(raw)
+                at = (gram_keys(text) >> np.uint64(64 - WHOLE_BITS)).astype(np.int64)
+                hits = int(((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1).sum())
+                keep.append(least is not None and hits >= max(least, 1) or bool(words._short_found(text)))
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 def contamination(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
@@ -201,26 +282,31 @@ def contamination(docs: DataFrame, items: DataFrame, rate: float = RATE) -> Data
     benchmark item that it holds; ``region`` is the best matching part, in the
     compared form of the text.
 
-    Defined cases: null and empty texts hold nothing; items that are null or
-    shorter than a q-gram find nothing (they say nothing about a text); items
-    that share an id are matched one by one; rows that repeat give rows that
-    repeat; an empty table on either side gives no rows.
+    Items of one block are looked for in one scan of ``docs``.  Of several
+    blocks one scan finds the few texts that may hold an item of any, they are
+    stored, and each block is looked for in those.
+
+    Defined cases: null and empty texts and items hold and find nothing; an
+    item shorter than a q-gram is found where its words stand in a text
+    unchanged; very long texts are searched whole, in memory in proportion to
+    their length; items that share an id are matched one by one; rows that
+    repeat give rows that repeat; an empty table on either side gives no rows.
     """
     spark: SparkSession = docs.sparkSession
     rows = keyed(docs).select("id", "digest", F.col("row.text").cast("string").alias("text"))
     schema = "id long, digest binary, item_id long, edits int, region string"
+    blocks = [spark.sparkContext.broadcast(x) for x in item_blocks(items)]
+    if len(blocks) > 1:
+        rows = materialise(_may_hold(rows, blocks, rate), "may-hold-items")
     parts = []
-    for block in item_blocks(items, rate):
-        if not block.ids:
-            continue
-        sent = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+    for number, sent in enumerate(blocks):
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, number=number) -> Iterator[pa.RecordBatch]:
+            block = _index(number, sent, rate)
             for b in batches:
                 at, out = [], []
                 for r, raw in enumerate(texts_of(b.column(2))):
                     text = normal(raw)
-                    for i, edits, s, e in sent.value.found(text):
+                    for i, edits, s, e in block.found(text):
                         at.append(r)
                         out.append((i, edits, text[s:e].decode("utf-8", "replace")))
                 at = pa.array(at, pa.int64())
@@ -235,7 +321,11 @@ def contamination(docs: DataFrame, items: DataFrame, rate: float = RATE) -> Data
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
-    """The rows that hold no benchmark item, with their columns."""
+    """The rows that hold no benchmark item, with their columns.
+
+    Defined cases: as ``contamination``; rows with a null doc_id or text, and
+    rows that repeat, stay unless their text holds an item.
+    """
     hits = materialise(contamination(docs, items, rate).select("id", "digest").distinct(), "contaminated")
     rows = keyed(docs)
     return unkeyed(rows.join(hits, rows["id"].eqNullSafe(hits["id"]) & (rows["digest"] == hits["digest"]),

@@ -76,7 +76,8 @@ def test_edge_rows(spark, edge_docs, no_docs, monkeypatch, blocks):
     held = {t for _, t in items.distinct().collect() if t}
     for r in edge_docs.collect():
         for x, body in items.distinct().dropna().collect():
-            if len(body) >= D.Q and D.normal(body.encode()) in D.normal((r["text"] or "").encode()):
+            body, text = D.normal(body.encode()), D.normal((r["text"] or "").encode())
+            if body and (body in text if len(body) >= D.Q else b" " + body + b" " in b" " + text + b" "):
                 want[r["doc_id"], x] += 1
     assert got == want and held
     kept = D.drop_contaminated(edge_docs, items)
@@ -89,6 +90,57 @@ def test_edge_rows(spark, edge_docs, no_docs, monkeypatch, blocks):
     assert D.drop_contaminated(edge_docs, items.limit(0)).count() == edge_docs.count()
 
 
+def test_short_items_are_matched_on_word_bounds():
+    block = D.ItemBlock.of([(1, b"Two  words"), (2, b"a b"), (3, b"b"), (4, b"a b"), (5, b"")], D.RATE)
+    assert block.found(b"x a b c a b") == [(2, 0, 2, 5), (4, 0, 2, 5), (3, 0, 4, 5)] or sorted(
+        block.found(b"x a b c a b")) == [(2, 0, 2, 5), (3, 0, 4, 5), (4, 0, 2, 5)]
+    assert [x[0] for x in block.found(b"two words")] == [1] and block.found(b"ab bb") == [] == block.found(b"")
+
+
+def test_repetitive_text_takes_bounded_memory():
+    """Each of the text's many q-grams meets each of its many places in the item."""
+    import tracemalloc
+    block = D.ItemBlock.of([(1, b"ha " * 330), (2, prose(random.Random(1), 30).encode())], D.RATE)
+    for n in (2_000, 20_000):
+        text = D.normal(b"ha " * n)
+        tracemalloc.start()
+        got = block.found(text)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert [x[:2] for x in got] == [(1, 0)]
+        assert peak < 200 << 20
+
+
+def test_near_matches_in_parts_equal_the_full_table(monkeypatch):
+    """With parts of a few pairs the counts add up to the same."""
+    monkeypatch.setattr(D, "PART", 7)
+    test_found_equals_brute_force()
+
+
+def test_many_blocks_cost_one_scan(spark, monkeypatch, tmp_dir):
+    """The documents are read once, and near matches of every block equal the full table."""
+    rng = random.Random(8)
+    items = [(k, prose(rng, rng.randrange(8, 14))) for k in range(10)]
+    rows = []
+    for i in range(50):
+        part = items[i % 10][1]
+        part = edited(rng, part, rng.randrange(0, 2 + int(len(part) * D.RATE))) if i % 3 else prose(rng, 12)
+        rows.append((i, f"{prose(rng, 20)} {part} {prose(rng, 20)}"))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_dir}/d")
+    docs = spark.read.parquet(f"{tmp_dir}/d")
+    monkeypatch.setattr(D, "BLOCK_BYTES", 300)
+    out = D.contamination(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert not any(f"{tmp_dir}/d" in f for f in out.inputFiles())  # they were read, once, for the stored candidates
+    got = {(r["id"], r["item_id"]): r["edits"] for r in out.collect()}
+    want = {}
+    for i, text in rows:
+        for k, body in items:
+            body, e = D.normal(body.encode()), slow_distance(D.normal(body.encode()), D.normal(text.encode()))
+            if e <= D.budget(len(body)):
+                want[i, k] = e
+    assert got == want and len(want) > 15
+
+
 def test_query_equals_containment(spark):
     from casegrid.llm.queries import op4_decontamination
     sf = "/root/testdata/sf0.001"
