@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import texts_of
+from casegrid.llm.common import text_or_empty, texts_of
 from casegrid.session import materialise
 
 #: Common words of English, German, French and Spanish.
@@ -141,7 +141,8 @@ def fingerprinted(docs: DataFrame, least: float = 0.0, texts: bool = True) -> Da
     fingerprinted once: a task walks its documents in order and holds one.
 
     Defined cases: a null text is empty; a row without doc_id has no place in
-    the order and gives no row; of rows that share a doc_id the order is that
+    the order: it has a fingerprint, and null for all that takes an edited text
+    or a next document; very long texts are fingerprinted whole; of rows that share a doc_id the order is that
     of their texts; a single document is its own next one.
     """
     rows, n = in_order_with_next(docs)
@@ -174,11 +175,21 @@ def fingerprinted(docs: DataFrame, least: float = 0.0, texts: bool = True) -> Da
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(t, signatures(t.encode("utf-8", "surrogatepass"))) for t in b.column(0).to_pylist()]
+            out = [(None, len(t), None, t if texts else None, None, fingerprint_text(sig), None, None, None)
+                   for t, sig in found]
+            columns = list(zip(*out)) or [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    unnumbered = (docs.where(F.col("doc_id").cast("long").isNull()).select(text_or_empty().alias("text"))
+                  .mapInArrow(alone, SCHEMA))
     if not n:
-        return docs.sparkSession.createDataFrame([], SCHEMA)
+        return unnumbered
     tasks = min(n, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (rows.repartition(tasks, "part").sortWithinPartitions("part", "last", "id", "text")
-            .select("part", "id", "text", "last").mapInArrow(run, SCHEMA))
+            .select("part", "id", "text", "last").mapInArrow(run, SCHEMA).unionByName(unnumbered))
 
 
 # ---------------------------------------------------------------------------

@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -73,19 +74,31 @@ def _record_name(record_id) -> str:
     return f"<urn:page:{'none' if record_id is None else record_id}>"
 
 
+def _plain_url(url: str) -> str:
+    """A URL as a header can hold it: blanks and signs that do not print as ``%20``."""
+    return "".join(c if c.isprintable() and c != " " else "%20" for c in url)
+
+
+def _url_of(fields: dict[str, str]) -> str:
+    """The page's own URL."""
+    return unquote(fields["X-Source-URL"]) if "X-Source-URL" in fields else fields["WARC-Target-URI"]
+
+
 def record_bytes(row: dict) -> bytes:
     """One WARC/1.1 record; a revisit has no payload of its own."""
     block = b"" if row["record_type"] == "revisit" else row["payload"]
     head = [
         ("WARC-Type", row["record_type"]),
         ("WARC-Record-ID", _record_name(row["record_id"])),
-        ("WARC-Target-URI", "".join(c if c.isprintable() and c != " " else "%20" for c in row["url"])),
+        ("WARC-Target-URI", _plain_url(row["url"])),
         ("WARC-Date", _DATE),
         ("WARC-Payload-Digest", f"sha256:{row['payload_digest']}"),
         ("X-Payload-Length", str(row["payload_bytes"])),
         ("Content-Type", "text/html; charset=utf-8"),
         ("Content-Length", str(len(block))),
     ]
+    if _plain_url(row["url"]) != row["url"]:
+        head.append(("X-Source-URL", quote(row["url"])))  # each byte by its own value
     if row["record_type"] == "revisit":
         head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
                  ("WARC-Refers-To", _record_name(row["refers_to"]))]
@@ -199,7 +212,7 @@ def read_records(index: DataFrame) -> DataFrame:
                         number = lambda x: None if x == "none" else int(x)
                         key = number(fields["WARC-Record-ID"][len("<urn:page:"):-1])
                         to = number(fields["WARC-Refers-To"][len("<urn:page:"):-1]) if again else None
-                        out.append((key, fields["WARC-Target-URI"], fields["WARC-Type"], to, digest,
+                        out.append((key, _url_of(fields), fields["WARC-Type"], to, digest,
                                     int(fields["X-Payload-Length"]) if again else len(block),
                                     None if again else block))
                     types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary())

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 
 from llm_fixtures import prose
 
@@ -58,6 +59,12 @@ def slow_rows(rows):
 
 
 def got_rows(frame):
+    """Rows in order; those without doc_id have a fingerprint alone."""
+    for r in frame.where("doc_id is null").collect():
+        assert r["fingerprint"] == G.fingerprint_text(G.signatures(r["text"].encode()))
+        assert r["n_chars"] == len(r["text"])
+        assert r["edited"] is r["edited_sha256"] is r["edited_fingerprint"] is r["near_edited"] is r["near_next"] is None
+    frame = frame.where("doc_id is not null")
     assert all((r["n_chars"], r["edited_sha256"]) == (len(r["text"]), hashlib.sha256(r["edited"].encode()).hexdigest())
                for r in frame.collect())
     return sorted((r["doc_id"], r["text"], hashlib.sha256(r["edited"].encode()).hexdigest(), r["near_edited"],
@@ -67,6 +74,9 @@ def got_rows(frame):
 def test_edge_rows(spark, edge_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
     assert got_rows(G.fingerprinted(edge_docs)) == slow_rows(rows)
+    assert G.fingerprinted(edge_docs).count() == len(rows)
+    unnumbered = edge_docs.where("doc_id is null")
+    assert got_rows(G.fingerprinted(unnumbered)) == [] and G.fingerprinted(unnumbered).count() == 2
     assert G.fingerprinted(no_docs).count() == 0
     one = spark.createDataFrame([(4, "the one text of it")], "doc_id long, text string")
     assert got_rows(G.fingerprinted(one)) == slow_rows([(4, "the one text of it")])
@@ -79,6 +89,47 @@ def test_equal_texts_have_equal_fingerprints(edge_docs):
     assert all(len(x) == 1 for x in by.values())
 
 
+def own_signatures(text):
+    """The definition, written without the library's code: what follows each common word."""
+    words, now = [], ""
+    for c in text + " ":
+        if c.isascii() and not c.isalnum():
+            words, now = words + [now] * bool(now), ""
+        else:
+            now += c.lower() if c.isascii() else c
+    common = {a.decode() for a in G.ANCHORS}
+    parts = []
+    for k, w in enumerate(words):
+        if w in common:
+            chain = [x for x in words[k + 1:] if x not in common][:2]
+            if chain:
+                parts.append(w + " ".join(chain))
+    if not parts:
+        parts = [" ".join(words[k:k + 2]) for k in range(max(1, len(words) - 1))] if words else [text] if text else []
+    return "".join(f"{x:08x}" for x in sorted({zlib.crc32(p.encode()) for p in parts}))
+
+
+def test_fingerprints_equal_an_independent_definition(spark, edge_docs):
+    """Both fingerprints and both likenesses, from texts alone."""
+    def like(a, b):
+        a, b = ({x[k:k + 8] for k in range(0, len(x), 8)} for x in (a, b))
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for frame in (documents, edge_docs):
+        rows = G.fingerprinted(frame).where("doc_id is not null").collect()
+        by = sorted((r["doc_id"], r["text"]) for r in rows)
+        following = {x: by[(k + 1) % len(by)][1] for k, x in enumerate(by)}
+        seen = {}
+        for r in rows:
+            for text, got in ((r["text"], r["fingerprint"]), (r["edited"], r["edited_fingerprint"])):
+                assert got == seen.setdefault(text, own_signatures(text))
+            assert r["near_edited"] == like(r["fingerprint"], r["edited_fingerprint"])
+            if frame is documents:
+                nxt = following[r["doc_id"], r["text"]]
+                assert r["near_next"] == like(r["fingerprint"], seen.setdefault(nxt, own_signatures(nxt)))
+
+
 def test_similar_pairs_equal_all_pairs(spark):
     rng = random.Random(6)
     docs = []

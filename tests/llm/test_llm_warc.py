@@ -48,7 +48,16 @@ def test_edge_rows_round_trip(spark):
         else:
             assert r["payload"] is None
     url = {r["record_id"]: r["url"] for r in read}
-    assert url[5] == "http://a/%20b" and url[9] == "" and "\n" not in url[10] and url[11] == "ü"
+    assert url == {i: u or "" for i, u, *_ in rows}
+
+
+def test_urls_come_back_as_they_are(spark):
+    urls = ["a/b c", "a/b%20c", "a/b\tc", "a/b", "%", "ü \u2028 ü", " ", "x\r\nWARC-Type: y"]
+    read = W.read_records(W.archive_pages(pages(spark, [(k, u, "h", "", "") for k, u in enumerate(urls)]))).collect()
+    assert {r["record_id"]: r["url"] for r in read} == dict(enumerate(urls))
+    plain = W.record_bytes({"record_type": "response", "payload": b"", "record_id": 1, "url": "a/b%20c",
+                            "payload_digest": "0", "payload_bytes": 0, "refers_to": None})
+    assert b"WARC-Target-URI: a/b%20c\r\n" in plain and b"X-Source-URL" not in plain
 
 
 def test_archives_are_valid_members(spark):
