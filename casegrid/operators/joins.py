@@ -44,7 +44,8 @@ def hot_keys(counts: DataFrame, key: str, n_col: str = "n", partitions: int | No
     share = F.col(n_col) / total
     rows = (counts.where(F.col(n_col) * partitions > total)
             .select(F.col(key).alias("k"), share.cast("double").alias("share")).collect())
-    assert len(rows) < partitions, "more hot keys than the bound allows"
+    if len(rows) >= partitions:
+        raise RuntimeError("more hot keys than the bound allows")
     out = {}
     for r in rows:
         salts = 2

@@ -3,8 +3,9 @@
 A check is a violation query (empty = pass).  Checks on the rows of one table
 (not null, accepted values, ranges, row count, coverage) are ``ScanCheck``s:
 ``report`` folds all of a table into one aggregate, so a table is scanned once
-however many such checks it has.  Only uniqueness and relationships, which need
-a shuffle, have plans of their own.  ``gate`` reads the bounded report (one row
+however many such checks it has.  ``KeyCheck``s (uniqueness) of all tables share
+one shuffle of tagged keys.  Only relationships have plans of their own.
+``gate`` reads the bounded report (one row
 per check) and raises on a failed error-severity check.
 """
 
@@ -46,6 +47,15 @@ class ScanCheck:
     severity: str = ERROR
 
 
+@dataclass(frozen=True)
+class KeyCheck:
+    """A column of a table whose values, nulls aside, must not repeat."""
+    name: str
+    frame: DataFrame = field(repr=False)
+    column: str
+    severity: str = ERROR
+
+
 # ------------------------------------------------------ violation rows ----
 
 def not_null(df: DataFrame, col: str) -> DataFrame:
@@ -149,23 +159,42 @@ def scan_freshness(name: str, df: DataFrame, loaded_at: Column, as_of: datetime,
     return ScanCheck(name, df, F.coalesce(age > warn_after_days, F.lit(False)).cast("bigint"), severity)
 
 
-def report(checks: Iterable[Check | ScanCheck]) -> DataFrame:
+def _listed(one_row: DataFrame, checks: Sequence[ScanCheck | KeyCheck]) -> DataFrame:
+    """``n0, n1, ...`` of one row as a row per check."""
+    return one_row.select(F.inline(F.array(*[
+        F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), F.col(f"n{k}").alias("n"))
+        for k, c in enumerate(checks)])))
+
+
+def repeated_keys(checks: Sequence[KeyCheck]) -> DataFrame:
+    """``(check, key, n_records)`` of the keys that occur more than once:
+    ``check`` is the number of the check, ``key`` the value as text.  All
+    checks are one aggregate over tagged keys, combined map-side first."""
+    tagged = [c.frame.where(to_col(c.column).isNotNull()).select(
+        F.lit(k).alias("check"), to_col(c.column).cast("string").alias("key")) for k, c in enumerate(checks)]
+    return (reduce(DataFrame.unionByName, tagged).groupBy("check", "key")
+            .agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1))
+
+
+def report(checks: Iterable[Check | ScanCheck | KeyCheck]) -> DataFrame:
     """(check_name, severity, violations bigint, passed boolean), one row per check."""
     checks = list(checks)
     if not checks:
         raise ValueError("no checks")
     parts, by_frame = [], {}
+    keys = [c for c in checks if isinstance(c, KeyCheck)]
     for c in checks:
         if isinstance(c, ScanCheck):
             by_frame.setdefault(id(c.frame), []).append(c)
-        else:
+        elif isinstance(c, Check):
             parts.append(c.violations().agg(F.count(F.lit(1)).alias("n")).select(
                 F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "n"))
     for group in by_frame.values():
-        one = group[0].frame.agg(*[c.violations.cast("bigint").alias(f"n{k}") for k, c in enumerate(group)])
-        parts.append(one.select(F.inline(F.array(*[
-            F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"),
-                     F.col(f"n{k}").alias("n")) for k, c in enumerate(group)]))))
+        parts.append(_listed(group[0].frame.agg(*[
+            c.violations.cast("bigint").alias(f"n{k}") for k, c in enumerate(group)]), group))
+    if keys:
+        parts.append(_listed(repeated_keys(keys).agg(*[
+            F.count_if(F.col("check") == k).alias(f"n{k}") for k in range(len(keys))]), keys))
     out = reduce(DataFrame.unionByName, parts)
     return out.select("check_name", "severity", F.col("n").cast("bigint").alias("violations"),
                       (F.col("n") == 0).alias("passed"))

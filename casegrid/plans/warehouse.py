@@ -113,7 +113,7 @@ FRESH_DAYS = 90
 
 
 def warehouse_checks(m: dict[str, DataFrame], min_coverage: float = 0.90,
-                     as_of: datetime | None = None) -> list[Q.Check | Q.ScanCheck]:
+                     as_of: datetime | None = None) -> list[Q.Check | Q.ScanCheck | Q.KeyCheck]:
     """The suites of the layers that ``m`` holds: source, staging,
     intermediate and marts.  Source freshness is checked where ``as_of`` is
     given."""
@@ -124,7 +124,7 @@ def warehouse_checks(m: dict[str, DataFrame], min_coverage: float = 0.90,
             checks.append(Q.scan_not_null(f"{name}.{col}.not_null", m[name], col))
     for name, col in ALL_UNIQUE:
         if name in m:
-            checks.append(Q.Check(f"{name}.{col}.unique", lambda name=name, col=col: Q.unique(m[name], col)))
+            checks.append(Q.KeyCheck(f"{name}.{col}.unique", m[name], col))
     for fk, dim in FOREIGN_KEYS:
         checks.append(Q.Check(f"fct_incidents.{fk}.relationships", lambda fk=fk, dim=dim: Q.relationships(
             fact.select("incident_id", fk), fk, m[dim], fk)))
