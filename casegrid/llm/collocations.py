@@ -1,8 +1,8 @@
 """Phrase collocations, counted exactly in burstable tries of word ids.
 
-A task gives words numbers of its own and counts phrases in a HAT-trie: a
-shallow trie over word ids whose leaves are hash containers keyed on the rest
-of the phrase.  A container that grows past ``BURST`` entries becomes a trie
+A task gives words numbers of its own and counts the phrases of each length in
+a HAT-trie: a shallow trie over word ids whose leaves are hash containers keyed
+on the rest of the phrase.  A container that grows past ``BURST`` entries becomes a trie
 node with a container per next word.  When a task's trie holds more than
 ``ENTRIES`` phrases, whole subtrees, the largest first, are spilled as sorted
 runs of ``(phrase, count)``.  The runs are dealt out by phrase prefix, the
@@ -85,62 +85,68 @@ class Bucket(dict):
 
 
 class HatTrie:
-    """Counts by phrase; a phrase is a byte string of four bytes per word."""
+    """Counts of phrases of one length; a phrase is a byte string of four bytes
+    per word.  The root has a container per first word."""
 
     def __init__(self, burst: int = BURST):
-        self.burst, self.root, self.entries = burst, Bucket(), 0
-
-    def add(self, phrases: list[bytes], counts: list[int]) -> None:
-        for phrase, count in zip(phrases, counts):
-            above, head, node, rest = None, b"", self.root, phrase
-            while type(node) is Node:
-                above, head, rest = node, rest[:4], rest[4:]
-                node = above.get(head)
-                if node is None:
-                    node = above[head] = Bucket()
-            had = node.get(rest)
-            if had is not None:
-                node[rest] = had + count
-                continue
-            node[rest] = count
-            self.entries += 1
-            if len(node) > self.burst:
-                if above is None:
-                    self.root = self._burst(node)
-                else:
-                    above[head] = self._burst(node)
-
-    @staticmethod
-    def _burst(bucket: Bucket) -> Node:
-        node = Node()
-        for rest, count in bucket.items():
-            node.setdefault(rest[:4], Bucket())[rest[4:]] = count
-        return node
-
-    def _items(self, node: dict, prefix: bytes) -> Iterator[tuple[bytes, int]]:
-        if type(node) is Node:
-            for head, below in node.items():
-                yield from self._items(below, prefix + head)
+        self.burst, self.root, self.entries = burst, Node(), 0
+
+    def add(self, phrases: np.ndarray, counts: np.ndarray) -> None:
+        """Distinct phrases, a row of word ids each, and how often they occur."""
+        if not phrases.shape[1]:
+            raise ValueError("a phrase has a first word")
+        order = np.argsort(phrases[:, 0], kind="stable")
+        first, counts = phrases[order, 0], counts[order].tolist()
+        rest = np.ascontiguousarray(phrases[order, 1:])
+        rests = rest.view(f"V{4 * rest.shape[1]}").ravel().tolist() if rest.shape[1] else [b""] * len(rest)
+        cuts = [0, *(np.flatnonzero(np.diff(first)) + 1).tolist(), len(first)]
+        heads = np.ascontiguousarray(first[cuts[:-1]]).view("V4").tolist() if len(first) else []
+        for head, s, e in zip(heads, cuts, cuts[1:]):
+            self._put(self.root, head, rests[s:e], counts[s:e])
+
+    def _put(self, node: Node, head: bytes, rests: list[bytes], counts: list[int]) -> None:
+        """Adds phrases below ``node`` that go on with the word ``head``."""
+        child = node.get(head)
+        if type(child) is Node:
+            for rest, count in zip(rests, counts):
+                self._put(child, rest[:4], [rest[4:]], [count])
+            return
+        if child is None:
+            child = node[head] = Bucket(zip(rests, counts))
+            self.entries += len(child)
         else:
-            for rest, count in node.items():
-                yield prefix + rest, count
+            before = len(child)
+            for rest, count in zip(rests, counts):
+                child[rest] = child.get(rest, 0) + count
+            self.entries += len(child) - before
+        if len(child) > self.burst:
+            below = node[head] = Node()
+            for rest, count in child.items():
+                below.setdefault(rest[:4], Bucket())[rest[4:]] = count
+
+    def _flat(self, node: dict) -> tuple[list[bytes], list[int]]:
+        if type(node) is Bucket:
+            return list(node), list(node.values())
+        keys, counts = [], []
+        for head, below in node.items():
+            some, n = self._flat(below)
+            keys += [head + x for x in some]
+            counts += n
+        return keys, counts
 
     def _size(self, node: dict) -> int:
         return sum(map(self._size, node.values())) if type(node) is Node else len(node)
 
-    def spill(self, keep: int) -> Iterator[tuple[bytes, int]]:
+    def spill(self, keep: int) -> tuple[list[bytes], list[int]]:
         """Takes out whole subtrees, the largest first, until at most ``keep``
         phrases are left."""
-        if type(self.root) is Bucket:
-            if self.entries > keep:
-                yield from self.root.items()
-                self.root, self.entries = Bucket(), 0
-            return
+        out = Node()
         for head, size in sorted(((h, self._size(x)) for h, x in self.root.items()), key=lambda x: -x[1]):
             if self.entries <= keep:
-                return
-            yield from self._items(self.root.pop(head), head)
+                break
+            out[head] = self.root.pop(head)
             self.entries -= size
+        return self._flat(out)
 
 
 def _hash_words(lang: str, words: list[bytes]) -> np.ndarray:
@@ -154,29 +160,37 @@ def _pair_bits(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(32))) * _MIX[0] >> np.uint64(64 - bits)).astype(np.int64)
 
 
-_RUN = "lang string, phrase binary, n long"
+_RUN = "lang string, prefix binary, rest binary, n long"
+PREFIX_WORDS = 3
+
+
+def _values(column: pa.Array) -> list[bytes]:
+    """A large binary array without nulls as a list, straight from its buffers."""
+    at = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1].tolist()
+    body = (column.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+    return [body[a:b] for a, b in zip(at, at[1:])]
 
 
 class Counter:
-    """The tries of a task, one per language, with the words' numbers."""
+    """The tries of a task, one per language and length, with the words' numbers."""
 
     def __init__(self, burst: int = BURST, entries: int = ENTRIES):
         self.burst, self.entries = burst, entries
-        self.tries: dict[str, HatTrie] = {}
+        self.tries: dict[tuple[str, int], HatTrie] = {}
+        self.total: dict[str, int] = {}
         self.number: dict[bytes, int] = {}
         self.words: list[bytes] = []
 
     def count(self, lang: str, texts: list[bytes], lengths: tuple[int, ...], table: np.ndarray | None) -> None:
         """Adds the phrases of ``lengths`` words; with a ``table``, those whose
-        pairs have their bits set.  The phrase of no words counts all words."""
+        pairs have their bits set.  With length 1 all words are counted too."""
         words, piece = words_of(texts)
         if not len(words):
             return
-        trie = self.tries.setdefault(lang, HatTrie(self.burst))
         if 1 in lengths:
-            trie.add([b""], [len(words)])
+            self.total[lang] = self.total.get(lang, 0) + len(words)
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = _values(coded.dictionary)
         for w in distinct:
             if w not in self.number:
                 self.number[w] = len(self.words)
@@ -197,28 +211,48 @@ class Counter:
             rows = np.ascontiguousarray(ids[at[:, None] + np.arange(k)])
             keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * k), len(at), [None, pa.py_buffer(rows)])
             found = pc.value_counts(keys)
-            trie.add(found.field("values").to_pylist(), found.field("counts").to_pylist())
+            values = found.field("values")
+            phrases = np.frombuffer(values.buffers()[1], ">u4", k * len(values), 4 * k * values.offset).reshape(-1, k)
+            self.tries.setdefault((lang, k), HatTrie(self.burst)).add(phrases, found.field("counts").to_numpy())
+
+    def held(self) -> int:
+        return sum(t.entries for t in self.tries.values())
 
     def full(self) -> bool:
-        return sum(t.entries for t in self.tries.values()) > self.entries or len(self.words) > WORDS
+        return self.held() > self.entries or len(self.words) > WORDS
 
     def runs(self, last: bool = False) -> Iterator[pa.RecordBatch]:
         """Spilled subtrees as sorted runs; all that is left, if ``last`` or
         when the words' numbers are given up too."""
-        every = last or len(self.words) > WORDS
-        held = sum(t.entries for t in self.tries.values())
-        for lang, trie in self.tries.items():
-            share = 0 if every else trie.entries * self.entries // (2 * held)
-            # word ids of four bytes; the spilled phrases as text, in order
-            run = sorted((b" ".join([self.words[int.from_bytes(p[i:i + 4], "big")] for i in range(0, len(p), 4)]), n)
-                         for p, n in trie.spill(share))
-            for k in range(0, len(run), 16384):
-                some = run[k:k + 16384]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(some)), pa.array([p for p, _ in some], pa.binary()),
-                     pa.array([n for _, n in some], pa.int64())], ["lang", "phrase", "n"])
+        every, held = last or len(self.words) > WORDS, self.held()
+        words = pa.array(self.words, pa.large_binary())
+        rank = np.empty(len(words), np.int64)
+        rank[pc.sort_indices(words).to_numpy()] = np.arange(len(words))
+        for (lang, k), trie in self.tries.items():
+            phrases, counts = trie.spill(0 if every else trie.entries * self.entries // (2 * held))
+            ids = np.frombuffer(b"".join(phrases), ">u4").reshape(-1, k).astype(np.int64)
+            order = np.lexsort(rank[ids].T[::-1])
+            yield from self._run(lang, words, ids[order], np.array(counts, np.int64)[order])
         if every:
             self.tries, self.number, self.words = {}, {}, []
+        if last:
+            for lang, n in self.total.items():  # the phrase of no words
+                yield from self._run(lang, words, np.zeros((1, 0), np.int64), np.array([n], np.int64))
+
+    @staticmethod
+    def _run(lang: str, words: pa.Array, ids: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """A sorted run as rows: the first three words of a phrase, and the rest of it."""
+        def joined(part: np.ndarray) -> pa.Array:
+            if not part.shape[1]:
+                return pa.array([b""] * len(part), pa.large_binary())
+            return pc.binary_join_element_wise(*[words.take(pa.array(c)) for c in part.T], pa.scalar(b" ", pa.large_binary()))
+
+        for s in range(0, len(ids), 16384):
+            some = ids[s:s + 16384]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang]).take(pa.array(np.zeros(len(some), np.int8))),
+                 joined(some[:, :PREFIX_WORDS]).cast(pa.binary()), joined(some[:, PREFIX_WORDS:]).cast(pa.binary()),
+                 pa.array(counts[s:s + 16384])], ["lang", "prefix", "rest", "n"])
 
 
 def _bits_at(table: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -245,10 +279,13 @@ def phrase_counts(docs: DataFrame, lengths: tuple[int, ...], table=None, least:
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        text_or_empty().alias("text"))
-    runs = rows.mapInArrow(run, _RUN).select("lang", F.col("phrase").cast("string").alias("phrase"), "n")
-    dealt = runs.withColumn("prefix", F.substring_index("phrase", " ", 3)).repartition("lang", "prefix")
-    counts = dealt.groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
-    return counts.where((F.col("n") >= least) | (F.col("phrase") == "")).select("lang", "phrase", "n")
+    # a shuffle by prefix; the counts of a prefix's phrases are merged where they arrive
+    counts = (rows.mapInArrow(run, _RUN).repartition("lang", "prefix")
+              .groupBy("lang", "prefix", "rest").agg(F.sum("n").alias("n"))
+              .where((F.col("n") >= least) | (F.octet_length("prefix") == 0)))
+    text = lambda c: F.col(c).cast("string")
+    return counts.select("lang", F.when(F.octet_length("rest") == 0, text("prefix")).otherwise(
+        F.concat_ws(" ", text("prefix"), text("rest"))).alias("phrase"), "n")
 
 
 def pair_table(pairs: DataFrame, table_bits: int = TABLE_BITS) -> bytes:

@@ -85,17 +85,20 @@ def test_very_long_texts_are_cut_between_pieces(spark, monkeypatch):
 
 def test_trie_bursts_and_spills_whole_subtrees():
     rng = random.Random(4)
-    trie, want = C.HatTrie(burst=4), Counter()
-    for _ in range(30):
-        some = Counter(bytes(rng.randrange(3) for _ in range(4 * rng.randrange(0, 5))) for _ in range(60))
-        trie.add(list(some), list(some.values()))
-        want += some
-    assert type(trie.root) is C.Node and trie.entries == len(want)
-    run = dict(trie.spill(len(want) // 2))
-    assert trie.entries == len(want) - len(run) <= len(want) // 2
-    left = dict(trie._items(trie.root, b""))
-    assert not {k[:4] for k in run} & {k[:4] for k in left}
-    assert {**run, **left} == dict(want)
+    for k in (1, 2, 4):
+        trie, want = C.HatTrie(burst=4), Counter()
+        for _ in range(30):
+            some = Counter(tuple(rng.randrange(5) for _ in range(k)) for _ in range(60))
+            trie.add(np.array(list(some), ">u4"), np.array(list(some.values())))
+            want += some
+        assert trie.entries == len(want)
+        assert k == 1 or any(type(x) is C.Node for x in trie.root.values())
+        run = dict(zip(*trie.spill(len(want) // 2)))
+        assert trie.entries == len(want) - len(run) <= len(want) // 2
+        left = dict(zip(*trie.spill(0)))
+        assert not {x[:4] for x in run} & {x[:4] for x in left} and not trie.root
+        got = {tuple(np.frombuffer(x, ">u4").tolist()): n for x, n in (run | left).items()}
+        assert got == dict(want)
 
 
 def test_shared_bits_cost_no_exactness(spark):
