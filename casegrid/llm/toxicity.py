@@ -5,7 +5,8 @@ A window of words that the toxic dictionary shortens more than the ordinary
 one leans toxic; its *gain* is the difference of the two compressed lengths.
 
 Training (on a bounded sample of labelled documents, ``SAMPLE_DOCS`` per class
-and ``SAMPLE_BYTES`` of text per class; see ``learn``):
+and ``SAMPLE_BYTES`` of text per class; see ``learn``; the background takes
+``BACKGROUND_PIECES`` of it):
 
 * Both dictionaries share a background that zstandard trains on ordinary text,
   so that ordinary words cost the same under either.
@@ -41,6 +42,8 @@ from casegrid.session import materialise
 
 SAMPLE_DOCS = 1500
 SAMPLE_BYTES = 12_000_000
+#: Pieces of 64 bytes, in random order, of the ordinary sample that the background is trained on.
+BACKGROUND_PIECES = 60_000
 KMER, COVER, LEAST_SHARE, OTHER_RATIO = 5, 3, 0.01, 0.05
 BACKGROUND_BYTES = 1 << 15
 COARSE, FINE, PREFIX = 10, 2, 48
@@ -119,7 +122,7 @@ def background(texts: list[bytes]) -> bytes:
     pieces = [t[i:i + 64] for t in texts for i in range(0, len(t), 64)]
     random.Random(0).shuffle(pieces)
     try:
-        return zstandard.train_dictionary(BACKGROUND_BYTES, pieces[:60_000], k=48, d=6).as_bytes()
+        return zstandard.train_dictionary(BACKGROUND_BYTES, pieces[:BACKGROUND_PIECES], k=48, d=6).as_bytes()
     except zstandard.ZstdError:
         return (b"".join(pieces) + bytes(PREFIX))[:BACKGROUND_BYTES]
 
@@ -250,7 +253,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``(id, digest, score)`` per row; a null text counts as empty.
 
     Defined cases: an empty text has no window and takes the score of zero
-    gains; rows that repeat get equal scores; a model without both classes
+    gains; very long texts are scored whole; rows that repeat get equal scores; a model without both classes
     gives every text the share of toxic labels; an empty table gives no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +267,11 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows that score below the threshold, with their columns."""
+    """The rows that score below the threshold, with their columns.
+
+    Defined cases: as ``toxicity_scores``; rows with a null doc_id or text are
+    scored like any other, and rows that repeat go or stay together.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = b.schema.get_field_index("row")
