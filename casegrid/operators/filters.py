@@ -50,6 +50,39 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     return df.orderBy(sample_key(seed, key), to_col(key)).limit(n)
 
 
+def sample_many(df: DataFrame, n: int, seed: int, key: str, border_rows: int = 100_000) -> DataFrame:
+    """The rows of ``sample_n``, in no order, for an ``n`` that one task cannot
+    hold.
+
+    Rows are counted by a prefix of their hash (four hex digits: 65,536 counts
+    come to the driver).  All prefixes below the one where the count passes
+    ``n`` are taken by a filter.  While the border prefix itself holds more than
+    ``border_rows`` rows, it is counted by four more digits; only what is left of
+    it is ordered.  The counting jobs read the key alone.  Rows that share a
+    hash (a key that repeats) are the one group that is not divided further.
+    """
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    hashed = F.coalesce(sample_key(seed, key), F.lit(""))  # a null key comes first, as in an ascending order
+    below, border, left = F.lit(False), F.lit(True), n
+    for digits in range(4, 36, 4):
+        prefix = F.substring(hashed, 1, digits)
+        counts = df.where(border).groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n")).orderBy("prefix")
+        last = None
+        for r in counts.collect():
+            if r["n"] > left:
+                last = r
+                break
+            left -= r["n"]
+        if last is None:  # there are no more rows than asked for
+            return df
+        below, border = prefix < F.lit(last["prefix"]), prefix == F.lit(last["prefix"])
+        if last["n"] <= border_rows or not left:
+            break
+    taken = df.where(below)
+    return taken.unionByName(df.where(border).orderBy(sample_key(seed, key), to_col(key)).limit(left)) if left else taken
+
+
 def limit_ordered(df: DataFrame, n: int, order_by: Sequence) -> DataFrame:
     """``LIMIT n`` made deterministic by an explicit order (top-n plan)."""
     return df.orderBy(*[to_col(c) for c in order_by]).limit(n)

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from casegrid.operators.dedupe import latest_per_key
-from casegrid.operators.filters import any_present, sample_n
+from casegrid.operators.filters import any_present, sample_many, sample_n
 from casegrid.operators.merge import insert_if_absent, upsert_by_key
 
 
@@ -20,6 +20,26 @@ def test_sample_is_deterministic_and_partition_independent(spark):
     assert a == b and len(a) == 5 and a != c
 
 
+def test_a_large_sample_has_the_rows_of_a_small_one(spark):
+    df = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), (F.col("id") * 2).alias("v"))
+    for n in (1, 2, 999, 2999, 3000, 5000):
+        want = sorted((tuple(r) for r in sample_n(df, n, 7, "k").collect()), key=str)
+        for border in (1, 4, 100_000):
+            got = sorted((tuple(r) for r in sample_many(df, n, 7, "k", border).collect()), key=str)
+            assert got == want, (n, border)
+
+
+def test_a_large_sample_orders_the_border_alone(spark):
+    import re
+    df = spark.range(0, 200_000, 1, 8).withColumnRenamed("id", "k")
+    out = sample_many(df, 100_000, 7, "k", border_rows=1000)
+    assert out.count() == out.distinct().count() == 100_000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    limits = [int(x) for x in re.findall(r"(?:limit|Limit)[=( ]*([0-9]+)", plan)]
+    assert all(x <= 1000 for x in limits)
+
+
 def test_latest_per_key_text_order_nulls_last_and_ties(spark):
     rows = [("e1", "28FEB2025:10:00:00", "1"), ("e1", "04MAR2025:09:00:00", "2"),
             ("e2", None, "3"), ("e2", "01JAN2024:00:00:00", "4"),
