@@ -129,6 +129,47 @@ def freshness(df: DataFrame, loaded_at, as_of: datetime, warn_after_days: int =
         F.col("age_days") > warn_after_days)
 
 
+# ------------------------------------------------ the rows that fail ----
+
+MASK = "dq_mask"
+
+
+@dataclass(frozen=True)
+class RowCheck:
+    """A condition that a row must not meet."""
+    name: str
+    violated: Column = field(repr=False)
+
+
+def row_not_null(name: str, col: str) -> RowCheck:
+    return RowCheck(name, to_col(col).isNull())
+
+
+def row_accepted(name: str, col: str, values: Sequence) -> RowCheck:
+    return RowCheck(name, _outside(col, values))
+
+
+def row_between(name: str, col: str, min_value=None, max_value=None, row_condition: str | None = None) -> RowCheck:
+    return RowCheck(name, _out_of_range(col, min_value, max_value, row_condition))
+
+
+def violating_rows(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
+    """The rows that fail any check, with ``dq_mask``: bit k is set where check
+    k fails (63 checks at most).  One scan, no shuffle."""
+    if not 0 < len(checks) < 64:
+        raise ValueError("1 to 63 checks fit in a mask")
+    bits = [F.when(c.violated, F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint") for k, c in enumerate(checks)]
+    return df.withColumn(MASK, reduce(Column.bitwiseOR, bits)).where(F.col(MASK) != 0)
+
+
+def mask_counts(rows: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
+    """``(check_name, violations)`` from the masks of ``violating_rows``."""
+    set_ = lambda k: F.getbit(F.col(MASK), F.lit(k)) == 1
+    one = rows.agg(*[F.count_if(set_(k)).alias(f"n{k}") for k in range(len(checks))])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c.name).alias("check_name"), F.col(f"n{k}").alias("violations"))
+                                         for k, c in enumerate(checks)])))
+
+
 # ------------------------------------------- the same, folded into a scan ----
 
 def scan_not_null(name: str, df: DataFrame, col: str, severity: str = ERROR) -> ScanCheck:

@@ -15,7 +15,8 @@ from casegrid.plans.analogues import FRESHNESS_AS_OF, table
 from casegrid.plans.catalogue import register, warehouse
 from casegrid.plans.oracle import on_warehouse, q
 from casegrid.plans.warehouse import ACCEPTED, ALL_NOT_NULL, ALL_UNIQUE, FOREIGN_KEYS, MART_NAMES, warehouse_checks
-from casegrid.session import materialise
+from casegrid.session import materialise, scratch_path
+from casegrid.sources.versions import read_table, replace_table
 
 ACCEPTED_EVENTS = ("view", "click", "purchase", "signup")
 PARENT_EXCLUDED_SEGMENT = "MACHINERY"
@@ -116,6 +117,32 @@ def driver_checks(spark, sf_dir) -> list[Q.Check | Q.ScanCheck]:
     ]
 
 
+VALUE_MAX = 60
+
+
+def event_row_checks() -> list[Q.RowCheck]:
+    return [Q.row_not_null("events.event_type.not_null", "event_type_n"),
+            Q.row_accepted("events.event_type.accepted_values", "event_type_n", ACCEPTED_EVENTS[:3]),
+            Q.row_between("events.value.between", "value", 0, VALUE_MAX, "event_type_n is not null")]
+
+
+@register("dq_violating_rows", f"""
+SELECT * FROM (SELECT event_id, event_type_n, value, cast(
+    CASE WHEN event_type_n IS NULL THEN 1 ELSE 0 END
+    + CASE WHEN event_type_n NOT IN ({', '.join(q(v) for v in ACCEPTED_EVENTS[:3])}) THEN 2 ELSE 0 END
+    + CASE WHEN event_type_n IS NOT NULL AND NOT (value >= 0 AND value <= {VALUE_MAX}) THEN 4 ELSE 0 END as bigint) AS dq_mask
+  FROM (SELECT event_id, value, CASE WHEN value < 5 THEN NULL ELSE event_type END AS event_type_n FROM events) e) m
+WHERE dq_mask <> 0""")
+def q_dq_violating_rows(spark, sf_dir):
+    """The events that fail a check, stored with a mask of the checks they fail."""
+    e = table(spark, sf_dir, "events")
+    rows = e.select("event_id", F.when(F.col("value") < 5, F.lit(None)).otherwise(F.col("event_type"))
+                    .alias("event_type_n"), "value")
+    path = scratch_path(spark, "violations")
+    replace_table(Q.violating_rows(rows, event_row_checks()), path)
+    return read_table(spark, path)
+
+
 def _report_sql(parts) -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS check_name, '{sev}' AS severity, n AS violations, n = 0 AS passed "

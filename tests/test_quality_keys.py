@@ -40,3 +40,23 @@ def test_a_repeated_key_fails_the_gate(spark):
     with pytest.raises(Q.QualityGateError, match="a.k"):
         Q.gate(Q.report([Q.KeyCheck("a.k", a, "k"), Q.scan_row_count("a.rows", a)]))
     Q.gate(Q.report([Q.KeyCheck("a.k", a, "k", Q.WARN)]))
+
+
+def test_counts_from_masks_equal_the_report(spark):
+    a, _ = tables(spark)
+    rows = [Q.row_not_null("k", "k"), Q.row_accepted("v", "v", ["x", "y"]), Q.row_between("range", "k", 2, 9)]
+    failing = Q.violating_rows(a, rows)
+    got = {r["check_name"]: r["violations"] for r in Q.mask_counts(failing, rows).collect()}
+    scans = [Q.scan_not_null("k", a, "k"), Q.scan_accepted("v", a, "v", ["x", "y"]), Q.scan_between("range", a, "k", 2, 9)]
+    assert got == {r["check_name"]: r["violations"] for r in Q.report(scans).collect()} == {"k": 2, "v": 3, "range": 2}
+    masks = sorted((r["k"] or 0, r["v"] or "", r[Q.MASK]) for r in failing.collect())
+    assert masks == [(0, "y", 1), (0, "z", 3), (1, "x", 4), (1, "y", 4), (2, "w", 2), (2, "z", 2)]
+    assert "Exchange" not in failing._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_mask_holds_63_checks(spark):
+    df = spark.createDataFrame([(1,)], "k int")
+    many = [Q.RowCheck(f"c{k}", F.col("k") == (1 if k in (0, 62) else 0)) for k in range(63)]
+    assert Q.violating_rows(df, many).first()[Q.MASK] == 1 | 1 << 62
+    with pytest.raises(ValueError):
+        Q.violating_rows(df, many + many[:1])
