@@ -137,6 +137,28 @@ def q_star_rollup(spark, sf_dir):
     return star_rollup_of(warehouse(spark, sf_dir, enriched=False, store=True, narratives=False))
 
 
+def year_rollup(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """Incidents, days away and deaths per year, for the years that ``dates``
+    (rows of the date dimension) holds.  ``fact`` is stored by incident year:
+    the dates are reduced to their years first, and the scan of the fact is
+    pruned to these at run time."""
+    years = dates.select("year").distinct()
+    return (fact.join(years, F.col("incident_year") == F.col("year"))
+            .groupBy("year").agg(F.count(F.lit(1)).alias("incidents"),
+                                 F.sum("days_away_from_work").alias("days_away_from_work"),
+                                 F.count_if(F.col("is_death")).alias("deaths")))
+
+
+@register("fact_by_year")
+def q_fact_by_year(spark, sf_dir):
+    """The stored fact, read for the years that have a case on a 29 February."""
+    m = warehouse(spark, sf_dir, enriched=False, store=True, narratives=False)
+    path = scratch_path(spark, "fact-by-year")
+    reload_table(m["fct_incidents"].withColumn("incident_year", F.year("incident_date")), path, ["incident_year"])
+    dates = materialise_table(m["dim_date"], "dim-date")
+    return year_rollup(read_table(spark, path), dates.where("month = 2 AND day(full_date) = 29"))
+
+
 KEY_OF = {"dim_date": "date_id", "dim_establishment": "establishment_id",
           "dim_geography": "geography_id", "dim_industry": "industry_id",
           "dim_injury_type": "injury_type_id", "fct_incidents": "incident_id",

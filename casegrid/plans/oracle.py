@@ -380,6 +380,13 @@ for _key, _model in (
 ):
     ORACLE[_key] = on_warehouse(f"SELECT * FROM {_model}")
 
+ORACLE["fact_by_year"] = on_warehouse("""
+SELECT y.year, count(*) AS incidents, cast(sum(f.days_away_from_work) as bigint) AS days_away_from_work,
+  count(*) FILTER (WHERE f.is_death) AS deaths
+FROM fct_incidents f JOIN (SELECT DISTINCT year FROM dim_date WHERE month = 2 AND day(full_date) = 29) y
+  ON year(f.incident_date) = y.year
+GROUP BY y.year""")
+
 ORACLE["star_rollup"] = on_warehouse("""
 SELECT d.year, g.region, i.sector, it.outcome, e.employee_size_bucket,
   count(*) AS incidents, cast(sum(f.days_away_from_work) as bigint) AS days_away_from_work,

@@ -6,6 +6,7 @@ import re
 from contextlib import redirect_stdout
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
@@ -99,3 +100,36 @@ def test_no_text_below_the_cache_anti_join(spark):
     tree = plans[0].split("\n\n")[0]
     assert "LeftAnti" not in tree  # the misses come from a stored narrow table
     assert any("content_hash:string,rep_id:string" in ln for ln in plans[0].split("\n") if "ReadSchema" in ln)
+
+
+def test_stored_fact_is_pruned_to_the_years_of_the_dates(spark, tmp_dir):
+    """The years come from the date dimension at run time; other years' files are not read."""
+    from casegrid.plans.catalogue import year_rollup
+    from casegrid.sources.versions import read_table, replace_table
+    fact = spark.range(0, 8000, 1, 4).select(
+        (F.col("id") % 20 + 2000).cast("int").alias("incident_year"), F.col("id").alias("days_away_from_work"),
+        (F.col("id") % 3 == 0).alias("is_death"))
+    replace_table(fact, f"{tmp_dir}/fact", ["incident_year"])
+    dates = spark.createDataFrame([(2000 + k, k % 12 + 1) for k in range(20)] * 3, "year int, month int")
+    replace_table(dates, f"{tmp_dir}/dates")
+    out = year_rollup(read_table(spark, f"{tmp_dir}/fact"), read_table(spark, f"{tmp_dir}/dates").where("month = 5"))
+    assert sorted((r["year"], r["incidents"]) for r in out.collect()) == [(2004, 400), (2016, 400)]
+    tree = out._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in tree
+    scans = []
+
+    def walk(node):
+        if node.nodeName().startswith("Scan parquet"):
+            scans.append(node)
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+        for name in ("executedPlan", "plan"):  # adaptive plans and their stages hold the plan as a field
+            if any(x in node.nodeName() for x in ("AdaptiveSparkPlan", "QueryStage")) and hasattr(node, name):
+                try:
+                    walk(getattr(node, name)())
+                except Exception:  # noqa: BLE001 - not a field of this node
+                    pass
+
+    walk(out._jdf.queryExecution().executedPlan())
+    read = [s.metrics().apply("numPartitions").value() for s in scans if s.metrics().contains("numPartitions")]
+    assert read and read[0] == 2
