@@ -5,9 +5,12 @@ miss -> store -> upsert):
 
 1. clean the narrative fields, hash them (content key), and store the narrow
    ``(incident_id, content_hash)`` table once;
-2. one representative row per distinct hash (smallest id), map-side combined,
-   and anti-joined against the cache for this prompt version: the misses;
-3. only then fetch the text, for the misses alone, once for all batches;
+2. one representative row per distinct hash (smallest id) and its number of
+   rows, map-side combined and stored once, and anti-joined against the cache
+   for this prompt version: the misses;
+3. only then fetch the text, once for all batches: where most texts are misses
+   by an aggregate per hash, so that a text that many rows share leaves a task
+   once and no other text moves twice, else for the misses' rows alone;
 4. classify them (native rules, or an external model through
    ``mapInPandas``), validate the JSON replies natively, and append the
    answers to a table batch by batch, so that a run that breaks off has lost
@@ -42,7 +45,7 @@ from casegrid.functions.clean import clean_text
 from casegrid.functions.keys import content_hash
 from casegrid.functions.prompt import INSTRUCTIONS, NARRATIVE_FIELDS, PROMPT_VERSION, render_prompt
 from casegrid.functions.reply import CLASSIFICATION_FIELDS, reply_json, with_validated
-from casegrid.operators.joins import balanced_join
+from casegrid.operators.joins import balanced_join, hot_keys, salted_join
 from casegrid.operators.merge import insert_if_absent, upsert_by_key
 from casegrid.session import materialise, scratch_path
 from casegrid.sources.tables import read_or_empty
@@ -389,6 +392,19 @@ def answer(requests: DataFrame, classify: Classifier) -> DataFrame:
         F.col("v.is_valid").alias("is_valid"), F.col("v.reject_reason").alias("reject_reason"), "cause")
 
 
+def miss_texts(rows: DataFrame, misses: DataFrame, fields: Sequence[str], most: bool) -> DataFrame:
+    """``content_hash, incident_id``, the ``fields`` and ``sector`` of the
+    representative row of every miss, one row each.  ``most``: most texts of
+    ``rows`` are misses."""
+    if not most:
+        return rows.join(misses.withColumnRenamed("rep_id", "incident_id"), ["content_hash", "incident_id"]
+                         ).dropDuplicates(["content_hash"])  # rows may repeat
+    first = (rows.where(F.col("incident_id").isNotNull()).groupBy("content_hash")
+             .agg(F.min(F.struct("incident_id", *fields, "sector")).alias("first")))
+    # joined on the hash alone, by which the rows are dealt out already
+    return first.join(misses.select("content_hash"), "content_hash", "left_semi").select("content_hash", "first.*")
+
+
 def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Classifier,
            run_ts: datetime, model_name: str, prompt_version: str = PROMPT_VERSION,
            id_col: str = "incident_id", fields: Sequence[str] = NARRATIVE_FIELDS,
@@ -409,19 +425,20 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
     keys = rows.select("incident_id", "content_hash")
     if limit is not None:
         keys = keys.orderBy("incident_id", "content_hash").limit(limit)
-    keys = materialise(keys, "content-keys")
+    keys = materialise(keys, "content-keys", "zstd")
     cached = (cache.where(F.col("prompt_version") == prompt_version)
               .select("content_hash", *CLASSIFICATION_FIELDS))
 
     # narrow: one id per distinct text without a cached answer
-    misses = (keys.groupBy("content_hash").agg(F.min("incident_id").alias("rep_id"))
-              .join(cached.select("content_hash"), "content_hash", "left_anti"))
+    groups = materialise(keys.groupBy("content_hash").agg(
+        F.min("incident_id").alias("rep_id"), F.count(F.lit(1)).alias("n")), "content-groups", "zstd")
+    misses = groups.drop("n").join(cached.select("content_hash"), "content_hash", "left_anti")
     path = answers_path or scratch_path(spark, "answers")
     if answers_path:
         stored = read_or_empty(spark, path, ANSWER_SCHEMA).where("is_valid").select("content_hash").distinct()
         misses = misses.join(stored, "content_hash", "left_anti")
-    misses = materialise(misses, "content-misses")
-    texts = rows.join(misses.withColumnRenamed("rep_id", "incident_id"), ["content_hash", "incident_id"])
+    misses = materialise(misses, "content-misses", "zstd")
+    texts = miss_texts(rows, misses, fields, 2 * misses.count() > groups.count())
     if batches > 1:  # the staged texts are read once, and each batch reads its own part
         texts_path = scratch_path(spark, "content-texts")
         (texts.withColumn("batch", F.pmod(F.xxhash64("content_hash"), F.lit(batches)))
@@ -431,7 +448,6 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
     for part in range(batches):
         found = texts if batches == 1 else texts.where(F.col("batch") == part)
         found = found.repartition(calls, "content_hash") if calls else found
-        found = found.dropDuplicates(["content_hash"])  # rows may repeat
         requests = found.select(
             "content_hash", F.col("incident_id").alias("rep_id"), F.lit(INSTRUCTIONS).alias("instructions"),
             render_prompt({f: f for f in fields}, F.col("sector")).alias("prompt"),
@@ -448,7 +464,8 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
         F.lit(None).cast("string").alias("cause"), F.lit(True).alias("from_cache"),
     ).unionByName(fresh)
 
-    joined = balanced_join(keys, answers, "content_hash", F.col("incident_id"), "left")
+    hot = hot_keys(groups, "content_hash")
+    joined = salted_join(keys, answers, "content_hash", hot, F.col("incident_id"), "left")
     status = (F.when(F.col("is_valid").isNull() | ~F.col("is_valid"), F.lit(STATUS_FAILED))
               .when(F.col("from_cache"), F.lit(STATUS_CACHED))
               .when(F.col("incident_id") == F.col("rep_id"), F.lit(STATUS_CLASSIFIED))
@@ -461,7 +478,7 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
         .alias("reject_reason"),
         "cause",
     )
-    per_row = materialise(per_row, "content-status")  # counters, updates and rows read it
+    per_row = materialise(per_row, "content-status", "zstd")  # counters, updates and rows read it
 
     ts = F.lit(run_ts).cast("timestamp_ntz")
     updates = per_row.where(F.col("status") != STATUS_FAILED).select(

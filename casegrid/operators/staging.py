@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -178,17 +180,20 @@ def hot_establishments(cases: DataFrame, partitions: int | None = None) -> dict:
 
 
 def join_establishment(cases: DataFrame, establishments: DataFrame,
-                       hot: dict | None = None, narratives: bool = True) -> DataFrame:
+                       hot: dict | None = None, columns: Collection[str] | None = None) -> DataFrame:
     """Many-to-one left join: one row per incident, establishment context
     taken from the deduplicated establishment model.  With ``hot`` (see
     ``hot_establishments``) the cases of a very large establishment, or of
     none, are salted over many tasks instead of landing in one.
-    ``narratives=False`` leaves the texts out, for consumers that read none."""
-    texts = NARRATIVE_FIELDS if narratives else ()
-    e = establishments.select("establishment_id", *ESTABLISHMENT_COLUMNS)
-    i = cases.select(*CASE_COLUMNS, *texts, *CODE_COLUMNS)
+    ``columns``: those that the consumers read (both ids are always there);
+    the others are not joined."""
+    def read(names):
+        return [c for c in names if columns is None or c in columns or c in ("incident_id", "establishment_id")]
+
+    e = establishments.select("establishment_id", *read(ESTABLISHMENT_COLUMNS))
+    i = cases.select(*read(CASE_COLUMNS), *read(NARRATIVE_FIELDS), *read(CODE_COLUMNS))
     joined = salted_join(i, e, "establishment_id", hot or {}, F.col("incident_id"), "left")
-    return joined.select(*CASE_COLUMNS, *ESTABLISHMENT_COLUMNS, *texts, *CODE_COLUMNS)
+    return joined.select(*read((*CASE_COLUMNS, *ESTABLISHMENT_COLUMNS, *NARRATIVE_FIELDS, *CODE_COLUMNS)))
 
 
 ENRICHED_EXTRA = (

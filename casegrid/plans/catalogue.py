@@ -12,12 +12,19 @@ from pyspark.sql import functions as F
 from casegrid.functions.prompt import NARRATIVE_FIELDS
 from casegrid.operators.enrich import empty_cache, empty_enrichment, enrich, rule_classifier
 from casegrid.operators.joins import balanced_join
-from casegrid.operators.staging import hot_establishments, join_establishment, stage_cases, stage_establishments
+from casegrid.operators.staging import (
+    CASE_COLUMNS,
+    CODE_COLUMNS,
+    hot_establishments,
+    join_establishment,
+    stage_cases,
+    stage_establishments,
+)
 from casegrid.session import materialise as materialise_table, scratch_path
 from casegrid.sources.tables import reload_table
 from casegrid.sources.versions import read_table
 from casegrid.plans.analogues import MODEL_NAME, RUN_TS, raw_cases
-from casegrid.plans.warehouse import MART_NAMES, models_from
+from casegrid.plans.warehouse import MART_NAMES, MART_READS, models_from
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,39 +56,46 @@ NEEDS_NO_JOIN = {"stg_cases", "stg_establishments", "dim_establishment"}
 
 
 def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True, joins: bool = True,
-              store: bool = False, narratives: bool = True) -> dict[str, DataFrame]:
+              store: bool = False, narratives: bool = True, whole: bool = False) -> dict[str, DataFrame]:
     """All models of one build.  ``enriched=False`` skips the classification
     and ``joins=False`` the count of hot establishments, for models that read
     neither.
 
-    ``store`` writes the raw export, the joined layer and (where it is read)
-    the enrichment table once as Parquet in the shared checkpoint folder, for
-    queries that read several models: each consumer then scans the columns it
-    needs instead of rendering, typing and joining the export again.
-    ``narratives=False`` keeps the texts out of the joined layer and the fact;
-    without an enrichment that reads them, the typed cases are then stored in
-    place of the raw export.
+    ``store`` writes the typed cases, the establishments and the joined layer
+    once as Parquet in the shared checkpoint folder, for queries that read
+    several models: each consumer then scans the columns it needs instead of
+    rendering, typing and joining the export again.  A build with
+    classification reads the cases several times and always stores them.
+    Establishments are the latest rows of the export without its documents,
+    which they do not read.  What is stored are the columns that the marts and the
+    classification read, with ``whole`` all that the joined layer has;
+    ``narratives=False`` keeps the texts out of the joined layer and the fact.
     """
     raw = raw_cases(spark, sf_dir)
-    if store and (narratives or enriched):
-        raw = materialise_table(raw, "raw-cases")
-    cases, establishments = stage_cases(raw), stage_establishments(raw)
-    if store and not (narratives or enriched):
-        cases = materialise_table(cases.drop(*NARRATIVE_FIELDS), "stg-cases")
-    if enriched:
+    cases, establishments = stage_cases(raw), stage_establishments(raw_cases(spark, sf_dir, texts=False))
+    reads = None if whole or not (store or enriched) else (
+        MART_READS if narratives else MART_READS - set(NARRATIVE_FIELDS))
+    if store or enriched:
+        texts = {*NARRATIVE_FIELDS, "industry_description"} if enriched else set()
+        cases = materialise_table(cases.select(*[
+            c for c in cases.columns if c in (*CASE_COLUMNS, *CODE_COLUMNS, *texts)
+            and (reads is None or c in reads | texts)]), "stg-cases", "zstd")
+    if store:
+        establishments = materialise_table(establishments, "stg-establishments", "zstd")
+    if enriched:  # the rows of a run are stored, and there is no earlier state
         target = enrich(cases, empty_cache(spark), empty_enrichment(spark),
                         rule_classifier(), run_ts(), MODEL_NAME).target
-        target = materialise_table(target, "llm-enrichment") if store else target
     else:
         target = empty_enrichment(spark)
-    joined = join_establishment(cases, establishments, hot_establishments(cases) if joins else None, narratives)
+    joined = join_establishment(cases, establishments, hot_establishments(cases) if joins else None, reads)
     if store:
-        joined = materialise_table(joined, "int-joined")
+        joined = materialise_table(joined, "int-joined", "zstd")
     return models_from(cases, establishments, joined, target) | {"raw_cases": raw, "llm_enrichment": target}
 
 
 def _model(name: str) -> Query:
-    return lambda spark, sf_dir: warehouse(spark, sf_dir, name in NEEDS_ENRICHMENT, name not in NEEDS_NO_JOIN)[name]
+    return lambda spark, sf_dir: warehouse(spark, sf_dir, name in NEEDS_ENRICHMENT, name not in NEEDS_NO_JOIN,
+                                           whole=name == "int_enriched")[name]
 
 
 for _key, _model_name in (

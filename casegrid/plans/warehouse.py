@@ -31,7 +31,7 @@ from casegrid.operators.enrich import (
     rule_classifier,
 )
 from casegrid.operators.evaluation import eval_mart, run_summary
-from casegrid.operators.fact import build_fact
+from casegrid.operators.fact import FACT_COLUMNS, build_fact
 from casegrid.operators.dedupe import latest_per_key
 from casegrid.operators.staging import (
     hot_establishments,
@@ -79,6 +79,11 @@ def models_from(cases, establishments, joined, enrichment) -> dict[str, DataFram
     }
 
 
+#: Columns of the joined layer that the marts read (those of the classifier
+#: come from the enrichment table).
+MART_READS = {*FACT_COLUMNS, *D.GEOGRAPHY_KEY, *D.INJURY_KEY, "naics_code", "industry_description",
+              "oiics_nature_label", "oiics_body_part_label"}
+
 #: Layer suites as data: (model, column) that must not be null, be unique,
 #: point to a parent, or hold listed values.
 SOURCE_NOT_NULL = (("raw_cases", "id"), ("raw_cases", "establishment_id"), ("llm_enrichment", "incident_id"))

@@ -96,12 +96,14 @@ def scratch_scope():
                 store.delete_dir(name)
 
 
-def materialise(df, name: str = "table"):
+def materialise(df, name: str = "table", codec: str | None = None):
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     return a DataFrame over the written files: cuts the lineage like a
     checkpoint, survives executor loss, and (unlike a checkpoint) lets later
-    readers prune columns and push filters into the scan."""
+    readers prune columns and push filters into the scan.  ``codec`` names the
+    compression; "zstd" halves columns of hexadecimal hashes."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    (writer.option("compression", codec) if codec else writer).parquet(path)
     return spark.read.parquet(path)
