@@ -118,28 +118,29 @@ def star_rollup_of(m: dict[str, DataFrame]) -> DataFrame:
     """Fact to its five dimensions, rolled up by year x region x sector x
     outcome x size bucket.
 
-    The fact is first joined to the one dimension that can be large
-    (establishments, reduced to its size bucket) and then pre-aggregated on
-    the remaining foreign keys, so the other four joins see one row per key
-    combination instead of one per incident; AQE turns those joins into
-    broadcasts when the runtime sizes are small and keeps sort-merge otherwise.
+    The fact is first joined to the establishments, reduced to the size bucket,
+    then to the date, geography and industry dimensions.  Each join takes one
+    column of a dimension in place of its key, so the rows get narrower, and
+    AQE turns it into a broadcast when the dimension is small at run time.
+    Before it meets the injury types, which can be as many as the incidents,
+    the rows are aggregated: those of one injury type are at most one per
+    combination of the other labels, however popular it is.
     No classifier column is read, so the build needs no enrichment.
     """
     fact = m["fct_incidents"].select(
         "incident_id", "establishment_id", "date_id", "geography_id", "industry_id", "injury_type_id",
         "days_away_from_work", "is_death")
     est = m["dim_establishment"].select("establishment_id", "employee_size_bucket")
-    sized = balanced_join(fact, est, "establishment_id", F.col("incident_id"), "left")
-    pre = (sized
-           .groupBy("date_id", "geography_id", "industry_id", "injury_type_id", "employee_size_bucket")
+    rows = balanced_join(fact, est, "establishment_id", F.col("incident_id"), "left").drop("establishment_id")
+    for dim, key, label in (("dim_date", "date_id", "year"), ("dim_geography", "geography_id", "region"),
+                            ("dim_industry", "industry_id", "sector")):
+        rows = rows.join(m[dim].select(key, label), key, "left").drop(key)
+    pre = (rows
+           .groupBy("injury_type_id", "year", "region", "sector", "employee_size_bucket")
            .agg(F.count(F.lit(1)).alias("n"),
                 F.sum("days_away_from_work").alias("days"),
                 F.count_if(F.col("is_death")).alias("deaths")))
-    joined = (pre
-              .join(m["dim_date"].select("date_id", "year"), "date_id", "left")
-              .join(m["dim_geography"].select("geography_id", "region"), "geography_id", "left")
-              .join(m["dim_industry"].select("industry_id", "sector"), "industry_id", "left")
-              .join(m["dim_injury_type"].select("injury_type_id", "outcome"), "injury_type_id", "left"))
+    joined = pre.join(m["dim_injury_type"].select("injury_type_id", "outcome"), "injury_type_id", "left")
     return joined.groupBy("year", "region", "sector", "outcome", "employee_size_bucket").agg(
         F.sum("n").alias("incidents"),
         F.sum("days").alias("days_away_from_work"),
@@ -148,7 +149,12 @@ def star_rollup_of(m: dict[str, DataFrame]) -> DataFrame:
 
 @register("star_rollup")
 def q_star_rollup(spark, sf_dir):
-    return star_rollup_of(warehouse(spark, sf_dir, enriched=False, store=True, narratives=False))
+    m = warehouse(spark, sf_dir, enriched=False, store=True, narratives=False)
+    # stored, their sizes are known before the fact is dealt out for a join
+    small = {name: materialise_table(m[name].select(*columns), name, "zstd") for name, *columns in (
+        ("dim_date", "date_id", "year"), ("dim_geography", "geography_id", "region"),
+        ("dim_industry", "industry_id", "sector"))}
+    return star_rollup_of(m | small)
 
 
 def year_rollup(fact: DataFrame, dates: DataFrame) -> DataFrame:

@@ -63,6 +63,13 @@ def test_the_stored_layer_holds_what_marts_read(spark, tables):
     assert not set(NARRATIVE_FIELDS) & set(m["int_joined"].columns)
 
 
+def test_star_rollup_joins_stored_dimensions(spark, tables):
+    out = catalogue.q_star_rollup(spark, tables)
+    assert any("casegrid-dim_industry" in f for f in out.inputFiles())
+    cases = catalogue.warehouse(spark, tables, enriched=False, joins=False)["stg_cases"]
+    assert out.agg(F.sum("incidents")).first()[0] == cases.count()
+
+
 @pytest.mark.parametrize("most", [True, False])
 def test_texts_of_misses(spark, most):
     rows = spark.createDataFrame(
