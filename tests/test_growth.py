@@ -70,6 +70,20 @@ def test_star_rollup_joins_stored_dimensions(spark, tables):
     assert out.agg(F.sum("incidents")).first()[0] == cases.count()
 
 
+def test_the_mart_of_labels_is_built_from_the_stored_fact(spark, tables, monkeypatch):
+    seen = {}
+    real = catalogue.reload_table
+
+    def spy(df, path, *more):
+        seen[path.rsplit("/", 1)[1]] = df.inputFiles()
+        return real(df, path, *more)
+
+    monkeypatch.setattr(catalogue, "reload_table", spy)
+    rows = {r["mart"]: r for r in catalogue.q_marts_row_counts(spark, tables).collect()}
+    assert all("/fct_incidents/" in f or "/dim_industry/" in f for f in seen["mart_llm_eval"])
+    assert rows["fct_incidents"]["row_count"] > rows["fct_incidents"]["distinct_keys"]
+
+
 @pytest.mark.parametrize("most", [True, False])
 def test_texts_of_misses(spark, most):
     rows = spark.createDataFrame(
