@@ -197,11 +197,12 @@ def _warehouse_report_sql() -> str:
 
 @register("warehouse_dq_report", _warehouse_report_sql())
 def q_warehouse_dq_report(spark, sf_dir):
-    """The suites of all layers on stored tables: the raw export, the joined
-    layer, the enrichment table and every mart are written once, without the
-    texts, which no check reads; the checks on rows of a table then share one
-    pruned scan of it."""
+    """The suites of all layers on stored tables: what the checks read of the
+    raw export, the cases, the establishments, the joined layer, the enrichment
+    and every mart are written once, without the texts, which no check reads;
+    the checks on rows of a table then share one pruned scan of it."""
     m = warehouse(spark, sf_dir, store=True, narratives=False)
-    m |= {name: materialise(m[name], name) for name in MART_NAMES if name != "mart_llm_eval"}
+    m["raw_cases"] = materialise(m["raw_cases"].select("id", "establishment_id", "created_timestamp"), "raw-cases", "zstd")
+    m |= {name: materialise(m[name], name, "zstd") for name in MART_NAMES if name != "mart_llm_eval"}
     m["mart_llm_eval"] = materialise(eval_mart(m["fct_incidents"], m["dim_industry"]), "mart")
     return Q.report(warehouse_checks(m, as_of=_as_of()))

@@ -84,6 +84,20 @@ def test_the_mart_of_labels_is_built_from_the_stored_fact(spark, tables, monkeyp
     assert rows["fct_incidents"]["row_count"] > rows["fct_incidents"]["distinct_keys"]
 
 
+def test_the_report_stores_what_checks_read_of_the_export(spark, tables, monkeypatch):
+    stored = {}
+    real = checks.materialise
+
+    def spy(df, name, *more):
+        stored[name] = df.columns
+        return real(df, name, *more)
+
+    monkeypatch.setattr(checks, "materialise", spy)
+    report = {r["check_name"]: r["violations"] for r in checks.q_warehouse_dq_report(spark, tables).collect()}
+    assert stored["raw-cases"] == ["id", "establishment_id", "created_timestamp"]
+    assert report["raw_cases.id.unique"] == 2  # order 7 comes three times, document 2 twice
+
+
 @pytest.mark.parametrize("most", [True, False])
 def test_texts_of_misses(spark, most):
     rows = spark.createDataFrame(
