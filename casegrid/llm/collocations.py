@@ -1,12 +1,12 @@
 """Phrase collocations, counted exactly in burstable tries of word ids.
 
 A task gives words numbers of its own and counts the phrases of each length in
-a HAT-trie: a shallow trie over word ids whose leaves are hash containers keyed
-on the rest of the phrase.  A container that grows past ``BURST`` entries becomes a trie
-node with a container per next word.  When a task's trie holds more than
-``ENTRIES`` phrases, whole subtrees, the largest first, are spilled as sorted
-runs of ``(phrase, count)``.  The runs are dealt out by phrase prefix, the
-first three words, and merged there.
+a HAT-trie: a shallow trie over the bits of word ids whose leaves are array
+hashes, filled a batch at a time.  A container that grows past ``BURST`` entries
+becomes a trie node with containers by the next bits that tell its phrases
+apart.  When a task's tries hold more than ``ENTRIES`` phrases, whole subtrees,
+the largest first, are spilled as sorted runs of ``(phrase, count)``.  The runs
+are dealt out by phrase prefix, the first three words, and merged there.
 
 Words and pairs are counted first.  A phrase of three or four words that
 occurs ``LEAST`` times has only pairs that do, so the second pass leaves out
@@ -38,30 +38,29 @@ from casegrid.session import materialise
 
 LEAST, LONGEST, COVERED, TOP = 30, 4, 80, 2000
 SCALE = 2_000_000
-BURST, ENTRIES, WORDS = 4096, 1 << 20, 1 << 20
+BURST, ENTRIES, WORDS = 1 << 16, 1 << 21, 1 << 20
 TABLE_BITS, BLOCK_BITS = 27, 15
 #: Text that is cut into words at a time.
 TEXT_BYTES = 8 << 20
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
-#: Bytes by class: part of a word (lower-cased), blank, end of a piece.
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"):ord("Z") + 1] += 32
-_ENDS = np.isin(np.arange(256), list(b".,;:!?\n\x0b\x0c\r"))
 _END = re.compile(rb"[.,;:!?\n\x0b\x0c\r]")
-_IN_WORD = ~_ENDS & ~np.isin(np.arange(256), list(b" \t"))
+#: Classes of bytes: part of a word, blank, end of a piece.
+_WORD, _BLANK, _STOP = range(3)
+_CLASS = bytes(_STOP if _END.match(bytes([b])) else _BLANK if b in b" \t" else _WORD for b in range(256))
 
 
 def words_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     """The words of the texts in turn, lower-cased, and a number per word that
     is the same for words of one piece."""
-    raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    inside = _IN_WORD[raw]
-    edge = np.diff(inside.astype(np.int8), prepend=0)
-    starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    piece = np.searchsorted(np.flatnonzero(_ENDS[raw]), starts)
+    text = b"\n".join([b"", *texts, b""]).lower()  # of bytes, A to Z only
+    kind = np.frombuffer(text.translate(_CLASS), np.uint8)
+    inside = kind == _WORD
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, stops = edges[::2], edges[1::2]
+    piece = np.cumsum(kind == _STOP, dtype=np.int32)[starts]
     offsets = np.concatenate(([0], np.cumsum(stops - starts)))
-    body = _LOWER[raw[inside]]
+    body = np.frombuffer(text, np.uint8)[inside]
     return pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(body)]), piece
 
@@ -77,76 +76,129 @@ def shorter(texts: list[bytes]) -> Iterator[bytes]:
 
 
 class Node(dict):
-    """Next word id -> ``Node`` or ``Bucket``."""
-
-
-class Bucket(dict):
-    """Ids of the rest of a phrase -> count."""
+    """Four bits of a phrase, those from ``shift`` of column ``column`` -> ``Node`` or ``Bucket``."""
+
+    def __init__(self, column: int = 0, shift: int = 0):
+        super().__init__()
+        self.column, self.shift = column, np.uint64(shift)
+
+    def parts(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The places of the keys by child."""
+        digit = (keys[:, self.column] >> self.shift & np.uint64(15)).astype(np.uint8)
+        order = np.argsort(digit, kind="stable")
+        cuts = np.searchsorted(digit[order], np.arange(17))
+        yield from ((d, order[s:e]) for d, (s, e) in enumerate(zip(cuts, cuts[1:])) if e > s)
+
+
+class Bucket:
+    """An array hash: phrases as rows of 64-bit columns -> counts, by linear
+    probing, many phrases at a time.  A free slot counts 0."""
+
+    def __init__(self, columns: int):
+        self.size, self.keys, self.counts = 0, np.zeros((8, columns), np.uint64), np.zeros(8, np.int64)
+
+    def __len__(self) -> int:
+        return self.size
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray]:
+        used = np.flatnonzero(self.counts)
+        return self.keys[used], self.counts[used]
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Distinct phrases and how often they occur, once or more."""
+        if 3 * (self.size + len(keys)) > 2 * len(self.counts):
+            held = self.rows()
+            slots = 1 << (3 * (self.size + len(keys)) // 2).bit_length()
+            self.size, self.keys = 0, np.zeros((slots, self.keys.shape[1]), np.uint64)
+            self.counts = np.zeros(slots, np.int64)
+            self._place(*held)
+        self._place(keys, counts)
+
+    def _place(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        slot, mask = _mixed(keys), len(self.counts) - 1
+        slot &= mask
+        while len(keys):
+            free = self.counts[slot] == 0
+            self.keys[slot[free]] = keys[free]  # of several, one stays
+            here = (self.keys[slot] == keys).all(axis=1)
+            at = slot[here]
+            self.size += int(np.count_nonzero(free & here))
+            self.counts[at] += counts[here]
+            keys, counts, slot = keys[~here], counts[~here], slot[~here] + 1 & mask
+
+
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(keys), np.uint64)
+    for column in keys.T:
+        out = (out ^ column) * _MIX[0]
+        out ^= out >> np.uint64(32)
+    return (out * _MIX[1] >> np.uint64(24)).astype(np.int64)
 
 
 class HatTrie:
-    """Counts of phrases of one length; a phrase is a byte string of four bytes
-    per word.  The root has a container per first word."""
+    """Counts of phrases of one length; a phrase is a row of word ids, two to a
+    64-bit column.  Below the root, which goes by bits of the first word, all
+    phrases with the same first word are in one subtree."""
 
     def __init__(self, burst: int = BURST):
-        self.burst, self.root, self.entries = burst, Node(), 0
+        self.burst, self.root, self.entries, self.words = max(burst, 1), Node(), 0, 0
 
     def add(self, phrases: np.ndarray, counts: np.ndarray) -> None:
         """Distinct phrases, a row of word ids each, and how often they occur."""
-        if not phrases.shape[1]:
+        self.words = phrases.shape[1]
+        if not self.words:
             raise ValueError("a phrase has a first word")
-        order = np.argsort(phrases[:, 0], kind="stable")
-        first, counts = phrases[order, 0], counts[order].tolist()
-        rest = np.ascontiguousarray(phrases[order, 1:])
-        rests = rest.view(f"V{4 * rest.shape[1]}").ravel().tolist() if rest.shape[1] else [b""] * len(rest)
-        cuts = [0, *(np.flatnonzero(np.diff(first)) + 1).tolist(), len(first)]
-        heads = np.ascontiguousarray(first[cuts[:-1]]).view("V4").tolist() if len(first) else []
-        for head, s, e in zip(heads, cuts, cuts[1:]):
-            self._put(self.root, head, rests[s:e], counts[s:e])
-
-    def _put(self, node: Node, head: bytes, rests: list[bytes], counts: list[int]) -> None:
-        """Adds phrases below ``node`` that go on with the word ``head``."""
-        child = node.get(head)
-        if type(child) is Node:
-            for rest, count in zip(rests, counts):
-                self._put(child, rest[:4], [rest[4:]], [count])
-            return
-        if child is None:
-            child = node[head] = Bucket(zip(rests, counts))
-            self.entries += len(child)
-        else:
-            before = len(child)
-            for rest, count in zip(rests, counts):
-                child[rest] = child.get(rest, 0) + count
-            self.entries += len(child) - before
-        if len(child) > self.burst:
-            below = node[head] = Node()
-            for rest, count in child.items():
-                below.setdefault(rest[:4], Bucket())[rest[4:]] = count
-
-    def _flat(self, node: dict) -> tuple[list[bytes], list[int]]:
+        ids = np.zeros((len(phrases), self.words + self.words % 2), "<u4")
+        ids[:, :self.words] = phrases
+        self.entries += self._put(self.root, ids.view("<u8"), counts)
+
+    def _put(self, node: Node, keys: np.ndarray, counts: np.ndarray) -> int:
+        """Adds phrases below ``node``; how many of them are new."""
+        new = 0
+        for digit, at in node.parts(keys):
+            child = node.get(digit)
+            if child is None:
+                child = Bucket(keys.shape[1])
+            if type(child) is Node:
+                new += self._put(child, keys[at], counts[at])
+                continue
+            new -= len(child)
+            child.add(keys[at], counts[at])
+            new += len(child)
+            node[digit] = self._burst(child) if len(child) > self.burst else child
+        return new
+
+    def _burst(self, full: Bucket) -> Node:
+        """A node with buckets for a bucket's phrases, by the first bits that differ."""
+        keys, counts = full.rows()
+        differ = np.bitwise_or.reduce(keys ^ keys[0])
+        column = int(np.flatnonzero(differ)[0])
+        bits = int(differ[column])
+        node = Node(column, (bits & -bits).bit_length() - 1)
+        self._put(node, keys, counts)
+        return node
+
+    def _leaves(self, node: Node | Bucket) -> Iterator[Bucket]:
         if type(node) is Bucket:
-            return list(node), list(node.values())
-        keys, counts = [], []
-        for head, below in node.items():
-            some, n = self._flat(below)
-            keys += [head + x for x in some]
-            counts += n
-        return keys, counts
-
-    def _size(self, node: dict) -> int:
-        return sum(map(self._size, node.values())) if type(node) is Node else len(node)
+            yield node
+        else:
+            for below in node.values():
+                yield from self._leaves(below)
 
     def spill(self, keep: int) -> tuple[list[bytes], list[int]]:
         """Takes out whole subtrees, the largest first, until at most ``keep``
-        phrases are left."""
-        out = Node()
-        for head, size in sorted(((h, self._size(x)) for h, x in self.root.items()), key=lambda x: -x[1]):
+        phrases are left; a phrase comes as four bytes per word."""
+        sizes = {digit: sum(map(len, self._leaves(x))) for digit, x in self.root.items()}
+        keys, counts = [np.zeros((0, max(self.words + 1 >> 1, 1)), np.uint64)], [np.zeros(0, np.int64)]
+        for digit in sorted(sizes, key=sizes.get, reverse=True):
             if self.entries <= keep:
                 break
-            out[head] = self.root.pop(head)
-            self.entries -= size
-        return self._flat(out)
+            for leaf in self._leaves(self.root.pop(digit)):
+                for held, some in zip((keys, counts), leaf.rows()):
+                    held.append(some)
+            self.entries -= sizes[digit]
+        ids = np.ascontiguousarray(np.concatenate(keys).view("<u4")[:, :self.words], ">u4")
+        return ids.view(f"V{max(4 * self.words, 1)}").ravel().tolist(), np.concatenate(counts).tolist()
 
 
 def _hash_words(lang: str, words: list[bytes]) -> np.ndarray:
@@ -160,6 +212,16 @@ def _pair_bits(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(32))) * _MIX[0] >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _in_order(rows: np.ndarray, base: int) -> np.ndarray:
+    """A number per row of numbers below ``base``: equal for equal rows, else in their order."""
+    number, top = rows[:, 0].astype(np.int64), base
+    for column in rows.T[1:]:
+        if top * base >= 1 << 63:
+            number, top = np.unique(number, return_inverse=True)[1], len(number)
+        number, top = number * base + column, top * base
+    return number
+
+
 _RUN = "lang string, prefix binary, rest binary, n long"
 PREFIX_WORDS = 3
 
@@ -196,7 +258,7 @@ class Counter:
                 self.number[w] = len(self.words)
                 self.words.append(w)
         which = coded.indices.to_numpy()
-        ids = np.array([self.number[w] for w in distinct], ">u4")[which]
+        ids = np.array([self.number[w] for w in distinct], np.uint32)[which]
         near = piece[1:] == piece[:-1]  # a word and the next one are in one piece
         if table is not None:
             hashes = _hash_words(lang, distinct)[which]
@@ -208,12 +270,12 @@ class Counter:
             at = np.flatnonzero(held)
             if not len(at):
                 continue
-            rows = np.ascontiguousarray(ids[at[:, None] + np.arange(k)])
-            keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * k), len(at), [None, pa.py_buffer(rows)])
-            found = pc.value_counts(keys)
-            values = found.field("values")
-            phrases = np.frombuffer(values.buffers()[1], ">u4", k * len(values), 4 * k * values.offset).reshape(-1, k)
-            self.tries.setdefault((lang, k), HatTrie(self.burst)).add(phrases, found.field("counts").to_numpy())
+            code = _in_order(which[at[:, None] + np.arange(k)], len(distinct))
+            order = np.argsort(code)
+            code = code[order]
+            cuts = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1], [True])))
+            phrases = ids[at[order[cuts[:-1]]][:, None] + np.arange(k)]
+            self.tries.setdefault((lang, k), HatTrie(self.burst)).add(phrases, np.diff(cuts))
 
     def held(self) -> int:
         return sum(t.entries for t in self.tries.values())
@@ -226,12 +288,12 @@ class Counter:
         when the words' numbers are given up too."""
         every, held = last or len(self.words) > WORDS, self.held()
         words = pa.array(self.words, pa.large_binary())
-        rank = np.empty(len(words), np.int64)
+        rank = np.empty(len(words), np.int64)  # of a word by its bytes
         rank[pc.sort_indices(words).to_numpy()] = np.arange(len(words))
         for (lang, k), trie in self.tries.items():
             phrases, counts = trie.spill(0 if every else trie.entries * self.entries // (2 * held))
             ids = np.frombuffer(b"".join(phrases), ">u4").reshape(-1, k).astype(np.int64)
-            order = np.lexsort(rank[ids].T[::-1])
+            order = np.argsort(_in_order(rank[ids], len(words)))
             yield from self._run(lang, words, ids[order], np.array(counts, np.int64)[order])
         if every:
             self.tries, self.number, self.words = {}, {}, []
@@ -244,13 +306,13 @@ class Counter:
         """A sorted run as rows: the first three words of a phrase, and the rest of it."""
         def joined(part: np.ndarray) -> pa.Array:
             if not part.shape[1]:
-                return pa.array([b""] * len(part), pa.large_binary())
+                return pa.repeat(pa.scalar(b"", pa.large_binary()), len(part))
             return pc.binary_join_element_wise(*[words.take(pa.array(c)) for c in part.T], pa.scalar(b" ", pa.large_binary()))
 
         for s in range(0, len(ids), 16384):
             some = ids[s:s + 16384]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang]).take(pa.array(np.zeros(len(some), np.int8))),
+                [pa.repeat(pa.scalar(lang), len(some)),
                  joined(some[:, :PREFIX_WORDS]).cast(pa.binary()), joined(some[:, PREFIX_WORDS:]).cast(pa.binary()),
                  pa.array(counts[s:s + 16384])], ["lang", "prefix", "rest", "n"])
 

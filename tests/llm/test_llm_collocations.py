@@ -1,5 +1,7 @@
 import random
 import re
+import sys
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -101,6 +103,58 @@ def test_trie_bursts_and_spills_whole_subtrees():
         assert got == dict(want)
 
 
+def test_phrases_are_added_a_batch_at_a_time():
+    """No call per phrase or per first word, and some dozen bytes a phrase."""
+    rng = np.random.default_rng(7)
+    some = np.unique(rng.integers(0, 20_000, (60_000, 2)), axis=0).astype(">u4")
+    trie, counts, calls = C.HatTrie(), np.ones(len(some), np.int64), Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        trie.add(some, counts)
+        trie.add(some, counts)
+    finally:
+        sys.setprofile(None)
+    assert trie.entries == len(some) and calls["call"] + calls["c_call"] < len(some) / 4
+    assert set(trie.spill(0)[1]) == {2}
+    tracemalloc.start()
+    try:
+        trie.add(some, counts)
+        assert tracemalloc.get_traced_memory()[0] < 100 * len(some)
+    finally:
+        tracemalloc.stop()
+
+
+def test_array_hash_with_phrases_in_one_slot(monkeypatch):
+    monkeypatch.setattr(C, "_mixed", lambda keys: np.full(len(keys), 5))
+    rng, bucket, want = random.Random(8), C.Bucket(2), Counter()
+    for _ in range(20):
+        some = Counter((rng.randrange(6), rng.randrange(6)) for _ in range(30))
+        bucket.add(np.array(list(some), np.uint64), np.array(list(some.values())))
+        want += some
+        assert len(bucket) == len(want)
+    keys, counts = bucket.rows()
+    assert dict(zip(map(tuple, keys.tolist()), counts.tolist())) == dict(want)
+
+
+def test_numbers_of_rows_past_64_bits():
+    """Four words of a large vocabulary have one number, in the rows' order."""
+    rng = np.random.default_rng(9)
+    for base in (5, 1 << 22, 1 << 31):
+        rows = base - 1 - rng.integers(0, 4, (500, 4))
+        order = np.lexsort(rows.T[::-1])
+        got = C._in_order(rows, base)[order]
+        assert ((np.diff(got) > 0) == (np.diff(rows[order], axis=0) != 0).any(axis=1)).all()
+        assert (np.diff(got) >= 0).all()
+
+
+def test_words_of_raw_bytes():
+    texts = [" Ab  c.\td", "", "É\x1c,Z", "e\x85\u00a0f\r\n!g "]
+    words, piece = C.words_of([t.encode() for t in texts])
+    assert [w.decode() for w in words.to_pylist()] == ["ab", "c", "d", "É\x1c", "z", "e\x85\u00a0f", "g"]
+    assert (piece[1:] == piece[:-1]).tolist() == [True] + [False] * 5
+    assert len(C.words_of([b"", b" ."])[0]) == len(C.words_of([])[0]) == 0
+
+
 def test_shared_bits_cost_no_exactness(spark):
     """Many pairs share their bit in a table of few bits."""
     rng = random.Random(5)
