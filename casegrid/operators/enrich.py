@@ -47,7 +47,7 @@ from casegrid.functions.prompt import INSTRUCTIONS, NARRATIVE_FIELDS, PROMPT_VER
 from casegrid.functions.reply import CLASSIFICATION_FIELDS, reply_json, with_validated
 from casegrid.operators.joins import balanced_join, hot_keys, salted_join
 from casegrid.operators.merge import insert_if_absent, upsert_by_key
-from casegrid.session import materialise, scratch_path
+from casegrid.session import materialise, scratch_path, shuffles_freed
 from casegrid.sources.tables import read_or_empty
 
 CACHE_SCHEMA = T.StructType([
@@ -322,11 +322,12 @@ class EnrichResult:
 
 
 def empty_cache(spark) -> DataFrame:
-    return spark.createDataFrame([], CACHE_SCHEMA)
+    # the filter tells the optimizer that there are no rows to join
+    return spark.createDataFrame([], CACHE_SCHEMA).where(F.lit(False))
 
 
 def empty_enrichment(spark) -> DataFrame:
-    return spark.createDataFrame([], ENRICHMENT_SCHEMA)
+    return spark.createDataFrame([], ENRICHMENT_SCHEMA).where(F.lit(False))
 
 
 def prepare_rows(staged: DataFrame, id_col: str = "incident_id",
@@ -452,7 +453,8 @@ def enrich(staged: DataFrame, cache: DataFrame, target: DataFrame, classify: Cla
             "content_hash", F.col("incident_id").alias("rep_id"), F.lit(INSTRUCTIONS).alias("instructions"),
             render_prompt({f: f for f in fields}, F.col("sector")).alias("prompt"),
             F.concat_ws("\n", *fields).alias("narrative_text"))
-        answer(requests, classify).write.mode("append").parquet(path)
+        with shuffles_freed(spark):
+            answer(requests, classify).write.mode("append").parquet(path)
     fresh = read_or_empty(spark, path, ANSWER_SCHEMA)
     if answers_path:  # a text that failed before and was asked again: the valid answer counts
         fresh = fresh.groupBy("content_hash").agg(F.max_by(F.struct(*fresh.columns), "is_valid").alias("a")).select("a.*")

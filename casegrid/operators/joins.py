@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casegrid.session import shuffles_freed
+
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -42,8 +44,9 @@ def hot_keys(counts: DataFrame, key: str, n_col: str = "n", partitions: int | No
         return {}
     total = counts.agg(F.sum(n_col)).scalar()
     share = F.col(n_col) / total
-    rows = (counts.where(F.col(n_col) * partitions > total)
-            .select(F.col(key).alias("k"), share.cast("double").alias("share")).collect())
+    with shuffles_freed(counts.sparkSession):
+        rows = (counts.where(F.col(n_col) * partitions > total)
+                .select(F.col(key).alias("k"), share.cast("double").alias("share")).collect())
     if len(rows) >= partitions:
         raise RuntimeError("more hot keys than the bound allows")
     out = {}

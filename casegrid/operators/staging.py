@@ -14,6 +14,7 @@ from casegrid.functions.prompt import NARRATIVE_FIELDS
 from casegrid.operators.dedupe import latest_per_key
 from casegrid.operators.filters import any_present
 from casegrid.operators.joins import hot_keys, key_counts, salted_join
+from casegrid.session import materialise
 
 # raw narrative header -> staged name (same order as NARRATIVE_FIELDS)
 NARRATIVE_SOURCES = {
@@ -170,6 +171,8 @@ ESTABLISHMENT_COLUMNS = (
     "employee_size_code", "annual_average_employees", "total_hours_worked",
 )
 CODE_COLUMNS = tuple(f"{s}_{k}" for s in OFFICIAL_CODES.values() for k in ("code", "label"))
+#: Numbers the rows of stored cases (ids may repeat).
+CASE_ROW = "case_row"
 
 
 def hot_establishments(cases: DataFrame, partitions: int | None = None) -> dict:
@@ -180,20 +183,32 @@ def hot_establishments(cases: DataFrame, partitions: int | None = None) -> dict:
 
 
 def join_establishment(cases: DataFrame, establishments: DataFrame,
-                       hot: dict | None = None, columns: Collection[str] | None = None) -> DataFrame:
+                       hot: dict | None = None, columns: Collection[str] | None = None,
+                       row: str | None = None) -> DataFrame:
     """Many-to-one left join: one row per incident, establishment context
     taken from the deduplicated establishment model.  With ``hot`` (see
     ``hot_establishments``) the cases of a very large establishment, or of
     none, are salted over many tasks instead of landing in one.
     ``columns``: those that the consumers read (both ids are always there);
-    the others are not joined."""
+    the others are not joined.
+
+    ``row`` names a column of ``cases`` that numbers their rows.  Then the
+    establishments are joined to the row numbers and ids alone, and stored; the
+    cases, texts included, are dealt out by row number, as ``join_enrichment``
+    needs them, and not by establishment before.  The result has the column
+    ``row`` too."""
     def read(names):
         return [c for c in names if columns is None or c in columns or c in ("incident_id", "establishment_id")]
 
+    rows = [] if row is None else [row]
     e = establishments.select("establishment_id", *read(ESTABLISHMENT_COLUMNS))
-    i = cases.select(*read(CASE_COLUMNS), *read(NARRATIVE_FIELDS), *read(CODE_COLUMNS))
-    joined = salted_join(i, e, "establishment_id", hot or {}, F.col("incident_id"), "left")
-    return joined.select(*read((*CASE_COLUMNS, *ESTABLISHMENT_COLUMNS, *NARRATIVE_FIELDS, *CODE_COLUMNS)))
+    i = cases.select(*rows, *read(CASE_COLUMNS), *read(NARRATIVE_FIELDS), *read(CODE_COLUMNS))
+    if row is None:
+        joined = salted_join(i, e, "establishment_id", hot or {}, F.col("incident_id"), "left")
+    else:
+        found = salted_join(i.select(row, "establishment_id"), e, "establishment_id", hot or {}, F.col(row), "left")
+        joined = i.join(materialise(found.drop("establishment_id"), "case-establishments", "zstd"), row, "left")
+    return joined.select(*rows, *read((*CASE_COLUMNS, *ESTABLISHMENT_COLUMNS, *NARRATIVE_FIELDS, *CODE_COLUMNS)))
 
 
 ENRICHED_EXTRA = (
@@ -202,11 +217,20 @@ ENRICHED_EXTRA = (
 )
 
 
-def join_enrichment(joined: DataFrame, staged_enrichment: DataFrame) -> DataFrame:
-    """Left join: un-enriched incidents flow through with null columns."""
+def join_enrichment(joined: DataFrame, staged_enrichment: DataFrame, ids: DataFrame | None = None,
+                    row: str | None = None) -> DataFrame:
+    """Left join: un-enriched incidents flow through with null columns.
+
+    ``row`` names the column that numbers the rows of ``joined`` (see
+    ``join_establishment``) and ``ids`` holds it with their incident ids.  Then
+    the classifier's columns are joined to these, stored, and meet the wide rows
+    by row number."""
     e = staged_enrichment.select(
         "incident_id", *ENRICHED_EXTRA,
         F.col("prompt_version").alias("llm_prompt_version"),
         F.col("model_name").alias("llm_model_name"),
         F.col("enriched_at").alias("llm_enriched_at"))
-    return joined.join(e, "incident_id", "left")
+    if row is None:
+        return joined.join(e, "incident_id", "left")
+    found = ids.select(row, "incident_id").join(e, "incident_id", "left").drop("incident_id")
+    return joined.join(materialise(found, "case-answers", "zstd"), row, "left")

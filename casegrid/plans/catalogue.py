@@ -14,6 +14,7 @@ from casegrid.operators.enrich import empty_cache, empty_enrichment, enrich, rul
 from casegrid.operators.joins import balanced_join
 from casegrid.operators.staging import (
     CASE_COLUMNS,
+    CASE_ROW,
     CODE_COLUMNS,
     hot_establishments,
     join_establishment,
@@ -54,10 +55,12 @@ def run_ts() -> datetime:
 
 NEEDS_ENRICHMENT = {"int_enriched", "fct_incidents", "mart_llm_eval"}
 NEEDS_NO_JOIN = {"stg_cases", "stg_establishments", "dim_establishment"}
+WITH_TEXTS = {"int_enriched", "fct_incidents"}
 
 
 def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True, joins: bool = True,
-              store: bool = False, narratives: bool = True, whole: bool = False) -> dict[str, DataFrame]:
+              store: bool = False, narratives: bool = True, whole: bool = False,
+              by_row: bool = False) -> dict[str, DataFrame]:
     """All models of one build.  ``enriched=False`` skips the classification
     and ``joins=False`` the count of hot establishments, for models that read
     neither.
@@ -71,6 +74,10 @@ def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True, joins: bo
     which they do not read.  What is stored are the columns that the marts and the
     classification read, with ``whole`` all that the joined layer has;
     ``narratives=False`` keeps the texts out of the joined layer and the fact.
+
+    ``by_row``, for a build with classification of which one model with its texts
+    is read: the stored cases are numbered, establishments and answers are joined
+    to the numbers, and the wide rows move once to meet both.
     """
     raw = raw_cases(spark, sf_dir)
     cases, establishments = stage_cases(raw), stage_establishments(raw_cases(spark, sf_dir, texts=False))
@@ -78,7 +85,8 @@ def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True, joins: bo
         MART_READS if narratives else MART_READS - set(NARRATIVE_FIELDS))
     if store or enriched:
         texts = {*NARRATIVE_FIELDS, "industry_description"} if enriched else set()
-        cases = materialise_table(cases.select(*[
+        numbers = [F.monotonically_increasing_id().alias(CASE_ROW)] if by_row else []
+        cases = materialise_table(cases.select(*numbers, *[
             c for c in cases.columns if c in (*CASE_COLUMNS, *CODE_COLUMNS, *texts)
             and (reads is None or c in reads | texts)]), "stg-cases", "zstd")
     if store:
@@ -88,15 +96,16 @@ def warehouse(spark: SparkSession, sf_dir: str, enriched: bool = True, joins: bo
                         rule_classifier(), run_ts(), MODEL_NAME).target
     else:
         target = empty_enrichment(spark)
-    joined = join_establishment(cases, establishments, hot_establishments(cases) if joins else None, reads)
+    row = CASE_ROW if by_row else None
+    joined = join_establishment(cases, establishments, hot_establishments(cases) if joins else None, reads, row)
     if store:
         joined = materialise_table(joined, "int-joined", "zstd")
-    return models_from(cases, establishments, joined, target) | {"raw_cases": raw, "llm_enrichment": target}
+    return models_from(cases, establishments, joined, target, row) | {"raw_cases": raw, "llm_enrichment": target}
 
 
 def _model(name: str) -> Query:
     return lambda spark, sf_dir: warehouse(spark, sf_dir, name in NEEDS_ENRICHMENT, name not in NEEDS_NO_JOIN,
-                                           whole=name == "int_enriched")[name]
+                                           whole=name == "int_enriched", by_row=name in WITH_TEXTS)[name]
 
 
 for _key, _model_name in (

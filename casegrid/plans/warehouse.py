@@ -58,9 +58,13 @@ def build_models(raw: DataFrame, enrichment: DataFrame, strict: bool = True,
     return models_from(cases, establishments, joined, enrichment)
 
 
-def models_from(cases, establishments, joined, enrichment) -> dict[str, DataFrame]:
+def models_from(cases, establishments, joined, enrichment, row: str | None = None) -> dict[str, DataFrame]:
+    """``row``: the column that numbers the rows of ``cases`` and ``joined``,
+    if they were joined by it; no model has it."""
     staged = stage_enrichment(enrichment)
-    enriched = join_enrichment(joined, staged)
+    enriched = join_enrichment(joined, staged, cases, row)
+    if row is not None:
+        cases, joined, enriched = (df.drop(row) for df in (cases, joined, enriched))
     fact = build_fact(enriched)
     industry = D.dim_industry(joined)
     return {

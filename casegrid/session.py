@@ -96,14 +96,30 @@ def scratch_scope():
                 store.delete_dir(name)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """The shuffle files of what runs inside the block go when each execution
+    ends, not when the driver happens to collect its garbage.  For writes and
+    counts: nothing reads the shuffles of their plan again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialise(df, name: str = "table", codec: str | None = None):
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     return a DataFrame over the written files: cuts the lineage like a
     checkpoint, survives executor loss, and (unlike a checkpoint) lets later
-    readers prune columns and push filters into the scan.  ``codec`` names the
+    readers prune columns and push filters into the scan.  The shuffles that
+    led to the table are freed once it is written.  ``codec`` names the
     compression; "zstd" halves columns of hexadecimal hashes."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     writer = df.write.mode("errorifexists")
-    (writer.option("compression", codec) if codec else writer).parquet(path)
+    with shuffles_freed(spark):
+        (writer.option("compression", codec) if codec else writer).parquet(path)
     return spark.read.parquet(path)

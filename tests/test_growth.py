@@ -2,14 +2,18 @@
 stored layers what is read."""
 
 import datetime
+import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from casegrid import session
 from casegrid.functions.prompt import NARRATIVE_FIELDS
 from casegrid.operators import enrich as E
+from casegrid.operators import staging
+from casegrid.operators.merge import upsert_by_key
 from casegrid.plans import catalogue, checks
 
 
@@ -108,3 +112,80 @@ def test_texts_of_misses(spark, most):
     out = E.miss_texts(rows, misses, ["f"], most)
     assert sorted(map(tuple, out.select("content_hash", "incident_id", "f", "sector").collect())) == [
         ("h1", "a", "t1", "r"), ("h2", "c", "t2", None)]
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("query", ["fact_foreign_keys", "join_enrichment"])
+def test_texts_are_dealt_out_once_behind_the_stored_cases(spark, tables, no_broadcast, query):
+    out = catalogue.QUERIES[query](spark, tables)
+    nodes = out._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")).split("\n\n")
+    dealt = [n for n in nodes if "Exchange" in n.split("\n")[0] and "hashpartitioning" in n]
+    assert len(dealt) == 3 and all("hashpartitioning(case_row" in n for n in dealt)
+    assert sum("narrative_event" in n for n in dealt) == 1
+
+
+@pytest.mark.parametrize("query, model", [("fact_foreign_keys", "fct_incidents"), ("join_enrichment", "int_enriched")])
+def test_joins_by_row_number_give_the_rows_of_plain_joins(spark, tables, query, model):
+    # a case, a document that come several times; an establishment that is not there
+    plain = catalogue.warehouse(spark, tables, whole=True)[model]
+    out = catalogue.QUERIES[query](spark, tables)
+    assert out.columns == plain.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    assert out.count() > out.select("incident_id").distinct().count()
+
+
+def test_numbers_of_rows_stay_inside(spark, tables):
+    m = catalogue.warehouse(spark, tables, by_row=True)
+    assert not [n for n, df in m.items() if staging.CASE_ROW in df.columns]
+
+
+def test_popular_establishments_are_salted_by_row(spark):
+    cases = spark.createDataFrame(
+        [(k, f"i{k % 3}", "e1" if k % 2 else None, "t") for k in range(12)] + [(12, "i9", "e2", None)],
+        "case_row long, incident_id string, establishment_id string, narrative_event string")
+    missing = [c for c in (*staging.CASE_COLUMNS, *staging.CODE_COLUMNS, *NARRATIVE_FIELDS) if c not in cases.columns]
+    cases = cases.select("*", *[F.lit(None).cast("string").alias(c) for c in missing])
+    est = spark.createDataFrame([("e1", "A"), ("e3", "C")], "establishment_id string, establishment_name string")
+    est = est.select("*", *[F.lit(None).cast("string").alias(c) for c in staging.ESTABLISHMENT_COLUMNS
+                            if c not in est.columns])
+    hot = {"e1": 4, None: 2}
+    plain = staging.join_establishment(cases, est, hot)
+    out = staging.join_establishment(cases, est, hot, row="case_row")
+    assert out.columns == ["case_row", *plain.columns]
+    assert sorted(map(str, out.drop("case_row").collect())) == sorted(map(str, plain.collect()))
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_shuffles_go_when_a_table_is_stored(spark):
+    before = shuffle_files(spark)
+    conf = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    stored = session.materialise(df, "freed")
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == conf
+    assert sorted(df.collect()) == sorted(stored.collect())  # its plan can run again
+
+
+def test_empty_state_takes_no_shuffle(spark):
+    rows = spark.createDataFrame([("a", 1)], "incident_id string, n int").select(
+        "incident_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in E.ENRICHMENT_SCHEMA.fields[1:]])
+    out = upsert_by_key(E.empty_enrichment(spark), rows, ["incident_id"])
+    assert out.columns == E.ENRICHMENT_SCHEMA.names and out.count() == 1
+    assert E.empty_enrichment(spark).schema == E.ENRICHMENT_SCHEMA and E.empty_cache(spark).schema == E.CACHE_SCHEMA
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
