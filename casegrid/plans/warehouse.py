@@ -203,15 +203,17 @@ def _run(spark, raw, out_dir, state_dir, classify, run_ts, model_name, prompt_ve
     result = enrich(cases, cache, target, classify, run_ts, model_name, prompt_version, limit=limit, calls=calls,
                     batches=batches, answers_path=answers_path)
     counters = result.counters.first().asDict()
-    rest = [c for c in result.updates.columns if c != "incident_id"]
-    merge_into(latest_per_key(result.updates, ["incident_id"], ["enriched_at"], rest), target_path, ["incident_id"])
-    merge_into(result.new_answers, cache_path, ["content_hash", "prompt_version"], replace=False)
-    enrichment = read_table(spark, target_path, ENRICHMENT_SCHEMA)
 
+    # types every column of the cases: what does not parse ends the run before the state changes
     establishments = stage_establishments(raw_t, "text", strict)
     joined_path = p("int_incidents__joined")
     reload_table(join_establishment(cases, establishments, hot_establishments(cases)), joined_path)
     joined = read_table(spark, joined_path)
+
+    rest = [c for c in result.updates.columns if c != "incident_id"]
+    merge_into(latest_per_key(result.updates, ["incident_id"], ["enriched_at"], rest), target_path, ["incident_id"])
+    merge_into(result.new_answers, cache_path, ["content_hash", "prompt_version"], replace=False)
+    enrichment = read_table(spark, target_path, ENRICHMENT_SCHEMA)
     marts = models_from(cases, establishments, joined, enrichment)
     stored = dict(marts)
     for name in MART_NAMES:

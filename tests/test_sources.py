@@ -197,3 +197,10 @@ def test_headers_are_read_without_the_rest(spark, tmp_dir):
     assert {h: [os.path.basename(f) for f in fs] for h, fs in groups.items()} == {
         ("id", "name"): ["a.csv"], ("name", "id"): ["b.csv.gz"]}
     assert read_text_csv(spark, path).count() == 1001
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_lines_of_spaces_before_the_header(spark, tmp_dir, split):
+    path = export(tmp_dir, a="\n  \nid,name\n1,x\n2,\"y\nz\"\n", b="id,name\n3,w\n")
+    rows = read_text_csv(spark, path, split=split).collect()
+    assert sorted(map(tuple, rows)) == [("1", "x"), ("2", "y\nz"), ("3", "w")]
